@@ -5,13 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbank.llm import decontaminate, lines, mixing, quality, simhash
+from quillbank.llm import decontaminate, lines, mixing, neighbours, pages, quality, simhash, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: The contract's rules.
+RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = _read(spark, sf_dir, "pages")
+    # the number in a page's path is the id of the document that it was made of, which may be labelled
+    number = F.regexp_extract(urls.url_parts(F.col("url"))[1], r"([0-9]{1,18})[^/0-9]*/?$", 1)
+    numbered = every.select("page_id", F.when(number != "", number.cast("long")).alias("doc_id"))
+    labels = numbered.join(_read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id").select("page_id", (1 - F.col("quality")).alias("bad"))
+    found = urls.judge_urls(every, labels, RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "template", "bad_share")
+
+
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = _read(spark, sf_dir, "embeddings")
+    return neighbours.nearest(every, every.filter("vec_id % 50 = 0"))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract_articles(_read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, threshold=3)
     return found.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -40,7 +64,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash_near_dedup, op4_line_dedup, op7_source_mixing, op8_benchmark_decontamination, op9_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_nearest_neighbours, op3_simhash_near_dedup, op4_line_dedup, op7_source_mixing, op8_benchmark_decontamination, op9_quality_classifier, op10_html_extraction)}
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
