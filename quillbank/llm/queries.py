@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbank.llm import decontaminate, lines, mixing, neighbours, pages, privacy, quality, simhash, urls
+from quillbank.llm import decontaminate, lines, mixing, neighbours, pages, privacy, quality, simhash, suffixes, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -56,6 +56,11 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(privacy.written(F.col("base")).cast("binary"), 256).alias("base_sha256"), privacy.written(F.col("spans")).alias("spans"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(_read(spark, sf_dir, "documents"))
+    return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(_read(spark, sf_dir, "documents"))
     return mixed.withColumnRenamed("id", "doc_id")
@@ -74,7 +79,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op2_nearest_neighbours, op3_simhash_near_dedup, op4_line_dedup, op5_personal_data, op7_source_mixing, op8_benchmark_decontamination, op9_quality_classifier, op10_html_extraction)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_nearest_neighbours, op3_simhash_near_dedup, op4_line_dedup, op5_personal_data, op6_suffix_array_dedup, op7_source_mixing, op8_benchmark_decontamination, op9_quality_classifier, op10_html_extraction)}
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
