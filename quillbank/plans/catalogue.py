@@ -1,2 +1,8 @@
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+"""All queries of the item-bank operators, and their oracles."""
+
+from __future__ import annotations
+
+from quillbank.plans import text_queries
+
+QUERIES = {**text_queries.QUERIES}
+ORACLE_SQL = {**text_queries.ORACLE_SQL}
