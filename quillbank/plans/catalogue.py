@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from quillbank.plans import text_queries
+from quillbank.plans import bank_queries, duplicate_queries, text_queries
 
-QUERIES = {**text_queries.QUERIES}
-ORACLE_SQL = {**text_queries.ORACLE_SQL}
+_MODULES = (text_queries, bank_queries, duplicate_queries)
+QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+ORACLE_SQL = {k: v for m in _MODULES for k, v in m.ORACLE_SQL.items()}
