@@ -87,7 +87,7 @@ def scope_findings(expected: DataFrame, actual: DataFrame) -> DataFrame:
     a = actual.groupBy("topic_id", "norm_id").agg(F.collect_set("article").alias("a"), F.bool_or(F.col("article") == "*").alias("implicit"))
     none = F.array().cast("array<string>")
     met = e.join(a, ["topic_id", "norm_id"], "full").withColumn("e", F.coalesce("e", none)).withColumn("a", F.coalesce("a", none))
-    doubt = F.lit(r" (bis|ter|quater|quinquies)$")
+    doubt = r" (bis|ter|quater|quinquies)$"
     add = F.transform(F.array_except("e", "a"), lambda x: F.struct(x.alias("article"), F.when(x.rlike(doubt), "DOUBT").otherwise("ADD").alias("action")))
     gone = F.transform(F.filter(F.array_except("a", "e"), lambda x: x != "*"), lambda x: F.struct(x.alias("article"), F.when(x.rlike(doubt) | F.coalesce("implicit", F.lit(False)), "DOUBT").otherwise("DELETE").alias("action")))
     return met.select("topic_id", "norm_id", F.inline(F.concat(add, gone)))
