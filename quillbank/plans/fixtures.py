@@ -112,4 +112,7 @@ def with_views(sql: str) -> str:
     if not ctes:
         return sql
     body = sql.lstrip()
-    return f"WITH {ctes},\n{body[5:]}" if body[:5].upper() == "WITH " else f"WITH {ctes}\n{body}"
+    deep = "RECURSIVE " if body[:15].upper() == "WITH RECURSIVE " else ""
+    if deep:
+        body = f"WITH {body[15:]}"
+    return f"WITH {deep}{ctes},\n{body[5:]}" if body[:5].upper() == "WITH " else f"WITH {ctes}\n{body}"
