@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ACCENTED = "áàäâãåéèëêíìïîóòöôõúùüûñçÁÀÄÂÃÅÉÈËÊÍÌÏÎÓÒÖÔÕÚÙÜÛÑÇ"
 PLAIN = "aaaaaaeeeeiiiiooooouuuuncAAAAAAEEEEIIIIOOOOOUUUUNC"
@@ -51,7 +52,7 @@ def norm_keep_accents(x: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), "[^a-záéíóúüñ0-9%]+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def norm_nfkc_casefold(x: pd.Series) -> pd.Series:
     """Compatibility composition and full case folding, which no built-in function has."""
     return x.map(lambda t: " ".join(unicodedata.normalize("NFKC", t or "").casefold().split()))
@@ -134,23 +135,35 @@ def _aliased(x: Column, aliases: dict[str, str]) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for kv in aliases.items() for v in kv]), x), x)
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def norm_identity(x: Column, aliases: dict[str, str] = ALIASES) -> Column:
-    """Identity of a norm: the kind, number and year that occur first, the date that follows if any; else the plain name. Aliases apply last."""
-    t = F.regexp_replace(F.translate(unaccented(F.lower(F.trim(F.coalesce(x, F.lit(""))))), "_", " "), f"{BLANK}+", " ")
-    found = []
-    for order, (pattern, kind) in enumerate(NORM_KINDS):
-        numbers = " +([0-9]{4}) */? *([0-9]+)" if order >= 7 else " +([0-9]+) */? *([0-9]{4})"
-        whole = pattern + numbers
-        key = F.concat(F.lit(f"{kind} "), F.regexp_extract(t, whole, 1), F.lit("/"), F.regexp_extract(t, whole, 2))
-        at = F.length(F.regexp_extract(t, f"^(.*?){whole}", 1))
-        found.append(F.when(t.rlike(whole), F.struct(at.alias("at"), F.lit(order).alias("order"), key.alias("key"))))
-    best = F.array_min(F.filter(F.array(*found), lambda s: s.isNotNull()))
-    rest = F.substring(t, best["at"] + 1, F.length(t))
+    """Identity of a norm: the kind, number and year that occur first, the date that follows if any; else the plain name. Aliases apply last.
+
+    Many patterns are tried, so callers reduce a table to its distinct names before.
+    """
+    plain = F.regexp_replace(F.translate(unaccented(F.lower(F.trim(F.coalesce(x, F.lit(""))))), "_", " "), f"{BLANK}+", " ")
     date = rf"\bde ([0-9]{{1,2}}) de {MONTH}(?: de ([0-9]{{4}}))?\b"
-    day, month, year = (F.regexp_extract(rest, date, k) for k in (1, 2, 3))
-    tail = F.concat(F.lit(" de "), F.regexp_replace(day, "^0", ""), F.lit(" de "), F.when(month == "setiembre", "septiembre").otherwise(month), F.when(year != "", F.concat(F.lit(" de "), year)).otherwise(""))
-    key = F.concat(best["key"], F.when(day != "", tail).otherwise(""))
-    return _aliased(F.coalesce(key, t), aliases)
+
+    def first(t: Column) -> Column:
+        found = []
+        for order, (pattern, kind) in enumerate(NORM_KINDS):
+            whole = pattern + (" +([0-9]{4}) */? *([0-9]+)" if order >= 7 else " +([0-9]+) */? *([0-9]{4})")
+            key = F.concat(F.lit(f"{kind} "), F.regexp_extract(t, whole, 1), F.lit("/"), F.regexp_extract(t, whole, 2))
+            at = F.length(F.regexp_extract(t, f"^(.*?){whole}", 1))
+            found.append(F.when(t.rlike(whole), F.struct(at.alias("at"), F.lit(order).alias("order"), key.alias("key"))))
+        return F.array_min(F.filter(F.array(*found), lambda s: s.isNotNull()))
+
+    def dated(best: Column, t: Column) -> Column:
+        rest = F.substring(t, best["at"] + 1, F.length(t))
+        day, month, year = (F.regexp_extract(rest, date, k) for k in (1, 2, 3))
+        tail = F.concat(F.lit(" de "), F.regexp_replace(day, "^0", ""), F.lit(" de "), F.when(month == "setiembre", "septiembre").otherwise(month), F.when(year != "", F.concat(F.lit(" de "), year)).otherwise(""))
+        return F.coalesce(F.concat(best["key"], F.when(day != "", tail).otherwise("")), t)
+
+    return _bound(_bound(plain, lambda t: _bound(first(t), lambda b: dated(b, t))), lambda k: _aliased(k, aliases))
 
 
 def norm_identity_undated(x: Column) -> Column:

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillbank.functions.textnorm import norm_ascii_alnum, norm_spaces_lower
 from quillbank.operators.components import connected_components
@@ -79,7 +80,7 @@ def conflicting_duplicates(items: DataFrame, key: Column, value: Column) -> Data
     return by.filter("answers > 1").select("first_id", "n", "answers")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Similarity of two texts by matching blocks, with no junk heuristic."""
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "", False).ratio() for x, y in zip(a, b, strict=True)])

@@ -193,7 +193,7 @@ def repair_parts(links: DataFrame, items: DataFrame, topics: DataFrame, rules: D
 
 def norm_catalogue(names: DataFrame, known: DataFrame) -> DataFrame:
     """New entries of the norm catalogue: ``key, name`` of the first name per identity that is not known; undated identities with a dated form are left out."""
-    keyed = names.select("name", norm_identity(F.col("name")).alias("key")).filter("key <> ''").groupBy("key").agg(F.min("name").alias("name"))
+    keyed = names.select("name").distinct().select("name", norm_identity(F.col("name")).alias("key")).filter("key <> ''").groupBy("key").agg(F.min("name").alias("name"))
     keyed = keyed.withColumn("undated", norm_identity_undated(F.col("key")))
     dated = keyed.filter("undated <> key").select(F.col("undated").alias("key")).distinct()
     return keyed.join(dated, "key", "left_anti").join(known.select("key"), "key", "left_anti").select("key", "name")
@@ -228,7 +228,8 @@ def seed_sources(rows: DataFrame) -> DataFrame:
 
 def resolve_sources(names: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Norm of each source from all its names: several catalogue hits are a conflict; none and not one identity is pending; else link or create."""
-    k = names.select("source_id", norm_identity(F.col("name")).alias("key")).distinct()
+    keys = names.select("name").distinct().select("name", norm_identity(F.col("name")).alias("key"))
+    k = names.select("source_id", "name").distinct().join(keys, "name").select("source_id", "key").distinct()
     met = k.join(catalogue.select("key", "norm_id"), "key", "left").groupBy("source_id").agg(F.count_distinct("norm_id").alias("hits"), F.min("norm_id").alias("norm_id"), F.count_distinct("key").alias("keys"))
     state = F.when(F.col("hits") > 1, "CONFLICT").when(F.col("hits") == 1, "LINK").when(F.col("keys") == 1, "CREATE").otherwise("PENDING")
     return met.select("source_id", state.alias("state"), F.when(F.col("hits") == 1, F.col("norm_id")).alias("norm_id"))

@@ -24,27 +24,31 @@ def register(name: str, views: str, build, sql: str | None) -> None:
         ORACLE_SQL[name] = with_views(sql)
 
 
-c = F.col
-_two = vd.verdict_two_pass(c("stored"), c("p1"), c("p1_about"), c("p2"), c("p2_about"), c("quote_ok"))
+
+def c(name):
+    return F.col(name)
+
+
+_two = lambda: vd.verdict_two_pass(c("stored"), c("p1"), c("p1_about"), c("p2"), c("p2_about"), c("quote_ok"))
 _two_sql = "CASE WHEN p1 IS NULL THEN 'NOT_AUDITED' WHEN p1 = stored AND p1_about = 'S' THEN 'OK' WHEN p2 IS NULL THEN 'UNDECIDED' WHEN p2 = stored AND p2_about = 'S' THEN 'OK_P2' WHEN p2_about = 'N' THEN 'REVIEW_ARTICLE' WHEN p2 = '?' THEN 'UNDECIDED' WHEN p2 = p1 AND quote_ok THEN 'ERROR_KEY' ELSE 'REVIEW_KEY' END"
-register("vd01_verdict_two_pass", "f_answers", lambda a: a.select("item_id", _two.alias("verdict")), f"SELECT item_id, {_two_sql} AS verdict FROM f_answers")
-_st = F.create_map(*[x for k in range(4) for x in (F.lit("ABCD"[k]), F.substring(F.lit("TFFF?F"), ((c("item_id") + k * (1 + c("item_id") % 3)) % 6 + 1).cast("int"), F.lit(1)))])
+register("vd01_verdict_two_pass", "f_answers", lambda a: a.select("item_id", _two().alias("verdict")), f"SELECT item_id, {_two_sql} AS verdict FROM f_answers")
+_st = lambda: F.create_map(*[x for k in range(4) for x in (F.lit("ABCD"[k]), F.substring(F.lit("TFFF?F"), ((c("item_id") + k * (1 + c("item_id") % 3)) % 6 + 1).cast("int"), F.lit(1)))])
 _sts = [f"substr('TFFF?F', CAST((item_id + {k} * (1 + item_id % 3)) % 6 + 1 AS INT), 1)" for k in range(4)]
-register("vd02_verdict_matrix", "f_items", lambda i: i.select("item_id", vd.verdict_matrix(_st, c("answer_key")).alias("verdict")), f"WITH v AS (SELECT item_id, answer_key, [{', '.join(_sts)}] AS v FROM f_items) SELECT item_id, CASE WHEN list_contains(v, '?') THEN 'UNDECIDABLE:OPEN' WHEN len(list_filter(v, lambda x: x = 'T')) = 0 THEN 'UNDECIDABLE:NONE' WHEN len(list_filter(v, lambda x: x = 'T')) > 1 THEN 'UNDECIDABLE:SEVERAL' WHEN list_position(['A', 'B', 'C', 'D'], answer_key) > 0 AND v[list_position(['A', 'B', 'C', 'D'], answer_key)] = 'T' THEN 'CONFIRMED' ELSE 'PROVEN_ERROR' END AS verdict FROM v")
+register("vd02_verdict_matrix", "f_items", lambda i: i.select("item_id", vd.verdict_matrix(_st(), c("answer_key")).alias("verdict")), f"WITH v AS (SELECT item_id, answer_key, [{', '.join(_sts)}] AS v FROM f_items) SELECT item_id, CASE WHEN list_contains(v, '?') THEN 'UNDECIDABLE:OPEN' WHEN len(list_filter(v, lambda x: x = 'T')) = 0 THEN 'UNDECIDABLE:NONE' WHEN len(list_filter(v, lambda x: x = 'T')) > 1 THEN 'UNDECIDABLE:SEVERAL' WHEN list_position(['A', 'B', 'C', 'D'], answer_key) > 0 AND v[list_position(['A', 'B', 'C', 'D'], answer_key)] = 'T' THEN 'CONFIRMED' ELSE 'PROVEN_ERROR' END AS verdict FROM v")
 register("vd03_two_audits", "f_answers", lambda a: a.select("item_id", vd.two_audits(c("p1"), c("p2"), c("stored")).alias("verdict")), "SELECT item_id, CASE WHEN p1 = stored THEN 'CONFIRMED' WHEN p2 IS NULL THEN 'PENDING' WHEN p2 = stored THEN 'DISPUTED' WHEN p1 = p2 AND p1 <> '?' THEN 'ERROR' ELSE 'UNDECIDED' END AS verdict FROM f_answers")
-_tot = vd.two_of_three(c("stored"), c("p1"), F.coalesce(c("p2"), F.lit("?")))
-register("vd04_two_of_three", "f_answers", lambda a: a.select("item_id", _tot["verdict"].alias("verdict"), _tot["disputed"].alias("disputed")), "SELECT item_id, coalesce(CASE WHEN stored = p1 THEN stored WHEN stored = coalesce(p2, '?') THEN stored WHEN p1 = coalesce(p2, '?') THEN p1 END, coalesce(p2, '?')) AS verdict, stored <> p1 OR p1 <> coalesce(p2, '?') AS disputed FROM f_answers")
+_tot = lambda: vd.two_of_three(c("stored"), c("p1"), F.coalesce(c("p2"), F.lit("?")))
+register("vd04_two_of_three", "f_answers", lambda a: a.select("item_id", _tot()["verdict"].alias("verdict"), _tot()["disputed"].alias("disputed")), "SELECT item_id, coalesce(CASE WHEN stored = p1 THEN stored WHEN stored = coalesce(p2, '?') THEN stored WHEN p1 = coalesce(p2, '?') THEN p1 END, coalesce(p2, '?')) AS verdict, stored <> p1 OR p1 <> coalesce(p2, '?') AS disputed FROM f_answers")
 register("vd05_third_pass_class", "f_answers", lambda a: a.select("item_id", vd.third_pass_class(c("stored"), c("p1"), c("p2")).alias("cls")), "SELECT item_id, CASE WHEN p2 IS NULL OR p2 = '?' THEN 'UNDECIDED' WHEN p2 = p1 THEN 'CONFIRMS' WHEN p2 = stored THEN 'RECOVERS' ELSE 'THIRD' END AS cls FROM f_answers")
-_vp = vd.validation_passed([c("p1_about") == "S", c("p2_about") == "S", c("quote_ok")])
-register("vd06_validation_passed", "f_answers", lambda a: a.select("item_id", _vp["passed"].alias("passed"), _vp["contradiction"].alias("contradiction")), "WITH n AS (SELECT item_id, CAST(p1_about = 'S' AS INT) + CAST(p2_about = 'S' AS INT) + CAST(quote_ok AS INT) AS n FROM f_answers) SELECT item_id, n = 3 AS passed, n > 0 AND n < 3 AS contradiction FROM n")
-_acc = vd.accept_answer(c("p1_about") == "S", c("p2"), c("quote_ok"), F.when(c("item_id") % 5 != 0, "SI"), F.when(c("item_id") % 4 == 0, c("p1")), c("stored"))
-register("vd07_accept_answer", "f_answers", lambda a: a.select("item_id", _acc.alias("reason")), "SELECT item_id, CASE WHEN p1_about <> 'S' THEN 'NOT_LEGAL' WHEN p2 IS NULL THEN 'NO_ARTICLE' WHEN NOT quote_ok THEN 'QUOTE' WHEN item_id % 5 = 0 THEN 'NOT_IN_FORCE' WHEN item_id % 4 = 0 AND p1 <> stored THEN 'OTHER_KEY' ELSE 'ACCEPTED' END AS reason FROM f_answers")
-register("vd08_verdict_pivot", "f_answers", lambda a: vd.verdict_pivot(a.withColumn("v", _two), "stored", "v", ["OK", "OK_P2", "ERROR_KEY"]), f"SELECT stored, count(*) FILTER (WHERE v = 'OK') AS ok, count(*) FILTER (WHERE v = 'OK_P2') AS ok_p2, count(*) FILTER (WHERE v = 'ERROR_KEY') AS error_key, count(*) AS total FROM (SELECT stored, {_two_sql} AS v FROM f_answers) GROUP BY ROLLUP (stored)")
+_vp = lambda: vd.validation_passed([c("p1_about") == "S", c("p2_about") == "S", c("quote_ok")])
+register("vd06_validation_passed", "f_answers", lambda a: a.select("item_id", _vp()["passed"].alias("passed"), _vp()["contradiction"].alias("contradiction")), "WITH n AS (SELECT item_id, CAST(p1_about = 'S' AS INT) + CAST(p2_about = 'S' AS INT) + CAST(quote_ok AS INT) AS n FROM f_answers) SELECT item_id, n = 3 AS passed, n > 0 AND n < 3 AS contradiction FROM n")
+_acc = lambda: vd.accept_answer(c("p1_about") == "S", c("p2"), c("quote_ok"), F.when(c("item_id") % 5 != 0, "SI"), F.when(c("item_id") % 4 == 0, c("p1")), c("stored"))
+register("vd07_accept_answer", "f_answers", lambda a: a.select("item_id", _acc().alias("reason")), "SELECT item_id, CASE WHEN p1_about <> 'S' THEN 'NOT_LEGAL' WHEN p2 IS NULL THEN 'NO_ARTICLE' WHEN NOT quote_ok THEN 'QUOTE' WHEN item_id % 5 = 0 THEN 'NOT_IN_FORCE' WHEN item_id % 4 = 0 AND p1 <> stored THEN 'OTHER_KEY' ELSE 'ACCEPTED' END AS reason FROM f_answers")
+register("vd08_verdict_pivot", "f_answers", lambda a: vd.verdict_pivot(a.withColumn("v", _two()), "stored", "v", ["OK", "OK_P2", "ERROR_KEY"]), f"SELECT stored, count(*) FILTER (WHERE v = 'OK') AS ok, count(*) FILTER (WHERE v = 'OK_P2') AS ok_p2, count(*) FILTER (WHERE v = 'ERROR_KEY') AS error_key, count(*) AS total FROM (SELECT stored, {_two_sql} AS v FROM f_answers) GROUP BY ROLLUP (stored)")
 register("vd09_latest_checkpoint", "events", lambda e: vd.latest_checkpoint(e.select("user_id", "event_type", "event_id", "value"), ["user_id", "event_type"], "event_id"), "SELECT user_id, event_type, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id, event_type")
-_q10 = [(c("validity") == "VIGENTE").cast("int"), c("score"), -c("item_id")]
-register("vd10_validity_group_apply", "f_items", lambda i: vd.validity_group_apply(i.groupBy("item_id").agg(F.max(F.struct("norm_id", "article_n", "validity", "score")).alias("r")).select("item_id", "r.*"), ["norm_id", "article_n"], _q10), "WITH i AS (SELECT item_id, r.* FROM (SELECT item_id, max(struct_pack(norm_id := coalesce(norm_id, -1), article_n := article_n, validity := validity, score := score)) AS r FROM f_items GROUP BY item_id)), b AS (SELECT *, row_number() OVER (PARTITION BY norm_id, article_n ORDER BY (validity = 'VIGENTE') DESC, score DESC, item_id) AS n FROM i) SELECT i.item_id, i.validity, b.validity AS new_validity, b.item_id AS decided_by FROM i JOIN b ON b.norm_id = i.norm_id AND b.article_n = i.article_n AND b.n = 1 WHERE i.validity <> b.validity")
-_na = vd.normalise_answer(F.when(c("item_id") % 3 == 0, "APPROVED").when(c("item_id") % 3 == 1, "CORRECTED").otherwise("OPEN"), [c("name"), c("article")], F.substring("stem", 5, 20), F.concat(c("stem"), c("name")))
-register("vd11_normalise_answer", "f_citations", lambda i: i.select("item_id", _na.alias("state")), "SELECT item_id, CASE WHEN item_id % 3 < 2 AND trim(coalesce(name, '')) <> '' AND trim(coalesce(article, '')) <> '' AND length(substr(stem, 5, 20)) >= 12 THEN CASE item_id % 3 WHEN 0 THEN 'APPROVED' ELSE 'CORRECTED' END ELSE 'UNRESOLVED' END AS state FROM f_citations")
+_q10 = lambda: [(c("validity") == "VIGENTE").cast("int"), c("score"), -c("item_id")]
+register("vd10_validity_group_apply", "f_items", lambda i: vd.validity_group_apply(i.groupBy("item_id").agg(F.max(F.struct("norm_id", "article_n", "validity", "score")).alias("r")).select("item_id", "r.*"), ["norm_id", "article_n"], _q10()), "WITH i AS (SELECT item_id, r.* FROM (SELECT item_id, max(struct_pack(norm_id := coalesce(norm_id, -1), article_n := article_n, validity := validity, score := score)) AS r FROM f_items GROUP BY item_id)), b AS (SELECT *, row_number() OVER (PARTITION BY norm_id, article_n ORDER BY (validity = 'VIGENTE') DESC, score DESC, item_id) AS n FROM i) SELECT i.item_id, i.validity, b.validity AS new_validity, b.item_id AS decided_by FROM i JOIN b ON b.norm_id = i.norm_id AND b.article_n = i.article_n AND b.n = 1 WHERE i.validity <> b.validity")
+_na = lambda: vd.normalise_answer(F.when(c("item_id") % 3 == 0, "APPROVED").when(c("item_id") % 3 == 1, "CORRECTED").otherwise("OPEN"), [c("name"), c("article")], F.substring("stem", 5, 20), F.concat(c("stem"), c("name")))
+register("vd11_normalise_answer", "f_citations", lambda i: i.select("item_id", _na().alias("state")), "SELECT item_id, CASE WHEN item_id % 3 < 2 AND trim(coalesce(name, '')) <> '' AND trim(coalesce(article, '')) <> '' AND length(substr(stem, 5, 20)) >= 12 THEN CASE item_id % 3 WHEN 0 THEN 'APPROVED' ELSE 'CORRECTED' END ELSE 'UNRESOLVED' END AS state FROM f_citations")
 register("vd12_answer_batch_check", "f_answers", lambda a: vd.batch_check(a.filter("item_id % 11 <> 0").select((c("item_id") % 50).alias("batch"), "item_id"), a.filter("item_id % 13 <> 0").select((c("item_id") % 50).alias("batch"), "item_id", F.when(c("stored") != "X", c("stored")).alias("answer"))), "WITH a AS (SELECT DISTINCT item_id % 50 AS batch, item_id FROM f_answers WHERE item_id % 11 <> 0), b AS (SELECT item_id % 50 AS batch, item_id, stored FROM f_answers WHERE item_id % 13 <> 0) SELECT batch, CAST(count(*) FILTER (WHERE item_id % 13 = 0) AS INT) AS missing, CAST((SELECT count(DISTINCT b.item_id) FROM b WHERE b.batch = a.batch AND b.item_id % 11 = 0) AS INT) AS foreign_ids, (SELECT count(*) FROM b WHERE b.batch = a.batch AND stored = 'X') AS invalid FROM a GROUP BY batch")
 register("vd13_latest_phase_status", "f_answers", lambda a: a.groupBy(vd.latest_phase_status(F.when(c("p1") != "?", c("p1")), c("p2")).alias("status")).agg(F.count("*").alias("n")), "SELECT coalesce(p2, CASE WHEN p1 <> '?' THEN p1 END, 'PENDING') AS status, count(*) AS n FROM f_answers GROUP BY 1")
 register("vd14_guessable_filter", "f_items f_answers", lambda i, a: vd.guessable_filter(i.select("item_id", "answer_key").distinct(), a.groupBy("item_id").agg(F.min("p1").alias("guess"))), "SELECT DISTINCT i.item_id, answer_key FROM f_items i LEFT JOIN (SELECT item_id, min(p1) AS guess FROM f_answers GROUP BY item_id) a ON a.item_id = i.item_id WHERE guess IS NULL OR guess <> answer_key")
@@ -128,13 +132,13 @@ register("fl13_touched_documents", "f_refs f_norms", lambda r, n: r.filter("stat
 
 _names = lambda ci: ci.select("name")
 _idsub = f"(SELECT x AS name, v AS key FROM ({_identity_sql('name')}))"
-register("lk01_build_norm_catalogue", "f_citations", lambda ci: lk.norm_catalogue(_names(ci), ci.filter("item_id % 40 = 7").select(tx.norm_identity(c("name")).alias("key")).distinct()), f"WITH n AS {_idsub}, k AS (SELECT key, min(name) AS name FROM n WHERE key <> '' GROUP BY key), un AS (SELECT *, CASE WHEN regexp_matches(key, '\\b[0-9]+/[0-9]{{4}}\\b') THEN trim(regexp_replace(key, ' +de [0-9]{{1,2}} de {tx.MONTH}(?: de [0-9]{{4}})?$', '')) ELSE key END AS plain FROM k) SELECT key, name FROM un WHERE key NOT IN (SELECT plain FROM un WHERE plain <> key) AND key NOT IN (SELECT n.key FROM f_citations c JOIN n ON n.name = c.name WHERE c.item_id % 40 = 7)")
+register("lk01_build_norm_catalogue", "f_citations", lambda ci: lk.norm_catalogue(_names(ci), ci.filter("item_id % 40 = 7").select("name").distinct().select(tx.norm_identity(c("name")).alias("key")).distinct()), f"WITH n AS {_idsub}, k AS (SELECT key, min(name) AS name FROM n WHERE key <> '' GROUP BY key), un AS (SELECT *, CASE WHEN regexp_matches(key, '\\b[0-9]+/[0-9]{{4}}\\b') THEN trim(regexp_replace(key, ' +de [0-9]{{1,2}} de {tx.MONTH}(?: de [0-9]{{4}})?$', '')) ELSE key END AS plain FROM k) SELECT key, name FROM un WHERE key NOT IN (SELECT plain FROM un WHERE plain <> key) AND key NOT IN (SELECT n.key FROM f_citations c JOIN n ON n.name = c.name WHERE c.item_id % 40 = 7)")
 register("lk02_link_items_to_norms", "f_refs f_norms", lambda r, n: lk.link_to_norms(r.select("ref_id", "norm_id", "norm_name"), F.lower(F.trim("norm_name")), n.filter("norm_id % 2 = 0"), False).select("ref_id", "norm_id"), "SELECT ref_id, coalesce(r.norm_id, n.norm_id) AS norm_id FROM f_refs r LEFT JOIN f_norms n ON n.norm_key = lower(trim(norm_name)) AND n.norm_id % 2 = 0")
 register("lk14_source_text_index", "f_articles", lk.longest_text, "SELECT norm_id, article_no, arg_max(article_id, (length(text), -article_id)) AS article_id, CAST(max(length(text)) AS INT) AS chars FROM f_articles GROUP BY norm_id, article_no")
 register("lk15_text_coverage_state", "f_items f_articles", lk.text_coverage, f"WITH t AS (SELECT norm_id, CAST(article_no AS VARCHAR) AS base, count(DISTINCT text_hash) AS n FROM f_articles GROUP BY norm_id, article_no) SELECT item_id, CASE WHEN i.norm_id IS NULL THEN 'NO_NORM' WHEN i.base IS NULL THEN 'NO_ARTICLE' WHEN n IS NULL THEN 'NO_TEXT' WHEN n > 1 THEN 'SEVERAL' ELSE 'VERIFIABLE' END AS state FROM (SELECT item_id, norm_id, {_base('article_n')} AS base FROM f_items WHERE kind = 'JURIDICA') i LEFT JOIN t ON t.norm_id = i.norm_id AND t.base = i.base")
 register("lk16_seed_norm_sources", "f_articles", lambda a: lk.seed_sources(a.select("source_id", "norm_id").union(a.filter("article_id % 30 = 4").select("source_id", c("norm_id") + 1))), "WITH r AS (SELECT source_id, norm_id FROM f_articles UNION ALL SELECT source_id, norm_id + 1 FROM f_articles WHERE article_id % 30 = 4) SELECT source_id, CASE WHEN count(DISTINCT norm_id) = 1 THEN min(norm_id) END AS norm_id, count(DISTINCT norm_id) > 1 AS conflict FROM r GROUP BY source_id")
 _srcn = lambda ci: ci.select((c("item_id") % 97).alias("source_id"), "name").filter("length(name) > 12")
-_cat = lambda ci: ci.filter("item_id % 10 = 1").groupBy(tx.norm_identity(c("name")).alias("key")).agg(F.min("item_id").alias("norm_id"))
+_cat = lambda ci: ci.filter("item_id % 10 = 1").groupBy("name").agg(F.min("item_id").alias("item_id")).groupBy(tx.norm_identity(c("name")).alias("key")).agg(F.min("item_id").alias("norm_id"))
 register("lk17_resolve_source", "f_citations", lambda ci: lk.resolve_sources(_srcn(ci.filter("item_id % 3 = 0")), _cat(ci)), f"WITH n AS {_idsub}, ct AS (SELECT key, min(item_id) AS norm_id FROM f_citations c JOIN n ON n.name = c.name WHERE item_id % 10 = 1 GROUP BY key), s AS (SELECT DISTINCT item_id % 97 AS source_id, key FROM f_citations c JOIN n ON n.name = c.name WHERE item_id % 3 = 0 AND length(c.name) > 12), m AS (SELECT source_id, count(DISTINCT ct.norm_id) AS hits, min(ct.norm_id) AS norm_id, count(DISTINCT s.key) AS keys FROM s LEFT JOIN ct ON ct.key = s.key GROUP BY source_id) SELECT source_id, CASE WHEN hits > 1 THEN 'CONFLICT' WHEN hits = 1 THEN 'LINK' WHEN keys = 1 THEN 'CREATE' ELSE 'PENDING' END AS state, CASE WHEN hits = 1 THEN norm_id END AS norm_id FROM m")
 register("lk18_unresolved_sources", "f_articles f_norms", lambda a, n: lk.unresolved_sources(a, n.filter("norm_id % 3 = 0")), "SELECT source_id, array_to_string(list_sort(list(DISTINCT norm_id)), ',') AS norms, count(*) AS n FROM f_articles WHERE source_id NOT IN (SELECT source_id FROM f_norms WHERE norm_id % 3 = 0) GROUP BY source_id")
 _key19 = "concat('ley ', CAST(l_partkey % 40 AS STRING), '/2015', CASE WHEN l_partkey % 3 = 0 THEN concat(' de ', CAST(l_linenumber AS STRING), ' de mayo') ELSE '' END)"

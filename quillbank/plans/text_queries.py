@@ -37,9 +37,20 @@ def _art(x: str) -> str:
     return f"regexp_replace(trim(lower({_ua(f'coalesce({x}, {chr(39) * 2})')})), '^(articulo|art)\\.?{_B}*', '')"
 
 
-def _rule(name: str, view: str, key: str, value: Column, sql: str | None) -> None:
+class _Columns:
+    """Columns by name, made when a query is built: columns need a session, importing this module doesn't."""
+
+    def __getattr__(self, name: str) -> Column:
+        return F.col(name)
+
+    @property
+    def options(self) -> list[Column]:
+        return [F.col(f"opt_{c}") for c in "abcd"]
+
+
+def _rule(name: str, view: str, key: str, value: Callable[[_Columns], Column], sql: str | None) -> None:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return tables(spark, sf_dir, view)[0].select(key, value.alias("v"))
+        return tables(spark, sf_dir, view)[0].select(key, value(_Columns()).alias("v"))
 
     QUERIES[name] = query
     if sql is not None:
@@ -47,26 +58,24 @@ def _rule(name: str, view: str, key: str, value: Column, sql: str | None) -> Non
 
 
 D, C, T = ("documents", "doc_id"), ("f_citations", "item_id"), ("f_text_items", "item_id")
-text, name, article, stem = (F.col(c) for c in ("text", "name", "article", "stem"))
-options = [F.col(f"opt_{c}") for c in "abcd"]
-
-_rule("tx01_norm_spaces_lower", *D, tx.norm_spaces_lower(text), _nsl("text"))
-_rule("tx02_norm_ascii_alnum", *D, tx.norm_ascii_alnum(text), f"trim(regexp_replace(lower({_ua('text')}), '[^a-z0-9]+', ' ', 'g'))")
-_rule("tx03_norm_quotes", *C, tx.norm_quotes(name), _col(f"translate(lower({_ua('name')}), '“”«»', '\"\"\"\"')"))
-_rule("tx04_norm_punct", *D, tx.norm_punct(text), _col(f"regexp_replace(lower({_ua('text')}), '[_/\\\\.,;:()\\[\\]{{}}\\-]+', ' ', 'g')"))
-_rule("tx05_norm_keep_accents", *D, tx.norm_keep_accents(text), "trim(regexp_replace(lower(text), '[^a-záéíóúüñ0-9%]+', ' ', 'g'))")
-_rule("tx06_norm_nfkc_casefold", *C, tx.norm_nfkc_casefold(name), None)
-_rule("tx07_norm_citation", *D, tx.norm_citation(text), _cite("text"))
+
+_rule("tx01_norm_spaces_lower", *D, lambda c: tx.norm_spaces_lower(c.text), _nsl("text"))
+_rule("tx02_norm_ascii_alnum", *D, lambda c: tx.norm_ascii_alnum(c.text), f"trim(regexp_replace(lower({_ua('text')}), '[^a-z0-9]+', ' ', 'g'))")
+_rule("tx03_norm_quotes", *C, lambda c: tx.norm_quotes(c.name), _col(f"translate(lower({_ua('name')}), '“”«»', '\"\"\"\"')"))
+_rule("tx04_norm_punct", *D, lambda c: tx.norm_punct(c.text), _col(f"regexp_replace(lower({_ua('text')}), '[_/\\\\.,;:()\\[\\]{{}}\\-]+', ' ', 'g')"))
+_rule("tx05_norm_keep_accents", *D, lambda c: tx.norm_keep_accents(c.text), "trim(regexp_replace(lower(text), '[^a-záéíóúüñ0-9%]+', ' ', 'g'))")
+_rule("tx06_norm_nfkc_casefold", *C, lambda c: tx.norm_nfkc_casefold(c.name), None)
+_rule("tx07_norm_citation", *D, lambda c: tx.norm_citation(c.text), _cite("text"))
 _base = "'^([0-9]+)(?:[ \\t.\\-]*(bis|ter|quater|quinquies))?'"
 _plain = f"regexp_replace(regexp_extract({_art('article')}, {_base}, 1), '^0+([0-9])', '\\1')"
 _article_base_sql = f"CASE WHEN regexp_extract({_art('article')}, {_base}, 1) = '' THEN NULL WHEN regexp_extract({_art('article')}, {_base}, 2) <> '' THEN {_plain} || ' ' || regexp_extract({_art('article')}, {_base}, 2) ELSE {_plain} END"
-_rule("tx08_article_base", *C, tx.article_base(article), _article_base_sql)
+_rule("tx08_article_base", *C, lambda c: tx.article_base(c.article), _article_base_sql)
 _full = f"regexp_replace(regexp_replace(translate({_art('article')}, ',', '.'), '{_B}+', ' ', 'g'), '^([0-9]+)[ .\\-]*(bis|ter|quater|quinquies)($|[. ])', '\\1 \\2\\3')"
-_rule("tx09_article_full", *C, tx.article_full(article), f"CASE WHEN regexp_matches({_full}, '^[0-9]+( (bis|ter|quater|quinquies))?(\\.[0-9a-z]+)*$') THEN {_full} END")
-_rule("tx10_article_unambiguous", *C, tx.article_unambiguous(article), None)
+_rule("tx09_article_full", *C, lambda c: tx.article_full(c.article), f"CASE WHEN regexp_matches({_full}, '^[0-9]+( (bis|ter|quater|quinquies))?(\\.[0-9a-z]+)*$') THEN {_full} END")
+_rule("tx10_article_unambiguous", *C, lambda c: tx.article_unambiguous(c.article), None)
 _ref = "([0-9]+(?:\\.[0-9]+)*(?: *(?:bis|ter|quater|quinquies))?(?:\\.[A-Za-z])?)"
 _at = _col("coalesce(article, '')")
-_rule("tx11_article_precise", *C, tx.article_precise(article), f"coalesce(nullif(regexp_extract({_at}, '(?i)^{_ref}', 1), ''), nullif(regexp_extract({_at}, '(?i)(?:art[ií]culo|art\\.) *{_ref}', 1), ''))")
+_rule("tx11_article_precise", *C, lambda c: tx.article_precise(c.article), f"coalesce(nullif(regexp_extract({_at}, '(?i)^{_ref}', 1), ''), nullif(regexp_extract({_at}, '(?i)(?:art[ií]culo|art\\.) *{_ref}', 1), ''))")
 
 
 def _identity_sql(x: str) -> str:
@@ -86,41 +95,40 @@ def _identity_sql(x: str) -> str:
 QUERIES["tx12_norm_identity"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_citations")[0].select(F.col("name").alias("x")).distinct().select("x", tx.norm_identity(F.col("x")).alias("v"))
 ORACLE_SQL["tx12_norm_identity"] = with_views(_identity_sql("name"))
 _dated = f"concat('ley ', CAST(item_id % 50 AS STRING), '/2015', CASE WHEN item_id % 2 = 0 THEN ' de 3 de mayo' ELSE '' END, CASE WHEN item_id % 4 = 0 THEN ' de 2015' ELSE '' END)"
-_rule("tx13_norm_identity_undated", *C, tx.norm_identity_undated(F.expr(_dated)), f"trim(regexp_replace({_dated}, ' +de [0-9]{{1,2}} de {tx.MONTH}(?: de [0-9]{{4}})?$', ''))")
+_rule("tx13_norm_identity_undated", *C, lambda c: tx.norm_identity_undated(F.expr(_dated)), f"trim(regexp_replace({_dated}, ' +de [0-9]{{1,2}} de {tx.MONTH}(?: de [0-9]{{4}})?$', ''))")
 _kind = "CASE item_id % 4 WHEN 0 THEN 'Ley Orgánica' WHEN 1 THEN 'rd' WHEN 2 THEN 'Decreto-Ley' ELSE 'Circular' END"
 _k = f"regexp_replace(trim(upper({_ua(_kind)})), '[ -]+', '_', 'g')"
 _nums = "regexp_extract_all(name, '([0-9]+) */ *([0-9]{4})', 0)"
-_rule("tx14_norm_rule_lookup", *C, tx.formal_rule(F.expr(_kind), name), f"CASE WHEN len({_nums}) = 1 THEN (CASE {_k} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in tx.FORMAL_KINDS.items()) + f" END) || ' ' || regexp_replace(replace({_nums}[1], ' ', ''), '^0+([0-9])', '\\1') END")
-_rule("tx15_citation_parts", *C, F.to_json(tx.citation_parts(name)), None)
-_rule("tx16_cited_norms", *C, F.array_join(tx.cited_norms(stem), ","), r"""array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(stem, '\b([0-9]{1,4}) */ *([0-9]{4}|[0-9]{2})\b', 0),
+_rule("tx14_norm_rule_lookup", *C, lambda c: tx.formal_rule(F.expr(_kind), c.name), f"CASE WHEN len({_nums}) = 1 THEN (CASE {_k} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in tx.FORMAL_KINDS.items()) + f" END) || ' ' || regexp_replace(replace({_nums}[1], ' ', ''), '^0+([0-9])', '\\1') END")
+_rule("tx15_citation_parts", *C, lambda c: F.to_json(tx.citation_parts(c.name)), None)
+_rule("tx16_cited_norms", *C, lambda c: F.array_join(tx.cited_norms(c.stem), ","), r"""array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(stem, '\b([0-9]{1,4}) */ *([0-9]{4}|[0-9]{2})\b', 0),
     lambda c: CAST(CAST(trim(string_split(c, '/')[1]) AS INT) AS VARCHAR) || '/' || CASE WHEN length(trim(string_split(c, '/')[2])) = 2 THEN CASE WHEN CAST(trim(string_split(c, '/')[2]) AS INT) > 30 THEN '19' ELSE '20' END ELSE '' END || trim(string_split(c, '/')[2])))), ',')""")
 _tail = " *\\(([^()]{2,160})\\) *([:.?]?) *$"
 _inner, _mark, _bare = f"regexp_extract(stem, '{_tail}', 1)", f"regexp_extract(stem, '{_tail}', 2)", f"rtrim(regexp_replace(stem, '{_tail}', ''))"
-_rule("tx17_strip_trailing_origin", *C, tx.strip_trailing_origin(stem), f"CASE WHEN {_inner} <> '' AND regexp_matches({_inner}, '{tx.ORIGIN}') AND NOT regexp_matches({_inner}, '{tx.INSTRUCTION}') AND NOT regexp_matches({_inner}, '{tx.NO_ORIGIN}') THEN {_bare} || CASE WHEN ends_with({_bare}, {_mark}) THEN '' ELSE {_mark} END ELSE stem END")
+_rule("tx17_strip_trailing_origin", *C, lambda c: tx.strip_trailing_origin(c.stem), f"CASE WHEN {_inner} <> '' AND regexp_matches({_inner}, '{tx.ORIGIN}') AND NOT regexp_matches({_inner}, '{tx.INSTRUCTION}') AND NOT regexp_matches({_inner}, '{tx.NO_ORIGIN}') THEN {_bare} || CASE WHEN ends_with({_bare}, {_mark}) THEN '' ELSE {_mark} END ELSE stem END")
 _words = "ayuntamiento|diputaci[oó]n|mancomunidad|bolsa +(?:de|para)|convocatoria|oposiciones?|examen(?: +tipo)?|proceso +selectivo|prueba +selectiva"
-_rule("tx18_strip_origin_anywhere", *C, tx.strip_origin_anywhere(stem), f"trim(regexp_replace(regexp_replace(stem, '(?i) *[(\\[][^()\\[\\]]*(?:{_words})[^()\\[\\]]*[)\\]]', '', 'g'), '{_B}{{2,}}', ' ', 'g'), ' ;,.-')")
-_rule("tx19_rephrase_stem", *C, tx.rephrase_stem(stem), "CASE " + " ".join(f"WHEN regexp_matches(trim(stem), '(?i){p}') THEN regexp_replace(trim(stem), '(?is)^(.*?){p}(.*)$', '\\1{r}\\2')" for p, r in tx.PHRASES) + " ELSE stem END")
-_rule("tx20_dehyphenate", *C, tx.dehyphenate(stem), _col(f"regexp_replace(replace(stem, chr(173), ''), '-[ \\t]*\\n{_B}*([0-9A-Za-záéíóúüñÁÉÍÓÚÜÑ])', '\\1', 'g')"))
+_rule("tx18_strip_origin_anywhere", *C, lambda c: tx.strip_origin_anywhere(c.stem), f"trim(regexp_replace(regexp_replace(stem, '(?i) *[(\\[][^()\\[\\]]*(?:{_words})[^()\\[\\]]*[)\\]]', '', 'g'), '{_B}{{2,}}', ' ', 'g'), ' ;,.-')")
+_rule("tx19_rephrase_stem", *C, lambda c: tx.rephrase_stem(c.stem), "CASE " + " ".join(f"WHEN regexp_matches(trim(stem), '(?i){p}') THEN regexp_replace(trim(stem), '(?is)^(.*?){p}(.*)$', '\\1{r}\\2')" for p, r in tx.PHRASES) + " ELSE stem END")
+_rule("tx20_dehyphenate", *C, lambda c: tx.dehyphenate(c.stem), _col(f"regexp_replace(replace(stem, chr(173), ''), '-[ \\t]*\\n{_B}*([0-9A-Za-záéíóúüñÁÉÍÓÚÜÑ])', '\\1', 'g')"))
 _s = _nsl(_ua("stem"))
-_rule("tx21_classify_theory_practice", *C, tx.classify_theory_practice(stem, stem), f"CASE WHEN regexp_matches({_s}, '{tx.SUBJECT}') OR regexp_matches({_s}, '{tx.CASE}') OR regexp_matches({_s}, '{tx.HYPOTHESIS}') OR (regexp_matches({_s}, '{tx.DETAIL}') AND regexp_matches({_s}, '{tx.ACTION}')) THEN 'PRACTICA' ELSE 'TEORICA' END")
+_rule("tx21_classify_theory_practice", *C, lambda c: tx.classify_theory_practice(c.stem, c.stem), f"CASE WHEN regexp_matches({_s}, '{tx.SUBJECT}') OR regexp_matches({_s}, '{tx.CASE}') OR regexp_matches({_s}, '{tx.HYPOTHESIS}') OR (regexp_matches({_s}, '{tx.DETAIL}') AND regexp_matches({_s}, '{tx.ACTION}')) THEN 'PRACTICA' ELSE 'TEORICA' END")
 _n22 = r"nullif(regexp_extract(stem, '(?i)\b(Ley Orgánica +[0-9]+/[0-9]{4}|Ley +[0-9]+/[0-9]{4}|Real Decreto(?: Legislativo)? +[0-9]+/[0-9]{4}|Decreto +[0-9]+/[0-9]{4}|Constitución Española)', 1), '')"
 _a22 = r"nullif(regexp_extract(stem, '(?i)\bart(?:[ií]culo|\.) *([0-9]+(?:\.[0-9]+)*)', 1), '')"
-_d22 = tx.detect_norm_article(stem)
-_rule("tx22_detect_norm_article", *C, F.concat_ws("|", _d22["state"], F.coalesce(_d22["norm"], F.lit("-")), F.coalesce(_d22["article"], F.lit("-"))), f"CASE WHEN {_n22} IS NOT NULL AND {_a22} IS NOT NULL THEN 'JURIDICA' ELSE 'PENDIENTE' END || '|' || coalesce({_n22}, '-') || '|' || coalesce({_a22}, '-')")
+_rule("tx22_detect_norm_article", *C, lambda c: F.concat_ws("|", tx.detect_norm_article(c.stem)["state"], F.coalesce(tx.detect_norm_article(c.stem)["norm"], F.lit("-")), F.coalesce(tx.detect_norm_article(c.stem)["article"], F.lit("-"))), f"CASE WHEN {_n22} IS NOT NULL AND {_a22} IS NOT NULL THEN 'JURIDICA' ELSE 'PENDIENTE' END || '|' || coalesce({_n22}, '-') || '|' || coalesce({_a22}, '-')")
 
 
 def _prefix_sql(kinds: tuple) -> str:
     return "CASE " + " ".join(f"WHEN starts_with(lower({_col('name')}), '{p}') THEN '{k}'" for p, k in kinds) + " END"
 
 
-_rule("tx23_infer_norm_type", *C, tx.kind_by_prefix(name, tx.PREFIX_KINDS), _prefix_sql(tx.PREFIX_KINDS))
+_rule("tx23_infer_norm_type", *C, lambda c: tx.kind_by_prefix(c.name, tx.PREFIX_KINDS), _prefix_sql(tx.PREFIX_KINDS))
 _cat = "CASE item_id % 5 WHEN 0 THEN 'Ofimática ' WHEN 1 THEN 'word' WHEN 2 THEN 'Ciber-seguridad' WHEN 3 THEN 'ciberseguridad!' ELSE 'redes  y más' END"
 _known, _alias = ["MICROSOFT_365", "OFIMATICA_WORD", "SEGURIDAD", "REDES_Y_MAS"], {"WORD": "OFIMATICA_WORD", "OFIMATICA": "MICROSOFT_365", "CIBERSEGURIDAD": "SEGURIDAD"}
 _c24 = f"trim(regexp_replace(upper({_ua(_cat)}), '[^A-Z0-9]+', '_', 'g'), '_')"
 _c24 = f"(CASE {_c24} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _alias.items()) + f" ELSE {_c24} END)"
-_rule("tx24_category_normalise", *C, tx.category_normalise(F.expr(_cat), _alias, _known), f"CASE WHEN {_c24} IN ({', '.join(repr(k) for k in _known)}) THEN {_c24} END")
+_rule("tx24_category_normalise", *C, lambda c: tx.category_normalise(F.expr(_cat), _alias, _known), f"CASE WHEN {_c24} IN ({', '.join(repr(k) for k in _known)}) THEN {_c24} END")
 _src = "concat(CASE item_id % 5 WHEN 0 THEN 'boe-a-' WHEN 1 THEN 'DOGV-' WHEN 2 THEN 'local-dogv-' WHEN 3 THEN 'DOUE-' ELSE 'LOCAL-' END, CAST(item_id AS STRING))"
-_rule("tx25_source_family", *C, tx.source_family(F.expr(_src)), "CASE item_id % 5 WHEN 0 THEN 'BOE' WHEN 1 THEN 'DOGV' WHEN 2 THEN 'DOGV' WHEN 3 THEN 'DOUE' ELSE 'LOCAL' END")
+_rule("tx25_source_family", *C, lambda c: tx.source_family(F.expr(_src)), "CASE item_id % 5 WHEN 0 THEN 'BOE' WHEN 1 THEN 'DOGV' WHEN 2 THEN 'DOGV' WHEN 3 THEN 'DOUE' ELSE 'LOCAL' END")
 
 _L = "[\\p{L}\\p{N}_]{6,}"
 _lw = lambda x: f"list_distinct(regexp_extract_all(lower(coalesce({x}, '')), '{_L}', 0))"
@@ -130,52 +138,52 @@ _score = f"""least(100, CASE WHEN n[k] = list_sort(n, 'DESC')[1] AND list_sort(n
  + CASE WHEN regexp_matches(o[k], '{tx.ABSOLUTE}') THEN 0 ELSE least(30, 12 * len(list_filter(o, lambda x: regexp_matches(x, '{tx.ABSOLUTE}')))) END
  + CASE WHEN regexp_matches(o[k], '{tx.ALL_OF_THEM}') THEN 15 ELSE 0 END
  + CASE WHEN e[k] > 0 AND e[k] = list_max(e) AND len(list_filter(e, lambda x: x = e[k])) = 1 THEN 15 ELSE 0 END + CASE WHEN length(coalesce(stem, '')) < 90 THEN 10 ELSE 0 END)"""
-_clues = tx.clue_score(stem, options, F.col("answer_key"))
-QUERIES["tx26_clue_score"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", _clues.alias("v"))
+_clues = lambda: tx.clue_score(F.col("stem"), _Columns().options, F.col("answer_key"))
+QUERIES["tx26_clue_score"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", _clues().alias("v"))
 ORACLE_SQL["tx26_clue_score"] = with_views(f"{_ITEM} SELECT item_id, {_score} AS v FROM e")
-QUERIES["tx27_difficulty_level"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", tx.difficulty_level(_clues, F.col("source_type") == "src1", F.col("source_type") == "src2").alias("v"))
+QUERIES["tx27_difficulty_level"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", tx.difficulty_level(_clues(), F.col("source_type") == "src1", F.col("source_type") == "src2").alias("v"))
 ORACLE_SQL["tx27_difficulty_level"] = with_views(f"{_ITEM} SELECT item_id, CASE WHEN source_type = 'src2' THEN CASE WHEN s < 20 THEN 1 WHEN s < 40 THEN 3 ELSE 4 END WHEN source_type = 'src1' THEN CASE WHEN s < 20 THEN 2 WHEN s < 40 THEN 3 ELSE 4 END ELSE CASE WHEN s < 20 THEN 1 WHEN s < 40 THEN 2 ELSE 3 END END AS v FROM (SELECT *, {_score} AS s FROM e)")
-QUERIES["tx28_option_defects"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", F.array_join(tx.option_defects(stem, options, F.col("answer_key")), ",").alias("v"))
+QUERIES["tx28_option_defects"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", F.array_join(tx.option_defects(F.col("stem"), _Columns().options, F.col("answer_key")), ",").alias("v"))
 ORACLE_SQL["tx28_option_defects"] = with_views(f"""{_ITEM} SELECT item_id, concat_ws(',', CASE WHEN list_max(n) > 170 THEN 'too_long' END, CASE WHEN list_min(n) < 0.55 * list_max(n) THEN 'uneven' END,
  CASE WHEN regexp_matches(array_to_string(o, ' '), '{tx.ALL_OF_THEM}') THEN 'all_or_none' END, CASE WHEN e[k] >= list_max([x for x, i in e if i <> k]) + 2 THEN 'echo' END,
  CASE WHEN regexp_matches(stem, '\\b(INCORRECTA|FALSA|NO es correcta|EXCEPTO)\\b') THEN 'negative' END) AS v FROM e""")
-_rule("tx30_self_sufficiency_flags", *C, F.array_join(tx.self_sufficiency_flags(stem, stem), ","), f"concat_ws(',', CASE WHEN regexp_matches(stem, '{tx.INTERNAL}') AND NOT regexp_matches(stem, '{tx.ANY_NORM}') THEN 'norm_not_named' END, CASE WHEN regexp_matches(stem, '{tx.POINTING}') THEN 'points_elsewhere' END, CASE WHEN regexp_matches(stem, '{tx.SUBSECTION}') AND NOT regexp_matches(stem, '{tx.ANY_ARTICLE}') THEN 'section_without_article' END)")
+_rule("tx30_self_sufficiency_flags", *C, lambda c: F.array_join(tx.self_sufficiency_flags(c.stem, c.stem), ","), f"concat_ws(',', CASE WHEN regexp_matches(stem, '{tx.INTERNAL}') AND NOT regexp_matches(stem, '{tx.ANY_NORM}') THEN 'norm_not_named' END, CASE WHEN regexp_matches(stem, '{tx.POINTING}') THEN 'points_elsewhere' END, CASE WHEN regexp_matches(stem, '{tx.SUBSECTION}') AND NOT regexp_matches(stem, '{tx.ANY_ARTICLE}') THEN 'section_without_article' END)")
 _body = "CASE item_id % 4 WHEN 0 THEN concat('Artículo ', CAST(item_id % 90 AS STRING), '.') WHEN 1 THEN stem WHEN 2 THEN name ELSE '' END"
 _ntb = _nsl(_ua(_body))
 _pl = f"rtrim(regexp_replace({_ntb}, '[ .:;-]+$', ''))"
-_rule("tx31_text_sufficient", *C, tx.text_sufficient(F.expr(_body), name), f"{_ntb} <> '' AND NOT ({_pl} = regexp_replace({_nsl(_ua('name'))}, '[ .:;-]+$', '') AND length({_col(_body)}) < 80) AND NOT regexp_matches({_pl}, '^(articulo|art\\.?) [0-9]+(\\.[0-9]+)*( *(bis|ter|quater|quinquies))?(\\.[a-z])? *\\.?$')")
+_rule("tx31_text_sufficient", *C, lambda c: tx.text_sufficient(F.expr(_body), c.name), f"{_ntb} <> '' AND NOT ({_pl} = regexp_replace({_nsl(_ua('name'))}, '[ .:;-]+$', '') AND length({_col(_body)}) < 80) AND NOT regexp_matches({_pl}, '^(articulo|art\\.?) [0-9]+(\\.[0-9]+)*( *(bis|ter|quater|quinquies))?(\\.[a-z])? *\\.?$')")
 _low = f"(' ' || lower({_col('text')}) || ' ')"
-_rule("tx32_source_usable", *D, tx.source_usable(text, F.col("doc_id") % 3 == 0), f"length({_col('text')}) >= CASE WHEN doc_id % 3 = 0 THEN 250 ELSE 100 END AND ({' OR '.join(f'contains({_low}, {chr(39)}{w}{chr(39)})' for w in tx.NORMATIVE)} OR length({_col('text')}) >= 500)")
-_rule("tx33_repealed_article", *C, tx.repealed(name, stem), " OR ".join(f"regexp_matches(regexp_replace(regexp_replace({_nsl(_ua(x))}, '^articulo ([0-9]+(\\.[0-9]+)*( [a-z]+)?|unico) *[.:-]* *', ''), '^[\\[() .:-]+', ''), '^derogad[oa]s?\\b')" for x in ("name", "substr(stem, 1, 300)")))
-_rule("tx33_repealed_norm", *C, tx.repealed_norm(stem), f"regexp_matches(string_split(substr({_s}, 1, 5000), 'publicado en:')[1], '\\bdisposicion derogada\\b|^derogad[oa]')")
-_sh = tx.option_shuffle(F.col("item_id"), options, F.col("answer_key"), "s1")
-QUERIES["tx34_option_shuffle"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", F.array_join(_sh["options"], "|", "-").alias("opts"), _sh["key"].alias("new_key"))
+_rule("tx32_source_usable", *D, lambda c: tx.source_usable(c.text, F.col("doc_id") % 3 == 0), f"length({_col('text')}) >= CASE WHEN doc_id % 3 = 0 THEN 250 ELSE 100 END AND ({' OR '.join(f'contains({_low}, {chr(39)}{w}{chr(39)})' for w in tx.NORMATIVE)} OR length({_col('text')}) >= 500)")
+_rule("tx33_repealed_article", *C, lambda c: tx.repealed(c.name, c.stem), " OR ".join(f"regexp_matches(regexp_replace(regexp_replace({_nsl(_ua(x))}, '^articulo ([0-9]+(\\.[0-9]+)*( [a-z]+)?|unico) *[.:-]* *', ''), '^[\\[() .:-]+', ''), '^derogad[oa]s?\\b')" for x in ("name", "substr(stem, 1, 300)")))
+_rule("tx33_repealed_norm", *C, lambda c: tx.repealed_norm(c.stem), f"regexp_matches(string_split(substr({_s}, 1, 5000), 'publicado en:')[1], '\\bdisposicion derogada\\b|^derogad[oa]')")
+_sh = lambda: tx.option_shuffle(F.col("item_id"), _Columns().options, F.col("answer_key"), "s1")
+QUERIES["tx34_option_shuffle"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", F.array_join(_sh()["options"], "|", "-").alias("opts"), _sh()["key"].alias("new_key"))
 ORACLE_SQL["tx34_option_shuffle"] = with_views("""WITH d AS (SELECT item_id, answer_key, c, o, row_number() OVER (PARTITION BY item_id ORDER BY md5(concat_ws('|', CAST(item_id AS VARCHAR), c, 's1'))) AS r
  FROM (SELECT item_id, answer_key, unnest(['A', 'B', 'C', 'D']) AS c, unnest([opt_a, opt_b, opt_c, opt_d]) AS o FROM f_text_items))
 SELECT item_id, string_agg(coalesce(o, '-'), '|' ORDER BY r) AS opts, max(CASE WHEN c = answer_key THEN substr('ABCD', CAST(r AS INT), 1) END) AS new_key FROM d GROUP BY item_id""")
 _f35 = r"list_sort(list_distinct(list_transform(regexp_extract_all(stem, '(?i)\b(?:respuesta|opción|solución)(?: correcta)?:? *([ABCD])\b', 1), lambda x: upper(x))))"
-_rule("tx35_explicit_answer", *C, tx.explicit_answer(stem), f"CASE WHEN len({_f35}) > 1 THEN '?' WHEN len({_f35}) = 1 THEN {_f35}[1] END")
+_rule("tx35_explicit_answer", *C, lambda c: tx.explicit_answer(c.stem), f"CASE WHEN len({_f35}) > 1 THEN '?' WHEN len({_f35}) = 1 THEN {_f35}[1] END")
 _p36 = r"(?i)art[ií]culo ([0-9]+(?:\.[0-9]+)*) de la (Ley [0-9]+/[0-9]{4})"
-_rule("tx36_unambiguous_reference", *C, tx.unambiguous_reference(stem), f"CASE WHEN len(regexp_extract_all(stem, '(?i)art[ií]culos? +[0-9]+', 0)) = 1 AND len(regexp_extract_all(stem, '{_p36}', 0)) = 1 THEN regexp_extract(stem, '{_p36}', 1) || '|' || regexp_extract(stem, '{_p36}', 2) END")
+_rule("tx36_unambiguous_reference", *C, lambda c: tx.unambiguous_reference(c.stem), f"CASE WHEN len(regexp_extract_all(stem, '(?i)art[ií]culos? +[0-9]+', 0)) = 1 AND len(regexp_extract_all(stem, '{_p36}', 0)) = 1 THEN regexp_extract(stem, '{_p36}', 1) || '|' || regexp_extract(stem, '{_p36}', 2) END")
 _quote = "CASE WHEN doc_id % 3 = 0 THEN substr(text, 10, 40) WHEN doc_id % 3 = 1 THEN concat(substr(text, 5, 30), '...', substr(text, 60, 30)) ELSE concat('z', substr(text, 20, 40)) END"
 _ct = _cite("text")
 _pieces = f"list_filter(list_transform(string_split({_quote}, '...'), lambda p: {_cite('p')}), lambda p: length(p) >= 12)"
-_rule("tx37_citation_verified", *D, tx.citation_verified(F.expr(_quote), text), f"""length({_cite(_quote)}) >= 25 AND (contains({_ct}, {_cite(_quote)}) OR (len({_pieces}) >= 2 AND contains({_ct}, {_pieces}[1])
+_rule("tx37_citation_verified", *D, lambda c: tx.citation_verified(F.expr(_quote), c.text), f"""length({_cite(_quote)}) >= 25 AND (contains({_ct}, {_cite(_quote)}) OR (len({_pieces}) >= 2 AND contains({_ct}, {_pieces}[1])
  AND contains(substr({_ct}, CAST(instr({_ct}, {_pieces}[1]) + length({_pieces}[1]) AS INT)), {_pieces}[2])))""")
 _own = "concat(CASE WHEN item_id % 2 = 0 THEN 'Artículo ' ELSE 'El artículo ' END, CAST(item_id % 30 AS STRING), CASE WHEN item_id % 3 = 0 THEN '. Objeto' ELSE '5 bis' END)"
-_rule("tx38_source_is_own_article", *C, tx.source_is_own_article(F.expr(_own), F.expr("CAST(item_id % 30 AS STRING)")), "item_id % 2 = 0 AND item_id % 3 = 0")
+_rule("tx38_source_is_own_article", *C, lambda c: tx.source_is_own_article(F.expr(_own), F.expr("CAST(item_id % 30 AS STRING)")), "item_id % 2 = 0 AND item_id % 3 = 0")
 _hay = f"lower({_ua('text')})"
 _w39 = f"list_filter(list_transform({_lw(_ua('substr(text, 400, 60)'))}, lambda w: instr({_hay}, w)), lambda p: p > 0)"
-_rule("tx39_relevant_excerpt", *D, tx.relevant_excerpt(text, F.substring("text", 400, 60), 200), f"CASE WHEN length(text) <= 200 THEN text ELSE substr(text, CAST(greatest(0, coalesce(list_min({_w39}), 1) - 1 - 50) AS INT) + 1, 200) END")
+_rule("tx39_relevant_excerpt", *D, lambda c: tx.relevant_excerpt(c.text, F.substring("text", 400, 60), 200), f"CASE WHEN length(text) <= 200 THEN text ELSE substr(text, CAST(greatest(0, coalesce(list_min({_w39}), 1) - 1 - 50) AS INT) + 1, 200) END")
 _rk = "CASE " + " ".join(f"WHEN contains(lower({_ua('article')}), '{w}') THEN {k}" for k, w in enumerate(tx.SUFFIXES, 1)) + " ELSE 0 END"
-_rule("tx40_ordinal_article_key", *C, F.array_join(tx.ordinal_article_key(article), "."), f"CASE WHEN article IS NULL OR NOT regexp_matches(article, '[0-9]') THEN '1000000000' ELSE array_to_string(list_append(list_transform(regexp_extract_all(article, '[0-9]+', 0), lambda n: CAST(n AS BIGINT)), {_rk}), '.') END")
+_rule("tx40_ordinal_article_key", *C, lambda c: F.array_join(tx.ordinal_article_key(c.article), "."), f"CASE WHEN article IS NULL OR NOT regexp_matches(article, '[0-9]') THEN '1000000000' ELSE array_to_string(list_append(list_transform(regexp_extract_all(article, '[0-9]+', 0), lambda n: CAST(n AS BIGINT)), {_rk}), '.') END")
 _ls = f"list_filter(list_transform(string_split(text, chr(10)), lambda l: {_col('l')}), lambda l: l <> '' AND NOT regexp_matches(l, '{tx.GAZETTE_LINE}'))"
-_rule("tx41_strip_gazette_lines", *D, tx.strip_gazette_lines(text), _col(f"array_to_string({_ls}, ' ')"))
+_rule("tx41_strip_gazette_lines", *D, lambda c: tx.strip_gazette_lines(c.text), _col(f"array_to_string({_ls}, ' ')"))
 _numbers = list(tx.number_words().items())
 _pick = f"element_at(array({', '.join(repr(w) for w, _ in _numbers[::7])}), CAST(1 + item_id % {len(_numbers[::7])} AS INT))"
-_rule("tx42_number_from_words", *C, tx.number_from_words(F.expr(f"concat(' ', initcap({_pick}), '.')")), f"list_extract([{', '.join(str(n) for _, n in _numbers[::7])}], CAST(1 + item_id % {len(_numbers[::7])} AS INT))")
+_rule("tx42_number_from_words", *C, lambda c: tx.number_from_words(F.expr(f"concat(' ', initcap({_pick}), '.')")), f"list_extract([{', '.join(str(n) for _, n in _numbers[::7])}], CAST(1 + item_id % {len(_numbers[::7])} AS INT))")
 _unit = "CASE item_id % 6 WHEN 0 THEN 'Preliminar' WHEN 1 THEN 'ÚNICO' WHEN 2 THEN '007' WHEN 3 THEN 'XIV' WHEN 4 THEN 'iii' ELSE '3º' END"
-_rule("tx43_unit_value", *C, tx.unit_value(F.expr(_unit)), "CASE item_id % 6 WHEN 0 THEN 'preliminar' WHEN 1 THEN 'unico' WHEN 2 THEN '7' WHEN 3 THEN '14' WHEN 4 THEN '3' ELSE '3' END")
-_rule("tx44_question_polarity", *C, tx.question_polarity(stem), f"CASE WHEN regexp_matches({_s}, '\\bincorrect[ao]\\b|\\bno se corresponde\\b|\\bno es una?\\b|\\bno es verdader[ao]\\b|\\bexcepto\\b|\\bmenos\\b') THEN 'FALSE' ELSE 'TRUE' END")
-_rule("tx45_make_norm_explicit", *C, tx.make_norm_explicit(stem, F.lit("Ley 39/2015")), None)
-_rule("tx46_norm_type_strict", *C, tx.kind_by_prefix(name, tx.STRICT_KINDS), _prefix_sql(tx.STRICT_KINDS))
+_rule("tx43_unit_value", *C, lambda c: tx.unit_value(F.expr(_unit)), "CASE item_id % 6 WHEN 0 THEN 'preliminar' WHEN 1 THEN 'unico' WHEN 2 THEN '7' WHEN 3 THEN '14' WHEN 4 THEN '3' ELSE '3' END")
+_rule("tx44_question_polarity", *C, lambda c: tx.question_polarity(c.stem), f"CASE WHEN regexp_matches({_s}, '\\bincorrect[ao]\\b|\\bno se corresponde\\b|\\bno es una?\\b|\\bno es verdader[ao]\\b|\\bexcepto\\b|\\bmenos\\b') THEN 'FALSE' ELSE 'TRUE' END")
+_rule("tx45_make_norm_explicit", *C, lambda c: tx.make_norm_explicit(c.stem, F.lit("Ley 39/2015")), None)
+_rule("tx46_norm_type_strict", *C, lambda c: tx.kind_by_prefix(c.name, tx.STRICT_KINDS), _prefix_sql(tx.STRICT_KINDS))
