@@ -387,7 +387,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     again = not base.groupBy("id").count().filter("count > 1").isEmpty()
     base = base.select("own", "id", (F.xxhash64("t") if again else F.lit(0).cast("long")).alias("tid"), F.col("t").cast("binary").alias("t"))
 
-    runs = base.select("id", "tid", "t").mapInArrow(_anchored(length), "key long, sign long, id long, tid long, pos long, n long, known boolean")
+    once = base.dropDuplicates(["id", "tid"]) if again else base
+    runs = once.select("id", "tid", "t").mapInArrow(_anchored(length), "key long, sign long, id long, tid long, pos long, n long, known boolean")
     runs = runs.repartition("key").sortWithinPartitions("key", "sign", "id", "tid", "pos")
     judged = runs.mapInArrow(_sorted_runs, "id long, tid long, key long, pos long, n long, compare boolean")
     span = F.struct(F.col("pos").alias("s"), (F.col("pos") + F.col("n") - 1 + length).alias("e"))
@@ -397,8 +398,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     todo = marks.filter(F.size("todo") > 0).select("id", "tid", "todo")
     crowded = todo.select(F.explode("todo.key").alias("key")).groupBy("key").count().filter(F.col("count") > CROWD).select("key", F.lit(True).alias("crowded"))
-    pieces = base.join(todo, ["id", "tid"]).dropDuplicates(["id", "tid"]) if again else base.join(todo, ["id", "tid"])
-    pieces = pieces.select("id", "tid", "todo", "t").mapInArrow(_pieces(length), "key long, id long, tid long, pos long, n long, piece binary")
+    pieces = once.join(todo, ["id", "tid"]).select("id", "tid", "todo", "t").mapInArrow(_pieces(length), "key long, id long, tid long, pos long, n long, piece binary")
     found = None
     if crowded.isEmpty():
         plain = pieces
