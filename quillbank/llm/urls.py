@@ -59,7 +59,8 @@ def _purity(tree: DataFrame, levels: int, weight: float, z: float) -> DataFrame:
     nodes = tree.select(F.explode(F.arrays_zip(F.col("chain").alias("node"), F.concat(F.array(F.lit("")), "chain").alias("up"), F.sequence(F.lit(0), F.size("chain")).alias("depth"))).alias("x"), "n", "bad", "good")
     nodes = nodes.filter("x.node is not null").groupBy("x.node", "x.up", "x.depth").agg(F.sum("bad").alias("bad"), (F.sum("bad") + F.sum("good")).alias("seen")).checkpoint()
     total = nodes.filter("depth = 0").agg(F.sum("bad").alias("bad"), F.sum("seen").alias("seen"))
-    above = total.select(F.lit("").alias("up"), ((F.coalesce("bad", F.lit(0)) + 1) / (F.coalesce("seen", F.lit(0)) + 2)).alias("base"))
+    # without labels the prior is a quarter, so nothing is rejected
+    above = total.select(F.lit("").alias("up"), ((F.coalesce("bad", F.lit(0)) + 1) / (F.coalesce("seen", F.lit(0)) + 4)).alias("base"))
     done = []
     for depth in range(levels + 1):
         now = nodes.filter(F.col("depth") == depth).join(above, "up")
