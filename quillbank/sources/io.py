@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from quillbank.functions.textnorm import collapsed
 from quillbank.sources.schemas import SCHEMAS
 
-#: Encodings that syllabus files come in, in the order they are tried; the last one accepts any bytes.
-ENCODINGS = ("utf-8", "cp1252", "iso-8859-1")
+#: What a Windows file means by the control characters that Latin-1 sees in it; the five bytes without a meaning stay.
+_WINDOWS = {b: bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+_SEEN, _MEANT = "".join(chr(b) for b, c in _WINDOWS.items() if c), "".join(_WINDOWS.values())
 
 
 def read_tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
@@ -21,17 +22,18 @@ def read_tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame
 
 
 def file_encoding(spark: SparkSession, path: str) -> str:
-    """The first encoding that a small header-and-rows file is valid in, decided on the executors."""
+    """UTF-8 if a small header-and-rows file is valid in it, else Latin-1, which accepts any bytes; decided on the executors."""
     data = spark.read.format("binaryFile").load(path)
-    valid = data.agg(F.bool_and(F.is_valid_utf8(F.col("content").cast("string"))).alias("u"), F.bool_or(F.hex("content").rlike("^(?:..)*(81|8D|8F|90|9D)")).alias("odd")).first()
-    return ENCODINGS[0] if valid["u"] else ENCODINGS[2] if valid["odd"] else ENCODINGS[1]
+    valid = data.agg(F.bool_and(F.is_valid_utf8(F.col("content").cast("string")))).first()[0]
+    return "utf-8" if valid else "iso-8859-1"
 
 
 def read_syllabus_csv(spark: SparkSession, path: str) -> DataFrame:
     """Syllabus rows with white space collapsed, codes in upper case and the topic as a number (null if it is none)."""
-    rows = spark.read.schema(SCHEMAS["syllabus_csv"]).csv(path, header=True, encoding=file_encoding(spark, path))
-    clean = [collapsed(F.regexp_replace(c, "﻿", "")).alias(c) for c in rows.columns]
-    out = rows.select(*clean)
+    encoding = file_encoding(spark, path)
+    rows = spark.read.schema(SCHEMAS["syllabus_csv"]).csv(path, header=True, encoding=encoding)
+    shown = (lambda c: F.col(c)) if encoding == "utf-8" else (lambda c: F.translate(c, _SEEN, _MEANT))
+    out = rows.select(*[collapsed(F.translate(shown(c), "\ufeff", "")).alias(c) for c in rows.columns])
     return out.withColumn("parte", F.upper("parte")).withColumn("tipo", F.upper("tipo")).withColumn("tema", F.col("tema").try_cast("int"))
 
 
