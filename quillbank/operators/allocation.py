@@ -110,3 +110,19 @@ def top_unvisited_aspects(rows: DataFrame, n: int, seed: str) -> DataFrame:
     """``n`` distinct starts of stems in hash order."""
     t = F.substring(F.regexp_replace("stem", "[ \t\n\x0b\f\r]+", " "), 1, 110)
     return rows.select(t.alias("aspect")).filter("aspect <> ''").distinct().orderBy(F.md5(F.concat("aspect", F.lit(seed))), "aspect").limit(n)
+
+
+def blueprint_sequence(blueprint: DataFrame, parts: DataFrame, refs: DataFrame, seed: str) -> DataFrame:
+    """References picked for each block of each part: those of its norm, or for free blocks of norms that no block names.
+
+    ``refs``: ref_id, part_id, norm_id. A part's size is dealt over its blocks that have candidates by their amounts.
+    """
+    named = blueprint.filter("block_type = 'NORMA'").select("part_id", "norm_id", "block_order", "amount")
+    fixed = refs.join(named, ["part_id", "norm_id"])
+    free = refs.join(named.select("part_id", "norm_id").distinct(), ["part_id", "norm_id"], "left_anti").join(blueprint.filter("block_type = 'LIBRE'").select("part_id", "block_order", "amount"), "part_id")
+    columns = ["part_id", "block_order", "amount", "ref_id"]
+    rows = fixed.select(*columns).unionByName(free.select(*columns))
+    live = rows.select("part_id", "block_order", F.col("amount").alias("weight")).distinct().join(parts.select("part_id", "n_items"), "part_id")
+    quotas = largest_remainder(live, ["part_id"], "block_order", F.col("n_items"))
+    picked = cycle_select(rows.select(F.concat_ws("/", "part_id", "block_order").alias("block"), F.col("ref_id").alias("item_id")), "block", quotas.select(F.concat_ws("/", "part_id", "block_order").alias("block"), "quota"), seed)
+    return picked.select("block", F.col("item_id").alias("ref_id"), "turn")

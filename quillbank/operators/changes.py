@@ -175,3 +175,42 @@ def content_fingerprint(links: DataFrame) -> DataFrame:
 def activity_filter(calls: DataFrame) -> DataFrame:
     """Active calls, or all if the table doesn't say."""
     return calls.filter("active") if "active" in calls.columns else calls
+
+
+def upsert_ref(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """What an incoming reference does: same identity, else the only one that is the same without its date, several are an error, none is an insert.
+
+    Both have ``topic_id, key, plain, article``; stored ones an id.
+    """
+    i, s = incoming, stored
+    exact = s.select("topic_id", "key", "article", F.col("ref_id").alias("same")).groupBy("topic_id", "key", "article").agg(F.min("same").alias("same"))
+    loose = s.groupBy("topic_id", "plain", "article").agg(F.count("*").alias("n"), F.min("ref_id").alias("like"))
+    met = i.join(exact, ["topic_id", "key", "article"], "left").join(loose, ["topic_id", "plain", "article"], "left")
+    action = F.when(F.col("same").isNotNull(), "SAME").when(F.col("n") > 1, "AMBIGUOUS").when(F.col("n") == 1, "UPDATE").otherwise("INSERT")
+    return met.select("in_id", action.alias("action"), F.coalesce("same", F.when(F.col("n") == 1, F.col("like"))).alias("ref_id"))
+
+
+def accept_candidates(candidates: DataFrame, pool: DataFrame, norms: DataFrame, key: Column) -> DataFrame:
+    """Reject reason of each candidate, null if accepted: state, structure, norm, article, or a duplicate of the pool."""
+    from quillbank.functions.textnorm import article_base, article_precise
+
+    have = pool.select(F.sha2(key, 256).alias("_k")).distinct().withColumn("_dup", F.lit(True))
+    met = candidates.withColumn("_k", F.sha2(key, 256)).join(have, "_k", "left").join(norms.select("norm_id", F.lit(True).alias("_norm")).distinct(), "norm_id", "left")
+    whole = ~F.exists(F.array("stem", "opt_a", "opt_b", "opt_c", "opt_d"), lambda x: F.trim(F.coalesce(x, F.lit(""))) == "")
+    same = article_base(article_precise(F.col("article"))) == article_base(F.col("asked"))
+    reason = F.when(F.col("state") != "CONFIRMED", "STATE").when(~whole, "STRUCTURE").when(F.col("_norm").isNull(), "NORM").when(~F.coalesce(same, F.lit(False)), "ARTICLE").when(F.col("_dup"), "DUPLICATE")
+    return met.select("item_id", reason.alias("reason"))
+
+
+def apply_scope_findings(refs: DataFrame, findings: DataFrame) -> DataFrame:
+    """References without the confirmed deletions and with the missing ones, copied from a template of the same norm in the topic, else of the topic."""
+    from pyspark.sql import Window
+
+    gone = findings.filter("action = 'DELETE'").select("topic_id", "norm_id", "article")
+    kept = refs.join(gone, ["topic_id", "norm_id", "article"], "left_anti")
+    w = lambda *k: F.row_number().over(Window.partitionBy(*k).orderBy("ref_id"))
+    own = refs.withColumn("r", w("topic_id", "norm_id")).filter("r = 1").select("topic_id", "norm_id", F.col("state").alias("own_state"))
+    any_ = refs.withColumn("r", w("topic_id")).filter("r = 1").select("topic_id", F.col("state").alias("any_state"))
+    add = findings.filter("action = 'ADD'").select("topic_id", "norm_id", "article").distinct().join(refs.select("topic_id", "norm_id", "article"), ["topic_id", "norm_id", "article"], "left_anti")
+    add = add.join(own, ["topic_id", "norm_id"], "left").join(any_, "topic_id", "left").select("topic_id", "norm_id", "article", F.coalesce("own_state", "any_state", F.lit("SIN_RESOLVER")).alias("state"))
+    return kept.select("topic_id", "norm_id", "article", "state").unionByName(add)

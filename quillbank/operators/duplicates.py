@@ -243,3 +243,36 @@ def central_key(items: DataFrame, margin: float = 0.02) -> DataFrame:
             yield pd.DataFrame({"item_id": pdf["item_id"], "central": out})
 
     return items.select("item_id", *FIELDS[1:], "answer_key").mapInPandas(run, "item_id long, central boolean")
+
+
+def match_official(items: DataFrame, official: DataFrame, marks: DataFrame, block: str, least: float = 0.85) -> DataFrame:
+    """New marks ``item_id, exam_id, similarity`` of items like an official exam's item; marks that exist are left alone."""
+    met = items.select("item_id", block, F.col("t").alias("a")).join(official.select("exam_id", block, F.col("t").alias("b")), block)
+    short, long = F.least(F.length("a"), F.length("b")), F.greatest(F.length("a"), F.length("b"))
+    near = met.filter(2 * short >= least * (short + long)).select("item_id", "exam_id", F.round(ratio("a", "b"), 6).alias("similarity")).filter(F.col("similarity") >= least)
+    return near.join(marks.select("item_id", "exam_id"), ["item_id", "exam_id"], "left_anti")
+
+
+def article_duplicates(articles: DataFrame) -> DataFrame:
+    """Rows of one (source, article) with several texts: each text's similarity to the longest, which is the reference."""
+    texts = articles.groupBy("source_id", "article_no", "text").agg(F.min("article_id").alias("article_id"))
+    w = Window.partitionBy("source_id", "article_no")
+    many = texts.withColumn("n", F.count("*").over(w)).withColumn("ref", F.max(F.struct(F.length("text"), -F.col("article_id"), "text")).over(w)).filter("n > 1")
+    return many.select("source_id", "article_no", "article_id", F.round(ratio("text", "ref.text"), 6).alias("similarity"))
+
+
+def merge_precheck(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """For each (keeper, loser) and call: whether the loser's link moves, is dropped as equal, or blocks because the links differ."""
+    k = links.select("call_id", F.col("item_id").alias("keep_id"), F.struct("part_id", "link_type", "topic_id").alias("k"))
+    r = links.select("call_id", "item_id", F.struct("part_id", "link_type", "topic_id").alias("l"))
+    met = pairs.join(r, "item_id").join(k, ["keep_id", "call_id"], "left")
+    return met.select("keep_id", "item_id", "call_id", F.when(F.col("k").isNull(), "MOVE").when(F.col("k").eqNullSafe(F.col("l")), "DROP").otherwise("BLOCK").alias("action"))
+
+
+def conflicts_with_text(items: DataFrame, articles: DataFrame, key: Column) -> DataFrame:
+    """Groups of equal text with different answers, and how many texts their article has."""
+    conflict = items.select("item_id", "norm_id", "article_no", F.sha2(key, 256).alias("k"), "answer_key")
+    bad = conflict.groupBy("k").agg(F.count_distinct("answer_key").alias("answers")).filter("answers > 1")
+    n = articles.groupBy("norm_id", "article_no").agg(F.count("*").alias("texts"), F.array_join(F.array_sort(F.collect_set("source_id")), ",").alias("sources"))
+    met = conflict.join(bad, "k").join(n, ["norm_id", "article_no"], "left")
+    return met.select("item_id", F.coalesce("texts", F.lit(0)).alias("texts"), F.coalesce("sources", F.lit("")).alias("sources"))

@@ -298,3 +298,43 @@ def metadata_fallback(rows: DataFrame, examples: DataFrame, pool: DataFrame) ->
     of_norm = pool.filter("norm_type_n is not null and norm_id is not null").groupBy("norm_id").agg(F.min_by("norm_type_n", "item_id").alias("of_norm"))
     met = rows.join(examples.select("item_id", F.col("norm_type_n").alias("of_example")), "item_id", "left").join(of_norm, "norm_id", "left")
     return met.select("item_id", F.coalesce("of_example", "of_norm", F.lit("DERIVED")).alias("norm_type"))
+
+
+def alias_link(refs: DataFrame, aliases: dict[str, int]) -> DataFrame:
+    """Norm of references without one by the alias of their name."""
+    names = F.create_map(*[x for k, v in aliases.items() for x in (F.lit(k), F.lit(v))])
+    return refs.withColumn("norm_id", F.coalesce("norm_id", F.try_element_at(names, F.lower(F.trim("norm_name")))))
+
+
+def part_errors(items: DataFrame, exclusions: DataFrame, located: DataFrame, links: DataFrame, rules: DataFrame) -> DataFrame:
+    """New items whose part can't be resolved, by call, attributes and reason."""
+    rows = match_items(items, exclusions, ref_index(located), links, rules).filter("outcome = 'NEW'")
+    parts = resolve_part(rows, rules, ["call_id", "item_id", "part", "content_type", "theory_practice"])
+    return parts.filter("part_reason is not null").groupBy("call_id", "part", "content_type", "theory_practice", "part_reason").agg(F.count("*").alias("n"))
+
+
+def best_named_source(names: DataFrame, sources: DataFrame, least: float = 0.7) -> DataFrame:
+    """Source whose name shares most words with each name (share of all words), if at least ``least``; ties only within one identity, official before local.
+
+    ``names``: id, tokens; ``sources``: source_id, tokens, identity, official. They meet at shared words.
+    """
+    a = names.select("id", F.explode("tokens").alias("token"), F.size("tokens").alias("na"))
+    b = sources.select("source_id", "identity", "official", F.explode("tokens").alias("token"), F.size("tokens").alias("nb"))
+    s = a.join(b, "token").groupBy("id", "source_id", "identity", "official", "na", "nb").agg(F.count("*").alias("n"))
+    s = s.withColumn("score", F.round(F.col("n") / (F.col("na") + F.col("nb") - F.col("n")), 6)).filter(F.col("score") >= least)
+    top = s.withColumn("r", F.rank().over(Window.partitionBy("id").orderBy(F.desc("score")))).filter("r = 1")
+    by = top.groupBy("id").agg(F.count_distinct("identity").alias("identities"), F.min(F.struct((~F.col("official")).alias("local"), "source_id")).alias("best"), F.max("score").alias("score"))
+    return by.filter("identities = 1").select("id", "best.source_id", "score")
+
+
+def material_scope(topics: DataFrame, headings: DataFrame) -> DataFrame:
+    """Headings of the official index whose words stand in a row in a topic's text and that are unique in their norm, but for ancestors of other hits.
+
+    ``topics``: topic_id, norm_id, words (blank-joined, blanks at both ends); ``headings``: norm_id, path, words (the same). Joined within the norm.
+    """
+    h = headings.withColumn("n", F.count("*").over(Window.partitionBy("norm_id", "words"))).filter((F.col("n") == 1) & (F.size(F.split(F.trim("words"), " ")) >= 2)).select("norm_id", "path", F.col("words").alias("hw"))
+    hit = topics.join(h, "norm_id").filter(F.col("words").contains(F.col("hw"))).select("topic_id", "norm_id", "path")
+    steps = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(steps) - 1), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))
+    below = hit.filter(F.size(steps) > 1).select("topic_id", "norm_id", F.explode(above).alias("path"))
+    return hit.join(below, ["topic_id", "norm_id", "path"], "left_anti")
