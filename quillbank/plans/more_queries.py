@@ -27,9 +27,10 @@ def c(name):
     return F.col(name)
 
 
+_NOT_GENERAL = "(syllabus_part IS NULL OR syllabus_part <> 'GENERAL')"
 _alias = {"supplier#000000001": 1, "supplier#000000003": 3, "supplier#000000007": 7}
 register("lk20_alias_link_refs", "f_refs f_norms", lambda r, n: lk.alias_link(r.select("ref_id", "norm_id", F.concat(F.lit(" Supplier#00000000"), (c("ref_id") % 9).cast("string")).alias("norm_name")), _alias).select("ref_id", "norm_id"), "SELECT ref_id, coalesce(norm_id, CASE WHEN ref_id % 9 IN (1, 3, 7) THEN ref_id % 9 END) AS norm_id FROM f_refs")
-register("au34_part_resolution_diagnosis", "f_items f_exclusions f_refs f_topics f_bank_links f_part_rules", lambda i, x, r, t, b, p: lk.part_errors(i, x, lk.located_refs(r, t), b, p.filter("syllabus_part is null or syllabus_part <> 'GENERAL'")), f"WITH {ELIGIBLE}, {LOCATED}, {INDEX}, {MATCHED}, nw AS (SELECT * FROM m WHERE outcome = 'NEW'), {_parts('np', 'nw').replace('JOIN f_part_rules r ON', 'JOIN (SELECT * FROM f_part_rules WHERE syllabus_part IS NULL OR syllabus_part <> 'GENERAL') r ON')} SELECT call_id, part, content_type, theory_practice, part_reason, count(*) AS n FROM np WHERE part_reason IS NOT NULL GROUP BY ALL")
+register("au34_part_resolution_diagnosis", "f_items f_exclusions f_refs f_topics f_bank_links f_part_rules", lambda i, x, r, t, b, p: lk.part_errors(i, x, lk.located_refs(r, t), b, p.filter(_NOT_GENERAL)), f"WITH {ELIGIBLE}, {LOCATED}, {INDEX}, {MATCHED}, nw AS (SELECT * FROM m WHERE outcome = 'NEW'), {_parts('np', 'nw').replace('JOIN f_part_rules r ON', f'JOIN (SELECT * FROM f_part_rules WHERE {_NOT_GENERAL}) r ON')} SELECT call_id, part, content_type, theory_practice, part_reason, count(*) AS n FROM np WHERE part_reason IS NOT NULL GROUP BY ALL")
 _alnum = lambda x: f"trim(regexp_replace(lower({_ua(x)}), '[^a-z0-9]+', ' ', 'g'))"
 _words = lambda x: F.array_distinct(F.split(tx.norm_ascii_alnum(x), " "))
 register("lk23_best_named_source", "part", lambda p: lk.best_named_source(p.select(c("p_partkey").alias("id"), _words(c("p_name")).alias("tokens")), p.filter("p_partkey % 5 = 0").select(c("p_partkey").alias("source_id"), _words(c("p_name")).alias("tokens"), c("p_brand").alias("identity"), (c("p_size") > 20).alias("official")), 0.4), f"""WITH a AS (SELECT p_partkey AS id, list_distinct(string_split({_alnum('p_name')}, ' ')) AS t FROM part), b AS (SELECT p_partkey AS source_id, list_distinct(string_split({_alnum('p_name')}, ' ')) AS t, p_brand AS identity, p_size > 20 AS official FROM part WHERE p_partkey % 5 = 0),
