@@ -124,7 +124,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", embe
     sample = sample / np.linalg.norm(sample / np.abs(sample).max(axis=1, keepdims=True), axis=1, keepdims=True) / np.abs(sample).max(axis=1, keepdims=True)
     rng = np.random.default_rng(seed)
     forest = [grow(sample, leaf, rng) for _ in range(trees)]
-    shared = spark.sparkContext.broadcast(forest)  # of the sample's bounded size
+    # of the sample's bounded size; plain arrays, for broadcasts don't carry classes
+    shared = spark.sparkContext.broadcast([(t.direction, t.cut, t.left, t.right) for t in forest])
 
     def unit(pdf: pd.DataFrame) -> np.ndarray:
         x = np.stack(pdf["v"].to_numpy())
@@ -135,13 +136,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", embe
         for pdf in frames:
             if len(pdf):
                 x = unit(pdf)
-                for t, tree in enumerate(shared.value):
-                    yield pd.DataFrame({"t": t, "leaf": tree.leaves(x), "p": pdf["p"], "v": pdf["v"], "q": False})
+                for t, arrays in enumerate(shared.value):
+                    yield pd.DataFrame({"t": t, "leaf": Tree(*arrays).leaves(x), "p": pdf["p"], "v": pdf["v"], "q": False})
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trees_ = [Tree(*arrays) for arrays in shared.value]
         for pdf in frames:
             for p, v, x in zip(pdf["p"], pdf["v"], unit(pdf) if len(pdf) else [], strict=True):
-                at = np.array(search(shared.value, x, visits)).reshape(-1, 2)
+                at = np.array(search(trees_, x, visits)).reshape(-1, 2)
                 yield pd.DataFrame({"t": at[:, 0], "leaf": at[:, 1], "p": p, "v": [v] * len(at), "q": True})
 
     def best(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
