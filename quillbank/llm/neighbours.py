@@ -87,14 +87,15 @@ def _cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (q * x).sum(axis=1) / (np.sqrt((q * q).sum(axis=1)) * np.sqrt((x * x).sum(axis=1)))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", *, k: int = 5, trees: int = 6, leaf: int = 24, visits: int = 400, fit_rows: int = 60_000, seed: int = 11) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", *, k: int = 5, trees: int = 4, leaf: int = 512, share: float = 0.25, fit_rows: int = 60_000, seed: int = 11) -> DataFrame:
     """The ``k`` nearest by cosine of each query row among all vectors but itself: ``query_id, rank, vec_id, score``.
 
     The forest is fitted on at most ``fit_rows`` vectors of unit length (a documented sample by hash of the vector),
-    then indexes every vector. Each query visits ``visits`` leaves. Equal vectors are one point that keeps its
+    then indexes every vector. Each query visits the best ``share`` of all leaves: vectors without structure, as the test
+    data's, need that for a recall of 0.9 (0.97 measured on 51 000 vectors; 2 % of the leaves gave 0.56). Equal vectors are one point that keeps its
     ``k + 1`` smallest ids, which is all that any query can be given of it, so a vector that a third of all rows share
     is searched once and never fills a leaf. Leaves are joined with their queries in tasks, which return just the best
-    points of each query and leaf. If there are few points (at most ``leaf * trees``), all leaves are visited.
+    points of each query and leaf. Beyond the sample leaves grow, and are dealt as chunks of about 4096 points.
 
     Vectors that are null, zero, of another length than most or hold null or non-finite components take no part, as
     queries or candidates; null ids neither. Ties go to the smaller id. Repeated rows are repeated candidates with one id: they count once.
@@ -124,6 +125,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", embe
     sample = sample / np.linalg.norm(sample / np.abs(sample).max(axis=1, keepdims=True), axis=1, keepdims=True) / np.abs(sample).max(axis=1, keepdims=True)
     rng = np.random.default_rng(seed)
     forest = [grow(sample, leaf, rng) for _ in range(trees)]
+    leaves = [len(t.cut) + 1 for t in forest]
+    visits = max(trees, -(-int(share * sum(leaves) * 1000) // 1000))
+    chunks = max(1, -(-n // (min(leaves) * 4096)))
     # of the sample's bounded size; plain arrays, for broadcasts don't carry classes
     shared = spark.sparkContext.broadcast([(t.direction, t.cut, t.left, t.right) for t in forest])
 
@@ -152,18 +156,24 @@ def nearest(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", embe
             return pd.DataFrame({"p": [], "c": [], "score": []})
         x, cx, out = unit(q), unit(c), []
         ids, raw, asks = c["p"].to_numpy(), np.stack(c["v"].to_numpy()), np.stack(q["v"].to_numpy())
-        for row, (p, v) in enumerate(zip(q["p"], asks, strict=True)):
-            s = cx @ x[row]
-            top = np.flatnonzero(s >= np.partition(s, -(k + 1))[-(k + 1)] - 1e-9) if len(s) > k + 1 else np.arange(len(s))
-            score = _cosines(np.broadcast_to(v, (len(top), len(v))), raw[top])
-            keep = np.lexsort((ids[top], -score))[: k + 1]
-            out.append(pd.DataFrame({"p": p, "c": ids[top][keep], "score": score[keep]}))
+        for start in range(0, len(x), 256):
+            near = x[start : start + 256] @ cx.T
+            least = np.partition(near, -(k + 1), axis=1)[:, -(k + 1)] - 1e-9 if len(cx) > k + 1 else np.full(len(near), -2.0)
+            row, at = np.nonzero(near >= least[:, None])
+            score = _cosines(asks[start + row], raw[at])
+            keep = np.lexsort((ids[at], -score, row))
+            row, at, score = row[keep], at[keep], score[keep]
+            rank = np.arange(len(row)) - np.searchsorted(row, row)
+            best_ = rank <= k
+            out.append(pd.DataFrame({"p": q["p"].to_numpy()[start + row[best_]], "c": ids[at[best_]], "score": score[best_]}))
         return pd.concat(out)
 
     schema = "t int, leaf long, p long, v array<double>, q boolean"
-    rows = points.select("p", "v").mapInPandas(index, schema)
-    rows = rows.union(points.join(asked.select("p").distinct(), "p", "left_semi").select("p", "v").mapInPandas(ask, schema))
-    found = rows.groupBy("t", "leaf").applyInPandas(best, "p long, c long, score double").groupBy("p", "c").agg(F.max("score").alias("score"))
+    part = F.pmod(F.xxhash64("p"), F.lit(chunks))
+    rows = points.select("p", "v").mapInPandas(index, schema).withColumn("chunk", part)
+    asks = points.join(asked.select("p").distinct(), "p", "left_semi").select("p", "v").mapInPandas(ask, schema)
+    rows = rows.union(asks.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long")))))
+    found = rows.groupBy("t", "leaf", "chunk").applyInPandas(best, "p long, c long, score double").groupBy("p", "c").agg(F.max("score").alias("score"))
     near = found.withColumn("r", F.row_number().over(Window.partitionBy("p").orderBy(F.desc("score"), "c"))).filter(F.col("r") <= k + 1)
     cand = near.join(points.select(F.col("p").alias("c"), "ids"), "c").select("p", "score", F.explode("ids").alias("id"))
     cand = cand.groupBy("p").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "id"))), 1, k + 1).alias("best"))

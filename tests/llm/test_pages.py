@@ -65,7 +65,7 @@ def test_neighbours(spark):
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>")
     ask = df.filter("vec_id % 50 = 0")
     got = {}
-    for r in neighbours.nearest(df, ask, leaf=16, visits=150).collect():
+    for r in neighbours.nearest(df, ask, leaf=64, share=0.5).collect():
         got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
     unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
     hit = 0
