@@ -18,8 +18,8 @@ from quillbank.operators.components import connected_components
 BLOCK = 31
 #: Fingerprints at one anchor that a task compares at once; larger anchors are dealt as pairs of chunks.
 CHUNK = 2048
-#: For similarities: words of 64 bits that tell the similarity, blocks that pairs meet at, and their bits.
-LANES, BLOCKS, BLOCK_BITS = 8, 24, 26
+#: For similarities: bands that pairs meet at, and the shingle minima in each; shingles of a chunk that a task compares at once.
+BANDS, ROWS, LOAD = 20, 6, 1 << 21
 #: Shingles whose bits are counted at once.
 SLICE = 255 * 64
 
@@ -168,42 +168,99 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return fps.join(named, "s0").select("id", F.col("s0").alias("fp"), "component")
 
 
+def _band_keys(hashes: np.ndarray) -> np.ndarray:
+    """Keys of ``BANDS`` bands of ``ROWS`` minima each over the distinct shingle hashes; two sets share a band's key with odds of Jaccard ** ``ROWS``."""
+    k = np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)
+    times, plus = _mixed(k, 1) | np.uint64(1), _mixed(k, 2)
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(hashes), 256):  # a product of 256 x 120 stays in the cache
+        least = np.minimum(least, (hashes[at : at + 256, None] * times + plus).min(axis=0))
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = _mixed(keys ^ row, 1)
+    return keys.view(np.int64)
+
+
+def _exact_links(similarity: float):
+    """Links of an exact Jaccard similarity of at least ``similarity`` within each group, as a spanning forest."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in _groups(frames, ["key", "i", "j"]):
+            rep, sets = g["rep"].to_numpy(), list(g["shingles"])
+            n = np.array([len(x) for x in sets])
+            code = np.unique(np.concatenate(sets), return_inverse=True)[1]
+            sets = np.split(code, np.cumsum(n)[:-1])
+            mark, todo, out, front = np.zeros(code.max() + 1, bool), np.arange(len(n)), [], []
+            while len(todo):
+                if not front:
+                    front, todo = [todo[0]], todo[1:]
+                u = front.pop()
+                near = todo[np.minimum(n[todo], n[u]) >= similarity * np.maximum(n[todo], n[u])]  # others cannot be similar
+                mark[sets[u]] = True
+                both = np.array([np.count_nonzero(mark[sets[v]]) for v in near], np.int64)
+                mark[sets[u]] = False
+                hit = near[both >= similarity * (n[near] + n[u] - both)]
+                if len(hit):
+                    out.append(np.stack([np.full(len(hit), rep[u]), rep[hit]]))
+                    front.extend(hit)
+                    todo = np.setdiff1d(todo, hit, assume_unique=True)
+            if out:
+                a, b = np.concatenate(out, axis=1)
+                yield pd.DataFrame({"a": a, "b": b})
+
+    return run
+
+
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Class every row by SimHash similarity of its word shingles: ``id, component`` (the smallest id reachable).
+    """Class every row by Jaccard similarity of its word shingles: ``id, component`` (the smallest id reachable).
 
-    A Jaccard similarity of 0.8 moves 15 % of the bits, which no covering of one 64-bit fingerprint can span. So the
-    fingerprint is longer: ``LANES`` words of bits over the shingle set tell the similarity, and ``BLOCKS`` blocks of
-    ``BLOCK_BITS`` bits over the set of words (which an edit changes five times less) are the points to cover. The
-    covering code of a block is the whole space (radius 0, threshold 0): a pair meets at the anchors of the blocks
-    that agree, of which a pair at 0.8 has one with odds of about 98 %. Links need an estimated similarity of
-    ``similarity`` less two standard errors. Hot anchors are dealt as in :func:`near_duplicates`.
+    A Jaccard similarity of 0.8 moves 15 % of the bits of a SimHash, which no covering of one 64-bit fingerprint can
+    span. So documents meet at ``BANDS`` bands of ``ROWS`` minima of the hashed shingle set: whatever the kind of edit,
+    a pair at similarity ``j`` meets with odds of ``1 - (1 - j**6)**20``, 99.8 % at 0.8 and more above. Every link is
+    then decided by the exact Jaccard similarity of the sets of 64-bit shingle hashes.
+
+    Equal shingle sets are one point. Bands that bring the same points together are one group, so the sets, which are
+    made again for points that meet, travel once for it. Groups of over ``CHUNK`` points or ``LOAD`` shingles are dealt
+    as pairs of chunks as in :func:`near_duplicates`. The texts are read twice.
 
     Null or empty text: linked with its like. A null id stays alone (null component) unless its text is another's.
     """
     use_checkpoints(docs.sparkSession)
-    sig = [f"s{k}" for k in range(LANES)]
-    schema = "id long, keys array<long>, " + ", ".join(f"{c} long" for c in sig)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            signs, keys = np.zeros((b.num_rows, LANES), np.int64), []
-            for k, t in enumerate(b.column(1)):
-                words = (t.as_py() or b"").lower().split()
-                every = np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingles(words, shingle)]))
-                signs[k] = _majority((every[a : a + SLICE] for a in range(0, len(every), SLICE)), LANES)[1].view(np.int64)
-                known = list(set(words))
-                hashes = (np.fromiter(map(xxhash.xxh64_intdigest, known[a : a + SLICE]), np.uint64) for a in range(0, len(known), SLICE))
-                wide = _majority(hashes, -(-BLOCKS * BLOCK_BITS // 64))[1]
-                bits = np.unpackbits(wide.view(np.uint8), bitorder="little")[: BLOCKS * BLOCK_BITS].reshape(BLOCKS, BLOCK_BITS)
-                keys.append((bits @ (1 << np.arange(BLOCK_BITS)) + (np.arange(BLOCKS) << BLOCK_BITS)).tolist())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.list_(pa.int64())), *map(pa.array, signs.T.copy())], names=["id", "keys", *sig])
-
-    angle = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    most = int(64 * LANES * (angle + 2 * np.sqrt(angle * (1 - angle) / (64 * LANES))))
-    fps = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text")).mapInArrow(run, schema).checkpoint()
-    # equal signatures are one point; its keys are those of its smallest id
-    reps = fps.groupBy(*sig).agg(F.min("id").alias("rep"), F.min_by("keys", "id").alias("keys")).checkpoint()
-    linked = _components(reps, F.col("keys"), LANES, most)
+    def read(meet: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                ids, sizes, sums, lists = b.column(0), [], [], []
+                for t in b.column(1):
+                    every = np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingles((t.as_py() or b"").lower().split(), shingle)]))
+                    sizes.append(len(every))
+                    sums.append(np.frombuffer(xxhash.xxh3_128_digest(every.tobytes()), np.int64))
+                    lists.append((_band_keys(every) if len(every) else every.view(np.int64)) if meet else every.view(np.int64))
+                s = np.array(sums, np.int64).reshape(-1, 2).T.copy()
+                offsets = pa.array(np.cumsum([0, *map(len, lists)]), pa.int32())
+                values = pa.array(np.concatenate([np.zeros(0, np.int64), *lists]))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(s[0]), pa.array(s[1]), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, values)], names=["id", "s0", "s1", "n", last])
+
+        last = "keys" if meet else "shingles"
+        return run, f"id long, s0 long, s1 long, n long, {last} array<long>"
+
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
+    sig = ["s0", "s1"]
+    fps = texts.mapInArrow(*read(True)).checkpoint()
+    # an equal set has equal keys
+    reps = fps.groupBy(*sig).agg(F.min("id").alias("rep")).checkpoint()
+    one = reps.filter("rep is not null").select(F.col("rep").alias("id"), *sig)
+    at = fps.join(one, ["id", *sig]).select(F.col("id").alias("rep"), "n", F.explode("keys").alias("key")).distinct()
+    held = at.groupBy("key").agg(F.count("*").alias("m"), F.sum("n").alias("load"), F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.bit_xor(F.xxhash64("rep")).alias("x")).filter("m > 1")
+    many = held.groupBy("m", "load", "lo", "hi", "x").agg(F.min("key").alias("key")).select("key", F.ceil(F.greatest(F.col("m") / CHUNK, F.col("load") / LOAD)).cast("int").alias("chunks"))
+    met = at.join(many, "key").select("key", "rep", "chunks").checkpoint()
+    need = met.select("rep").distinct()
+    sets = texts.join(need, texts["id"] == need["rep"], "left_semi").mapInArrow(*read(False)).join(one, ["id", *sig]).select(F.col("id").alias("rep"), "shingles")
+    own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
+    met = met.select("key", "rep", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    met = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep").join(sets, "rep")
+    met = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    linked = connected_components(met.mapInPandas(_exact_links(similarity), "a long, b long"), "a", "b").withColumnRenamed("node", "rep")
     named = reps.join(linked, "rep", "left").select(*sig, F.coalesce("component", "rep").alias("component"))
     return fps.select("id", *sig).join(named, sig).select("id", "component")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -104,6 +105,28 @@ def test_similar_documents(docs, corpus):
                 raise AssertionError((a, b, j))
 
 
+@pytest.mark.parametrize("chunk", [2048, 3])
+@pytest.mark.parametrize("edit", ["scattered", "appended", "truncated"])
+def test_similar_documents_like_brute_force(spark, edit, chunk, monkeypatch):
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(3000)}"
+    texts = []
+    for k in range(80):
+        base = [word() for _ in range(rng.randrange(80, 400))]
+        j = 0.75 + 0.2 * k / 79
+        if edit == "scattered":
+            copy = [word() if rng.random() < (1 - j) / (1 + j) / 5 else w for w in base]
+        else:
+            copy = base + [word() for _ in range(round(len(base) * (1 / j - 1)))] if edit == "appended" else base[: round(len(base) * j)]
+        texts += [" ".join(base), " ".join(copy)]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    found = dict(map(tuple, simhash.similar_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()))
+    linked = [found[a] == found[a + 1] for a in range(0, 160, 2)]
+    assert linked == [len(sets[a] & sets[a + 1]) >= 0.8 * len(sets[a] | sets[a + 1]) for a in range(0, 160, 2)]
+    assert 20 < sum(linked) < 80 and len(set(found.values())) == 160 - sum(linked)
+
+
 def test_suffixes(docs, corpus):
     order = sorted(range(len(corpus)), key=lambda k: (corpus[k][0] is None, corpus[k][0] or 0, xxhash.xxh64_intdigest((corpus[k][1] or "").encode(), 42) ^ (1 << 63)))
     first, want = {}, []
