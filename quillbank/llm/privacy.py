@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -63,66 +64,99 @@ def _hash(x: str) -> int:
     return xxhash.xxh64_intdigest(x) - (1 << 63)
 
 
-def _neighbours(text: str, base: list[tuple[int, int, int]], reach: int) -> Iterator[tuple[int, int, int, int, int]]:
-    """(entity, term, start, end, context) of up to ``reach`` words on either side of each entity, in its line and outside of all entities."""
+def _neighbours(text: str, base: list[tuple[int, int, int]], reach: int) -> Iterator[tuple[int, int]]:
+    """(entity, term) of up to ``reach`` words on either side of each entity, in its line and outside of all entities."""
     for kind, s, e in base:
         lo, hi = max(text.rfind("\n", 0, s) + 1, s - 40 * reach), text.find("\n", e)
         hi = min(len(text) if hi < 0 else hi, e + 40 * reach)
         near = list(_WORD.finditer(text, lo, s))[-reach:] + list(_WORD.finditer(text, e, hi))[:reach]
         near = [m for m in near if not any(m.start() < b and a < m.end() for _, a, b in base if a < hi and b > lo)]
-        entity, context = _hash(f"{kind}:{text[s:e].lower()}"), _hash(" ".join(m[0].lower() for m in near))
+        entity = _hash(f"{kind}:{text[s:e].lower()}")
         for m in near:
-            yield entity, _hash(m[0].lower()), m.start(), m.end(), context
+            yield entity, _hash(m[0].lower())
 
 
-def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, reach: int = 5, min_contexts: int = 3, disclosure: float = 0.75) -> DataFrame:
-    """``id, base, spans`` per row: arrays of ``(kind, start, end)`` in code points, end exclusive, by start, then kind.
+def _filter(terms: DataFrame) -> np.ndarray:
+    """Bits of the terms' hashes, 32 or more for each term: all of its words are 0 but those of terms, and few others."""
+    bits = 1 << max(16, (32 * terms.count()).bit_length())
+    at = F.pmod("term", F.lit(bits))
+    found = terms.groupBy(F.shiftright(at, 3).alias("byte")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))).alias("mask")).toPandas()
+    out = np.zeros(bits // 8, np.uint8)
+    out[found["byte"].to_numpy(np.int64)] = found["mask"].to_numpy(np.uint8)
+    return out
+
 
-    Base entities are found by pattern. Terms are then weighed over the whole corpus: of entity ``c`` and term ``t``
-    met within ``reach`` words, the point-wise mutual information ``log p(c|t) / p(c)`` says how far the term gives the
-    entity away; relative to the entity's own information ``-log p(c)`` it is 1 if the term never occurs without it.
-    Terms at ``disclosure`` or more, seen near the entity in at least ``min_contexts`` different contexts (copies of a
-    passage are one), are spans of kind ``term`` wherever they stand near it; base spans stay.
+def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, reach: int = 5, smoothing: float = 1.0, disclosure: float = 0.75) -> DataFrame:
+    """``id, base, spans`` per row: arrays of ``(kind, start, end)`` in code points, end exclusive, by start, then kind.
 
-    One pass reads the texts and returns spans, neighbours and per-task word counts; the rest is joins and sums of
-    these. Texts are never shuffled. Null text is empty; a very long one takes one linear pass. Null ids are kept, rows that repeat
-    an id are read one by one and get their own spans. An empty table gives an empty result.
+    Base entities are found by pattern. Terms met within ``reach`` words of an entity are then weighed by their rows in
+    the whole corpus: of entity ``c`` and term ``t``, the point-wise mutual information ``log p(c|t) / p(c)`` says how
+    far the term gives the entity away; relative to the entity's own information ``-log p(c)`` it is 1 if the term never
+    occurs without it. ``p(c|t)`` is taken from the rows that hold both, wherever they stand, and ``smoothing`` further
+    rows with the entity's usual share. Terms at ``disclosure`` or more are spans of kind ``term`` wherever they occur
+    outside of base spans, in rows without the entity too; base spans stay.
+
+    A first pass reads the texts and returns spans, neighbours and per-task word counts; a second finds the words that
+    pass a bit filter of the telling terms, which a join then decides. Texts are never shuffled. Null text is empty; a
+    very long one takes linear passes. Null ids are kept, rows that repeat an id are read one by one and get their own
+    spans. An empty table gives an empty result.
     """
     use_checkpoints(docs.sparkSession)
-    span, near = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]), pa.struct([(n, pa.int64()) for n in ("entity", "term", "start", "end", "context")])
-    count = pa.struct([("term", pa.int64()), ("n", pa.int64())])
-    names = ["id", "tid", "base", "near", "words"]
+    span, near = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]), pa.struct([(n, pa.int64()) for n in ("entity", "term")])
+    count, hashes = pa.struct([("term", pa.int64()), ("n", pa.int64())]), pa.list_(pa.int64())
+    names = ["id", "tid", "base", "near", "held", "known", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            base, around, words = [], [], Counter()
+            base, around, held, known, words = [], [], [], [], Counter()
             for t in b.column(2):
                 x = t.as_py() or ""
                 base.append(entities(x))
-                around.append([dict(zip(("entity", "term", "start", "end", "context"), r, strict=True)) for r in _neighbours(x, base[-1], reach)])
-                words.update(set(_WORD.findall(x.lower())))
+                here = set(_WORD.findall(x.lower()))
+                around.append([{"entity": e, "term": w} for e, w in set(_neighbours(x, base[-1], reach))])
+                held.append(list({_hash(f"{k}:{x[s:e].lower()}") for k, s, e in base[-1]}))
+                known.append([_hash(w) for w in here] if base[-1] else [])
+                words.update(here)
             spans = [[{"kind": k, "start": s, "end": e} for k, s, e in r] for r in base]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, pa.list_(span)), pa.array(around, pa.list_(near)), pa.nulls(b.num_rows, pa.list_(count))], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, pa.list_(span)), pa.array(around, pa.list_(near)), pa.array(held, hashes), pa.array(known, hashes), pa.nulls(b.num_rows, pa.list_(count))], names=names)
             tally = [{"term": _hash(w), "n": n} for w, n in words.items()]
-            yield pa.RecordBatch.from_arrays([pa.array([None], b.column(0).type), pa.array([None], pa.int64()), pa.nulls(1, pa.list_(span)), pa.nulls(1, pa.list_(near)), pa.array([tally], pa.list_(count))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([None], b.column(0).type), pa.array([None], pa.int64()), pa.nulls(1, pa.list_(span)), pa.nulls(1, pa.list_(near)), pa.nulls(1, hashes), pa.nulls(1, hashes), pa.array([tally], pa.list_(count))], names=names)
 
     kinds = "array<struct<kind:int,start:bigint,end:bigint>>"
-    schema = f"id long, tid long, base {kinds}, near array<struct<entity:bigint,term:bigint,start:bigint,end:bigint,context:bigint>>, words array<struct<term:bigint,n:bigint>>"
-    read = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(whole(text)).alias("tid"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
-    read = read.select("id", "tid", "base", "near", "words").checkpoint()
+    schema = f"id long, tid long, base {kinds}, near array<struct<entity:bigint,term:bigint>>, held array<bigint>, known array<bigint>, words array<struct<term:bigint,n:bigint>>"
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(whole(text)).alias("tid"), F.col(text).cast("string").alias("text"))
+    read = texts.mapInArrow(run, schema).checkpoint()
     rows = read.filter("base is not null")
     df = read.filter("words is not null").select(F.inline("words")).groupBy("term").agg(F.sum("n").alias("df"))
-    total = rows.agg(F.count("*")).first()[0]
-    met = rows.select("id", "tid", F.inline("near"))
-    pairs = met.groupBy("entity", "term", "context").agg(F.count_distinct("id").alias("n")).groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("n").alias("both"))
-    held = met.select("entity", "id").distinct().groupBy("entity").agg(F.count("*").alias("holders"))
-    weighed = pairs.filter(F.col("contexts") >= min_contexts).join(held, "entity").join(df, "term")
-    information = -F.log(F.col("holders") / F.lit(max(total, 1)))
-    mutual = F.log(F.least(F.lit(1.0), F.col("both") / F.col("df"))) + information
-    telling = weighed.filter((information > 0) & (mutual >= disclosure * information)).select("entity", "term")
-    more = met.join(telling, ["entity", "term"]).select("id", "tid", F.struct(F.lit(KINDS.index("term")).alias("kind"), "start", "end").alias("s")).groupBy("id", "tid").agg(F.collect_set("s").alias("more"))
-    out = rows.select("id", "tid", "base").join(more, ["id", "tid"], "left")
-    every = F.concat("base", F.coalesce("more", F.expr(f"cast(array() as {kinds})")))
+    total = max(rows.agg(F.count("*")).first()[0], 1)
+    pairs = rows.select(F.inline("near")).distinct()
+    holders = rows.select(F.explode("held").alias("entity")).groupBy("entity").agg(F.count("*").alias("holders"))
+    both = rows.select(F.explode("held").alias("entity"), "known").select("entity", F.explode("known").alias("term")).join(pairs, ["entity", "term"]).groupBy("entity", "term").agg(F.count("*").alias("both"))
+    weighed = both.join(holders, "entity").join(df, "term")
+    share = F.col("holders") / F.lit(total)
+    given = (F.col("both") + smoothing * share) / (F.col("df") + smoothing)
+    telling = weighed.filter((share < 1) & (F.log(given / share) >= -disclosure * F.log(share))).select("term").distinct().checkpoint()
+    bits = _filter(telling)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for i, tid, t in zip(*(b.column(k).to_pylist() for k in range(2)), b.column(2), strict=True):
+                x = t.as_py() or ""
+                known = list(set(_WORD.findall(x.lower())))
+                h = np.fromiter(map(_hash, known), np.int64, len(known))
+                at = h & (8 * len(bits) - 1)
+                hit = {known[k]: int(h[k]) for k in np.flatnonzero(bits[at >> 3] >> (at & 7) & 1)}
+                if hit:
+                    out += [(i, tid, hit[w], m.start(), m.end()) for m in _WORD.finditer(x) if (w := m[0].lower()) in hit]
+            cols = list(zip(*out, strict=True)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "tid", "term", "start", "end"])
+
+    more = texts.mapInArrow(mark, "id long, tid long, term long, start long, end long").join(telling, "term")
+    more = more.groupBy("id", "tid").agg(F.collect_set(F.struct(F.lit(KINDS.index("term")).alias("kind"), "start", "end")).alias("more")).select(F.col("id").alias("of"), F.col("tid").alias("same"), "more")
+    out = rows.select("id", "tid", "base").join(more, F.col("id").eqNullSafe(F.col("of")) & (F.col("tid") == F.col("same")), "left")
+    free = F.filter("more", lambda s: ~F.exists("base", lambda c: (s["start"] < c["end"]) & (c["start"] < s["end"])))
+    every = F.concat("base", F.coalesce(free, F.expr(f"cast(array() as {kinds})")))
     ordered = F.array_sort(F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
     return out.select("id", "tid", "base", F.transform(ordered, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
 

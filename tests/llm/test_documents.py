@@ -252,6 +252,15 @@ def test_privacy(spark):
     assert clean == "line 3\nwrite to [term] [term] at [email] for item 3 today"
 
 
+def test_privacy_marks_names_beside_one_address(spark):
+    rows = [(0, "please call\nwrite to Zoe Quimby at zq@mail.example.com today\nQuimby is out"), (1, "today we met Quimby at noon"), (None, "call Zoe today")]
+    rows += [(200 + k, "please write to nothing here at noon today call out is met") for k in range(200)]
+    found = privacy.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))
+    text = dict(rows)
+    got = {r["id"]: [text[r["id"]][s["start"] : s["end"]] for s in r["spans"]] for r in found.filter("id is null or id < 200").collect()}
+    assert got == {0: ["Zoe", "Quimby", "zq@mail.example.com", "Quimby"], 1: ["Quimby"], None: ["Zoe"]}
+
+
 def test_quality(spark):
     rows = [(k, "good words stand in order here. " * (2 + k % 5) if k % 2 else "%%% $$$ junk | junk | junk " * (2 + k % 7)) for k in range(400)] + [(1000, ""), (1001, None), (None, "some text")]
     labels = [(k, k % 2, 0) for k in range(400)] + [(5, None, 0), (None, 1, 0), (7000, 1, 0)]
