@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from quillbank.llm.urls import url_parts
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:"[^"]*+"|'[^']*+'|[^>"'])*+|[^>]*+)>|<[!?/][^>]*+>""", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|itemtype)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
+#: A whole name and its value, so that no name is found inside another name or a value.
+ATTRIBUTE = re.compile(r"""([^\s"'=/>]++)(?:\s*+=\s*+("[^"]*+"?|'[^']*+'?|[^\s"'>][^\s>]*+))?""")
 #: Fixed values of HTML: elements without content, with raw text, and that stand as blocks of their own.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())

@@ -46,6 +46,21 @@ def test_article():
     assert pages.article("<div>" * 3000 + "deep", frozenset()) == "deep"
 
 
+@pytest.mark.parametrize("attributes", ["style='overflow:hidden'", 'style="overflow: hidden"', 'title="hidden gems"', "data-hidden=false", 'data-hidden="false"', 'data-id="share"', 'data-class="ad" data-role=banner', 'alt = "class=ad hidden"', "x-hidden", 'title="a > hidden', "href=/a?id=share"])
+def test_names_inside_other_attributes_say_nothing(attributes):
+    assert pages._style("div", " " + attributes) == ("div", False)
+    assert pages._style("div", f' CLASS=Big {attributes.replace(chr(34), chr(39))}') == ("div.big", False)
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN", 'hidden=""', "title='x'hidden", "aria-hidden = true", 'class="a share"', "id=share", "data-x='1' role='banner' /"])
+def test_attributes_that_say_no_content(attributes):
+    assert pages._style("div", " " + attributes)[1]
+
+
+def test_overflow_keeps_its_content():
+    assert pages.article('<div style="overflow:hidden"><p data-id="share">kept</p></div><div hidden>lost</div>', frozenset()) == "kept"
+
+
 def test_style_tree_removes_what_repeats(spark):
     rows = [(k, f"http://a.b/{k}", f"<body><div class='x'>same words on all pages</div><div class='y'><p>own text {k} of this page</p></div></body>") for k in range(8)] + [(20, None, None), (21, "http://a.b/9", "")]
     got = {r["page_id"]: r["text"] for r in pages.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
