@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -16,10 +16,10 @@ from quillbank.operators.components import connected_components
 
 #: A block of fingerprint bits that one perfect Hamming code [31, 26] covers with radius 1.
 BLOCK = 31
-#: Fingerprints at one anchor that a task compares at once; larger anchors are dealt as pairs of chunks.
+#: Points of one group in a block; a task compares two blocks at once.
 CHUNK = 2048
-#: For similarities: bands that pairs meet at, and the shingle minima in each; shingles of a chunk that a task compares at once.
-BANDS, ROWS, LOAD = 20, 6, 1 << 21
+#: For similarities: bands that pairs meet at, and the shingle minima in each; shingles of a block that a task compares at once.
+BANDS, ROWS, LOAD = 20, 6, 1 << 20
 #: Shingles whose bits are counted at once.
 SLICE = 255 * 64
 
@@ -108,22 +108,24 @@ def _groups(frames: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFr
         yield left[0]
 
 
-def _links(width: int, most: int):
-    """Links of at most ``most`` differing bits within each group, as a spanning forest: a group of m gives less than m rows, never all pairs."""
+def _cross_links(matcher: Callable[[pd.Series], Callable[[int, np.ndarray], np.ndarray]]):
+    """Links between the rows that ask (``ask``) and the other rows of each group, but only between different components.
+
+    Components that link are one from then on, so a group of c components gives less than c rows, never all pairs.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in _groups(frames, ["key", "i", "j"]):
-            fp, rep = g[[f"s{k}" for k in range(width)]].to_numpy().view(np.uint64), g["rep"].to_numpy()
-            todo, out, front = np.arange(len(fp)), [], []
-            while len(todo):
-                if not front:
-                    front, todo = [todo[0]], todo[1:]
-                u = front.pop()
-                hit = np.bitwise_count(fp[todo] ^ fp[u]).sum(axis=1) <= most
-                if hit.any():
-                    out.append(np.stack([np.full(hit.sum(), rep[u]), rep[todo[hit]]]))
-                    front.extend(todo[hit])
-                    todo = todo[~hit]
+            comp, ask = g["comp"].to_numpy(), g["ask"].to_numpy(bool)
+            label, near, out = np.unique(comp, return_inverse=True)[1], matcher(g["p"]), []
+            members = np.flatnonzero(~ask)
+            for u in np.flatnonzero(ask):
+                v = members[label[members] != label[u]]
+                hit = v[near(u, v)] if len(v) else v
+                if len(hit):
+                    found, first = np.unique(label[hit], return_index=True)
+                    out.append(np.stack([np.full(len(first), comp[u]), comp[hit[first]]]))
+                    label[np.isin(label, found)] = label[u]
             if out:
                 a, b = np.concatenate(out, axis=1)
                 yield pd.DataFrame({"a": a, "b": b})
@@ -131,41 +133,74 @@ def _links(width: int, most: int):
     return run
 
 
-def _components(reps: DataFrame, keys: Column, width: int, most: int) -> DataFrame:
-    """``rep, component`` of the points ``rep, s0..`` that link; points meet at their ``keys``.
+def _components(at: DataFrame, points: DataFrame, alike: Callable[[Column, Column], Column], matcher: Callable, load: int) -> DataFrame:
+    """``rep, component`` of the points that link; points ``rep, p`` meet at the keys of ``at`` (``rep, n, key``; ``n``: what a point weighs).
 
-    Keys with one point are dropped before signatures travel. Keys with over ``CHUNK`` points are dealt as pairs of
-    chunks, so no task compares more than two chunks and no pair is missed.
+    Keys that bring the same points together are one. Each group's smallest point is first held against all others of
+    its group (``alike``), which joins most copies without a pair between them. Only groups that still hold several
+    components are compared further: the points outside of a group's largest component ask all points of the group,
+    in blocks of at most about ``CHUNK`` points or the weight ``load``. So no pair of different components is missed,
+    no task holds more than two blocks, and copies are not paired with copies.
     """
-    sig = [f"s{k}" for k in range(width)]
-    at = reps.filter("rep is not null").select("rep", F.explode(keys).alias("key"))
-    many = at.groupBy("key").count().filter("count > 1").select("key", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
-    met = at.join(many, "key").join(reps.select("rep", *sig), "rep")
-    own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
-    met = met.select("key", "rep", *sig, own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-    met = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", *sig)
-    met = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return connected_components(met.mapInPandas(_links(width, most), "a long, b long"), "a", "b").withColumnRenamed("node", "rep")
+    held = at.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("pivot"), F.max("rep").alias("hi"), F.bit_xor(F.xxhash64("rep")).alias("x")).filter("m > 1")
+    many = held.groupBy("m", "pivot", "hi", "x").agg(F.min("key").alias("key")).select("key", "pivot")
+    met = at.join(many, "key").filter("rep <> pivot").select("key", "pivot", "rep", "n").checkpoint()
+
+    def salted(weight: Column) -> Column:
+        return F.pmod(F.xxhash64("rep"), weight).cast("int")
+
+    stars = met.select("pivot", "rep").distinct()
+    blocks = stars.groupBy("pivot").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("blocks"))
+    asked = stars.join(blocks, "pivot").select("pivot", "rep", salted(F.col("blocks")).alias("block")).join(points, "rep")
+    pivots = points.join(blocks, points["rep"] == blocks["pivot"]).select("pivot", F.col("p").alias("of"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    first = connected_components(asked.join(pivots, ["pivot", "block"]).filter(alike(F.col("p"), F.col("of"))), "pivot", "rep").withColumnRenamed("node", "rep")
+    named = met.join(first, "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
+    sums = named.groupBy("key", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
+    split = sums.groupBy("key").agg(F.count("*").alias("comps"), F.sum("m").alias("m"), F.sum("w").alias("w"), F.max(F.struct("m", "w", "comp")).alias("top")).filter("comps > 1")
+    need = lambda m, w: F.ceil(F.greatest(m / CHUNK, w / load)).cast("int")
+    split = split.select("key", F.col("top.comp").alias("most"), need(F.col("m"), F.col("w")).alias("members"), need(F.col("m") - F.col("top.m"), F.col("w") - F.col("top.w")).alias("asks"))
+    left = named.join(split, "key").checkpoint()
+    member = left.select("key", "rep", "comp", F.lit(False).alias("ask"), F.explode(F.sequence(F.lit(0), F.col("asks") - 1)).alias("i"), salted(F.col("members")).alias("j"))
+    asks = left.filter("comp <> most").select("key", "rep", "comp", F.lit(True).alias("ask"), salted(F.col("asks")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("members") - 1)).alias("j"))
+    dealt = member.union(asks).join(points, "rep").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    again = connected_components(dealt.mapInPandas(_cross_links(matcher), "a long, b long"), "a", "b")
+    both = first.join(again, first["component"] == again["node"], "left").select("rep", F.coalesce(again["component"], first["component"]).alias("component"))
+    alone = again.join(first, again["node"] == first["rep"], "left_anti").select(F.col("node").alias("rep"), "component")
+    return both.union(alone)
+
+
+def _close_bits(most: int):
+    def matcher(p: pd.Series):
+        fp = p.to_numpy(np.int64).view(np.uint64)
+        return lambda u, v: np.bitwise_count(fp[v] ^ fp[u]) <= most
+
+    return matcher
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle: int = 5, threshold: int = 3) -> DataFrame:
     """Class every row by near-equal text: ``id, fp, component`` (the smallest id reachable over links of at most ``threshold`` <= 3 bits).
 
-    Equal fingerprints are one point, whatever their number. Points meet at anchors (see :func:`anchors`); anchors with
-    one point are dropped, and those with over ``CHUNK`` points are dealt as pairs of chunks, so no task compares more
-    than two chunks and no pair is missed. Tasks return spanning forests, not pairs.
+    Equal fingerprints are one point, whatever their number. Points meet at anchors (see :func:`anchors`) and are
+    compared as in :func:`_components`, so a crowded anchor is dealt in blocks and no link is missed.
 
-    Null or empty text: fingerprint zero, linked like any other. A null id gets a fingerprint but is never a
-    representative; its component is the class's, null if the class has no id. An empty table gives an empty result.
+    Null or empty text: fingerprint zero, linked like any other. A null id gets a fingerprint and links like any other;
+    its component is the class's, null if the class has no id. Rows that repeat an id are judged by their own texts. An empty table gives an empty result.
     """
     if not 0 <= threshold <= 3:
         raise ValueError("two blocks with one differing bit each cover at most 3 differing bits")
     use_checkpoints(docs.sparkSession)
-    fps = fingerprints(docs, doc_id, text, shingle).withColumnRenamed("fp", "s0").checkpoint()
-    reps = fps.groupBy("s0").agg(F.min("id").alias("rep")).checkpoint()
-    linked = _components(reps, anchors(F.col("s0")), 1, threshold)
-    named = reps.join(linked, "rep", "left").select("s0", F.coalesce("component", "rep").alias("component"))
-    return fps.join(named, "s0").select("id", F.col("s0").alias("fp"), "component")
+    fps = fingerprints(docs, doc_id, text, shingle).checkpoint()
+    reps = fps.groupBy("fp").agg(F.min("id").alias("least")).checkpoint()
+    points = reps.select(F.col("fp").alias("rep"), F.col("fp").alias("p"))
+    at = points.select("rep", F.lit(1).cast("long").alias("n"), F.explode(anchors(F.col("p"))).alias("key"))
+    linked = _components(at, points, lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= threshold, _close_bits(threshold), CHUNK)
+    return fps.join(_named(reps, linked, "fp"), "fp").select("id", "fp", "component")
+
+
+def _named(reps: DataFrame, linked: DataFrame, point: str) -> DataFrame:
+    """``reps`` with ``component``, the least of the ``least`` ids in each component of its points."""
+    met = reps.join(linked, reps[point] == linked["rep"], "left").select(*reps.columns, F.coalesce("component", point).alias("at"))
+    return met.drop("least").join(met.groupBy("at").agg(F.min("least").alias("component")), "at").drop("at")
 
 
 def _band_keys(hashes: np.ndarray) -> np.ndarray:
@@ -181,34 +216,28 @@ def _band_keys(hashes: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _exact_links(similarity: float):
-    """Links of an exact Jaccard similarity of at least ``similarity`` within each group, as a spanning forest."""
+def _similar_sets(similarity: float):
+    """Exact Jaccard similarities of one set with others, over codes that count the distinct values of the group."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g in _groups(frames, ["key", "i", "j"]):
-            rep, sets = g["rep"].to_numpy(), list(g["shingles"])
-            n = np.array([len(x) for x in sets])
-            code = np.unique(np.concatenate(sets), return_inverse=True)[1]
-            sets = np.split(code, np.cumsum(n)[:-1])
-            mark, todo, out, front = np.zeros(code.max() + 1, bool), np.arange(len(n)), [], []
-            while len(todo):
-                if not front:
-                    front, todo = [todo[0]], todo[1:]
-                u = front.pop()
-                near = todo[np.minimum(n[todo], n[u]) >= similarity * np.maximum(n[todo], n[u])]  # others cannot be similar
+    def matcher(p: pd.Series):
+        n = p.str.len().to_numpy()
+        codes = np.unique(np.concatenate(p.to_numpy()), return_inverse=True)[1].astype(np.int32)
+        sets = np.split(codes, np.cumsum(n)[:-1])
+        mark = np.zeros(int(codes.max()) + 1, bool)
+
+        def near(u: int, v: np.ndarray) -> np.ndarray:
+            hit = np.minimum(n[v], n[u]) >= similarity * np.maximum(n[v], n[u])  # others cannot be similar
+            at = np.flatnonzero(hit)
+            if len(at):
                 mark[sets[u]] = True
-                both = np.array([np.count_nonzero(mark[sets[v]]) for v in near], np.int64)
+                both = np.add.reduceat(mark[np.concatenate([sets[k] for k in v[at]])], np.cumsum(n[v[at]]) - n[v[at]], dtype=np.int64)
                 mark[sets[u]] = False
-                hit = near[both >= similarity * (n[near] + n[u] - both)]
-                if len(hit):
-                    out.append(np.stack([np.full(len(hit), rep[u]), rep[hit]]))
-                    front.extend(hit)
-                    todo = np.setdiff1d(todo, hit, assume_unique=True)
-            if out:
-                a, b = np.concatenate(out, axis=1)
-                yield pd.DataFrame({"a": a, "b": b})
+                hit[at] = both >= similarity * (n[v[at]] + n[u] - both)
+            return hit
 
-    return run
+        return near
+
+    return matcher
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -219,11 +248,11 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     a pair at similarity ``j`` meets with odds of ``1 - (1 - j**6)**20``, 99.8 % at 0.8 and more above. Every link is
     then decided by the exact Jaccard similarity of the sets of 64-bit shingle hashes.
 
-    Equal shingle sets are one point. Bands that bring the same points together are one group, so the sets, which are
-    made again for points that meet, travel once for it. Groups of over ``CHUNK`` points or ``LOAD`` shingles are dealt
-    as pairs of chunks as in :func:`near_duplicates`. The texts are read twice.
+    Equal shingle sets are one point. The sets are made again for points that meet, so the texts are read twice, and
+    compared as in :func:`_components`: most copies just with the smallest of their group, others in blocks.
 
-    Null or empty text: linked with its like. A null id stays alone (null component) unless its text is another's.
+    Null or empty text: linked with its like. A null id stays alone (null component) unless its text is another's. Rows
+    that repeat an id are judged by their own texts.
     """
     use_checkpoints(docs.sparkSession)
 
@@ -247,22 +276,21 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
     sig = ["s0", "s1"]
     fps = texts.mapInArrow(*read(True)).checkpoint()
-    # an equal set has equal keys
-    reps = fps.groupBy(*sig).agg(F.min("id").alias("rep")).checkpoint()
-    one = reps.filter("rep is not null").select(F.col("rep").alias("id"), *sig)
-    at = fps.join(one, ["id", *sig]).select(F.col("id").alias("rep"), "n", F.explode("keys").alias("key")).distinct()
-    held = at.groupBy("key").agg(F.count("*").alias("m"), F.sum("n").alias("load"), F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.bit_xor(F.xxhash64("rep")).alias("x")).filter("m > 1")
-    many = held.groupBy("m", "load", "lo", "hi", "x").agg(F.min("key").alias("key")).select("key", F.ceil(F.greatest(F.col("m") / CHUNK, F.col("load") / LOAD)).cast("int").alias("chunks"))
-    met = at.join(many, "key").select("key", "rep", "chunks").checkpoint()
-    need = met.select("rep").distinct()
-    sets = texts.join(need, texts["id"] == need["rep"], "left_semi").mapInArrow(*read(False)).join(one, ["id", *sig]).select(F.col("id").alias("rep"), "shingles")
-    own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
-    met = met.select("key", "rep", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-    met = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep").join(sets, "rep")
-    met = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    linked = connected_components(met.mapInPandas(_exact_links(similarity), "a long, b long"), "a", "b").withColumnRenamed("node", "rep")
-    named = reps.join(linked, "rep", "left").select(*sig, F.coalesce("component", "rep").alias("component"))
-    return fps.select("id", *sig).join(named, sig).select("id", "component")
+    # an equal set has equal keys; points are named by the first half of their digest
+    reps = fps.groupBy(*sig).agg(F.min("id").alias("least")).checkpoint()
+    one = reps.filter("least is not null").select(F.col("least").alias("id"), *sig)
+    at = fps.join(one, ["id", *sig]).select(F.col("s0").alias("rep"), "id", "n", F.explode("keys").alias("key")).distinct()
+    # a point that meets no other has no set to make
+    need = at.join(at.groupBy("key").count().filter("count > 1").select("key"), "key").select(F.col("id").alias("of")).distinct()
+    sets = texts.join(need, texts["id"] == need["of"], "left_semi").mapInArrow(*read(False)).join(one, ["id", *sig]).dropDuplicates(["id", *sig])
+    sets = sets.select(F.col("s0").alias("rep"), F.col("shingles").alias("p")).checkpoint()
+
+    def alike(a: Column, b: Column) -> Column:
+        both = F.size(F.array_intersect(a, b))
+        return both >= F.lit(similarity) * (F.size(a) + F.size(b) - both)
+
+    linked = _components(at.drop("id"), sets, alike, _similar_sets(similarity), LOAD)
+    return fps.select("id", *sig).join(_named(reps, linked, "s0"), sig).select("id", "component")
 
 
 def hex_fingerprint(fp: Column) -> Column:
