@@ -8,8 +8,10 @@ from pyspark.sql import SparkSession
 
 
 def use_checkpoints(spark: SparkSession) -> None:
-    """Make ``checkpoint()`` usable: the session's ``spark.checkpoint.dir``, else (local tests) a new folder."""
+    """Make ``checkpoint()`` usable: the session's ``spark.checkpoint.dir``, else (local masters only) a new folder."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir isn't set; a cluster needs a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
