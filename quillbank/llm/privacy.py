@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillbank.functions.session import use_checkpoints
-from quillbank.llm.text import whole
+from quillbank.llm.text import bit_filter, whole
 
 #: Base kinds in their order, then the method's.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -64,29 +65,35 @@ def _hash(x: str) -> int:
     return xxhash.xxh64_intdigest(x) - (1 << 63)
 
 
+def free_words(text: str, base: list[tuple[int, int, int]]) -> Iterator[re.Match]:
+    """Words that overlap no base entity; both are in order, so each is looked at once."""
+    k, end = 0, 0
+    for m in _WORD.finditer(text):
+        while k < len(base) and base[k][1] < m.end():
+            end = max(end, base[k][2])
+            k += 1
+        if end <= m.start():
+            yield m
+
+
 def _neighbours(text: str, base: list[tuple[int, int, int]], reach: int) -> Iterator[tuple[int, int]]:
-    """(entity, term) of up to ``reach`` words on either side of each entity, in its line and outside of all entities."""
+    """(entity, term) of up to ``reach`` free words on either side of each entity, in its line."""
+    words = list(free_words(text, base))
+    starts, keys = [m.start() for m in words], [_hash(m[0].lower()) for m in words]
+    line, end = 0, -1
     for kind, s, e in base:
-        lo, hi = max(text.rfind("\n", 0, s) + 1, s - 40 * reach), text.find("\n", e)
-        hi = min(len(text) if hi < 0 else hi, e + 40 * reach)
-        near = list(_WORD.finditer(text, lo, s))[-reach:] + list(_WORD.finditer(text, e, hi))[:reach]
-        near = [m for m in near if not any(m.start() < b and a < m.end() for _, a, b in base if a < hi and b > lo)]
-        entity = _hash(f"{kind}:{text[s:e].lower()}")
-        for m in near:
-            yield entity, _hash(m[0].lower())
-
-
-def _filter(terms: DataFrame) -> np.ndarray:
-    """Bits of the terms' hashes, 32 or more for each term: all of its words are 0 but those of terms, and few others."""
-    bits = 1 << max(16, (32 * terms.count()).bit_length())
-    at = F.pmod("term", F.lit(bits))
-    found = terms.groupBy(F.shiftright(at, 3).alias("byte")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))).alias("mask")).toPandas()
-    out = np.zeros(bits // 8, np.uint8)
-    out[found["byte"].to_numpy(np.int64)] = found["mask"].to_numpy(np.uint8)
-    return out
-
-
-def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, reach: int = 5, smoothing: float = 1.0, disclosure: float = 0.75) -> DataFrame:
+        if s > end:
+            line, end = text.rfind("\n", 0, s) + 1, text.find("\n", s)
+            end = len(text) if end < 0 else end
+        entity, k = _hash(f"{kind}:{text[s:e].lower()}"), bisect(starts, s)
+        for near in (range(k - 1, max(k - reach, 0) - 1, -1), range(k, min(k + reach, len(words)))):
+            for j in near:
+                if not line <= starts[j] < end:
+                    break
+                yield entity, keys[j]
+
+
+def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, reach: int = 5, smoothing: float = 1.0, disclosure: float = 0.75, certainty: float = 1 / 3) -> DataFrame:
     """``id, base, spans`` per row: arrays of ``(kind, start, end)`` in code points, end exclusive, by start, then kind.
 
     Base entities are found by pattern. Terms met within ``reach`` words of an entity are then weighed by their rows in
@@ -135,8 +142,8 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     weighed = both.join(holders, "entity").join(df, "term")
     share = F.col("holders") / F.lit(total)
     given = (F.col("both") + smoothing * share) / (F.col("df") + smoothing)
-    telling = weighed.filter((share < 1) & (F.log(given / share) >= -disclosure * F.log(share))).select("term").distinct().checkpoint()
-    bits = _filter(telling)
+    telling = weighed.filter((share < 1) & (given >= certainty) & (F.log(given / share) >= -disclosure * F.log(share))).select("term").distinct().checkpoint()
+    bits = bit_filter(telling, "term")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,15 +155,14 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                 at = h & (8 * len(bits) - 1)
                 hit = {known[k]: int(h[k]) for k in np.flatnonzero(bits[at >> 3] >> (at & 7) & 1)}
                 if hit:
-                    out += [(i, tid, hit[w], m.start(), m.end()) for m in _WORD.finditer(x) if (w := m[0].lower()) in hit]
+                    out += [(i, tid, hit[w], m.start(), m.end()) for m in free_words(x, entities(x)) if (w := m[0].lower()) in hit]
             cols = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "tid", "term", "start", "end"])
 
     more = texts.mapInArrow(mark, "id long, tid long, term long, start long, end long").join(telling, "term")
     more = more.groupBy("id", "tid").agg(F.collect_set(F.struct(F.lit(KINDS.index("term")).alias("kind"), "start", "end")).alias("more")).select(F.col("id").alias("of"), F.col("tid").alias("same"), "more")
     out = rows.select("id", "tid", "base").join(more, F.col("id").eqNullSafe(F.col("of")) & (F.col("tid") == F.col("same")), "left")
-    free = F.filter("more", lambda s: ~F.exists("base", lambda c: (s["start"] < c["end"]) & (c["start"] < s["end"])))
-    every = F.concat("base", F.coalesce(free, F.expr(f"cast(array() as {kinds})")))
+    every = F.concat("base", F.coalesce("more", F.expr(f"cast(array() as {kinds})")))
     ordered = F.array_sort(F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
     return out.select("id", "tid", "base", F.transform(ordered, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
 
