@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillbank.functions.session import use_checkpoints
 from quillbank.llm.urls import url_parts
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:"[^"]*+"|'[^']*+'|[^>"'])*+|[^>]*+)>|<[!?/][^>]*+>""", re.S)
@@ -23,146 +26,248 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr "
     "html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-#: Elements, and words of class, id or role, that say that a branch isn't content.
+#: Elements whose content is no part of an article.
 CHROME = frozenset("nav header footer aside form script style head noscript template button select svg iframe dialog menu object embed textarea title audio video canvas search".split())
+#: Words of class, id or role that speak against content, and words that say nothing beside them.
 NOISE = frozenset(
     "ad ads adv advert advertisement adverts advertising adbox adsense banner banners sponsor sponsored promo promotion promoted cookie cookies consent gdpr notice notices alert popup "
     "modal overlay newsletter subscribe subscription signup login sidebar sidebars widget widgets related recommended recommendations share sharing social breadcrumb breadcrumbs "
     "pagination pager menu menus nav navbar navigation footer header masthead topbar toolbar comment comments commentlist disqus reply replies respond copyright "
     "contentinfo complementary search form skip".split()
 )
+NEUTRAL = frozenset("area article bar block bottom box container content entry global group inner item items js left link links list main outer page panel post posts primary right row secondary section site slot top unit wrap wrapper".split())
 MAIN = frozenset(("article", "main"))
 #: A start tag of the key closes an open element of the value.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+_WORDS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 
 
-def _style(tag: str, attributes: str) -> tuple[str, bool]:
-    """The element's name in the style tree, and whether it says that it isn't content."""
+def _noisy(token: str) -> bool:
+    """Whether a token of class, id or role speaks against content: one word that does, and none that says something else."""
+    if token in NOISE:
+        return True
+    words = [w for w in _WORDS.split(token) if w and not w.isdigit()]
+    return any(w in NOISE for w in words) and all(w in NOISE or w in NEUTRAL for w in words)
+
+
+def _style(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """The element's name in the style tree, whether it is no content by what it is, and whether its names speak against content."""
     found = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
-    words = set(re.split(r"[^a-z0-9]+", " ".join(found.get(k, "") for k in ("class", "id", "role"))))
-    hidden = "hidden" in found or found.get("aria-hidden") == "true"
-    noise = tag in CHROME or hidden or (tag not in ("html", "body", "main") and bool(words & NOISE))
-    return f"{tag}.{found['class']}" if found.get("class") else tag, noise
-
-
-def blocks(page: str) -> list[tuple[str, bool, str]]:
-    """Text blocks of a page outside of marked-up chrome: (style path of the container, in an article or main, text)."""
-    out: list[tuple[str, bool, str]] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, style path, chrome, in main
-    text: list[str] = []
-
-    def flush() -> None:
-        if text:
-            joined = " ".join(entities.unescape("".join(text)).split())
-            text.clear()
+    chrome = tag in CHROME or "hidden" in found or found.get("aria-hidden") == "true"
+    noise = tag not in ("html", "body", "main") and any(map(_noisy, " ".join(found.get(k, "") for k in ("class", "id", "role")).split()))
+    return f"{tag}.{found['class']}" if found.get("class") else tag, chrome, noise
+
+
+@dataclass
+class Node:
+    """A style node of one page: all containers of one path of element names. ``path`` hashes that path."""
+
+    path: int
+    up: int
+    noise: bool
+    main: bool
+    texts: list[str] = field(default_factory=list)
+    children: list[str] = field(default_factory=list)
+    linked: int = 0
+
+
+class Page:
+    """One pass over a page: ``nodes`` (parents first) and ``blocks`` of text, each with its node, outside of marked-up chrome."""
+
+    def __init__(self, page: str) -> None:
+        self.nodes, self.blocks = [Node(0, -1, False, False)], []
+        self._known: dict[tuple[int, str, bool], int] = {}
+        self._stack: list[tuple[str, int, bool]] = []  # tag, node, chrome
+        self._open: Counter[str] = Counter()
+        self._text: list[str] = []
+        self._links = self._anchors = 0
+        self._read(page)
+
+    def _flush(self) -> None:
+        if self._text:
+            joined = " ".join(entities.unescape("".join(self._text)).split())
+            self._text.clear()
             if joined:
-                inside = next((s for s in reversed(stack) if s[0] in BLOCKS and s[0] != "p"), ("", "", False, False))
-                out.append((inside[1], bool(stack) and stack[-1][3], joined))
+                node = self._stack[-1][1] if self._stack else 0
+                self.blocks.append((node, joined))
+                self.nodes[node].texts.append(joined)
+                self.nodes[node].linked += min(self._links, len(joined))
+        self._links = 0
+
+    def _pop(self) -> None:
+        if self._stack[-1][1] != (self._stack[-2][1] if len(self._stack) > 1 else 0):
+            self._flush()  # the end of a node is the end of its text
+        tag = self._stack.pop()[0]
+        self._open[tag] -= 1
+        self._anchors -= tag == "a"
 
-    def close(names: tuple[str, ...], within: tuple[str, ...]) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in names:
-                del stack[k:]
+    def _close(self, names: tuple[str, ...], within: tuple[str, ...]) -> None:
+        if not any(self._open[n] for n in names):
+            return
+        for k in range(len(self._stack) - 1, -1, -1):
+            if self._stack[k][0] in names:
+                while len(self._stack) > k:
+                    self._pop()
                 return
-            if stack[k][0] in within:
+            if self._stack[k][0] in within:
                 return
 
-    at, end = 0, page.rfind(">") + 1
-    while at < len(page):
-        m = TOKEN.search(page, at, end)
-        stop = m.start() if m else len(page)
-        if stop > at and not (stack and stack[-1][2]):
-            text.append(page[at:stop])
-        if not m:
-            break
-        at = m.end()
-        if not m[2]:
-            continue
-        tag = m[2].lower()
-        if tag == "br":
-            text.append(" ")
-        elif m[1]:
-            if tag in BLOCKS:
-                flush()
-            if any(s[0] == tag for s in stack):
-                close((tag,), ())
-        else:
+    def _push(self, tag: str, attributes: str) -> None:
+        name, no_content, noise = _style(tag, attributes)
+        noise = noise and not (self._open["pre"] or self._open["code"])  # listings give their words classes
+        node, chrome = self._stack[-1][1:] if self._stack else (0, False)
+        if no_content and not chrome:
+            self._flush()
+        if not chrome and not no_content and (tag in BLOCKS or noise):
+            up = self.nodes[node]
+            up.children.append(name)
+            if tag not in BLOCKS:
+                self._flush()
+            if noise or tag != "p":
+                key = (node, name, noise)
+                if key not in self._known:
+                    self._known[key] = len(self.nodes)
+                    self.nodes.append(Node(xxhash.xxh64_intdigest(name, up.path), node, noise, up.main or tag in MAIN))
+                node = self._known[key]
+        self._stack.append((tag, node, chrome or no_content))
+        self._open[tag] += 1
+        self._anchors += tag == "a"
+
+    def _read(self, page: str) -> None:
+        at, end = 0, page.rfind(">") + 1
+        while at < len(page):
+            m = TOKEN.search(page, at, end)
+            stop = m.start() if m else len(page)
+            if stop > at and not (self._stack and self._stack[-1][2]):
+                self._text.append(page[at:stop])
+                if self._anchors > 0:
+                    self._links += len(page[at:stop].strip())
+            if not m:
+                break
+            at = m.end()
+            if not m[2]:
+                continue
+            tag = m[2].lower()
+            if tag == "br":
+                self._text.append(" ")
+                continue
             if tag in BLOCKS:
-                flush()
-                close(("p",), ("td", "th", "table", "button", "article"))
-            close(CLOSES.get(tag, ()), ("ul", "ol", "dl", "table")) if tag in CLOSES else None
-            if tag in VOID:
+                self._flush()
+            if m[1]:
+                self._close((tag,), ())
                 continue
+            if tag in BLOCKS:
+                self._close(("p",), ("td", "th", "table", "button", "article"))
+            if tag in CLOSES:
+                self._close(CLOSES[tag], ("ul", "ol", "dl", "table"))
             if tag in RAW:
                 shut = re.compile(rf"</{tag}[^>]*>", re.I).search(page, at)
                 at = shut.end() if shut else len(page)
+            elif tag not in VOID:
+                self._push(tag, m[3])
+        self._flush()
+
+    def branches(self) -> Iterator[tuple[int, int, int]]:
+        """(path, content, presentation) hashes of every branch with text; a node that adds nothing to its only branch is left out."""
+        content = [xxhash.xxh64("\n".join(n.texts), 1) if n.texts else None for n in self.nodes]
+        below = [0] * len(self.nodes)
+        for k in range(len(self.nodes) - 1, -1, -1):
+            node, here = self.nodes[k], content[k]
+            if here is None:
                 continue
-            name, noise = _style(tag, m[3])
-            _, path, chrome, main = stack[-1] if stack else ("", "", False, False)
-            if noise and not chrome and tag in BLOCKS | CHROME:
-                flush()
-            stack.append((tag, f"{path}/{name}" if tag in BLOCKS and tag != "p" else path, chrome or noise, main or (tag in MAIN and not noise)))
-    flush()
-    return out
-
-
-def article(page: str, unimportant: frozenset[str]) -> str:
-    """Blocks of the article if the page marks one, else those of branches that aren't unimportant on this site."""
-    found = blocks(page)
-    chosen = [b for b in found if b[1]]
-    if not chosen:
-        size: dict[str, int] = {}
-        for path, _, t in found:
-            size[path] = size.get(path, 0) + len(t)
-        largest = max(size, key=lambda p: (size[p], p), default="")  # a page that repeats as a whole keeps its text
-        chosen = [b for b in found if b[0] == largest or not any(b[0] == u or b[0].startswith(f"{u}/") for u in unimportant)]
-    return "\n\n".join(t for _, _, t in chosen)
+            if node.texts or below[k] > 1:
+                yield node.path, here.intdigest() >> 1, xxhash.xxh64_intdigest(" ".join(node.children)) >> 1
+            if node.up >= 0:
+                if content[node.up] is None:
+                    content[node.up] = xxhash.xxh64(seed=2)
+                content[node.up].update(here.digest())
+                below[node.up] += 1
+
+
+def article(page: str, unimportant: frozenset[int]) -> str:
+    """The page's blocks but for branches without importance: ``unimportant`` ones of the host's style tree, by path.
+
+    Names that speak against content and branches of three or more blocks that are mostly links count as unimportant too.
+    Where the articles left hold at least half of the text left, text outside of them is removed as well. A page
+    without an article of importance keeps the branch that holds half of its text, whatever is said against it.
+    """
+    found = Page(page)
+    nodes, own = found.nodes, [sum(map(len, n.texts)) for n in found.nodes]
+
+    def branch(counts: list[int]) -> list[int]:
+        out = counts[:]
+        for k in range(len(out) - 1, 0, -1):
+            out[nodes[k].up] += out[k]
+        return out
+
+    def under(marks: list[bool]) -> list[bool]:
+        out = marks[:]
+        for k in range(1, len(out)):
+            out[k] = out[k] or out[nodes[k].up]
+        return out
+
+    def main_text(gone: list[bool]) -> int:
+        return sum(c for c, n, g in zip(own, nodes, gone, strict=True) if n.main and not g)
+
+    # in two rounds, first by what the mark-up says, then by the tree
+    gone = [False] * len(nodes)
+    noisy = [n.noise or (not n.main and len(n.texts) > 2 and n.linked >= 0.8 * c) for n, c in zip(nodes, own, strict=True)]
+    for marks in (noisy, [n.path in unimportant for n in nodes]):
+        size = branch([0 if g else c for c, g in zip(own, gone, strict=True)])
+        some = main_text(under([a or b for a, b in zip(marks, gone, strict=True)])) > 0
+        holds = branch([c if n.main and not g else 0 for c, n, g in zip(own, nodes, gone, strict=True)])
+        gone = under([g or (m and (some or (2 * size[k] < size[0] and not holds[k]))) for k, (m, g) in enumerate(zip(marks, gone, strict=True))])
+    inside = main_text(gone)
+    if inside and 2 * inside >= sum(c for c, g in zip(own, gone, strict=True) if not g):
+        gone = [g or not n.main for n, g in zip(nodes, gone, strict=True)]
+    return "\n\n".join(t for k, t in found.blocks if not gone[k])
 
 
 def style_tree(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """The merged DOMs of each host: ``host, path, pages, importance`` per style node outside of articles.
+    """The merged DOMs of each host: ``host, path, pages, importance`` per style node (``path`` hashes its element names).
 
-    A node's importance is the entropy of its content over the host's pages, as a share of its maximum, or of its
-    presentation (the sequence of blocks in it), whichever is larger. Tasks send two hashes for each node and page.
+    A node's importance is the mean of two entropies over the host's pages, each as a share of its maximum: of its
+    content, and of its presentation (the sequence of its child elements). Pages with equal content count once. Tasks
+    send three hashes for each node and page; sums per node are combined before they are shuffled.
     """
-    schema = "host string, path string, content long, presentation long"
+    schema = "host string, page long, path long, content long, presentation long"
     host, _ = url_parts(F.col(url).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[tuple] = []
             for h, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                node: dict[str, list[str]] = {}
-                for path, main, x in blocks(t.as_py() or ""):
-                    if not main:
-                        node.setdefault(path, []).append(x)
-                rows += [(h, p, xxhash.xxh64_intdigest("\n".join(x)) >> 1, xxhash.xxh64_intdigest(str([len(y) // 40 for y in x])) >> 1) for p, x in node.items()]
-            cols = list(zip(*rows, strict=True)) or [[], [], [], []]
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["host", "path", "content", "presentation"])
-
-    nodes = pages.select(host.alias("host"), F.col(html).cast("string").alias("html")).mapInArrow(run, schema)
-    counts = nodes.groupBy("host", "path", "content", "presentation").agg(F.count("*").alias("n"))
-    spread = lambda c: counts.groupBy("host", "path", c).agg(F.sum("n").alias("n")).groupBy("host", "path").agg(F.sum("n").alias("pages"), (F.log2(F.sum("n")) - F.sum(F.col("n") * F.log2("n")) / F.sum("n")).alias(f"h_{c}"))
+                branches = list(Page(t.as_py() or "").branches())
+                rows += [(h, branches[-1][1], p - (1 << 63), c, s) for p, c, s in branches]
+            cols = list(zip(*rows, strict=True)) or [[]] * 5
+            kinds = (pa.string(), *[pa.int64()] * 4)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["host", "page", "path", "content", "presentation"])
+
+    nodes = pages.select(host.alias("host"), F.col(html).cast("string").alias("html")).mapInArrow(run, schema).distinct()
+    top = F.log2(F.greatest(F.sum("n"), F.lit(2)))
+    entropy = (F.log2(F.sum("n")) - F.sum(F.col("n") * F.log2("n")) / F.sum("n")) / top
+    spread = lambda c: nodes.groupBy("host", "path", c).agg(F.count("*").alias("n")).groupBy("host", "path").agg(F.sum("n").alias("pages"), entropy.alias(f"h_{c}"))
     both = spread("content").join(spread("presentation").drop("pages"), ["host", "path"])
-    top = F.log2(F.greatest(F.col("pages"), F.lit(2)))
-    return both.select("host", "path", "pages", (F.greatest("h_content", "h_presentation") / top).alias("importance"))
+    return both.select("host", "path", "pages", ((F.col("h_content") + F.col("h_presentation")) / 2).alias("importance"))
 
 
 def extract_articles(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", *, least: float = 0.3, min_pages: int = 3, broadcast_rows: int = 20_000) -> DataFrame:
     """The main text of every page: ``page_id, url, text``, a row per input row.
 
-    Branches whose element, class, id or role says so are no content. Of the rest, the page's articles are its text;
-    without one, branches of the host's style tree with an importance below ``least`` on at least ``min_pages`` pages
-    are removed, but for the branch that holds most of the page's text. (Entropy alone cannot tell a menu of links
-    that differ on every page from content, so it decides only where the mark-up doesn't.)
+    Elements that are no content by what they are (navigation, forms, scripts, hidden ones) are left out. All other
+    branches, inside and outside of articles, are weighed by the host's style tree (:func:`style_tree`) and what their
+    mark-up says (:func:`article`); those below ``least`` are removed. The tree knows nodes of at least ``min_pages``
+    different pages; others count as important. Entropy alone cannot tell a menu of links that differ on every page
+    from content, hence the mark-up's say.
 
-    The removed branches are broadcast while they are at most ``broadcast_rows``, else joined by host, where
-    adaptive execution splits a large host. Null html: empty text. Null url: the host is empty. Rows that repeat a
-    page are extracted one by one. Very long or broken pages take one linear pass. An empty table gives an empty result.
+    The tree's low nodes are broadcast while they are at most ``broadcast_rows``, so that pages aren't shuffled, else
+    joined by host, where adaptive execution splits a large one. Null html: empty text. Null
+    url: the host is empty. Rows that repeat a page are extracted one by one. Very long, broken or deeply nested pages
+    take one linear pass. An empty table gives an empty result.
     """
+    use_checkpoints(pages.sparkSession)
     low = style_tree(pages, html, url).filter((F.col("importance") < least) & (F.col("pages") >= min_pages))
-    by_host = low.groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("low")).cache()
+    by_host = low.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("low")).checkpoint()
     rows = by_host.agg(F.sum(F.size("low"))).first()[0] or 0
     host, _ = url_parts(F.col(url).cast("string"))
     base = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"), F.col(html).cast("string").alias("html"))
@@ -170,11 +275,12 @@ def extract_articles(pages: DataFrame, page_id: str = "page_id", url: str = "url
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets: dict[tuple, frozenset] = {}
-            texts = []
+            texts, sets = [], {}
             for t, u in zip(b.column(2), b.column(3), strict=True):
                 key = tuple(u.as_py() or ())
-                texts.append(article(t.as_py() or "", sets.setdefault(key, frozenset(key))))
+                if key not in sets:
+                    sets[key] = frozenset(p + (1 << 63) for p in key)
+                texts.append(article(t.as_py() or "", sets[key]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     kind = dict(base.dtypes)
