@@ -126,11 +126,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Discriminant:
-    """Fit on all labelled rows that aren't held out. Rows with a null label or id teach nothing; repeated ids teach once per row."""
-    y = labels.filter(F.col(label).isin(0, 1)).select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("y"))
-    x = with_statistics(docs.filter(F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id))), doc_id, text)
-    return fit(x.join(y, "id").select("x", "y"))
+def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", fit_rows: int = 200_000) -> Discriminant:
+    """Fit on labelled rows that aren't held out: of at most about ``fit_rows`` labels, a sample by hash of the id.
+
+    The sampled labels are broadcast (16 bytes each), so statistics are made of labelled texts only and no text is
+    shuffled. Rows with a null label or id teach nothing; labels that repeat teach once, documents that do once per row.
+    """
+    y = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("y")).distinct()
+    y = y.filter(~held_out(F.col("id")))
+    part = min(1.0, fit_rows / max(1, y.count()))
+    y = y.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(int(part * (1 << 30))))
+    known = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text")).join(F.broadcast(y), "id")
+    return fit(with_statistics(known, "y", "text").select("x", F.col("id").cast("int").alias("y")))
 
 
 def quality_score(model: Discriminant):
