@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import string
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,75 +29,65 @@ def match_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return F.coalesce(*fits) if fits else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def templates(paths: DataFrame, levels: int, fan: float) -> DataFrame:
-    """Add ``chain`` (template prefixes from the host down) to ``host, segs, n, ...``.
+def template_tree(paths: DataFrame, levels: int, fan: float, spread: float, weight: float, z: float) -> DataFrame:
+    """``host, path, template, bad_share`` of ``host, path, segs, n, bad, seen`` (``n`` urls; ``bad`` of ``seen`` labels are bad).
 
-    Level by level, the children of a (host, template prefix) are weighed: if the effective number of their segments,
-    the exponential of the entropy, exceeds ``fan``, the position is variable and becomes ``*``.
-    """
-    out = paths.withColumn("chain", F.array(F.col("host")))
-    for k in range(levels):
-        here = out.filter(F.size("segs") > k)
-        seg, pre = F.get("segs", F.lit(k)), F.element_at("chain", -1)
-        kids = here.groupBy("host", pre.alias("pre"), seg.alias("seg")).agg(F.sum("n").alias("n"))
-        spread = kids.groupBy("host", "pre").agg((F.log(F.sum("n")) - F.sum(F.col("n") * F.log("n")) / F.sum("n")).alias("h"))
-        wide = spread.filter(F.exp("h") > fan).select("host", "pre", F.lit(True).alias("wide"))
-        met = out.withColumn("pre", pre).join(wide, ["host", "pre"], "left")
-        step = F.concat("pre", F.lit("/"), F.when(F.col("wide"), F.lit("*")).otherwise(seg))
-        chain = F.when(F.size("segs") > k, F.concat("chain", F.array(step))).otherwise(F.col("chain"))
-        out = met.withColumn("chain", chain).drop("pre", "wide").checkpoint()
-    return out
-
-
-def _purity(tree: DataFrame, levels: int, weight: float, z: float) -> DataFrame:
-    """``node, bad_share``: labelled purity of each node, smoothed with its parent's, after merging like siblings.
-
-    A node whose share of bad labels lies within ``z`` standard errors of its parent's is not told apart from it: such
-    siblings are merged and share their counts. Others stand alone.
+    Level by level, the children of each (host, template so far) are generalised and merged:
+
+    * A position is variable, and becomes ``*``, if the effective number of its segments, the exponential of their
+      entropy, exceeds ``fan``, or if at least four urls have ``spread`` of the entropy of segments that all differ.
+    * Elsewhere, children whose share of bad labels lies within ``z`` standard errors of the parent's, or that have no
+      labels, are not told apart from it. If several, they are merged to one branch, ``~``, and so is what follows.
+
+    A branch's share of bad labels is smoothed by ``weight`` labels with the parent's share; a host's with that of all.
     """
-    nodes = tree.select(F.explode(F.arrays_zip(F.col("chain").alias("node"), F.concat(F.array(F.lit("")), "chain").alias("up"), F.sequence(F.lit(0), F.size("chain")).alias("depth"))).alias("x"), "n", "bad", "good")
-    nodes = nodes.filter("x.node is not null").groupBy("x.node", "x.up", "x.depth").agg(F.sum("bad").alias("bad"), (F.sum("bad") + F.sum("good")).alias("seen")).checkpoint()
-    total = nodes.filter("depth = 0").agg(F.sum("bad").alias("bad"), F.sum("seen").alias("seen"))
+    total = paths.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.coalesce(F.sum("seen"), F.lit(0)).alias("seen"))
     # without labels the prior is a quarter, so nothing is rejected
-    above = total.select(F.lit("").alias("up"), ((F.coalesce("bad", F.lit(0)) + 1) / (F.coalesce("seen", F.lit(0)) + 4)).alias("base"))
-    done = []
-    for depth in range(levels + 1):
-        now = nodes.filter(F.col("depth") == depth).join(above, "up")
-        error = F.sqrt(F.col("base") * (1 - F.col("base")) / F.greatest(F.col("seen"), F.lit(1)))
-        now = now.withColumn("like", F.abs(F.col("bad") / F.greatest(F.col("seen"), F.lit(1)) - F.col("base")) <= z * error)
-        pool = now.filter("like").groupBy("up").agg(F.sum("bad").alias("pool_bad"), F.sum("seen").alias("pool_seen"))
-        now = now.join(pool, "up", "left")
-        own_bad, own_seen = (F.when(F.col("like"), F.col(f"pool_{c}")).otherwise(F.col(c)) for c in ("bad", "seen"))
-        now = now.select("node", ((own_bad + weight * F.col("base")) / (own_seen + weight)).alias("bad_share")).checkpoint()
-        done.append(now)
-        above = now.select(F.col("node").alias("up"), F.col("bad_share").alias("base"))
-    return reduce(DataFrame.unionByName, done)
-
-
-def judge_urls(pages: DataFrame, labels: DataFrame, rules: list[Rule], page_id: str = "page_id", url: str = "url", *, levels: int = 4, fan: float = 16.0, weight: float = 4.0, z: float = 1.0, reject: float = 0.5) -> DataFrame:
+    prior = total.select(((F.col("bad") + 1) / (F.col("seen") + 4)).alias("prior"))
+    smooth = lambda bad, seen, base: (bad + weight * base) / (seen + weight)
+    hosts = paths.groupBy("host").agg(F.sum("bad").alias("host_bad"), F.sum("seen").alias("host_seen")).join(F.broadcast(prior))  # one row
+    hosts = hosts.select("host", smooth(F.col("host_bad"), F.col("host_seen"), F.col("prior")).alias("share"))
+    out = paths.join(hosts, "host").withColumn("template", F.col("host"))
+    for k in range(levels):
+        out = out.withColumn("seg", F.get("segs", F.lit(k)))
+        kids = out.filter("seg is not null").groupBy("host", "template", "seg").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("seen").alias("seen"), F.first("share").alias("base"))
+        off = F.abs(F.col("bad") / F.greatest(F.col("seen"), F.lit(1)) - F.col("base"))
+        like = (F.col("seen") == 0) | (off <= z * F.sqrt(F.col("base") * (1 - F.col("base")) / F.greatest(F.col("seen"), F.lit(1))))
+        kids = kids.withColumn("like", like).checkpoint()
+        entropy = F.log(F.sum("n")) - F.sum(F.col("n") * F.log("n")) / F.sum("n")
+        at = kids.groupBy("host", "template").agg(entropy.alias("h"), F.sum("n").alias("urls"), F.count_if("like").alias("alike"))
+        wide = (F.exp("h") > fan) | ((F.col("urls") >= 4) & (F.col("h") >= spread * F.log("urls")))
+        at = at.select("host", "template", wide.alias("wide"), (F.col("alike") > 1).alias("merge"))
+        step = F.when(F.col("wide"), "*").when(F.col("merge") & F.col("like"), "~").otherwise(F.col("seg"))
+        steps = kids.join(at, ["host", "template"]).select("host", "template", "seg", step.alias("step"), "bad", "seen", "base")
+        shares = steps.groupBy("host", "template", "step").agg(smooth(F.sum("bad"), F.sum("seen"), F.first("base")).alias("next"))
+        named = steps.select("host", "template", "seg", "step").join(shares, ["host", "template", "step"])
+        met = out.join(named, ["host", "template", "seg"], "left")
+        on = F.col("step").isNotNull()
+        out = met.select("host", "path", "segs", "n", "bad", "seen", F.when(on, F.concat("template", F.lit("/"), "step")).otherwise(F.col("template")).alias("template"), F.when(on, F.col("next")).otherwise(F.col("share")).alias("share")).checkpoint()
+    return out.select("host", "path", "template", F.col("share").alias("bad_share"))
+
+
+def judge_urls(pages: DataFrame, labels: DataFrame, rules: list[Rule], page_id: str = "page_id", url: str = "url", *, levels: int = 4, fan: float = 16.0, spread: float = 0.75, weight: float = 4.0, z: float = 1.0, reject: float = 0.5) -> DataFrame:
     """Judge every url: ``page_id, host, path, rule, template, bad_share, verdict``, a row per input row.
 
-    Explicit rules come first. Else the url's template decides: path segments lose their numbers and long hex runs,
-    variable positions become wildcards (:func:`templates`), like branches merge and the template is blocked if its
-    smoothed share of bad labels (``labels``: page id, ``bad`` 0 or 1) reaches ``reject``. Segments beyond ``levels``
-    are the last level's, together. Urls are first counted by shape, so a host with a third of all rows is a few
-    partial sums, and the tree is built over shapes.
+    Explicit rules come first. Else the url's template decides (:func:`template_tree`): it is blocked if its smoothed
+    share of bad labels (``labels``: page id, ``bad`` 0 or 1) reaches ``reject``. Segments beyond ``levels`` are the
+    last level's, together. Urls are first counted by host and path; sums per child are combined before they are
+    shuffled, so a host with a third of all rows is many partial sums.
 
     Null urls and urls without ``://``: empty host and path, judged as one template. Null labels and labels of
     unknown pages say nothing; repeated ones count each time. Rows that repeat a page id are judged row by row. No
-    labels at all: nothing is blocked by the method. An empty table gives an empty result.
+    labels at all: nothing is blocked by the method. Shares of just ``reject`` are blocked. Very long urls are read
+    whole. An empty table gives an empty result.
     """
     use_checkpoints(pages.sparkSession)
     host, path = url_parts(F.col(url).cast("string"))
     base = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
-    shape = F.regexp_replace(F.regexp_replace("path", r"[0-9a-fA-F]{16,}", "{h}"), r"[0-9]+", "{n}")
-    segs = F.split(F.regexp_replace("shape", "^/", ""), "/", levels)
-    base = base.withColumn("shape", shape)
-    known = labels.filter("bad in (0, 1)").groupBy("page_id").agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good"))
-    shapes = base.join(known, "page_id", "left").groupBy("host", "shape").agg(F.count("*").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
-    tree = templates(shapes.withColumn("segs", segs).checkpoint(), levels, fan)
-    leaves = tree.select("host", "shape", F.element_at("chain", -1).alias("template"))
-    judged = leaves.join(_purity(tree, levels, weight, z).withColumnRenamed("node", "template"), "template")
-    met = base.join(judged, ["host", "shape"], "left").withColumn("fit", match_rule(F.col("host"), F.col("path"), rules))
+    known = labels.filter("bad in (0, 1)").groupBy("page_id").agg(F.sum("bad").alias("bad"), F.count("*").alias("seen"))
+    none = F.lit(0)
+    paths = base.join(known, "page_id", "left").groupBy("host", "path").agg(F.count("*").alias("n"), F.coalesce(F.sum("bad"), none).alias("bad"), F.coalesce(F.sum("seen"), none).alias("seen"))
+    tree = template_tree(paths.withColumn("segs", F.split(F.regexp_replace("path", "^/", ""), "/", levels)).checkpoint(), levels, fan, spread, weight, z)
+    met = base.join(tree, ["host", "path"], "left").withColumn("fit", match_rule(F.col("host"), F.col("path"), rules))
     by_method = F.when(F.col("bad_share") >= reject, "block").otherwise("allow")
     return met.select("page_id", "host", "path", "fit.rule", "template", "bad_share", F.coalesce("fit.verdict", by_method).alias("verdict"))
