@@ -37,18 +37,18 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, m
 
 
 def _fold(items: Column, seed: int) -> Column:
-    """Round an array of ``(id, size, row, base, s, m)`` but for one: mass ``m`` of a possible ``s`` moves between the carried and the next item.
+    """Round an array of ``(id, copy, size, .., base, s, m)`` but for one: mass ``m`` of a possible ``s`` moves between the carried and the next item.
 
     Moving up fills the carried item or empties the next; moving down the reverse; odds keep each expectation.
     """
-    none = "cast(null as struct<id:bigint,size:bigint,source_size:bigint,target:double,base:bigint,s:bigint,m:bigint>)"
-    done = "cast(array() as array<struct<id:bigint,size:bigint,source_size:bigint,target:double,base:bigint,s:bigint,m:bigint>>)"
+    none = "cast(null as struct<id:bigint,copy:bigint,size:bigint,source_size:bigint,target:double,base:bigint,s:bigint,m:bigint>)"
+    done = "cast(array() as array<struct<id:bigint,copy:bigint,size:bigint,source_size:bigint,target:double,base:bigint,s:bigint,m:bigint>>)"
 
     def step(acc: Column, x: Column) -> Column:
         c = acc["carry"]
         up, down = F.least(c["s"] - c["m"], x["m"]), F.least(c["m"], x["s"] - x["m"])
         # 52 bits of a hash of both ids, both masses and the seed: the same in each rerun
-        draw = F.shiftrightunsigned(F.xxhash64(c["id"], x["id"], c["m"], x["m"], F.lit(seed)), 12).cast("double") / float(1 << 52)
+        draw = F.shiftrightunsigned(F.xxhash64(c["id"], c["copy"], x["id"], x["copy"], c["m"], x["m"], F.lit(seed)), 12).cast("double") / float(1 << 52)
         moved = F.when(draw * (up + down) < down, up).otherwise(-down)
         c2, x2 = c.withField("m", c["m"] + moved), x.withField("m", x["m"] - moved)
         both = F.transform(F.array(F.struct(c2.alias("c"), x2.alias("x"))), lambda p: p)
@@ -76,14 +76,16 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     """
     spark = docs.sparkSession
     use_checkpoints(spark)
-    sizes = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(source).alias("source"), F.regexp_count(whole(text), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size")).checkpoint()
+    sizes = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(source).alias("source"), F.regexp_count(whole(text), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"))
+    # rows that repeat an id are told apart by a number, so that they are dealt over blocks like any other
+    sizes = sizes.groupBy("id", "source", "size").agg(F.count("*").alias("rows")).select("id", "source", "size", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("copy")).checkpoint()
     targets = source_targets(sizes, weights, share, most)
     due = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     base = F.least(F.floor(copies), F.lit(most)).cast("long")
     mass = F.floor((F.col("f") - F.col("base")) * F.col("size") * UNIT).cast("long")
     due = due.withColumn("f", copies).withColumn("base", base).withColumn("s", F.col("size") * UNIT).withColumn("m", F.greatest(F.lit(0).cast("long"), F.least(F.col("s"), mass)))
-    item = F.struct("id", "size", "source_size", "target", "base", "s", "m")
+    item = F.struct("id", "copy", "size", "source_size", "target", "base", "s", "m")
     level = due.select("source", item.alias("item"), (F.col("n") / FAN_IN).alias("blocks"))
     shut = level.filter("item.m <= 0 or item.m >= item.s").select("item")
     level = level.filter("item.m > 0 and item.m < item.s")
@@ -91,7 +93,7 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     rows, depth = targets.agg(F.max("n")).first()[0] or 0, 0
     while rows:
         depth += 1
-        block = F.pmod(F.xxhash64("item.id", F.lit(seed + depth)), F.greatest(F.lit(1), F.ceil("blocks")).cast("long"))
+        block = F.pmod(F.xxhash64("item.id", "item.copy", F.lit(seed + depth)), F.greatest(F.lit(1), F.ceil("blocks")).cast("long"))
         folded = level.groupBy("source", block.alias("block")).agg(F.array_sort(F.collect_list("item")).alias("items"), F.max("blocks").alias("blocks"))
         folded = folded.select("source", "blocks", _fold(F.col("items"), seed).alias("r")).select("source", "blocks", "r.*").checkpoint()
         done.append(folded.select(F.explode("done").alias("item")))
