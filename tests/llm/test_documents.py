@@ -186,11 +186,35 @@ def test_decontamination(spark, docs, corpus):
 
 
 def test_proximity_matches(spark):
-    docs = spark.createDataFrame([(1, "b a c d e"), (2, "a b c d e"), (3, "a x y z w")], "doc_id long, text string")
-    index = decontaminate.postings(docs, "doc_id", "text", frozenset({b"a"}), 4)
-    keys = [decontaminate._key(w) for w in (b"a", b"b", b"c", b"d", b"e")]
-    found = decontaminate.find_matches(index, spark.createDataFrame([("q", keys[0], 0, keys)], "item_id string, term long, offset int, keys array<long>"), 0.8)
-    assert rows_of(found, "id", "kind") == [(1, "proximity"), (2, "phrase")]
+    """Against every position of every rare word; words are rare as they are in all documents."""
+    import math
+    from collections import Counter
+
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(60)]
+    pick = lambda n: [words[min(59, int(rng.expovariate(0.06)))] for _ in range(n)]
+    items = [(k, pick(rng.randrange(3, 20))) for k in range(25)]
+    texts = [pick(rng.randrange(1, 80)) for _ in range(40)]
+    for _, w in items:
+        near = [x for x in w if rng.random() > 0.1]
+        rng.shuffle(near)
+        texts.append(pick(5) + near + pick(5))
+    seen = Counter(x for t in texts for x in t)
+    want = []
+    for i, t in enumerate(texts):
+        phrase, near = set(), set()
+        for item, w in items:
+            for g in (w[k : k + 13] for k in range(max(1, len(w) - 12))):
+                phrase |= {str(item) for k in range(len(t)) if t[k : k + len(g)] == g}
+                need = math.ceil(0.8 * len(set(g)) - 1e-9)
+                known = sorted(seen[x] for x in set(g) if x in seen)
+                rare = {x for x in g if x in seen and seen[x] <= known[len(known) - need]} if len(known) >= need else set()
+                near |= {str(item) for p, x in enumerate(t) if x in rare and len(set(t[max(0, p - 12) : p + 13]) & set(g)) >= need}
+        want.append((i, sorted(phrase), sorted(near - phrase)))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = decontaminate.decontaminate(docs, spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string"), overlap=0.8)
+    assert rows_of(found, "id", "items", "near") == sorted(want, key=repr)
+    assert sum(bool(n) for *_, n in want) > 10
 
 
 def test_mixing(docs, corpus):
@@ -233,6 +257,17 @@ def test_mixing_chances(spark):
     assert np.std(list(taken.values())) < 40 * n
 
 
+def test_mixing_rows_that_repeat_an_id(spark):
+    rows = [(7, "a b c", "s", "clash")] * 900 + [(None, "a b", "s", "clash")] * 300 + [(k, "w " * (k % 9), "t", "clash") for k in range(300)] + [(1, None, None, None)] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, target string").repartition(6)
+    got = mixing.mix_sources(df)
+    assert got.count() == len(rows) and sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, mixing.mix_sources(df).collect()), key=repr)
+    from pyspark.sql import functions as F
+
+    sums = got.groupBy("source_size", "target").agg(F.sum("taken").alias("n"), F.max(F.col("taken") - 2 * F.col("size")).alias("over")).collect()
+    assert len(sums) == 3 and all(abs(r["n"] - r["target"]) <= 1 and r["over"] <= 0 for r in sums)
+
+
 def test_privacy(spark):
     hot = [(k, f"line {k}\nwrite to Amy Ruxworth at amy{0}@mail.example.com for item {k} today") for k in range(6)]
     texts = [(100, "a@b.c%d@e.f and x@y"), (101, "1.2.3.4.5.6.7.8 300.1.1.1 0255.0.0.1"), (102, "4111 1111 1111 1111 1"), (103, "4111-1111-1111-1111"), (104, "+1 (499) 555-6503 +12"), (105, None), (106, ""), (107, "é@x.y ñandú 10.0.0.1")]
@@ -261,6 +296,79 @@ def test_privacy_marks_names_beside_one_address(spark):
     assert got == {0: ["Zoe", "Quimby", "zq@mail.example.com", "Quimby"], 1: ["Quimby"], None: ["Zoe"]}
 
 
+def test_entities_like_the_plain_patterns():
+    def plain(text):
+        found = [(0, m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+        found += [(1, m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
+        for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+            d = [int(c) for c in m[0] if c.isdigit()]
+            if 14 <= len(d) <= 19 and sum(sum(divmod(x * (1 + k % 2), 10)) for k, x in enumerate(reversed(d))) % 10 == 0:
+                found.append((2, m.start(), m.end()))
+        found += [(3, m.start(), m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 10 <= sum(c.isdigit() for c in m[0]) <= 15]
+        return sorted(found, key=lambda x: (x[1], x[0]))
+
+    rng = random.Random(8)
+    pieces = ["a", "x.y", "@", "@@", ".", "-", " ", "\n", "+", "(", ")", "4111", "1111", "10.0.0.1", "255", "256.", "+44 20 7946 0018", "me@b.co", "é", "4539 1488 0343 6467", "%", "_", "0"]
+    for _ in range(4000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14)))
+        assert privacy.entities(text) == plain(text), text
+
+
+def test_privacy_by_brute_force(spark):
+    """Weigh every pair of an entity and a term near it in plain Python."""
+    import math
+
+    rng = random.Random(6)
+    words = [f"{a}{b}" for a in ("kal", "lom", "Mir", "nér", "rux", "Sät") for b in ("bad", "der", "fin", "gól", "xen", "")] + ["w" * 198]
+    mails = [f"{n}{k}@mail.example.com" for n in ("zq", "amy", "pat.k") for k in range(8)]
+    texts = []
+    for k in range(120):
+        rare = [f"name{chr(97 + k % 26)}{chr(97 + k // 26)}"]
+        t = [rng.choice(words[: 6 + k % 30]) for _ in range(rng.randrange(1, 40))] + (rare + [rng.choice(mails)] if k % 9 == 0 else [rng.choice(mails)] if k % 5 == 0 else rare if k % 7 == 0 else [])
+        rng.shuffle(t)
+        texts.append("".join(w + rng.choice([" ", " ", " ", "\n"]) for w in t))
+    texts += [f"{words[0]} {mails[0]} " * 3, None, "", texts[0], f"{'w' * 198} {mails[1]}", f"abc{mails[2]}def"]
+    word = re.compile(r"[^\W\d_]{3,}")
+    bases = [privacy.entities(t or "") for t in texts]
+    free = [[m for m in word.finditer(t or "") if not any(m.start() < e and s < m.end() for _, s, e in b)] for t, b in zip(texts, bases, strict=True)]
+    name = lambda t, x: (x[0], t[x[1] : x[2]].lower())
+    near = set()
+    for t, b, ms in zip(texts, bases, free, strict=True):
+        for x in b:
+            left = [m for m in ms if m.end() <= x[1]][-5:]
+            for m in left + [m for m in ms if m.start() >= x[2]][:5]:
+                if "\n" not in t[min(m.start(), x[1]) : max(m.end(), x[2])]:
+                    near.add((name(t, x), m[0].lower()))
+    holds = [{name(t, x) for x in b} for t, b in zip(texts, bases, strict=True)]
+    knows = [{w.lower() for w in word.findall(t or "")} for t in texts]
+    telling = set()
+    for c, w in near:
+        df, of, both = sum(w in k for k in knows), sum(c in h for h in holds), sum(c in h and w in k for h, k in zip(holds, knows, strict=True))
+        share = of / len(texts)
+        given = (both + share) / (df + 1)
+        if given >= 1 / 3 and math.log(given / share) >= -0.75 * math.log(share):
+            telling.add(w)
+    assert 3 < len(telling) < 40
+    want = []
+    for i, (t, b, ms) in enumerate(zip(texts, bases, free, strict=True)):
+        every = [(s, k, e) for k, s, e in b] + [(m.start(), 4, m.end()) for m in ms if m[0].lower() in telling]
+        want.append((i, [(k, s, e) for s, k, e in sorted(every)]))
+    df = spark.createDataFrame([(i, t, "clash", 1) for i, t in enumerate(texts)], "doc_id long, text string, base string, tid int").repartition(7)
+    got = privacy.find_personal_data(df).collect()
+    assert sorted((r["id"], [(x["kind"], x["start"], x["end"]) for x in r["spans"]]) for r in got) == want
+
+
+def test_privacy_of_odd_rows(spark):
+    import time
+
+    many = " ".join(f"u{k}@mail{k}.example.com name" for k in range(20_000))
+    rows = [(1, many), (1, "write a@b.cd"), (1, "write a@b.cd"), (None, "a@b.cd"), (None, None), (2, "x" * 500_000 + "@y.zz")]
+    began = time.perf_counter()
+    got = privacy.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r["id"], len(r["base"])) for r in got), key=repr) == sorted([(1, 20_000), (1, 1), (1, 1), (None, 1), (None, 0), (2, 1)], key=repr)
+    assert time.perf_counter() - began < 60
+
+
 def test_quality(spark):
     rows = [(k, "good words stand in order here. " * (2 + k % 5) if k % 2 else "%%% $$$ junk | junk | junk " * (2 + k % 7)) for k in range(400)] + [(1000, ""), (1001, None), (None, "some text")]
     labels = [(k, k % 2, 0) for k in range(400)] + [(5, None, 0), (None, 1, 0), (7000, 1, 0)]
@@ -274,6 +382,39 @@ def test_quality(spark):
     assert {r["predicted"] for r in quality.classify(docs, known.filter("quality = 0")).collect()} == {0}
 
 
+def test_quality_like_plain_densities(spark):
+    """Scores against log densities of two normal distributions, worked out from their formula."""
+    rng = np.random.default_rng(2)
+    d = len(quality.STATISTICS)
+    x = np.concatenate([rng.standard_normal((60, d)), rng.standard_normal((90, d)) * 1.5 + 0.4])
+    y = np.repeat([0, 1], [60, 90])
+    model = quality.fit(spark.createDataFrame([(v.tolist(), int(c)) for v, c in zip(x, y, strict=True)], "x array<double>, y int"))
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    groups = [z[y == c] for c in (0, 1)]
+    pooled = sum(np.cov(g.T, bias=True) * len(g) for g in groups) / len(z)
+    logs = []
+    for g in groups:
+        cov = 0.8 * np.cov(g.T, bias=True) + 0.2 * pooled
+        cov = 0.95 * cov + 0.05 * np.trace(cov) / d * np.eye(d)
+        away = z - g.mean(axis=0)
+        logs.append(np.log(len(g) / len(z)) - 0.5 * np.einsum("ij,ij->i", away @ np.linalg.inv(cov), away) - 0.5 * np.linalg.slogdet(cov)[1])
+    assert np.allclose(model.score(x), 1 / (1 + np.exp(logs[0] - logs[1])), atol=1e-6)
+
+
+def test_quality_of_odd_rows(spark):
+    rows = [(k, "good words stand in order here. " * (2 + k % 5) if k % 2 else "%%% junk | junk | " * (2 + k % 7), "clash", k) for k in range(90)]
+    rows += [(1, rows[2][1], "clash", 0), (1, rows[2][1], "clash", 0), (None, None, None, None), (500, "word " * 400_000, "clash", 0), (501, "x" * 2_000_000, "clash", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string, y long")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(90)] * 3 + [(7, 1)] * 50, "doc_id long, quality int")
+    got = quality.classify(docs, labels)
+    assert got.columns == ["doc_id", "text", "score", "y", "held_out", "predicted"] and got.count() == len(rows)
+    assert all(0 <= r["score"] <= 1 for r in got.select("score").collect())
+    kept = quality.learn(docs, labels, fit_rows=30)
+    assert len(kept.prior) == 2 and 0 < np.exp(kept.prior).min()
+    once = quality.learn(docs, labels.distinct())
+    assert np.array_equal(once.mean, quality.learn(docs, labels).mean)
+
+
 def test_empty_tables(spark, empty):
     assert lines.dedup_lines(empty).isEmpty() and simhash.near_duplicates(empty).isEmpty() and simhash.similar_documents(empty).isEmpty()
     assert suffixes.remove_repeats(empty).isEmpty() and mixing.mix_sources(empty).isEmpty() and privacy.find_personal_data(empty).isEmpty()

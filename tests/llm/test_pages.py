@@ -27,7 +27,64 @@ def test_templates_are_rejected_by_purity(spark):
     rows = [(k, f"http://h.x/{'spam' if k % 2 else 'news'}/{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}q/{k}") for k in range(400)]
     labels = [(k, k % 2) for k in range(0, 400, 3)] + [(1, None), (9999, 1)]
     got = urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int"), []).collect()
-    assert {(r["template"], r["verdict"]) for r in got} == {("h.x/spam/*/{n}", "block"), ("h.x/news/*/{n}", "allow")}
+    assert {(r["template"], r["verdict"]) for r in got} == {("h.x/spam/*/*", "block"), ("h.x/news/*/*", "allow")}
+
+
+def test_template_tree_by_brute_force(spark):
+    import math
+    import random
+
+    rng = random.Random(12)
+    rows, labels = [], []
+    for k in range(900):
+        host = rng.choice(["a.x", "a.x", "a.x", "b.y", "c.z"])
+        segs = [rng.choice(["en", "de", "fr"]), rng.choice([str(k), "about", "new", "old", "spam"]), rng.choice(["p", "q", f"x{k}"]), "deep", "er"][: rng.randrange(6)]
+        rows.append((k, f"http://{host}/" + "/".join(segs)))
+        if k % 2:
+            labels.append((k, int(rng.random() < (0.9 if "spam" in segs or host == "b.y" else 0.2))))
+    rows += [(k, f"http://num.x/{'en' if k % 2 else 'de'}/{k % 37}/t") for k in range(5000, 5090)] + [(k, f"http://one.x/{k}") for k in range(2000, 2002)] + [(3000, None), (3001, "http://c.z/" + "long/" * 5000)]
+    known = dict(labels)
+    items = []
+    for i, u in rows:
+        path = "" if u is None else "/" + u.split("://")[1].split("/", 1)[1]
+        items.append({"id": i, "host": "" if u is None else u.split("/")[2], "segs": path.removeprefix("/").split("/", 3), "bad": known.get(i, 0), "seen": int(i in known)})
+    shared = lambda xs, base: (sum(x["bad"] for x in xs) + 4 * base) / (sum(x["seen"] for x in xs) + 4)
+    want = {}
+
+    def down(xs, name, share, depth):
+        for x in xs:
+            want[x["id"]] = (name, share)
+        xs = [x for x in xs if len(x["segs"]) > depth]
+        if depth == 4 or not xs:
+            return
+        kids = {}
+        for x in xs:
+            kids.setdefault(x["segs"][depth], []).append(x)
+        h = -sum(len(v) / len(xs) * math.log(len(v) / len(xs)) for v in kids.values())
+        if math.exp(h) > 16 or (len(xs) >= 4 and h >= 0.75 * math.log(len(xs)) - 1e-12):
+            groups = {"*": xs}
+        else:
+            alike = []
+            for seg, v in kids.items():
+                bad, seen = sum(x["bad"] for x in v), sum(x["seen"] for x in v)
+                if not seen or abs(bad / seen - share) <= math.sqrt(share * (1 - share) / seen):
+                    alike.append(seg)
+            alike = alike if len(alike) > 1 else []
+            groups = {seg: v for seg, v in kids.items() if seg not in alike}
+            if alike:
+                groups["~"] = [x for seg in alike for x in kids[seg]]
+        for seg, v in groups.items():
+            down(v, f"{name}/{seg}", shared(v, share), depth + 1)
+
+    prior = (sum(x["bad"] for x in items) + 1) / (sum(x["seen"] for x in items) + 4)
+    for host in {x["host"] for x in items}:
+        xs = [x for x in items if x["host"] == host]
+        down(xs, host, shared(xs, prior), 0)
+    df = spark.createDataFrame([(i, u, "clash", 1) for i, u in rows], "page_id long, url string, template string, seen int")
+    got = {r["page_id"]: (r["template"], r["bad_share"], r["verdict"]) for r in urls.judge_urls(df, spark.createDataFrame(labels, "page_id long, bad int"), []).collect()}
+    assert {i: n for i, (n, *_) in got.items()} == {i: n for i, (n, _) in want.items()}
+    assert all(abs(got[i][1] - s) < 1e-9 and got[i][2] == ("block" if got[i][1] >= 0.5 else "allow") for i, (_, s) in want.items())
+    assert {"*", "~"} <= {x for n, *_ in got.values() for x in n.split("/")} and len({v for *_, v in got.values()}) == 2
 
 
 def test_urls_empty(spark):
@@ -48,26 +105,89 @@ def test_article():
 
 @pytest.mark.parametrize("attributes", ["style='overflow:hidden'", 'style="overflow: hidden"', 'title="hidden gems"', "data-hidden=false", 'data-hidden="false"', 'data-id="share"', 'data-class="ad" data-role=banner', 'alt = "class=ad hidden"', "x-hidden", 'title="a > hidden', "href=/a?id=share"])
 def test_names_inside_other_attributes_say_nothing(attributes):
-    assert pages._style("div", " " + attributes) == ("div", False)
-    assert pages._style("div", f' CLASS=Big {attributes.replace(chr(34), chr(39))}') == ("div.big", False)
+    assert pages._style("div", " " + attributes) == ("div", False, False)
+    assert pages._style("div", f' CLASS=Big {attributes.replace(chr(34), chr(39))}') == ("div.big", False, False)
 
 
 @pytest.mark.parametrize("attributes", ["hidden", "HIDDEN", 'hidden=""', "title='x'hidden", "aria-hidden = true", 'class="a share"', "id=share", "data-x='1' role='banner' /"])
 def test_attributes_that_say_no_content(attributes):
-    assert pages._style("div", " " + attributes)[1]
+    assert any(pages._style("div", " " + attributes)[1:])
+
+
+@pytest.mark.parametrize("name", ["page no-sidebar", "has-sidebar", "long-form", "skip-rope", "readable", "comment-le-monde", "advertise-policy"])
+def test_names_that_say_something_else(name):
+    assert pages._style("div", f' class="{name}"')[1:] == (False, False)
+
+
+@pytest.mark.parametrize("name", ["ad-slot-3", "site-footer", "cookie-notice", "post_comments", "big share", "nav-bar"])
+def test_names_made_of_words_against_content(name):
+    assert pages._style("div", f' class="{name}"')[2]
 
 
 def test_overflow_keeps_its_content():
     assert pages.article('<div style="overflow:hidden"><p data-id="share">kept</p></div><div hidden>lost</div>', frozenset()) == "kept"
 
 
-def test_style_tree_removes_what_repeats(spark):
-    rows = [(k, f"http://a.b/{k}", f"<body><div class='x'>same words on all pages</div><div class='y'><p>own text {k} of this page</p></div></body>") for k in range(8)] + [(20, None, None), (21, "http://a.b/9", "")]
-    got = {r["page_id"]: r["text"] for r in pages.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert got == {k: f"own text {k} of this page" for k in range(8)} | {20: "", 21: ""}
-    by_join = pages.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string"), broadcast_rows=-1)
-    assert {r["page_id"]: r["text"] for r in by_join.collect()} == got
+def extracted(spark, rows):
+    return {r["page_id"]: r["text"] for r in pages.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_style_tree_removes_what_repeats(spark, monkeypatch):
+    rows = [(k, f"http://a.b/{k}", f"<body><div class='x'>same words on all pages</div><div class='y'><p>own text {k} of this page and {'more ' * k}</p></div></body>") for k in range(8)] + [(20, None, None), (21, "http://a.b/9", "")]
+    want = {k: f"own text {k} of this page and {'more ' * k}".strip() for k in range(8)} | {20: "", 21: ""}
+    assert extracted(spark, rows) == want
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in pages.extract_articles(df, broadcast_rows=-1).collect()} == want
     assert pages.extract_articles(spark.createDataFrame([], "page_id long, url string, html string")).isEmpty()
+    # without the tree the repeated words stay
+    monkeypatch.setattr(pages, "style_tree", lambda *_: spark.createDataFrame([], "host string, path long, pages long, importance double"))
+    assert extracted(spark, rows)[3].startswith("same words on all pages")
+
+
+def test_style_tree_works_inside_articles(spark):
+    page = "<body><article><h1>Head {0}</h1><div>Read more of us on other sites</div><p>text {0} that only this page has</p><p>{1}</p></article><div>aside {0}</div></body>"
+    got = extracted(spark, [(k, f"http://a.b/{k}", page.format(k, "more " * (k + 1))) for k in range(9)])
+    assert got == {k: f"Head {k}\n\ntext {k} that only this page has\n\n{('more ' * (k + 1)).strip()}" for k in range(9)}
+
+
+def test_pages_that_repeat_keep_their_text(spark):
+    page = "<body><div>menu</div><article><p>one text on many urls</p></article></body>"
+    assert set(extracted(spark, [(k, f"http://a.b/{k}", page) for k in range(6)] + [(0, "http://a.b/0", page)]).values()) == {"one text on many urls"}
+
+
+def test_importance_by_brute_force(spark):
+    """Entropies of content and presentation, as shares of their maximum, over pages that differ."""
+    import math
+    from collections import Counter
+
+    page = "<body><div class=m>menu {0}</div><div class=t><p>text {1}</p>{2}</div></body>"
+    cases = [(k % 2, k, "<p>x</p>" * (k % 3)) for k in range(6)] + [(0, 0, "")]
+    df = spark.createDataFrame([(k, "http://a.b/", page.format(*c)) for k, c in enumerate(cases)], "page_id long, url string, html string")
+    got = sorted(r["importance"] for r in pages.style_tree(df).collect())
+    share = lambda xs: -sum(n / 6 * math.log(n / 6, 6) for n in Counter(xs).values())
+    menu, text = (share([k % 2 for k in range(6)]) + 0) / 2, (1 + share([k % 3 for k in range(6)])) / 2
+    assert got == pytest.approx(sorted([menu, text, (1 + 0) / 2]))  # the last: the body
+
+
+def test_marks_are_weighed():
+    none = frozenset()
+    long = "words of a long text " * 5
+    assert pages.article(f"<div class='content form'><p>{long}</p></div><div class=ad>buy</div>", none) == long.strip()
+    assert pages.article(f"<article class=teaser>read on</article><div><p>{long}</p></div>", none) == f"read on\n\n{long.strip()}"
+    assert pages.article(f"<article>x</article><div class=ad>{long}</div>", none) == "x"
+    assert pages.article(f"<article><p>{long}</p></article><div id=comments><article>me too {long}{long}</article></div>", none) == long.strip()
+    assert pages.article(f"<div><p>{long}</p></div><ul><li><a href=x>one</a><li><a>two</a><li><a>three</a></ul>", none) == long.strip()
+    assert pages.article("<article><pre><span class=comment># note</span> x = 1</pre><p class=ad>buy</p>t <span class=ad>now</span> u</article>", none) == "# note x = 1\n\nt\n\nu"
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    assert pages.article("<div>" * 100_000 + "deep" + "</div>" * 100_000, frozenset()) == "deep"
+    assert pages.article("<div><p><b>" * 30_000 + "deep", frozenset()) == "deep"
+    assert len(list(pages.Page("<div>" * 50_000 + "deep").branches())) == 1
+    assert time.perf_counter() - began < 20
 
 
 def test_neighbours(spark):
@@ -80,7 +200,7 @@ def test_neighbours(spark):
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>")
     ask = df.filter("vec_id % 50 = 0")
     got = {}
-    for r in neighbours.nearest(df, ask, leaf=64, share=0.5).collect():
+    for r in neighbours.nearest(df, ask, leaf=64).collect():
         got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
     unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
     hit = 0
@@ -96,6 +216,33 @@ def test_neighbours(spark):
     assert [got[750][k][0] for k in (1, 2, 3, 4, 5)] == [3, 700, 701, 702, 703]
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_of_the_query(spark, sf):
+    """The query as it is registered against brute force."""
+    folder = f"/root/testdata/{sf}"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").orderBy("vec_id").toPandas()
+    x = np.stack(rows["embedding"]).astype(float)
+    x, ids = x / np.linalg.norm(x, axis=1, keepdims=True), rows["vec_id"].to_numpy()
+    got = {}
+    for r in queries.op2_nearest_neighbours(spark, folder).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hit = 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        near = x @ x[q]
+        near[q] = -9
+        hit += len(got[ids[q]] & set(ids[np.lexsort((ids, -near))[:5]]))
+    assert hit / (5 * len(got)) >= 0.9 and len(got) == (ids % 50 == 0).sum()
+
+
+def test_leaves_are_dealt(spark, monkeypatch):
+    """Chunks of points and of queries change nothing; extra columns with clashing names are not read."""
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(k, [float(v) for v in rng.standard_normal(8)], 1.0, 2) for k in range(300)], "vec_id long, embedding array<double>, score double, p int")
+    whole = sorted(map(tuple, neighbours.nearest(df, df.filter("vec_id % 3 = 0"), leaf=64).collect()))
+    monkeypatch.setattr(neighbours, "CHUNK", 10)
+    assert sorted(map(tuple, neighbours.nearest(df, df.filter("vec_id % 3 = 0"), leaf=64).collect())) == whole
+
+
 def test_few_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [2.0, 0.0])], "vec_id long, embedding array<double>")
     assert sorted(map(tuple, neighbours.nearest(df, df.filter("vec_id = 0")).collect())) == [(0, 1, 2, 1.0), (0, 2, 1, 0.0)]
@@ -107,6 +254,34 @@ def test_queries_like_oracle(spark, name):
     same(spark, connect(), queries.QUERIES[name], queries.ORACLE_SQL[name])
 
 
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty and very long texts, repeated rows and ids, clashing columns; and empty tables."""
+    import corpus_pipeline as p
+
+    names = "doc_id long, text string, lang string, source string, n_chars long, kept string, id long, score double, word string"
+    prose = "Once the sun had gone, old Mara walked home along the river, and nobody spoke to her. "
+    rows = [(k, prose + f"It was day {k} of the long walk, number {k * k}. " * (2 + k % 3), "en", f"s{k % 3}", 5, "x", 1, 0.5, "w") for k in range(30)]
+    rows += [(None, "no id here at all, but some words", None, None, None, None, None, None, None), (40, None, None, None, None, "x", None, None, None), (41, "", "en", "s0", 0, "x", 1, 0.5, "w")]
+    rows += [rows[3], rows[3], (3, "another text of that id, with other words in it", "en", "s1", 3, "x", 1, 0.5, "w"), (42, "word " * 200_000, "en", "s2", 7, "x", 1, 0.5, "w"), (None, None, None, None, None, None, None, None, None)]
+    other = {"labels": ([(k, k % 2, 0) for k in range(20)] + [(None, 1, 0), (5, None, None)], "doc_id long, quality int, toxic int"), "benchmark": ([(1, rows[4][1]), (2, None), (None, "x")], "item_id long, text string")}
+    for what in ("odd", "empty"):
+        folder = f"{tmp_path}/{what}"
+        for name, (data, schema) in other.items():
+            spark.createDataFrame(data if what == "odd" else [], schema).write.parquet(f"{folder}/{name}.parquet")
+        docs = spark.createDataFrame(rows if what == "odd" else [], names)
+        docs.write.parquet(f"{folder}/documents.parquet")
+        for name, stage in p.STAGES[1:-1]:
+            out = stage(spark, docs, folder)
+            assert out.columns == list(p.COLUMNS), name
+            kept = [r["doc_id"] for r in out.collect()]
+            assert set(kept) <= {r[0] for r in rows} and bool(kept) == (what == "odd"), name
+            if name == "line dedup" and what == "odd":
+                assert len(kept) == len(rows)
+            if name == "benchmark decontamination" and what == "odd":
+                assert 4 not in kept and 40 in kept and kept.count(None) == 2
+        assert p.run(spark, folder).columns == ["doc_id", "size", "source_size", "target", "taken"]
+
+
 def test_pipeline(spark):
     import corpus_pipeline as p
 
