@@ -82,6 +82,34 @@ def match_items(items: DataFrame, exclusions: DataFrame, index: DataFrame, links
     return met.select("call_id", "item_id", "topic_id", "part", "content_type", "theory_practice", outcome.alias("outcome"))
 
 
+def match_categories(items: DataFrame, exclusions: DataFrame, categories: DataFrame, topics: DataFrame, links: DataFrame) -> DataFrame:
+    """Outcome of every non-legal item, as :func:`match_items`: NEW or EXISTING in the calls whose syllabus has its category.
+
+    Items without a category are INCOMPLETE, those whose category no call has (or none with one topic) OUTSIDE; their call is null.
+    """
+    out = exclusions.filter("state in ('CUARENTENA', 'RETIRADA')").select("item_id").distinct()
+    i = items.filter("kind = 'INFORMATICA'").join(out, "item_id", "left_anti").select("item_id", "theory_practice", F.upper(F.trim(F.coalesce("category", F.lit("")))).alias("category"))
+    index = category_index(categories).filter("topic_id is not null").select("call_id", "category", "topic_id").join(topics.select("topic_id", "part", "content_type"), "topic_id")
+    have = links.select("call_id", "item_id").distinct().withColumn("known", F.lit(True))
+    met = i.join(index, "category", "left").join(have, ["call_id", "item_id"], "left")
+    outcome = F.when(F.col("category") == "", "INCOMPLETE").when(F.col("topic_id").isNull(), "OUTSIDE").when(F.col("known"), "EXISTING").otherwise("NEW")
+    return met.select("call_id", "item_id", "topic_id", "part", "content_type", "theory_practice", outcome.alias("outcome"))
+
+
+def unmatched_items(items: DataFrame, exclusions: DataFrame, index: DataFrame) -> DataFrame:
+    """Legal items that enter no bank: ``item_id, outcome``, INCOMPLETE (fields missing) or OUTSIDE of every syllabus."""
+    base = eligible_items(items, exclusions).filter("reason is null or reason like 'INCOMPLETE%'").select("item_id", "reason", "norm_id", article_base(F.col("article_n")).alias("base"))
+    left = base.join(index.select("norm_id", "base").distinct().withColumn("covered", F.lit(True)), ["norm_id", "base"], "left")
+    return left.filter("reason is not null or covered is null").select("item_id", F.when(F.col("reason").isNotNull(), "INCOMPLETE").otherwise("OUTSIDE").alias("outcome"))
+
+
+def blocked_calls(refs: DataFrame, topics: DataFrame, categories: DataFrame) -> DataFrame:
+    """``call_id, incidents``: invalid or repeated references and invalid categories; any incident blocks the plan of a call."""
+    located = located_refs(refs, topics)
+    every = invalid_refs(located).select("call_id").unionAll(repeated_refs(located).select("call_id")).unionAll(category_index(categories).filter("reason is not null").select("call_id"))
+    return every.groupBy("call_id").agg(F.count("*").alias("incidents"))
+
+
 def resolve_topic(items: DataFrame, located: DataFrame) -> DataFrame:
     """Topic of an item in each call without picking among several: the only candidate, else the only exact reference, else ambiguous."""
     i = items.filter("norm_id is not null").select("item_id", "norm_id", article_base(F.col("article_n")).alias("base"), article_full(F.col("article_n")).alias("item_full")).filter("base is not null")
@@ -114,7 +142,8 @@ def resolve_part(rows: DataFrame, rules: DataFrame, key: list[str]) -> DataFrame
 
 def reassignable_links(links: DataFrame, items: DataFrame, located: DataFrame, topics: DataFrame, rules: DataFrame) -> DataFrame:
     """Legal links whose topic differs from the resolved one and whose part resolves: ``link_id, call_id, item_id, old_topic, topic_id, part_id``."""
-    want = resolve_topic(items, located).filter("topic_id is not null").select("call_id", "item_id", "topic_id")
+    linked = items.join(links.filter("link_type = 'JURIDICA'").select("item_id").distinct(), "item_id", "left_semi")
+    want = resolve_topic(linked, located).filter("topic_id is not null").select("call_id", "item_id", "topic_id")
     moved = links.filter("link_type = 'JURIDICA'").select("link_id", "call_id", "item_id", F.col("topic_id").alias("old_topic")).join(want, ["call_id", "item_id"]).filter("old_topic <> topic_id")
     moved = moved.join(topics.select("topic_id", "part", "content_type"), "topic_id").join(items.select("item_id", "theory_practice"), "item_id")
     parts = resolve_part(moved, rules, ["link_id", "call_id", "item_id", "old_topic", "topic_id"])
@@ -130,28 +159,35 @@ def retirable_links(links: DataFrame, items: DataFrame, exclusions: DataFrame, l
     return met.select("link_id", "call_id", "item_id", reason.alias("reason")).filter("reason is not null")
 
 
-def bank_plan(items: DataFrame, exclusions: DataFrame, refs: DataFrame, topics: DataFrame, rules: DataFrame, links: DataFrame) -> DataFrame:
-    """What to do for the banks of all calls: ``call_id, item_id, action, topic_id, part_id, reason`` (add, reassign, retire, or blocked)."""
+def bank_plan(items: DataFrame, exclusions: DataFrame, refs: DataFrame, topics: DataFrame, rules: DataFrame, links: DataFrame, categories: DataFrame) -> DataFrame:
+    """What to do for the banks of all calls: ``call_id, item_id, action, topic_id, part_id, reason, link_type`` (add, reassign, retire, or blocked)."""
     located = located_refs(refs, topics)
-    matched = match_items(items, exclusions, ref_index(located), links, rules).filter("outcome = 'NEW'")
-    new = resolve_part(matched, rules, ["call_id", "item_id", "topic_id"])
-    new = new.select("call_id", "item_id", F.when(F.col("part_id").isNotNull(), "ADD").otherwise("BLOCKED").alias("action"), "topic_id", "part_id", F.col("part_reason").alias("reason"))
+    legal = match_items(items, exclusions, ref_index(located), links, rules).filter("outcome = 'NEW'").withColumn("link_type", F.lit("JURIDICA"))
+    other = match_categories(items, exclusions, categories, topics, links).filter("outcome = 'NEW'").withColumn("link_type", F.lit("NO_JURIDICA"))
+    new = resolve_part(legal.unionByName(other), rules, ["call_id", "item_id", "topic_id", "link_type"])
+    new = new.select("call_id", "item_id", F.when(F.col("part_id").isNotNull(), "ADD").otherwise("BLOCKED").alias("action"), "topic_id", "part_id", F.col("part_reason").alias("reason"), "link_type")
     retire = retirable_links(links, items, exclusions, located)
     moved = reassignable_links(links, items, located, topics, rules).join(retire.select("link_id"), "link_id", "left_anti")
     none = lambda t: F.lit(None).cast(t)
+    kind = F.lit("JURIDICA").alias("link_type")
     return (
-        new.unionByName(moved.select("call_id", "item_id", F.lit("REASSIGN").alias("action"), "topic_id", "part_id", none("string").alias("reason")))
-        .unionByName(retire.select("call_id", "item_id", F.lit("RETIRE").alias("action"), none("bigint").alias("topic_id"), none("bigint").alias("part_id"), "reason"))
+        new.unionByName(moved.select("call_id", "item_id", F.lit("REASSIGN").alias("action"), "topic_id", "part_id", none("string").alias("reason"), kind))
+        .unionByName(retire.select("call_id", "item_id", F.lit("RETIRE").alias("action"), none("bigint").alias("topic_id"), none("bigint").alias("part_id"), "reason", kind))
     )
 
 
-def apply_bank_plan(links: DataFrame, plan: DataFrame) -> DataFrame:
-    """Links after a plan: without the retired, with new topics and parts, and with the added ones. Applying it again changes nothing."""
-    p = plan.filter("action <> 'BLOCKED'").select("call_id", "item_id", "action", F.col("topic_id").alias("to_topic"), F.col("part_id").alias("to_part"))
+def apply_bank_plan(links: DataFrame, plan: DataFrame, blocked: DataFrame | None = None) -> DataFrame:
+    """Links after a plan: without the retired, with new topics and parts, and with the added ones. Applying it again changes nothing.
+
+    Calls in ``blocked`` (see :func:`blocked_calls`) keep their links as they are.
+    """
+    if blocked is not None:
+        plan = plan.join(blocked.select("call_id").distinct(), "call_id", "left_anti")
+    p = plan.filter("action <> 'BLOCKED'").select("call_id", "item_id", "action", F.col("topic_id").alias("to_topic"), F.col("part_id").alias("to_part"), F.col("link_type").alias("to_type"))
     kept = links.join(p.filter("action <> 'ADD'"), ["call_id", "item_id"], "left").filter("action is null or action <> 'RETIRE'")
     kept = kept.select("call_id", "item_id", F.coalesce("to_part", "part_id").alias("part_id"), "link_type", "state", F.coalesce("to_topic", "topic_id").alias("topic_id"))
     added = p.filter("action = 'ADD'").join(links.select("call_id", "item_id"), ["call_id", "item_id"], "left_anti")
-    return kept.unionByName(added.select("call_id", "item_id", F.col("to_part").alias("part_id"), F.lit("JURIDICA").alias("link_type"), F.lit("INCLUIDA").alias("state"), F.col("to_topic").alias("topic_id")))
+    return kept.unionByName(added.select("call_id", "item_id", F.col("to_part").alias("part_id"), F.col("to_type").alias("link_type"), F.lit("INCLUIDA").alias("state"), F.col("to_topic").alias("topic_id")))
 
 
 def plan_totals(plan: DataFrame) -> DataFrame:

@@ -58,11 +58,17 @@ MOVED = """mv0 AS (SELECT b.link_id, b.call_id, b.item_id, b.topic_id AS old_top
  JOIN f_topics t ON t.topic_id = rt.topic_id JOIN f_items i ON i.item_id = b.item_id WHERE b.link_type = 'JURIDICA' AND b.topic_id <> rt.topic_id)"""
 RETIRED = """re AS (SELECT * FROM (SELECT b.link_id, b.call_id, b.item_id, coalesce(e.reason, CASE WHEN NOT EXISTS (SELECT 1 FROM l WHERE l.call_id = b.call_id AND l.norm_id = e.norm_id AND l.base = e.base) THEN 'OUT_OF_SYLLABUS' END) AS reason
  FROM f_bank_links b LEFT JOIN e ON e.item_id = b.item_id WHERE b.link_type = 'JURIDICA' AND b.state = 'INCLUIDA') WHERE reason IS NOT NULL)"""
-PLAN = f"""WITH {ELIGIBLE}, {LOCATED}, {INDEX}, {MATCHED}, {TOPIC}, nw AS (SELECT * FROM m WHERE outcome = 'NEW'), {_parts('np', 'nw')}, {MOVED}, {_parts('mv', 'mv0')}, {RETIRED},
-pl AS (SELECT call_id, item_id, CASE WHEN new_part IS NULL THEN 'BLOCKED' ELSE 'ADD' END AS action, topic_id, new_part AS part_id, part_reason AS reason FROM np
- UNION ALL SELECT call_id, item_id, 'REASSIGN', topic_id, new_part, NULL FROM mv WHERE part_reason IS NULL AND link_id NOT IN (SELECT link_id FROM re)
- UNION ALL SELECT call_id, item_id, 'RETIRE', NULL, NULL, reason FROM re)"""
+OTHER = """nc AS (SELECT c.call_id, i.item_id, c.topic_id, t.part, t.content_type, i.theory_practice,
+ CASE WHEN trim(coalesce(i.category, '')) = '' THEN 'INCOMPLETE' WHEN c.topic_id IS NULL THEN 'OUTSIDE' WHEN EXISTS (SELECT 1 FROM f_bank_links b WHERE b.call_id = c.call_id AND b.item_id = i.item_id) THEN 'EXISTING' ELSE 'NEW' END AS outcome
+ FROM f_items i LEFT JOIN (SELECT call_id, upper(trim(category)) AS category, min(topic_id) AS topic_id FROM f_category_topics GROUP BY ALL HAVING count(DISTINCT topic_id) = 1) c ON c.category = upper(trim(i.category))
+ LEFT JOIN f_topics t ON t.topic_id = c.topic_id WHERE i.kind = 'INFORMATICA' AND i.item_id NOT IN (SELECT item_id FROM f_exclusions WHERE state IN ('CUARENTENA', 'RETIRADA')))"""
+PLAN = f"""WITH {ELIGIBLE}, {LOCATED}, {INDEX}, {MATCHED}, {TOPIC}, {OTHER}, nw AS (SELECT call_id, item_id, topic_id, part, content_type, theory_practice, 'JURIDICA' AS link_type FROM m WHERE outcome = 'NEW'
+ UNION ALL SELECT call_id, item_id, topic_id, part, content_type, theory_practice, 'NO_JURIDICA' FROM nc WHERE outcome = 'NEW'), {_parts('np', 'nw')}, {MOVED}, {_parts('mv', 'mv0')}, {RETIRED},
+pl AS (SELECT call_id, item_id, CASE WHEN new_part IS NULL THEN 'BLOCKED' ELSE 'ADD' END AS action, topic_id, new_part AS part_id, part_reason AS reason, link_type FROM np
+ UNION ALL SELECT call_id, item_id, 'REASSIGN', topic_id, new_part, NULL, 'JURIDICA' FROM mv WHERE part_reason IS NULL AND link_id NOT IN (SELECT link_id FROM re)
+ UNION ALL SELECT call_id, item_id, 'RETIRE', NULL, NULL, reason, 'JURIDICA' FROM re)"""
 _plan_views = "f_items f_exclusions f_refs f_topics f_part_rules f_bank_links"
+_bank_views = f"{_plan_views} f_category_topics"
 
 register("fl01_eligible_items", "f_items f_exclusions", lambda i, x: lk.eligible_items(i, x).select("item_id", "reason"), f"WITH {ELIGIBLE} SELECT item_id, reason FROM e")
 register("fl02_completeness_reason", "f_items", lambda i: i.select("item_id", lk.completeness_reason(F.col("norm_type_n"), F.col("norm_name_n"), F.col("norm_id"), F.col("article_n")).alias("missing")).filter("missing <> ''"), f"SELECT item_id, {_missing} AS missing FROM f_items WHERE {_missing} <> ''")
@@ -80,10 +86,14 @@ _t_rows = "SELECT t.call_id, t.topic_id, t.part, t.content_type, p.tp AS theory_
 register("lk07_resolve_part", "f_topics f_part_rules", lambda t, p: lk.resolve_part(t.select("call_id", "topic_id", "part", "content_type", F.explode(F.array(F.lit("TEORICA"), F.lit("PRACTICA"), F.lit(None))).alias("theory_practice")), p, ["topic_id", "theory_practice"]), f"WITH tr AS ({_t_rows}), {_parts('w', 'tr')} SELECT topic_id, theory_practice, new_part AS part_id, part_reason FROM w")
 register("lk08_reassignable_links", _plan_views, lambda i, x, r, t, p, b: lk.reassignable_links(b, i, lk.located_refs(r, t), t, p), f"WITH {LOCATED}, {TOPIC}, {MOVED}, {_parts('mv', 'mv0')} SELECT link_id, call_id, item_id, old_topic, topic_id, new_part AS part_id FROM mv WHERE part_reason IS NULL")
 register("lk09_retirable_links", _plan_views, lambda i, x, r, t, p, b: lk.retirable_links(b, i, x, lk.located_refs(r, t)), f"WITH {ELIGIBLE}, {LOCATED}, {RETIRED} SELECT link_id, call_id, item_id, reason FROM re")
-register("ch06_bank_plan", _plan_views, lambda i, x, r, t, p, b: lk.bank_plan(i, x, r, t, p, b), f"{PLAN} SELECT call_id, item_id, action, topic_id, part_id, reason FROM pl")
-register("ch06_plan_totals", _plan_views, lambda i, x, r, t, p, b: lk.plan_totals(lk.bank_plan(i, x, r, t, p, b)), f'{PLAN} SELECT call_id, count(*) FILTER (WHERE action = \'ADD\') AS "add", count(*) FILTER (WHERE action = \'REASSIGN\') AS reassign, count(*) FILTER (WHERE action = \'RETIRE\') AS retire, count(*) FILTER (WHERE action = \'BLOCKED\') AS blocked, count(*) FILTER (WHERE action = \'BLOCKED\') > 0 AS blocks FROM pl GROUP BY call_id')
-register("ch07_apply_bank_plan", _plan_views, lambda i, x, r, t, p, b: lk.apply_bank_plan(b, lk.bank_plan(i, x, r, t, p, b)), f"""{PLAN} SELECT b.call_id, b.item_id, coalesce(q.part_id, b.part_id) AS part_id, b.link_type, b.state, coalesce(q.topic_id, b.topic_id) AS topic_id FROM f_bank_links b LEFT JOIN (SELECT * FROM pl WHERE action IN ('REASSIGN', 'RETIRE')) q ON q.call_id = b.call_id AND q.item_id = b.item_id WHERE coalesce(q.action, '') <> 'RETIRE'
- UNION ALL SELECT call_id, item_id, part_id, 'JURIDICA', 'INCLUIDA', topic_id FROM pl WHERE action = 'ADD'""")
+register("lk05_match_categories", "f_items f_exclusions f_category_topics f_topics f_bank_links", lambda i, x, c, t, b: lk.match_categories(i, x, c, t, b).select("call_id", "item_id", "topic_id", "outcome"), f"WITH {OTHER} SELECT call_id, item_id, topic_id, outcome FROM nc")
+register("lk05_unmatched_items", "f_items f_exclusions f_refs f_topics", lambda i, x, r, t: lk.unmatched_items(i, x, lk.ref_index(lk.located_refs(r, t))), f"WITH {ELIGIBLE}, {LOCATED} SELECT item_id, CASE WHEN reason IS NULL THEN 'OUTSIDE' ELSE 'INCOMPLETE' END AS outcome FROM e WHERE reason LIKE 'INCOMPLETE%' OR (reason IS NULL AND NOT EXISTS (SELECT 1 FROM l WHERE l.norm_id = e.norm_id AND l.base = e.base))")
+register("ch06_blocked_calls", "f_refs f_topics f_category_topics", lambda r, t, c: lk.blocked_calls(_more_refs(r), t, c), f"""WITH r2 AS ({_shared}), {LOCATED.replace('FROM f_refs r', 'FROM r2 r')}, x AS (SELECT call_id FROM l WHERE norm_id IS NULL OR base IS NULL UNION ALL SELECT call_id FROM (SELECT call_id FROM l WHERE norm_id IS NOT NULL AND base IS NOT NULL AND fullref IS NOT NULL GROUP BY call_id, norm_id, fullref HAVING count(DISTINCT topic_id) > 1)
+ UNION ALL SELECT call_id FROM (SELECT call_id FROM f_category_topics GROUP BY call_id, upper(trim(category)) HAVING count(DISTINCT topic_id) > 1)) SELECT call_id, count(*) AS incidents FROM x GROUP BY call_id""")
+register("ch06_bank_plan", _bank_views, lk.bank_plan, f"{PLAN} SELECT call_id, item_id, action, topic_id, part_id, reason, link_type FROM pl")
+register("ch06_plan_totals", _bank_views, lambda *v: lk.plan_totals(lk.bank_plan(*v)), f'{PLAN} SELECT call_id, count(*) FILTER (WHERE action = \'ADD\') AS "add", count(*) FILTER (WHERE action = \'REASSIGN\') AS reassign, count(*) FILTER (WHERE action = \'RETIRE\') AS retire, count(*) FILTER (WHERE action = \'BLOCKED\') AS blocked, count(*) FILTER (WHERE action = \'BLOCKED\') > 0 AS blocks FROM pl GROUP BY call_id')
+register("ch07_apply_bank_plan", _bank_views, lambda *v: lk.apply_bank_plan(v[5], lk.bank_plan(*v)), f"""{PLAN} SELECT b.call_id, b.item_id, coalesce(q.part_id, b.part_id) AS part_id, b.link_type, b.state, coalesce(q.topic_id, b.topic_id) AS topic_id FROM f_bank_links b LEFT JOIN (SELECT * FROM pl WHERE action IN ('REASSIGN', 'RETIRE')) q ON q.call_id = b.call_id AND q.item_id = b.item_id WHERE coalesce(q.action, '') <> 'RETIRE'
+ UNION ALL SELECT call_id, item_id, part_id, link_type, 'INCLUIDA', topic_id FROM pl WHERE action = 'ADD'""")
 EXPECTED = f"ex AS (SELECT u.call_id, i.item_id, u.topic_id FROM f_items i JOIN (SELECT call_id, norm_id, base, min(topic_id) AS topic_id FROM l WHERE norm_id IS NOT NULL AND base IS NOT NULL GROUP BY ALL HAVING count(DISTINCT topic_id) = 1) u ON u.norm_id = i.norm_id AND u.base = {_base('i.article_n')} WHERE i.kind = 'JURIDICA')"
 register("lk10_diff_bank", "f_items f_refs f_topics f_bank_links f_exclusions", lambda i, r, t, b, x: lk.diff_bank(lk.expected_bank(i, r, t), b, x), f"""WITH {LOCATED}, {EXPECTED}, j AS (SELECT coalesce(ex.call_id, b.call_id) AS call_id, coalesce(ex.item_id, b.item_id) AS item_id, ex.topic_id AS want, b.topic_id, b.part_id, b.link_type, b.state, b.item_id IS NOT NULL AS stored FROM ex FULL JOIN f_bank_links b ON b.call_id = ex.call_id AND b.item_id = ex.item_id),
  k AS (SELECT j.*, EXISTS (SELECT 1 FROM f_exclusions x WHERE x.item_id = j.item_id) AS excluded FROM j),

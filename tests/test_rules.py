@@ -95,14 +95,21 @@ def test_ratio_pairs_against_all_pairs(spark):
 def test_plan_applied_twice_is_applied_once(spark):
     from quillbank.plans.fixtures import tables
 
-    items, exclusions, refs, topics, rules, links = tables(spark, "/root/testdata/sf0.001", "f_items", "f_exclusions", "f_refs", "f_topics", "f_part_rules", "f_bank_links")
+    items, exclusions, refs, topics, rules, links, categories = tables(spark, "/root/testdata/sf0.001", "f_items", "f_exclusions", "f_refs", "f_topics", "f_part_rules", "f_bank_links", "f_category_topics")
     items = items.dropDuplicates(["item_id"])  # the test data repeat some order lines
-    plan = linking.bank_plan(items, exclusions, refs, topics, rules, links).cache()
+    plan = linking.bank_plan(items, exclusions, refs, topics, rules, links, categories).cache()
     once = linking.apply_bank_plan(links, plan).cache()
     assert once.exceptAll(linking.apply_bank_plan(once, plan)).isEmpty()
     assert once.filter("state = 'INCLUIDA'").count() == links.filter("state = 'INCLUIDA'").count() + plan.filter("action = 'ADD'").count() - plan.filter("action = 'RETIRE'").count()
 
 
+def test_blocked_calls_keep_their_links(spark):
+    links = spark.createDataFrame([(1, 5, 10, "JURIDICA", "INCLUIDA", 100), (2, 5, 20, "JURIDICA", "INCLUIDA", 200)], "call_id long, item_id long, part_id long, link_type string, state string, topic_id long")
+    plan = spark.createDataFrame([(1, 5, "RETIRE", None, None, "X", "JURIDICA"), (2, 5, "RETIRE", None, None, "X", "JURIDICA"), (1, 9, "ADD", 101, 11, None, "NO_JURIDICA")], "call_id long, item_id long, action string, topic_id long, part_id long, reason string, link_type string")
+    got = {tuple(r) for r in linking.apply_bank_plan(links, plan, spark.createDataFrame([(2, 3)], "call_id long, incidents long")).collect()}
+    assert got == {(2, 5, 20, "JURIDICA", "INCLUIDA", 200), (1, 9, 11, "NO_JURIDICA", "INCLUIDA", 101)}
+
+
 def test_withdrawal_keeps_coverage(spark):
     scopes = [(s, i) for s in range(4) for i in range(100) if i % (s + 2) == 0]
     easy = [(i, i) for i in range(0, 100, 2)]
