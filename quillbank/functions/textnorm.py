@@ -58,8 +58,19 @@ def norm_nfkc_casefold(x: pd.Series) -> pd.Series:
     return x.map(lambda t: " ".join(unicodedata.normalize("NFKC", t or "").casefold().split()))
 
 
+@F.pandas_udf(T.StringType())
+def nfkc(x: pd.Series) -> pd.Series:
+    """Compatibility composition, which no built-in function has."""
+    return x.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
+
+
 def norm_citation(x: Column) -> Column:
-    """Lower case; quotes and punctuation of citations become blanks."""
+    """Compatibility composition in lower case; quotes and punctuation of citations become blanks."""
+    return citation_words(nfkc(F.coalesce(x, F.lit(""))))
+
+
+def citation_words(x: Column) -> Column:
+    """:func:`norm_citation` of a text that is composed already."""
     return collapsed(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), "[\"'“”«»’‘.,;:()\\[\\]–—-]", " "))
 
 
@@ -236,16 +247,27 @@ def strip_origin_anywhere(x: Column) -> Column:
 
 #: Phrases of stems and what they become; the first that occurs is replaced once.
 PHRASES = (
-    (r"\bconforme +la +", "Según la "), (r"\bconforme +el +", "Según el "), (r"\bconforme +(?:a la|al|a) +", "Según "),
+    (r"\bconforme +la +", "Según la "), (r"\bconforme +el +", "Según el "), (r"\bconforme +(?:a|al|a +la) +", "Según "),
     (r"\bindique +(?:cu[aá]l +es +)?la +respuesta +correcta\b", "señale la afirmación correcta"), (r"\bindique +la +opci[oó]n +correcta\b", "señale la opción correcta"),
     (r"\bseñale +la +respuesta +correcta\b", "señale la afirmación correcta"),
 )
 
 
+#: Whole stems and what they become (``$k``: the k-th group); they go before the phrases.
+WHOLE_STEMS = (
+    (r"^Las normas dictadas por el Estado:?$", "Respecto de las normas dictadas por el Estado, señale la opción correcta."),
+    (r"^¿Cuál de los siguientes principios no está recogido en (.+?)\?$", "Indique el principio que no figura en $1."),
+    (r"^¿Cuál es la especialidad en relación con (.+?) según (.+?)\?$", "Según $2, ¿qué particularidad presenta $1?"),
+    (r"^Señale la respuesta incorrecta, de conformidad con (.+?):$", "De conformidad con $1, identifique la afirmación incorrecta:"),
+    (r"^Por lo que respecta a (.+?) y tal y como dispone (.+?), (.+?) indique cuál será éste:$", "De acuerdo con $2, $3 ¿Cuál es el límite aplicable?"),
+)
+
+
 def rephrase_stem(x: Column) -> Column:
-    """Replace the first phrase rule that applies, once; other text stays."""
+    """Rewrite a whole stem that is known, else replace the first phrase rule that applies, once; other text stays."""
     t = F.trim(x)
-    return reduce(lambda acc, r: F.when(t.rlike(f"(?i){r[0]}"), F.regexp_replace(t, rf"(?is)^(.*?){r[0]}(.*)$", f"$1{r[1]}$2")).otherwise(acc), reversed(PHRASES), x)
+    phrases = reduce(lambda acc, r: F.when(t.rlike(f"(?i){r[0]}"), F.regexp_replace(t, rf"(?is)^(.*?){r[0]}(.*)$", f"$1{r[1]}$2")).otherwise(acc), reversed(PHRASES), x)
+    return reduce(lambda acc, r: F.when(t.rlike(f"(?iu){r[0]}"), F.regexp_replace(t, f"(?iu){r[0]}", r[1])).otherwise(acc), reversed(WHOLE_STEMS), phrases)
 
 
 def dehyphenate(x: Column) -> Column:
@@ -254,8 +276,8 @@ def dehyphenate(x: Column) -> Column:
 
 
 #: Marks of practical questions (on text without accents): an acting subject, a case, a hypothesis, a detail, an action.
-SUBJECT = r"\b(una? (ciudadan[oa]|interesad[oa]|funcionari[oa]|trabajadora?|aspirante|solicitante|contratista|licitadora?|empresa|sociedad|mercantil|asociacion|ayuntamiento)|(don|dona|senor|senora) [a-z])"
-CASE = r"\b(se presenta personalmente|ha presentado|presenta una solicitud|interpone una?|solicita (un|una|el|la)|recibe (un|una|el|la)|se le notifica|se le comunica|esta tramitando|supuesto practico|supuesto de hecho|en el siguiente supuesto|en el caso planteado)\b"
+SUBJECT = r"\b((una? (ciudadan[oa]|interesad[oa]|funcionari[oa]|emplead[oa] +public[oa]|trabajadora?|aspirante|solicitante|contratista|licitadora?|empresa|sociedad|mercantil|asociacion|ayuntamiento)|la conselleria +[a-z])\b|(don|dona|senor|senora|sr\.?|sra\.?) +[a-z])"
+CASE = r"\b(se presenta personalmente|ha presentado|presenta una solicitud|interpone una?|solicita (un|una|el|la)|recibe (un|una|el|la)|se le notifica|se le comunica|esta tramitando|se encuentra tramitando|ante la siguiente situacion|supuesto practico|supuesto de hecho|en el siguiente supuesto|en el caso planteado)\b"
 HYPOTHESIS = r"\b(en caso de que|en el supuesto de que|suponiendo que|suponga que|imaginemos que|si una?|si la persona|si el interesado|si se (presenta|solicita|interpone|produce)|que ocurriria si|que procederia)\b"
 DETAIL = r"\b([0-9]{1,2}:[0-9]{2}|[0-9]{1,2} de [a-z]+ de [0-9]{4}|[0-9]+([.,][0-9]+)? *euros?|durante [0-9]+ (dias?|meses|horas?))\b"
 ACTION = r"\b(presenta|presentado|solicita|solicitado|interpone|notifica|notificado|tramita|recibe|recibido|comparece|fallece|incumple|comete|celebra|contrata|adjudica|reclama)\b"
@@ -307,7 +329,7 @@ def source_family(x: Column) -> Column:
 
 
 #: Absolute words and "all of them" options.
-ABSOLUTE = r"(?i)\b(siempre|nunca|en ningún caso|en todo caso|exclusivamente|únicamente|solo|cualquier|todos? los|jamás|sin excepción|the|les)\b"
+ABSOLUTE = r"(?i)\b(siempre|nunca|en ningún caso|en todo caso|exclusivamente|únicamente|solo|cualquier|todos? los|sólo|jamás|sin excepción|con independencia)\b"
 ALL_OF_THEM = r"(?i)todas (las )?(anteriores|opciones|respuestas)? ?(son )?correctas|todas las anteriores"
 
 
@@ -435,9 +457,12 @@ def unambiguous_reference(x: Column) -> Column:
 
 
 def citation_verified(quote: Column, text: Column, least: int = 25, piece: int = 12) -> Column:
-    """The quote, normalised and long enough, is in the text, or its pieces between ellipses are, in order."""
-    q, t = norm_citation(quote), norm_citation(text)
-    pieces = F.filter(F.transform(F.split(quote, r"\.\.\.|…"), norm_citation), lambda p: F.length(p) >= piece)
+    """The quote, normalised and long enough, is in the text, or its pieces between ellipses are, in order.
+
+    Both are taken as composed (:func:`nfkc`, in a projection before: its lambdas admit no Python function).
+    """
+    q, t = citation_words(quote), citation_words(text)
+    pieces = F.filter(F.transform(F.split(quote, r"\.\.\.|…"), citation_words), lambda p: F.length(p) >= piece)
     found = lambda p, at: F.call_function("locate", p, t, F.greatest(at, F.lit(1)))
     end = F.aggregate(pieces, F.lit(1), lambda at, p: F.when((at > 0) & (found(p, at) > 0), found(p, at) + F.length(p)).otherwise(F.lit(0)))
     return (F.length(q) >= least) & (t.contains(q) | ((F.size(pieces) >= 2) & (end > 0)))

@@ -158,16 +158,27 @@ def internal_duplicates(items: DataFrame, key: Column) -> DataFrame:
 def idf_rank(items: DataFrame, articles: DataFrame, k: int) -> DataFrame:
     """For each item the ``k`` articles of its norm that cover most of its words, weighted by rarity among the norm's articles.
 
-    ``items``: item_id, norm_id, tokens; ``articles``: article_id, norm_id, tokens. Joined by (norm, token): an inverted index.
+    ``items``: item_id, norm_id, tokens, article; ``articles``: article_id, norm_id, tokens, article. A word in ``df`` of a
+    norm's ``n`` articles weighs ``ln((n + 1) / (df + 1))``, also one that no article has. Articles without a common
+    word have the score 0. The first of the norm's articles with the item's own ``article`` comes last if it isn't
+    among the ``k``. Joined by (norm, token): an inverted index.
     """
     terms = articles.select("norm_id", "article_id", F.explode(F.array_distinct("tokens")).alias("token"))
     n = articles.groupBy("norm_id").agg(F.count("*").alias("total"))
-    idf = terms.groupBy("norm_id", "token").agg(F.count("*").alias("df")).join(n, "norm_id").select("norm_id", "token", F.log(1 + F.col("total") / F.col("df")).alias("idf"))
-    asked = items.select("item_id", "norm_id", F.explode(F.array_distinct("tokens")).alias("token")).join(idf, ["norm_id", "token"])
+    df = terms.groupBy("norm_id", "token").agg(F.count("*").alias("df"))
+    asked = items.select("item_id", "norm_id", F.explode(F.array_distinct("tokens")).alias("token")).join(n, "norm_id").join(df, ["norm_id", "token"], "left")
+    asked = asked.withColumn("idf", F.log((F.col("total") + 1) / (F.coalesce("df", F.lit(0)) + 1)))
     whole = asked.groupBy("item_id").agg(F.sum("idf").alias("whole"))
-    score = asked.join(terms, ["norm_id", "token"]).groupBy("item_id", "article_id").agg(F.sum("idf").alias("s")).join(whole, "item_id")
-    ranked = score.select("item_id", "article_id", F.round(F.col("s") / F.col("whole"), 6).alias("score"))
-    return ranked.withColumn("rank", F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "article_id"))).filter(F.col("rank") <= k)
+    score = asked.filter("df is not null").join(terms, ["norm_id", "token"]).groupBy("item_id", "article_id").agg(F.sum("idf").alias("s"))
+    # the norm's first k articles are enough to fill up with scores of 0
+    first = articles.select("norm_id", "article_id").withColumn("r", F.row_number().over(Window.partitionBy("norm_id").orderBy("article_id"))).filter(F.col("r") <= k).drop("r")
+    every = score.unionByName(items.select("item_id", "norm_id").join(first, "norm_id").select("item_id", "article_id", F.lit(0.0).alias("s"))).groupBy("item_id", "article_id").agg(F.max("s").alias("s"))
+    total = F.when(F.coalesce("whole", F.lit(0.0)) == 0, 1.0).otherwise(F.col("whole"))
+    ranked = every.join(whole, "item_id", "left").select("item_id", "article_id", F.round(F.col("s") / total, 6).alias("score"))
+    best = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "article_id"))).filter(F.col("rank") <= k)
+    own = items.join(articles.groupBy("norm_id", "article").agg(F.min("article_id").alias("article_id")), ["norm_id", "article"]).select("item_id", "article_id")
+    own = own.join(best.select("item_id", "article_id"), ["item_id", "article_id"], "left_anti").join(ranked.groupBy("item_id").agg(F.least(F.count("*"), F.lit(k)).alias("held")), "item_id")
+    return best.unionByName(own.select("item_id", "article_id", F.lit(None).cast("double").alias("score"), (F.col("held") + 1).cast("int").alias("rank")))
 
 
 def weighted_overlap_rank(items: DataFrame, articles: DataFrame, k: int) -> DataFrame:
@@ -182,14 +193,25 @@ def weighted_overlap_rank(items: DataFrame, articles: DataFrame, k: int) -> Data
 
 
 def best_name_match(names: DataFrame, candidates: DataFrame, least: float, margin: float) -> DataFrame:
-    """Candidate name with the best token-set similarity, if it is at least ``least`` and leads by ``margin``. Names meet at shared tokens only."""
-    a = names.select("id", F.explode("tokens").alias("token"), F.size("tokens").alias("na"))
-    b = candidates.select("cand", F.explode("tokens").alias("token"), F.size("tokens").alias("nb"))
-    both = a.join(b, "token").groupBy("id", "cand", "na", "nb").agg(F.count("*").alias("n"))
-    s = both.select("id", "cand", F.round(F.col("n") / (F.col("na") + F.col("nb") - F.col("n")), 6).alias("s"))
+    """Candidate name of each name, ``id, cand, s``. ``names`` (id) and ``candidates`` (cand) have ``tokens`` and ``identity`` (kind, number and year of a norm; null if none).
+
+    A name with an identity takes the one candidate that shares it, and none if several do. Else the best candidate
+    counts if it has ``least`` and leads by ``margin``: two different identities have nothing in common, of a name with
+    and one without an identity one must hold all words of the other, and two without are compared by token sets.
+    Names meet at shared tokens only.
+    """
+    same = names.filter("identity is not null").join(candidates.select("cand", "identity"), "identity").groupBy("id").agg(F.count("*").alias("n"), F.min("cand").alias("cand"))
+    left = names.join(same.select("id"), "id", "left_anti")
+    a = left.select("id", F.explode("tokens").alias("token"), F.size("tokens").alias("na"), F.col("identity").isNotNull().alias("ia"))
+    b = candidates.select("cand", F.explode("tokens").alias("token"), F.size("tokens").alias("nb"), F.col("identity").isNotNull().alias("ib"))
+    both = a.join(b, "token").filter("not (ia and ib)").groupBy("id", "cand", "na", "nb", "ia", "ib").agg(F.count("*").alias("n"))
+    least_, most = F.least("na", "nb"), F.greatest("na", "nb")
+    score = F.when(F.col("ia") != F.col("ib"), F.when(F.col("n") == least_, least_ / most).otherwise(0.0)).otherwise(F.col("n") / (F.col("na") + F.col("nb") - F.col("n")))
+    s = both.select("id", "cand", F.round(score, 6).alias("s"))
     w = Window.partitionBy("id").orderBy(F.desc("s"), "cand")
     top = s.withColumn("r", F.row_number().over(w)).withColumn("next", F.lead("s").over(w)).filter("r = 1")
-    return top.filter((F.col("s") >= least) & (F.coalesce(F.col("s") - F.col("next"), F.lit(1.0)) >= margin)).select("id", "cand", "s")
+    top = top.filter((F.col("s") >= least) & (F.round(F.col("s") - F.coalesce("next", F.lit(0.0)), 6) >= F.lit(margin))).select("id", "cand", "s")
+    return same.filter("n = 1").select("id", "cand", F.lit(1.0).alias("s")).unionByName(top)
 
 
 def phrase_evidence(items: DataFrame, texts: DataFrame, size: int) -> DataFrame:

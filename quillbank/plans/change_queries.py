@@ -55,7 +55,7 @@ register("vd14_guessable_filter", "f_items f_answers", lambda i, a: vd.guessable
 
 _u = "u AS (SELECT item_id, any_value(norm_id) AS norm_id FROM f_items GROUP BY item_id)"
 register("wn01_examples_per_group", "f_text_items", lambda t: vd.first_per_group(t, ["source_type"], [c("item_id")], 3).select("source_type", "item_id", "rank"), "SELECT * FROM (SELECT source_type, item_id, CAST(row_number() OVER (PARTITION BY source_type ORDER BY item_id) AS INT) AS rank FROM f_text_items) WHERE rank <= 3")
-register("wn02_examples_with_fallback", "f_text_items", lambda t: wn.examples_with_fallback(t.filter("item_id % 40 = 0").select("item_id", c("source_type").alias("category")), t.select(c("source_type").alias("category")).distinct(), 3), "WITH r AS (SELECT item_id, source_type AS category FROM f_text_items WHERE item_id % 40 = 0), g AS (SELECT DISTINCT source_type AS category FROM f_text_items), x AS (SELECT g.category, CASE WHEN r.category = g.category THEN 0 ELSE 1 END AS tier, r.item_id FROM g, r), k AS (SELECT *, CAST(row_number() OVER (PARTITION BY category ORDER BY tier, item_id) AS INT) AS rank FROM x) SELECT * FROM k WHERE rank <= 3")
+register("wn02_examples_with_fallback", "f_text_items", lambda t: wn.examples_with_fallback(t.select("item_id", c("source_type").alias("category")), t.select(c("source_type").alias("category")).distinct(), 3), "WITH r AS (SELECT item_id, source_type AS category FROM f_text_items), g AS (SELECT DISTINCT source_type AS category FROM f_text_items), x AS (SELECT g.category, CASE WHEN r.category = g.category THEN 0 ELSE 1 END AS tier, r.item_id FROM g, r), k AS (SELECT *, CAST(row_number() OVER (PARTITION BY category ORDER BY tier, item_id) AS INT) AS rank FROM x) SELECT * FROM k WHERE rank <= 3")
 register("wn03_evenly_spaced", "f_text_items", lambda t: wn.evenly_spaced(t, "source_type", "item_id", 5).select("source_type", "item_id", "pos"), "WITH r AS (SELECT source_type, item_id, CAST(row_number() OVER (PARTITION BY source_type ORDER BY item_id) - 1 AS INT) AS pos, count(*) OVER (PARTITION BY source_type) AS n FROM f_text_items) SELECT source_type, item_id, pos FROM r WHERE n <= 5 OR list_contains(list_transform(range(0, 5), lambda i: CAST(round_even(i * (n - 1) / 4.0, 0) AS INT)), pos)")
 _h = lambda x, s: f"md5(concat_ws('|', CAST({x} AS VARCHAR), '{s}'))"
 register("wn04_stratified_sample", "f_text_items f_calls", lambda t, k: wn.stratified_sample(t.select("item_id", (c("item_id") % 5).alias("stratum")), "stratum", k.select(c("call_id").alias("stratum"), (3 + c("call_id")).alias("quota")), "s4").select("stratum", "item_id"), f"SELECT stratum, item_id FROM (SELECT item_id, item_id % 5 AS stratum, row_number() OVER (PARTITION BY item_id % 5 ORDER BY {_h('item_id', 's4')}, item_id) AS r FROM f_text_items) WHERE r <= 3 + stratum")

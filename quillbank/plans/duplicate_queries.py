@@ -34,7 +34,8 @@ _with_typo = lambda t: t.select("item_id", *_F).union(t.filter("item_id % 5 = 0"
 # the oracle counts edits in bytes, so both sides see ASCII only
 _plain = lambda t: t.select("item_id", *[F.regexp_replace(f, r"[^\x00-\x7F]", "?").alias(f) for f in _F])
 _plain_sql = f"ti AS (SELECT item_id, {', '.join(f"regexp_replace({f}, '[^\\x00-\\x7F]', '?', 'g') AS {f}" for f in _F)} FROM ({_typo}))"
-register("dd05_near_duplicates_4of5", _T, lambda t: dd.near_duplicates_one_field(_plain(_with_typo(t))), f"WITH {_plain_sql}, r AS ({_five}) SELECT a.item_id AS id_a, b.item_id AS id_b, a.field, levenshtein(a.v, b.v) AS distance FROM r a JOIN r b ON a.field = b.field AND a.k = b.k AND a.item_id < b.item_id WHERE levenshtein(a.v, b.v) BETWEEN 1 AND 5")
+register("dd05_near_duplicates_4of5", _T, lambda t: dd.near_duplicates_one_field(_plain(_with_typo(t))), f"""WITH {_plain_sql}, r AS MATERIALIZED ({_five}), p AS (SELECT a.item_id AS id_a, b.item_id AS id_b, a.field, a.v AS x, b.v AS y FROM r a JOIN r b ON a.field = b.field AND md5(a.k) = md5(b.k) AND a.item_id < b.item_id AND abs(length(a.v) - length(b.v)) <= 5)
+ SELECT id_a, id_b, field, distance FROM (SELECT *, levenshtein(x, y) AS distance FROM p) WHERE distance BETWEEN 1 AND 5""")
 _pairs = lambda c: c.select(F.col("c_custkey").alias("id_a"), F.expr("c_custkey - c_custkey % 7").alias("id_b")).union(c.filter("c_custkey % 49 = 0").selectExpr("c_custkey", "c_custkey - 7 * (c_custkey div 7 % 3)"))
 _pairs_sql = "p AS (SELECT c_custkey AS a, c_custkey - c_custkey % 7 AS b FROM customer UNION ALL SELECT c_custkey, c_custkey - 7 * (c_custkey // 7 % 3) FROM customer WHERE c_custkey % 49 = 0), u AS (SELECT a, b FROM p WHERE a <> b UNION SELECT b, a FROM p WHERE a <> b)"
 _comp_sql = f"WITH RECURSIVE {_pairs_sql}, w(node, reach) AS (SELECT a, a FROM u UNION SELECT w.node, u.b FROM w JOIN u ON u.a = w.reach)"
@@ -57,21 +58,27 @@ register("dd15_fact_dedup", "f_articles", lambda a: a.groupBy("article_no", F.lo
 register("dd16_hash_groups", "f_articles", dd.hash_groups, "SELECT text_hash, count(*) AS n, string_agg(DISTINCT source_id, ',' ORDER BY source_id) AS sources FROM f_articles GROUP BY text_hash HAVING count(*) > 1")
 _tok = lambda x: f"regexp_extract_all(lower({x}), '[a-z]{{5,}}', 0)"
 _tokens = lambda x: F.array_distinct(F.regexp_extract_all(F.lower(x), F.lit("[a-z]{5,}"), F.lit(0)))
-_ask = lambda t: t.filter("item_id % 20 = 0").select("item_id", (1 + F.col("item_id") % 10).alias("norm_id"), _tokens(F.concat("stem", "opt_a")).alias("tokens"))
-register("dd17_idf_rank", "f_text_items f_articles", lambda t, a: dd.idf_rank(_ask(t), a.select("article_id", "norm_id", _tokens(F.col("text")).alias("tokens")), 4).select("item_id", "article_id", "rank"), f"""WITH tm AS (SELECT DISTINCT norm_id, article_id, unnest({_tok('text')}) AS token FROM f_articles), n AS (SELECT norm_id, count(*) AS total FROM f_articles GROUP BY norm_id),
- idf AS (SELECT tm.norm_id, token, ln(1 + total / count(*)) AS idf FROM tm JOIN n ON n.norm_id = tm.norm_id GROUP BY tm.norm_id, token, total),
- q AS (SELECT q.*, idf FROM (SELECT DISTINCT item_id, 1 + item_id % 10 AS norm_id, unnest({_tok('stem || opt_a')}) AS token FROM f_text_items WHERE item_id % 20 = 0) q JOIN idf ON idf.norm_id = q.norm_id AND idf.token = q.token), wh AS (SELECT item_id, sum(idf) AS whole FROM q GROUP BY item_id),
- s AS (SELECT q.item_id, tm.article_id, round(sum(idf) / any_value(whole), 6) AS score FROM q JOIN tm ON tm.norm_id = q.norm_id AND tm.token = q.token JOIN wh ON wh.item_id = q.item_id GROUP BY q.item_id, tm.article_id)
- SELECT item_id, article_id, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, article_id) AS rank FROM s) WHERE rank <= 4""")
-_ask2 = lambda t: t.filter("item_id % 20 = 0").select("item_id", (1 + F.col("item_id") % 10).alias("norm_id"), _tokens(F.col("opt_a")).alias("answer"), _tokens(F.col("stem")).alias("context"))
-register("dd18_weighted_overlap_rank", "f_text_items f_articles", lambda t, a: dd.weighted_overlap_rank(_ask2(t), a.select("article_id", "norm_id", _tokens(F.col("text")).alias("tokens")), 5), f"""WITH tm AS (SELECT norm_id, article_id, list_distinct({_tok('text')}) AS w FROM f_articles), q AS (SELECT item_id, 1 + item_id % 10 AS norm_id, list_distinct({_tok('opt_a')}) AS a, list_distinct({_tok('stem')}) AS c FROM f_text_items WHERE item_id % 20 = 0),
+_ask = lambda t: t.select("item_id", (1 + F.col("item_id") % 10).alias("norm_id"), _tokens(F.concat("stem", "opt_a")).alias("tokens"), (1 + F.col("item_id") % 40).cast("int").alias("article"))
+register("dd17_idf_rank", "f_text_items f_articles", lambda t, a: dd.idf_rank(_ask(t), a.select("article_id", "norm_id", _tokens(F.col("text")).alias("tokens"), F.col("article_no").alias("article")), 4).select("item_id", "article_id", "rank"), f"""WITH tm AS (SELECT DISTINCT norm_id, article_id, unnest({_tok('text')}) AS token FROM f_articles), n AS (SELECT norm_id, count(*) AS total FROM f_articles GROUP BY norm_id),
+ df AS (SELECT norm_id, token, count(*) AS df FROM tm GROUP BY norm_id, token), i AS (SELECT item_id, 1 + item_id % 10 AS norm_id, 1 + item_id % 40 AS article, list_distinct({_tok('stem || opt_a')}) AS w FROM f_text_items),
+ q AS (SELECT u.item_id, u.norm_id, u.token, ln((total + 1) / (coalesce(df, 0) + 1)) AS idf FROM (SELECT item_id, norm_id, unnest(w) AS token FROM i) u JOIN n ON n.norm_id = u.norm_id LEFT JOIN df ON df.norm_id = u.norm_id AND df.token = u.token),
+ wh AS (SELECT item_id, sum(idf) AS whole FROM q GROUP BY item_id), hit AS (SELECT q.item_id, tm.article_id, sum(idf) AS s FROM q JOIN tm ON tm.norm_id = q.norm_id AND tm.token = q.token GROUP BY ALL),
+ s AS (SELECT i.item_id, a.article_id, a.article_no = i.article AS own, round(coalesce(hit.s, 0) / CASE WHEN coalesce(whole, 0) = 0 THEN 1 ELSE whole END, 6) AS score FROM i JOIN f_articles a ON a.norm_id = i.norm_id LEFT JOIN hit ON hit.item_id = i.item_id AND hit.article_id = a.article_id LEFT JOIN wh ON wh.item_id = i.item_id),
+ k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, article_id) AS rank, count(*) OVER (PARTITION BY item_id) AS held, row_number() OVER (PARTITION BY item_id, own ORDER BY article_id) AS nth FROM s)
+ SELECT item_id, article_id, CAST(CASE WHEN rank <= 4 THEN rank ELSE least(held, 4) + 1 END AS INT) AS rank FROM k WHERE rank <= 4 OR (own AND nth = 1)""")
+_ask2 = lambda t: t.select("item_id", (1 + F.col("item_id") % 10).alias("norm_id"), _tokens(F.col("opt_a")).alias("answer"), _tokens(F.col("stem")).alias("context"))
+register("dd18_weighted_overlap_rank", "f_text_items f_articles", lambda t, a: dd.weighted_overlap_rank(_ask2(t), a.select("article_id", "norm_id", _tokens(F.col("text")).alias("tokens")), 5), f"""WITH tm AS (SELECT norm_id, article_id, list_distinct({_tok('text')}) AS w FROM f_articles), q AS (SELECT item_id, 1 + item_id % 10 AS norm_id, list_distinct({_tok('opt_a')}) AS a, list_distinct({_tok('stem')}) AS c FROM f_text_items),
  s AS (SELECT item_id, article_id, len(list_intersect(a, w)) AS na, len(list_intersect(c, w)) AS nc, len(a) AS n FROM q JOIN tm ON tm.norm_id = q.norm_id),
  r AS (SELECT item_id, article_id, round(2.2 * na + nc + CASE WHEN n > 0 AND na / n >= 0.38 THEN 4 ELSE 0 END, 2) AS score FROM s WHERE na + nc > 0)
  SELECT item_id, article_id, CAST(score AS DOUBLE) AS score, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, article_id) AS rank FROM r) WHERE rank <= 5""")
 _nt = lambda x: F.array_distinct(F.split(tx.norm_ascii_alnum(x), " "))
-register("dd19_best_name_match", "part", lambda p: dd.best_name_match(p.select(F.col("p_partkey").alias("id"), _nt(F.concat_ws(" ", "p_name", "p_brand")).alias("tokens")), p.filter("p_partkey % 10 = 0").select(F.col("p_partkey").alias("cand"), _nt(F.col("p_name")).alias("tokens")), 0.3, 0.05), f"""WITH a AS (SELECT p_partkey AS id, list_distinct(string_split({_alnum("concat_ws(' ', p_name, p_brand)")}, ' ')) AS t FROM part), b AS (SELECT p_partkey AS cand, list_distinct(string_split({_alnum('p_name')}, ' ')) AS t FROM part WHERE p_partkey % 10 = 0),
- s AS (SELECT id, cand, round(len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))), 6) AS s FROM a, b WHERE len(list_intersect(a.t, b.t)) > 0), r AS (SELECT *, row_number() OVER w AS r, lead(s) OVER w AS nx FROM s WINDOW w AS (PARTITION BY id ORDER BY s DESC, cand))
- SELECT id, cand, s FROM r WHERE r = 1 AND s >= 0.3 AND coalesce(s - nx, 1) >= 0.05""")
+_named = "concat_ws(' ', p_type, CASE WHEN p_size % 3 = 0 THEN p_brand END)"
+_identity, _cand_identity = "CASE WHEN p_size % 4 = 0 THEN upper(p_type) END", "CASE WHEN length(p_type) % 2 = 0 THEN upper(p_type) END"
+register("dd19_best_name_match", "part", lambda p: dd.best_name_match(p.select(F.col("p_partkey").alias("id"), _nt(F.expr(_named)).alias("tokens"), F.expr(_identity).alias("identity")), p.select(F.col("p_type").alias("cand"), _nt(F.col("p_type")).alias("tokens"), F.expr(_cand_identity).alias("identity")).distinct(), 0.72, 0.12), f"""WITH a AS (SELECT p_partkey AS id, list_distinct(string_split({_alnum(_named)}, ' ')) AS t, {_identity} AS i FROM part), b AS (SELECT DISTINCT p_type AS cand, list_distinct(string_split({_alnum('p_type')}, ' ')) AS t, {_cand_identity} AS i FROM part),
+ e AS (SELECT id, count(*) AS n, min(cand) AS cand FROM a JOIN b ON a.i = b.i GROUP BY id),
+ s AS (SELECT id, cand, round(CASE WHEN a.i IS NOT NULL AND b.i IS NOT NULL THEN 0 WHEN a.i IS NOT NULL OR b.i IS NOT NULL THEN CASE WHEN len(list_intersect(a.t, b.t)) = least(len(a.t), len(b.t)) THEN least(len(a.t), len(b.t)) / greatest(len(a.t), len(b.t)) ELSE 0 END ELSE len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))) END, 6) AS s FROM a, b WHERE id NOT IN (SELECT id FROM e)),
+ r AS (SELECT *, row_number() OVER w AS r, lead(s) OVER w AS nx FROM s WINDOW w AS (PARTITION BY id ORDER BY s DESC, cand))
+ SELECT id, cand, 1.0::DOUBLE AS s FROM e WHERE n = 1 UNION ALL SELECT id, cand, CAST(s AS DOUBLE) FROM r WHERE r = 1 AND s >= 0.72 AND round(s - coalesce(nx, 0), 6) >= 0.12""")
 _w = lambda x: F.filter(F.split(tx.norm_ascii_alnum(x), " "), lambda y: y != "")
 _wsql = lambda x: f"list_filter(string_split({_alnum(x)}, ' '), lambda y: y <> '')"
 register("dd20_phrase_evidence", "benchmark documents", lambda b, d: dd.phrase_evidence(b.select("item_id", _w(F.col("text")).alias("words")), d.select(F.col("doc_id").alias("text_id"), _w(F.col("text")).alias("words")), 9), f"""WITH b AS (SELECT DISTINCT item_id, array_to_string(w[i:i+8], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 7)) AS i FROM (SELECT item_id, {_wsql('text')} AS w FROM benchmark) WHERE len(w) >= 9)),

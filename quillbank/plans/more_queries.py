@@ -33,7 +33,8 @@ register("lk20_alias_link_refs", "f_refs f_norms", lambda r, n: lk.alias_link(r.
 register("au34_part_resolution_diagnosis", "f_items f_exclusions f_refs f_topics f_bank_links f_part_rules", lambda i, x, r, t, b, p: lk.part_errors(i, x, lk.located_refs(r, t), b, p.filter(_NOT_GENERAL)), f"WITH {ELIGIBLE}, {LOCATED}, {INDEX}, {MATCHED}, nw AS (SELECT * FROM m WHERE outcome = 'NEW'), {_parts('np', 'nw').replace('JOIN f_part_rules r ON', f'JOIN (SELECT * FROM f_part_rules WHERE {_NOT_GENERAL}) r ON')} SELECT call_id, part, content_type, theory_practice, part_reason, count(*) AS n FROM np WHERE part_reason IS NOT NULL GROUP BY ALL")
 _alnum = lambda x: f"trim(regexp_replace(lower({_ua(x)}), '[^a-z0-9]+', ' ', 'g'))"
 _words = lambda x: F.array_distinct(F.split(tx.norm_ascii_alnum(x), " "))
-register("lk23_best_named_source", "part", lambda p: lk.best_named_source(p.select(c("p_partkey").alias("id"), _words(c("p_name")).alias("tokens")), p.filter("p_partkey % 5 = 0").select(c("p_partkey").alias("source_id"), _words(c("p_name")).alias("tokens"), c("p_brand").alias("identity"), (c("p_size") > 20).alias("official")), 0.4), f"""WITH a AS (SELECT p_partkey AS id, list_distinct(string_split({_alnum('p_name')}, ' ')) AS t FROM part), b AS (SELECT p_partkey AS source_id, list_distinct(string_split({_alnum('p_name')}, ' ')) AS t, p_brand AS identity, p_size > 20 AS official FROM part WHERE p_partkey % 5 = 0),
+_sources = lambda p: p.groupBy(c("p_type").alias("p")).agg(F.min("p_partkey").alias("source_id"), F.min("p_brand").alias("identity"), (F.min("p_size") > 1).alias("official")).select("source_id", _words(c("p")).alias("tokens"), "identity", "official")
+register("lk23_best_named_source", "part", lambda p: lk.best_named_source(p.select(c("p_partkey").alias("id"), _words(F.concat_ws(" ", "p_type", "p_brand")).alias("tokens")), _sources(p), 0.4), f"""WITH a AS (SELECT p_partkey AS id, list_distinct(string_split({_alnum("concat_ws(' ', p_type, p_brand)")}, ' ')) AS t FROM part), b AS (SELECT min(p_partkey) AS source_id, list_distinct(string_split({_alnum('p_type')}, ' ')) AS t, min(p_brand) AS identity, min(p_size) > 1 AS official FROM part GROUP BY p_type),
  s AS (SELECT id, source_id, identity, official, round(len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))), 6) AS score FROM a, b), f AS (SELECT *, rank() OVER (PARTITION BY id ORDER BY score DESC) AS r FROM s WHERE score >= 0.4) SELECT id, arg_min(source_id, (NOT official, source_id)) AS source_id, max(score) AS score FROM f WHERE r = 1 GROUP BY id HAVING count(DISTINCT identity) = 1""")
 _tw = lambda d: d.select(c("doc_id").alias("topic_id"), (c("doc_id") % 10).alias("norm_id"), F.concat(F.lit(" "), tx.norm_ascii_alnum(c("text")), F.lit(" ")).alias("words"))
 _hw = lambda d: d.filter("doc_id % 2 = 0").select((c("doc_id") % 10).alias("norm_id"), F.concat_ws("/", (c("doc_id") % 4).cast("string"), c("doc_id").cast("string")).alias("path"), F.concat(F.lit(" "), tx.norm_ascii_alnum(F.substring("text", 1, 18)), F.lit(" ")).alias("words")).union(d.filter("doc_id % 2 = 0 and doc_id < 40").select((c("doc_id") % 10).alias("norm_id"), (c("doc_id") % 4).cast("string"), F.concat(F.lit(" "), tx.norm_ascii_alnum(F.substring("text", 1, 9)), F.lit(" "))))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,7 +110,7 @@ _inner, _mark, _bare = f"regexp_extract(stem, '{_tail}', 1)", f"regexp_extract(s
 _rule("tx17_strip_trailing_origin", *C, lambda c: tx.strip_trailing_origin(c.stem), f"CASE WHEN {_inner} <> '' AND regexp_matches({_inner}, '{tx.ORIGIN}') AND NOT regexp_matches({_inner}, '{tx.INSTRUCTION}') AND NOT regexp_matches({_inner}, '{tx.NO_ORIGIN}') THEN {_bare} || CASE WHEN ends_with({_bare}, {_mark}) THEN '' ELSE {_mark} END ELSE stem END")
 _words = "ayuntamiento|diputaci[oó]n|mancomunidad|bolsa +(?:de|para)|convocatoria|oposiciones?|examen(?: +tipo)?|proceso +selectivo|prueba +selectiva"
 _rule("tx18_strip_origin_anywhere", *C, lambda c: tx.strip_origin_anywhere(c.stem), f"trim(regexp_replace(regexp_replace(stem, '(?i) *[(\\[][^()\\[\\]]*(?:{_words})[^()\\[\\]]*[)\\]]', '', 'g'), '{_B}{{2,}}', ' ', 'g'), ' ;,.-')")
-_rule("tx19_rephrase_stem", *C, lambda c: tx.rephrase_stem(c.stem), "CASE " + " ".join(f"WHEN regexp_matches(trim(stem), '(?i){p}') THEN regexp_replace(trim(stem), '(?is)^(.*?){p}(.*)$', '\\1{r}\\2')" for p, r in tx.PHRASES) + " ELSE stem END")
+_rule("tx19_rephrase_stem", *C, lambda c: tx.rephrase_stem(c.stem), "CASE " + " ".join(f"WHEN regexp_matches(trim(stem), '(?i){p}') THEN regexp_replace(trim(stem), '(?i){p}', '{re.sub(chr(92) + chr(36), chr(92) * 2, r)}')" for p, r in tx.WHOLE_STEMS) + " " + " ".join(f"WHEN regexp_matches(trim(stem), '(?i){p}') THEN regexp_replace(trim(stem), '(?is)^(.*?){p}(.*)$', '\\1{r}\\2')" for p, r in tx.PHRASES) + " ELSE stem END")
 _rule("tx20_dehyphenate", *C, lambda c: tx.dehyphenate(c.stem), _col(f"regexp_replace(replace(stem, chr(173), ''), '-[ \\t]*\\n{_B}*([0-9A-Za-záéíóúüñÁÉÍÓÚÜÑ])', '\\1', 'g')"))
 _s = _nsl(_ua("stem"))
 _rule("tx21_classify_theory_practice", *C, lambda c: tx.classify_theory_practice(c.stem, c.stem), f"CASE WHEN regexp_matches({_s}, '{tx.SUBJECT}') OR regexp_matches({_s}, '{tx.CASE}') OR regexp_matches({_s}, '{tx.HYPOTHESIS}') OR (regexp_matches({_s}, '{tx.DETAIL}') AND regexp_matches({_s}, '{tx.ACTION}')) THEN 'PRACTICA' ELSE 'TEORICA' END")
@@ -138,11 +140,14 @@ _score = f"""least(100, CASE WHEN n[k] = list_sort(n, 'DESC')[1] AND list_sort(n
  + CASE WHEN regexp_matches(o[k], '{tx.ABSOLUTE}') THEN 0 ELSE least(30, 12 * len(list_filter(o, lambda x: regexp_matches(x, '{tx.ABSOLUTE}')))) END
  + CASE WHEN regexp_matches(o[k], '{tx.ALL_OF_THEM}') THEN 15 ELSE 0 END
  + CASE WHEN e[k] > 0 AND e[k] = list_max(e) AND len(list_filter(e, lambda x: x = e[k])) = 1 THEN 15 ELSE 0 END + CASE WHEN length(coalesce(stem, '')) < 90 THEN 10 ELSE 0 END)"""
-_clues = lambda: tx.clue_score(F.col("stem"), _Columns().options, F.col("answer_key"))
+# the texts are invented, so some options get an absolute word
+_LOUD = "concat(coalesce(opt_b, ''), CASE item_id % 6 WHEN 0 THEN ' siempre' WHEN 1 THEN ' con independencia' WHEN 2 THEN ' todo los' ELSE '' END)"
+_LOUD_ITEM = _ITEM.replace("coalesce(opt_b, '')", _LOUD)
+_clues = lambda: tx.clue_score(F.col("stem"), [F.expr(_LOUD) if k == 1 else o for k, o in enumerate(_Columns().options)], F.col("answer_key"))
 QUERIES["tx26_clue_score"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", _clues().alias("v"))
-ORACLE_SQL["tx26_clue_score"] = with_views(f"{_ITEM} SELECT item_id, {_score} AS v FROM e")
+ORACLE_SQL["tx26_clue_score"] = with_views(f"{_LOUD_ITEM} SELECT item_id, {_score} AS v FROM e")
 QUERIES["tx27_difficulty_level"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", tx.difficulty_level(_clues(), F.col("source_type") == "src1", F.col("source_type") == "src2").alias("v"))
-ORACLE_SQL["tx27_difficulty_level"] = with_views(f"{_ITEM} SELECT item_id, CASE WHEN source_type = 'src2' THEN CASE WHEN s < 20 THEN 1 WHEN s < 40 THEN 3 ELSE 4 END WHEN source_type = 'src1' THEN CASE WHEN s < 20 THEN 2 WHEN s < 40 THEN 3 ELSE 4 END ELSE CASE WHEN s < 20 THEN 1 WHEN s < 40 THEN 2 ELSE 3 END END AS v FROM (SELECT *, {_score} AS s FROM e)")
+ORACLE_SQL["tx27_difficulty_level"] = with_views(f"{_LOUD_ITEM} SELECT item_id, CASE WHEN source_type = 'src2' THEN CASE WHEN s < 20 THEN 1 WHEN s < 40 THEN 3 ELSE 4 END WHEN source_type = 'src1' THEN CASE WHEN s < 20 THEN 2 WHEN s < 40 THEN 3 ELSE 4 END ELSE CASE WHEN s < 20 THEN 1 WHEN s < 40 THEN 2 ELSE 3 END END AS v FROM (SELECT *, {_score} AS s FROM e)")
 QUERIES["tx28_option_defects"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", F.array_join(tx.option_defects(F.col("stem"), _Columns().options, F.col("answer_key")), ",").alias("v"))
 ORACLE_SQL["tx28_option_defects"] = with_views(f"""{_ITEM} SELECT item_id, concat_ws(',', CASE WHEN list_max(n) > 170 THEN 'too_long' END, CASE WHEN list_min(n) < 0.55 * list_max(n) THEN 'uneven' END,
  CASE WHEN regexp_matches(array_to_string(o, ' '), '{tx.ALL_OF_THEM}') THEN 'all_or_none' END, CASE WHEN e[k] >= list_max([x for x, i in e if i <> k]) + 2 THEN 'echo' END,

@@ -58,6 +58,48 @@ def test_norm_is_made_explicit(spark):
     assert value(spark, lambda s: tx.make_norm_explicit(s, F.lit("Ley 1/2000")), "Según el artículo 5, ¿cuál?") == "Según el artículo 5 de la Ley 1/2000, ¿cuál?"
 
 
+def test_stems_are_rephrased(spark):
+    cases = {
+        "Las normas dictadas por el Estado:": "Respecto de las normas dictadas por el Estado, señale la opción correcta.",
+        "¿CUÁL de los siguientes principios no está recogido en la Ley 1/2000?": "Indique el principio que no figura en la Ley 1/2000.",
+        "¿Cuál es la especialidad en relación con X según Y?": "Según Y, ¿qué particularidad presenta X?",
+        "Señale la respuesta incorrecta, de conformidad con la Ley:": "De conformidad con la Ley, identifique la afirmación incorrecta:",
+        "Por lo que respecta a A y tal y como dispone B, C indique cuál será éste:": "De acuerdo con B, C ¿Cuál es el límite aplicable?",
+        "El plazo, conforme a la ley, es": "El plazo, Según la ley, es", "Otra cosa": "Otra cosa",
+    }
+    assert {k: value(spark, tx.rephrase_stem, k) for k in cases} == cases
+
+
+def test_practical_questions(spark):
+    kind = lambda t: value(spark, lambda x: tx.classify_theory_practice(x, x), t)
+    assert {kind(t) for t in ("El sr. Pérez acude", "Un empleado público pide", "La conselleria X decide", "Ante la siguiente situación, ¿qué?")} == {"PRACTICA"}
+    assert {kind(t) for t in ("El plazo de la ley", "La conselleria decide", "Una empresarial cosa")} == {"TEORICA"}
+
+
+def test_citations_are_composed(spark):
+    assert value(spark, tx.norm_citation, "Ａrt. ５ ﬁn") == "art 5 fin"
+
+
+def test_absolute_words():
+    import re
+
+    assert all(re.search(tx.ABSOLUTE, x) for x in ("Sólo él", "con independencia de", "todo los", "NUNCA")) and not re.search(tx.ABSOLUTE, "the les")
+
+
+def test_candidate_articles(spark):
+    items = spark.createDataFrame([(1, 7, ["aa", "bb", "zz"], 9), (2, 7, ["none"], 3), (3, 7, [], 1)], "item_id long, norm_id long, tokens array<string>, article int")
+    articles = spark.createDataFrame([(10, 7, ["aa"], 1), (11, 7, ["aa", "bb"], 2), (12, 7, ["cc"], 9), (13, 7, ["cc"], 9), (14, 8, ["aa"], 9)], "article_id long, norm_id long, tokens array<string>, article int")
+    got = sorted((r["item_id"], r["rank"], r["article_id"]) for r in duplicates.idf_rank(items, articles, 2).collect())
+    assert got == [(1, 1, 11), (1, 2, 10), (1, 3, 12), (2, 1, 10), (2, 2, 11), (3, 1, 10), (3, 2, 11)]
+
+
+def test_norm_names(spark):
+    schema = "{} string, tokens array<string>, identity string"
+    names = spark.createDataFrame([("one", ["ley", "39"], "ley 39"), ("two", ["ley", "40"], "ley 40"), ("part", ["ley", "agua", "costa", "mar"], None), ("free", ["plan", "agua"], None), ("far", ["ley", "41"], "ley 41")], schema.format("id"))
+    cands = spark.createDataFrame([("A", ["ley", "39", "2015"], "ley 39"), ("B", ["ley", "40"], "ley 40"), ("C", ["ley", "40", "x"], "ley 40"), ("D", ["ley", "agua", "costa"], "ley 5"), ("E", ["plan", "agua"], None)], schema.format("cand"))
+    assert {tuple(r) for r in duplicates.best_name_match(names, cands, 0.72, 0.12).collect()} == {("one", "A", 1.0), ("part", "D", 0.75), ("free", "E", 1.0)}
+
+
 def test_components_against_union_find(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1060)] + [(5, 5), (None, 3)]
