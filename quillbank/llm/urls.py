@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from quillbank.functions.session import use_checkpoints
 
+#: Parts that the paths of one host are dealt to.
+SALTS = 32
 #: (verdict, host, path prefix)
 Rule = tuple[str, str, str]
 
@@ -47,7 +49,9 @@ def template_tree(paths: DataFrame, levels: int, fan: float, spread: float, weig
     smooth = lambda bad, seen, base: (bad + weight * base) / (seen + weight)
     hosts = paths.groupBy("host").agg(F.sum("bad").alias("host_bad"), F.sum("seen").alias("host_seen")).join(F.broadcast(prior))  # one row
     hosts = hosts.select("host", smooth(F.col("host_bad"), F.col("host_seen"), F.col("prior")).alias("share"))
-    out = paths.join(hosts, "host").withColumn("template", F.col("host"))
+    # a host with a third of all paths meets its share in SALTS tasks
+    hosts = hosts.select("host", "share", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    out = paths.withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int")).join(hosts, ["host", "salt"]).drop("salt").withColumn("template", F.col("host"))
     for k in range(levels):
         out = out.withColumn("seg", F.get("segs", F.lit(k)))
         kids = out.filter("seg is not null").groupBy("host", "template", "seg").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("seen").alias("seen"), F.first("share").alias("base"))
