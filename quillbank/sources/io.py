@@ -77,9 +77,15 @@ def write_summary(metrics: DataFrame, path: str) -> None:
 
 
 def publish_jdbc(df: DataFrame, url: str, table: str, flags: tuple[str, ...] = (), batch: int = 5_000) -> None:
-    """Truncate and reload a table, 0/1 flags as booleans."""
+    """Truncate and reload a table, 0/1 flags as booleans; raise if it doesn't hold as many rows as ``df`` afterwards.
+
+    Tables that refer to others are published after them.
+    """
     out = df.withColumns({c: F.col(c).cast("boolean") for c in flags})
     out.write.option("truncate", True).option("batchsize", batch).jdbc(url, table, mode="overwrite")
+    want, got = df.count(), df.sparkSession.read.jdbc(url, table).count()
+    if want != got:
+        raise ValueError(f"{table} holds {got} rows instead of {want}")
 
 
 def overwrite_table(df: DataFrame, folder: str, checks: dict[str, DataFrame]) -> str:

@@ -49,3 +49,26 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert spark.read.parquet(pool).count() == 2
     ingest_stream(spark, src, pool, log, str(tmp_path / "cp2"), schema).awaitTermination(120)  # replay
     assert spark.read.parquet(pool).count() == 2
+
+
+def test_tables_by_name(spark):
+    region, nation = io.read_tables(spark, "/root/testdata/sf0.001", "region", "nation")
+    assert region.count() == 5 and nation.count() == 25 and "r_name" in region.columns
+
+
+def test_page_texts(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one\ntwo", encoding="utf-8")
+    (tmp_path / "b.txt").write_text("", encoding="utf-8")
+    got = {r["path"].rsplit("/", 1)[1]: r["text"] for r in io.read_page_texts(spark, str(tmp_path)).collect()}
+    assert got.get("a.txt") == "one\ntwo" and not got.get("b.txt")
+
+
+def test_published_rows_are_counted(spark, monkeypatch):
+    url = "jdbc:derby:memory:published;create=true"
+    df = spark.createDataFrame([(1, 0), (2, 1)], "id long, active int")
+    for _ in range(2):  # the second time the table is there and reloaded
+        io.publish_jdbc(df, url, "items", ("active",))
+    assert sorted(map(tuple, spark.read.jdbc(url, "items").collect())) == [(1, False), (2, True)]
+    monkeypatch.setattr(type(df), "count", lambda _, n=iter((3, 2)): next(n))
+    with pytest.raises(ValueError, match="2 rows instead of 3"):
+        io.publish_jdbc(df, url, "items", ("active",))
