@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -80,27 +81,137 @@ def conflicting_duplicates(items: DataFrame, key: Column, value: Column) -> Data
     return by.filter("answers > 1").select("first_id", "n", "answers")
 
 
+def _agree(a: str, b: str) -> int:
+    """Length of the common beginning, by halving."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid - 1)
+    return low
+
+
+def matched(a: str, b: str) -> int:
+    """Characters in matching blocks: the longest block, then those on either side of it; the earliest of equal ones.
+
+    A common beginning or end is the longest block if every longer one would hold the middle of ``a``, and that doesn't
+    stand elsewhere in ``b``. So texts with few edits needn't be searched whole.
+    """
+    done = 0
+    while a and b:
+        n = _agree(a, b)
+        if n == min(len(a), len(b)) or (2 * n >= len(a) and a[len(a) - n - 1 : n + 1] not in b):
+            done, a, b = done + n, a[n:], b[n:]
+            if n:
+                continue
+        n = _agree(a[::-1], b[::-1])
+        # an equally long block further to the front would win
+        if 2 * n > len(a) and b.find(middle := a[len(a) - n : n]) == b.rfind(middle) == len(b) - n:
+            return done + n + matched(a[: len(a) - n], b[: len(b) - n])
+        break
+    return done + sum(m.size for m in difflib.SequenceMatcher(None, a, b, False).get_matching_blocks())
+
+
+def ratio_from(a: Column | str, b: Column | str, least: float) -> Column:
+    """Similarity of two texts by matching blocks, with no junk heuristic; 0 where their characters already rule ``least`` out."""
+
+    @F.pandas_udf(T.DoubleType())
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = []
+        for p, q in zip(x, y, strict=True):
+            p, q = p or "", q or ""
+            most = 2 * (Counter(p) & Counter(q)).total() / (len(p) + len(q) or 1)
+            out.append(1.0 if p == q else 2 * matched(p, q) / (len(p) + len(q)) if most >= least - 1e-6 else 0.0)
+        return pd.Series(out, dtype=float)
+
+    return run(a, b)
+
+
 @F.pandas_udf(T.DoubleType())
-def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Similarity of two texts by matching blocks, with no junk heuristic."""
-    return pd.Series([difflib.SequenceMatcher(None, x or "", y or "", False).ratio() for x, y in zip(a, b, strict=True)])
+def word_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Similarity of two texts by matching blocks of words."""
+    return pd.Series([difflib.SequenceMatcher(None, (x or "").split(), (y or "").split(), False).ratio() for x, y in zip(a, b, strict=True)], dtype=float)
+
+
+def _numbered_grams(size: int):
+    """All character ``size``-grams of a text, each with how often it came before, so that a bag of grams is a set."""
+
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series) -> pd.Series:
+        def one(t: str) -> list[str]:
+            seen: Counter = Counter()
+            out = []
+            for i in range(len(t) - size + 1):
+                g = t[i : i + size]
+                out.append(f"{seen[g]} {g}")
+                seen[g] += 1
+            return out
+
+        return texts.map(one)
+
+    return run
 
 
-def near_duplicates_same_block(items: DataFrame, block: list[str], text: Column, least: float) -> DataFrame:
-    """Pairs of different texts of a block whose ratio is at least ``least``.
+def pairs_that_may_match(rows: DataFrame, block: list[str], least: float, one_side: bool) -> DataFrame:
+    """``a, b``: every pair of ids of a block whose texts can have a ratio of ``least``, few others; no pair of a block is tried.
 
-    Equal texts of a block are one class. A pair's lengths bound its ratio, so only pairs that could reach it are compared.
+    ``rows``: side, id, block, t (not empty). With ``one_side``, a < b; else a is of side 0 and b of side 1. Of two texts
+    with T characters, M >= least * T / 2 of them match, in at most T - 2M + 1 runs, and a run of n characters has
+    n - q + 1 grams of q in common. So much of their gram bags is common, and a pair must share one of the rarest grams
+    of either, the rest being fewer than the common ones. Texts too short for such a bound meet by single characters.
     """
-    rows = items.dropna(subset=block).select("item_id", *block, text.alias("t")).groupBy(*block, "t").agg(F.min("item_id").alias("item_id"))
-    a, b = rows.alias("a"), rows.alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in block]
-    on = F.col("a.item_id") < F.col("b.item_id")
-    for s in same:
-        on = on & s
-    short, long = F.least(F.length("a.t"), F.length("b.t")), F.greatest(F.length("a.t"), F.length("b.t"))
-    met = a.join(b, on & (2 * short >= least * (short + long)))
-    out = met.select(F.col("a.item_id").alias("id_a"), F.col("b.item_id").alias("id_b"), F.round(ratio("a.t", "b.t"), 6).alias("similarity"))
-    return out.filter(F.col("similarity") >= least)
+    s = least - 1e-6  # similarities are rounded
+    q = max(1, min(5, 1 + int((s - 0.3) / (2 * (1 - s)))))
+    length = F.length("t")
+
+    def prefix(some: DataFrame, size: int) -> DataFrame:
+        total = 2 * length / (2 - s)  # of the text and its shortest partner
+        need = F.ceil(total * (s / 2) - (size - 1) * (total * (1 - s) + 1) - 1e-9)
+        grams = some.select("side", "id", length.alias("len"), (length - size + 2 - need).alias("most"), need.alias("need"), *block, "t").filter("need >= 1")
+        grams = grams.select("side", "id", "len", "most", *block, F.explode(_numbered_grams(size)("t")).alias("g")).select("side", "id", "len", "most", F.xxhash64(F.lit(size), *block, "g").alias("g"))
+        rare = grams.groupBy("g").agg(F.count("*").alias("df"))
+        w = Window.partitionBy("side", "id").orderBy("df", "g")
+        return grams.join(rare, "g").withColumn("r", F.row_number().over(w)).filter("r <= most and df > 1").select("side", "id", "len", "g")
+
+    met = prefix(rows, q)
+    if q > 1:
+        short = q * (2 - s) / (s - 2 * (q - 1) * (1 - s))
+        met = met.unionByName(prefix(rows.filter(length <= short * (2 - s) / s + 1), 1))
+    a, b = met.alias("a"), met.alias("b")
+    sides = F.col("a.id") < F.col("b.id") if one_side else (F.col("a.side") == 0) & (F.col("b.side") == 1)
+    close = 2 * F.least("a.len", "b.len") >= s * (F.col("a.len") + F.col("b.len"))
+    return a.join(b, (F.col("a.g") == F.col("b.g")) & sides & close).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+
+
+def near_duplicates_same_block(items: DataFrame, block: list[str], texts: list[str], least: float) -> DataFrame:
+    """Pairs of a block whose texts have a mean ratio of at least ``least``, text by text: ``id_a, id_b, similarity``.
+
+    Rows with equal texts are one class, the smallest id stands for it; rows with a null in the block or the texts take
+    no part. As no ratio is above 1, each of k texts needs ``k * least - (k - 1)``: an empty one has an empty partner,
+    and a pair meets by its first text that isn't empty.
+    """
+    each = len(texts) * least - (len(texts) - 1)
+    rows = items.dropna(subset=[*block, *texts]).groupBy(*block, *texts).agg(F.min("item_id").alias("id"))
+    first = F.coalesce(*[F.when(F.col(t) != "", F.struct(F.lit(k).alias("k"), F.col(t).alias("t"))) for k, t in enumerate(texts)])
+    keyed = rows.select(F.lit(0).alias("side"), "id", *block, first["k"].alias("_k"), first["t"].alias("t")).filter("t is not null")
+    pairs = pairs_that_may_match(keyed, [*block, "_k"], each, True)
+    x, y = [rows.select(F.col("id").alias(n), F.struct(*texts).alias(f"t{n}")) for n in "ab"]
+    both = pairs.join(x, "a").join(y, "b")
+    mean = sum((ratio_from(F.col("ta")[t], F.col("tb")[t], each) for t in texts), F.lit(0.0)) / len(texts)
+    return both.select(F.col("a").alias("id_a"), F.col("b").alias("id_b"), F.round(mean, 6).alias("similarity")).filter(F.col("similarity") >= least)
+
+
+def _classes(rows: DataFrame, side: int, key: str, block: list[str]) -> DataFrame:
+    return rows.dropna(subset=[*block, "t"]).filter("t <> ''").groupBy(*block, "t").agg(F.min(key).alias("id")).select(F.lit(side).alias("side"), "id", *block, "t")
+
+
+def matches_between(left: DataFrame, right: DataFrame, block: list[str], least: float) -> DataFrame:
+    """``a, b, similarity`` of the texts of ``left`` and ``right`` (id, block, t) with a ratio of ``least`` or more.
+
+    Equal texts of a block are one class on either side, with an id of its own in ``a`` and ``b``.
+    """
+    pairs = pairs_that_may_match(left.unionByName(right), block, least, False)
+    met = pairs.join(left.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(right.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
+    return met.select("a", "b", F.round(ratio_from("ta", "tb", least), 6).alias("similarity")).filter(F.col("similarity") >= least)
 
 
 def char_grams(x: Column, n: int = 5) -> Column:
@@ -134,13 +245,18 @@ def near_duplicates_ngram(items: DataFrame, block: list[str], text: Column, leas
     return met.filter(F.least("la", "lb") >= length_ratio * F.greatest("la", "lb")).select("id_a", "id_b", F.round(dice, 6).alias("similarity")).filter(F.col("similarity") >= least)
 
 
-def originality_check(new: DataFrame, pool: DataFrame, block: str, least: float) -> DataFrame:
-    """Best match of each new row in its block of the pool: ``item_id, match_id, similarity, original``."""
-    met = new.select("item_id", block, F.col("t").alias("a")).join(pool.select(F.col("item_id").alias("match_id"), block, F.col("t").alias("b")), block)
-    scored = met.select("item_id", "match_id", F.round(ratio("a", "b"), 6).alias("s"))
-    best = scored.groupBy("item_id").agg(F.max(F.struct("s", (-F.col("match_id")).alias("m"))).alias("best"))
-    out = new.select("item_id").join(best, "item_id", "left")
-    return out.select("item_id", (-F.col("best.m")).alias("match_id"), F.col("best.s").alias("similarity"), (F.coalesce("best.s", F.lit(0.0)) < least).alias("original"))
+def originality_check(new: DataFrame, pool: DataFrame, block: list[str], least: float, floor: float | None = None) -> DataFrame:
+    """Best match of each new row in its block of the pool: ``item_id, match_id, similarity, original``; the smallest id of equal ones.
+
+    ``new`` and ``pool``: item_id, block, t. Matches below ``floor`` (``least`` if not given) aren't looked for and are
+    null. Null and empty texts, and rows with a null in the block, match nothing.
+    """
+    x, y = _classes(new, 0, "item_id", block), _classes(pool, 1, "item_id", block)
+    met = matches_between(x, y, block, least if floor is None else min(floor, least))
+    best = met.groupBy("a").agg(F.max(F.struct("similarity", (-F.col("b")).alias("m"))).alias("best"))
+    of = new.join(x.withColumnRenamed("id", "a"), [*block, "t"]).select("item_id", "a").join(best, "a").select("item_id", "best")
+    out = new.select("item_id").join(of, "item_id", "left")
+    return out.select("item_id", (-F.col("best.m")).alias("match_id"), F.col("best.similarity").alias("similarity"), (F.coalesce("best.similarity", F.lit(0.0)) < least).alias("original"))
 
 
 def anti_join_existing(new: DataFrame, pool: DataFrame, key: Column) -> DataFrame:
@@ -267,20 +383,31 @@ def central_key(items: DataFrame, margin: float = 0.02) -> DataFrame:
     return items.select("item_id", *FIELDS[1:], "answer_key").mapInPandas(run, "item_id long, central boolean")
 
 
-def match_official(items: DataFrame, official: DataFrame, marks: DataFrame, block: str, least: float = 0.85) -> DataFrame:
-    """New marks ``item_id, exam_id, similarity`` of items like an official exam's item; marks that exist are left alone."""
-    met = items.select("item_id", block, F.col("t").alias("a")).join(official.select("exam_id", block, F.col("t").alias("b")), block)
-    short, long = F.least(F.length("a"), F.length("b")), F.greatest(F.length("a"), F.length("b"))
-    near = met.filter(2 * short >= least * (short + long)).select("item_id", "exam_id", F.round(ratio("a", "b"), 6).alias("similarity")).filter(F.col("similarity") >= least)
+def match_official(items: DataFrame, official: DataFrame, marks: DataFrame, block: list[str], least: float = 0.85) -> DataFrame:
+    """New marks ``item_id, exam_id, similarity`` of items like an official exam's item; marks that exist are left alone.
+
+    ``items``: item_id, block, t; ``official``: exam_id, block, t. An item with several texts gets its best. Null and
+    empty texts match nothing.
+    """
+    # classes have ids of their own, as an item may have several texts
+    text_id = F.xxhash64(*block, "t")
+    x, y = _classes(items.withColumn("_id", text_id), 0, "_id", block), _classes(official.withColumn("_id", text_id), 1, "_id", block)
+    met = matches_between(x, y, block, least)
+    mine = items.select("item_id", text_id.alias("a")).distinct()
+    theirs = official.select("exam_id", text_id.alias("b")).distinct()
+    near = met.join(mine, "a").join(theirs, "b").groupBy("item_id", "exam_id").agg(F.max("similarity").alias("similarity"))
     return near.join(marks.select("item_id", "exam_id"), ["item_id", "exam_id"], "left_anti")
 
 
 def article_duplicates(articles: DataFrame) -> DataFrame:
-    """Rows of one (source, article) with several texts: each text's similarity to the longest, which is the reference."""
+    """Rows of one (source, article) with several texts: each whole text's similarity, word by word, to the longest, which is the reference."""
     texts = articles.groupBy("source_id", "article_no", "text").agg(F.min("article_id").alias("article_id"))
-    w = Window.partitionBy("source_id", "article_no")
-    many = texts.withColumn("n", F.count("*").over(w)).withColumn("ref", F.max(F.struct(F.length("text"), -F.col("article_id"), "text")).over(w)).filter("n > 1")
-    return many.select("source_id", "article_no", "article_id", F.round(ratio("text", "ref.text"), 6).alias("similarity"))
+    # hashes and lengths find the reference; the text itself is fetched for groups with several only
+    size = texts.select("source_id", "article_no", "article_id", F.length("text").alias("n"))
+    ref = size.groupBy("source_id", "article_no").agg(F.count("*").alias("texts"), F.max(F.struct("n", (-F.col("article_id")).alias("m"))).alias("ref")).filter("texts > 1").select("source_id", "article_no", (-F.col("ref.m")).alias("ref_id"))
+    other = texts.select(F.col("article_id").alias("ref_id"), F.col("text").alias("ref"))
+    met = texts.join(ref, ["source_id", "article_no"]).join(other, "ref_id")
+    return met.select("source_id", "article_no", "article_id", F.round(word_ratio("text", "ref"), 6).alias("similarity"))
 
 
 def merge_precheck(pairs: DataFrame, links: DataFrame) -> DataFrame:

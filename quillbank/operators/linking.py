@@ -366,10 +366,16 @@ def best_named_source(names: DataFrame, sources: DataFrame, least: float = 0.7)
 def material_scope(topics: DataFrame, headings: DataFrame) -> DataFrame:
     """Headings of the official index whose words stand in a row in a topic's text and that are unique in their norm, but for ancestors of other hits.
 
-    ``topics``: topic_id, norm_id, words (blank-joined, blanks at both ends); ``headings``: norm_id, path, words (the same). Joined within the norm.
+    ``topics``: topic_id, norm_id, words (blank-joined, blanks at both ends); ``headings``: norm_id, path, words (the same).
+    A heading meets the topics of its norm that hold its first two words in a row.
     """
     h = headings.withColumn("n", F.count("*").over(Window.partitionBy("norm_id", "words"))).filter((F.col("n") == 1) & (F.size(F.split(F.trim("words"), " ")) >= 2)).select("norm_id", "path", F.col("words").alias("hw"))
-    hit = topics.join(h, "norm_id").filter(F.col("words").contains(F.col("hw"))).select("topic_id", "norm_id", "path")
+    w = F.split(F.trim("words"), " ")
+    twos = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i))))
+    held = topics.filter(F.size(w) >= 2).select("topic_id", "norm_id", F.explode(twos).alias("two"))
+    first = F.split(F.trim("hw"), " ")
+    met = held.join(h.withColumn("two", F.xxhash64(first[0], first[1])), ["norm_id", "two"]).select("topic_id", "norm_id", "path", "hw")
+    hit = met.join(topics.select("topic_id", "norm_id", "words"), ["topic_id", "norm_id"]).filter(F.col("words").contains(F.col("hw"))).select("topic_id", "norm_id", "path").distinct()
     steps = F.split("path", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(steps) - 1), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))
     below = hit.filter(F.size(steps) > 1).select("topic_id", "norm_id", F.explode(above).alias("path"))

@@ -53,7 +53,7 @@ VIEWS: dict[str, str] = {
     "f_articles": """SELECT doc_id AS article_id, concat('DOC-', CAST(1 + doc_id % 10 AS STRING)) AS source_id, 1 + doc_id % 10 AS norm_id,
         CAST(1 + floor(doc_id / 10) % 40 AS INT) AS article_no, lang, text, SHA256(text) AS text_hash FROM documents""",
     "f_text_items": """SELECT doc_id AS item_id, substr(text, 1, 120) AS stem, substr(text, 121, 40) AS opt_a, substr(text, 161, 40) AS opt_b,
-        substr(text, 201, 40) AS opt_c, substr(text, 241, 40) AS opt_d, substr('ABCD', CAST(1 + doc_id % 4 AS INT), 1) AS answer_key, source AS source_type, lang FROM documents""",
+        substr(text, 201, 40) AS opt_c, substr(text, 241) AS opt_d, substr('ABCD', CAST(1 + doc_id % 4 AS INT), 1) AS answer_key, source AS source_type, lang FROM documents""",
     "f_fragments": "SELECT conv_id AS doc, turn AS frag, CASE WHEN role = 'user' THEN turn END AS visible_number, role <> 'user' AS is_continuation, text FROM conversations",
     "f_cost_log": "SELECT event_id, user_id AS session_id, ts, event_type AS operation, CAST(round(value, 2) AS DECIMAL(18,2)) AS cost FROM events",
     "f_answers": """SELECT item_id, answer_key AS stored, substr('ABCD?', CAST(1 + item_id % 5 AS INT), 1) AS p1, CASE WHEN item_id % 7 = 0 THEN 'N' ELSE 'S' END AS p1_about,

@@ -36,13 +36,14 @@ _words = lambda x: F.array_distinct(F.split(tx.norm_ascii_alnum(x), " "))  # noq
 _sources = lambda p: p.groupBy(c("p_type").alias("p")).agg(F.min("p_partkey").alias("source_id"), F.min("p_brand").alias("identity"), (F.min("p_size") > 1).alias("official")).select("source_id", _words(c("p")).alias("tokens"), "identity", "official")
 register("lk23_best_named_source", "part", lambda p: lk.best_named_source(p.select(c("p_partkey").alias("id"), _words(F.concat_ws(" ", "p_type", "p_brand")).alias("tokens")), _sources(p), 0.4), f"""WITH a AS (SELECT p_partkey AS id, list_distinct(string_split({_alnum("concat_ws(' ', p_type, p_brand)")}, ' ')) AS t FROM part), b AS (SELECT min(p_partkey) AS source_id, list_distinct(string_split({_alnum('p_type')}, ' ')) AS t, min(p_brand) AS identity, min(p_size) > 1 AS official FROM part GROUP BY p_type),
  s AS (SELECT id, source_id, identity, official, round(len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))), 6) AS score FROM a, b), f AS (SELECT *, rank() OVER (PARTITION BY id ORDER BY score DESC) AS r FROM s WHERE score >= 0.4) SELECT id, arg_min(source_id, (NOT official, source_id)) AS source_id, max(score) AS score FROM f WHERE r = 1 GROUP BY id HAVING count(DISTINCT identity) = 1""")
-_tw = lambda d: d.select(c("doc_id").alias("topic_id"), (c("doc_id") % 10).alias("norm_id"), F.concat(F.lit(" "), tx.norm_ascii_alnum(c("text")), F.lit(" ")).alias("words"))
-_hw = lambda d: d.filter("doc_id % 2 = 0").select((c("doc_id") % 10).alias("norm_id"), F.concat_ws("/", (c("doc_id") % 4).cast("string"), c("doc_id").cast("string")).alias("path"), F.concat(F.lit(" "), tx.norm_ascii_alnum(F.substring("text", 1, 18)), F.lit(" ")).alias("words")).union(d.filter("doc_id % 2 = 0 and doc_id < 40").select((c("doc_id") % 10).alias("norm_id"), (c("doc_id") % 4).cast("string"), F.concat(F.lit(" "), tx.norm_ascii_alnum(F.substring("text", 1, 9)), F.lit(" "))))
-register("lk27_material_scope", "documents", lambda d: lk.material_scope(_tw(d), _hw(d)), f"""WITH t AS (SELECT doc_id AS topic_id, doc_id % 10 AS norm_id, ' ' || {_alnum('text')} || ' ' AS words FROM documents), h0 AS (SELECT doc_id % 10 AS norm_id, CAST(doc_id % 4 AS VARCHAR) || '/' || CAST(doc_id AS VARCHAR) AS path, ' ' || {_alnum('substr(text, 1, 18)')} || ' ' AS words FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id % 10, CAST(doc_id % 4 AS VARCHAR), ' ' || {_alnum('substr(text, 1, 9)')} || ' ' FROM documents WHERE doc_id % 2 = 0 AND doc_id < 40),
+_tw = lambda d: d.select(c("doc_id").alias("topic_id"), (c("doc_id") % 2).alias("norm_id"), F.concat(F.lit(" "), tx.norm_ascii_alnum(c("text")), F.lit(" ")).alias("words"))
+_hw = lambda b: b.select((c("item_id") % 2).alias("norm_id"), F.posexplode(F.concat(F.array("text"), F.split("text", r"\. "))).alias("pos", "t"), "item_id").select("norm_id", F.concat_ws("/", c("item_id").cast("string"), F.when(c("pos") > 0, c("pos").cast("string"))).alias("path"), F.concat(F.lit(" "), tx.norm_ascii_alnum(c("t")), F.lit(" ")).alias("words"))
+register("lk27_material_scope", "documents benchmark", lambda d, b: lk.material_scope(_tw(d), _hw(b)), f"""WITH t AS (SELECT doc_id AS topic_id, doc_id % 2 AS norm_id, ' ' || {_alnum('text')} || ' ' AS words FROM documents), p AS (SELECT item_id, list_prepend(text, string_split(text, '. ')) AS l FROM benchmark), s AS (SELECT item_id, unnest(range(len(l))) AS pos, unnest(l) AS t FROM p),
+ h0 AS (SELECT item_id % 2 AS norm_id, concat_ws('/', CAST(item_id AS VARCHAR), CASE WHEN pos > 0 THEN CAST(pos AS VARCHAR) END) AS path, ' ' || {_alnum('t')} || ' ' AS words FROM s),
  h AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY norm_id, words) AS n FROM h0) WHERE n = 1 AND len(string_split(trim(words), ' ')) >= 2), hit AS (SELECT topic_id, t.norm_id, path FROM t JOIN h ON h.norm_id = t.norm_id AND contains(t.words, h.words)) SELECT * FROM hit WHERE NOT EXISTS (SELECT 1 FROM hit o WHERE o.topic_id = hit.topic_id AND o.norm_id = hit.norm_id AND o.path LIKE hit.path || '/%')""")
-_t = lambda t: t.select("item_id", "opt_a", c("stem").alias("t"))
-register("dd21_match_official", "f_text_items", lambda t: dd.match_official(_t(t), t.filter("item_id % 3 = 0").select(c("item_id").alias("exam_id"), "opt_a", F.concat(F.substring("stem", 1, 100), F.lit(" end")).alias("t")), t.filter("item_id % 6 = 0").select("item_id", c("item_id").alias("exam_id")), "opt_a"), None)
-register("dd22_article_duplicates", "f_articles", lambda a: dd.article_duplicates(a.withColumn("article_no", c("article_no") % 9).withColumn("text", F.substring("text", 1, 300))), None)
+_said = lambda x, key, name: x.select(c(key).alias(name), F.explode(F.split("text", r"\. |\n")).alias("t"))
+register("dd21_match_official", "documents benchmark", lambda d, b: dd.match_official(_said(d, "doc_id", "item_id"), _said(b, "item_id", "exam_id"), d.filter("doc_id % 6 = 0").select(c("doc_id").alias("item_id"), (c("doc_id") % 40).alias("exam_id")), []), None)
+register("dd22_article_duplicates", "f_articles", lambda a: dd.article_duplicates(a.withColumn("article_no", c("article_no") % 9)), None)
 register("dd23_merge_precheck", "f_bank_links", lambda b: dd.merge_precheck(b.select("item_id").distinct().filter("item_id % 10 = 2").select("item_id", (c("item_id") - 1 - (c("item_id") % 4) * 10).alias("keep_id")), b), "WITH p AS (SELECT DISTINCT item_id, item_id - 1 - (item_id % 4) * 10 AS keep_id FROM f_bank_links WHERE item_id % 10 = 2) SELECT p.keep_id, p.item_id, l.call_id, CASE WHEN k.item_id IS NULL THEN 'MOVE' WHEN k.part_id IS NOT DISTINCT FROM l.part_id AND k.link_type = l.link_type AND k.topic_id = l.topic_id THEN 'DROP' ELSE 'BLOCK' END AS action FROM p JOIN f_bank_links l ON l.item_id = p.item_id LEFT JOIN f_bank_links k ON k.item_id = p.keep_id AND k.call_id = l.call_id")
 _ti = lambda t: t.select("*", (1 + c("item_id") % 10).alias("norm_id"), (1 + F.floor(c("item_id") / 10) % 40).cast("int").alias("article_no"))
 _key = "concat_ws(chr(1), " + ", ".join(_nsl(f) for f in dd.FIELDS) + ")"

@@ -124,7 +124,7 @@ def test_ratio_pairs_against_all_pairs(spark):
     rng = random.Random(2)
     rows = [(k, k % 3, "".join(rng.choice("ab ") for _ in range(rng.randrange(4, 14)))) for k in range(60)] + [(100, None, "x"), (101, 1, None)]
     df = spark.createDataFrame(rows, "item_id long, block long, t string")
-    got = {(r[0], r[1]) for r in duplicates.near_duplicates_same_block(df, ["block"], F.col("t"), 0.8).collect()}
+    got = {(r[0], r[1]) for r in duplicates.near_duplicates_same_block(df, ["block"], ["t"], 0.8).collect()}
     least = defaultdict(lambda: 10**9)
     for k, b, t in rows:
         if b is not None and t is not None:
@@ -134,6 +134,89 @@ def test_ratio_pairs_against_all_pairs(spark):
     assert got == want
 
 
+def _edited(rng, text, edits):
+    t = list(text)
+    for _ in range(edits):
+        k = rng.randrange(len(t) + 1)
+        t[k : k + rng.randrange(2)] = rng.choice("abcdef gh")
+    return "".join(t)
+
+
+def test_matched_characters_against_difflib():
+    rng = random.Random(4)
+    for k in range(4000):
+        a = "".join(rng.choice("ab" if k % 2 else "abcdef gh") for _ in range(rng.randrange(30)))
+        b = _edited(rng, a, rng.randrange(5))
+        assert duplicates.matched(a, b) == sum(m.size for m in difflib.SequenceMatcher(None, a, b, False).get_matching_blocks())
+
+
+def test_options_alike_on_average_against_all_pairs(spark):
+    rng = random.Random(6)
+    base = ["".join(rng.choice("abcdef gh") for _ in range(60)) for _ in range(3)]
+    rows = [(k, k % 2, "" if k % 4 == 0 else _edited(rng, base[k % 3], 1), _edited(rng, base[k % 3], rng.randrange(5))) for k in range(48)] + [(90, None, "x", "y"), (91, 1, None, "y"), (92, 1, "", ""), (93, 1, "", "")]
+    df = spark.createDataFrame(rows, "item_id long, block long, x string, y string")
+    ratio = lambda a, b: difflib.SequenceMatcher(None, a, b, False).ratio()
+    first = {}
+    for k, *r in rows:
+        if None not in r:
+            first.setdefault(tuple(r), k)
+    reps = [(k, *r) for r, k in first.items()]
+    want = {(a[0], b[0]) for a in reps for b in reps if a[0] < b[0] and a[1] == b[1] and round((ratio(a[2], b[2]) + ratio(a[3], b[3])) / 2, 6) >= 0.93}
+    assert {(r[0], r[1]) for r in duplicates.near_duplicates_same_block(df, ["block"], ["x", "y"], 0.93).collect()} == want
+    assert want
+
+
+def test_matches_between_against_all_pairs(spark):
+    rng = random.Random(8)
+    pool = [(k, "".join(rng.choice("abcdef gh") for _ in range(rng.choice([1, 2, 5, 30, 90])))) for k in range(60)] + [(70, None), (71, "")]
+    new = [(k, _edited(rng, pool[rng.randrange(60)][1], rng.randrange(9))) for k in range(40)] + [(50, None), (51, "")]
+    ratio = lambda a, b: round(difflib.SequenceMatcher(None, a, b, False).ratio(), 6)
+    x, y = spark.createDataFrame(new, "item_id long, t string"), spark.createDataFrame(pool, "item_id long, t string")
+    want = {}
+    for k, a in new:
+        best = max(((ratio(a, b), -m) for m, b in pool if a and b), default=(0.0, 0))
+        want[k] = (-best[1], best[0], best[0] < 0.9) if best[0] >= 0.8 else (None, None, True)
+    assert {r[0]: tuple(r)[1:] for r in duplicates.originality_check(x, y, [], 0.9, 0.8).collect()} == want
+    marks = spark.createDataFrame([(0, 0)], "item_id long, exam_id long")
+    got = {(r["item_id"], r["exam_id"], r["similarity"]) for r in duplicates.match_official(x, y.withColumnRenamed("item_id", "exam_id"), marks, [], 0.8).collect()}
+    assert got == {(k, m, ratio(a, b)) for k, a in new for m, b in pool if a and b and ratio(a, b) >= 0.8 and (k, m) != (0, 0)}
+
+
+def test_one_field_edited_against_all_pairs(spark):
+    rng = random.Random(9)
+    rows = [(k, *[_edited(rng, f"{f} field of it", int(rng.random() < 0.15) * rng.randrange(9)) for f in "pqrst"]) for k in range(60)]
+    df = spark.createDataFrame(rows, "item_id long, stem string, opt_a string, opt_b string, opt_c string, opt_d string")
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    norm = [(k, *[" ".join(f.lower().split()) for f in r]) for k, *r in rows]
+    least = {}
+    for k, *r in norm:
+        least.setdefault(tuple(r), k)
+    reps = [(k, r) for r, k in least.items()]
+    want = set()
+    for k, a in reps:
+        for m, b in reps:
+            off = [i for i in range(5) if a[i] != b[i]]
+            if k < m and len(off) == 1 and edits(a[off[0]], b[off[0]]) <= 5:
+                want.add((k, m, duplicates.FIELDS[off[0]], edits(a[off[0]], b[off[0]])))
+    assert {tuple(r) for r in duplicates.near_duplicates_one_field(df).collect()} == want
+    assert want
+
+
+def test_whole_article_texts_are_compared(spark):
+    a = " ".join(f"w{k}" for k in range(400))
+    rows = [(1, "S", 1, a), (2, "S", 1, a + " end"), (3, "S", 2, a), (4, "S", 1, a)]
+    got = duplicates.article_duplicates(spark.createDataFrame(rows, "article_id long, source_id string, article_no long, text string")).collect()
+    assert {(r["article_id"], r["similarity"]) for r in got} == {(1, round(800 / 801, 6)), (2, 1.0)}
+
+
 def test_plan_applied_twice_is_applied_once(spark):
     from quillbank.plans.fixtures import tables
 
