@@ -161,6 +161,14 @@ def inventory(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [t.agg(F.count("*").alias("rows")).select(F.lit(n).alias("table_name"), "rows", F.lit(len(t.columns)).alias("columns")) for n, t in tables.items()])
 
 
+def call_totals(calls: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per call with its rows in each table (by ``call_id``), 0 if none; each table is counted before it is joined."""
+    out = calls.select("call_id").distinct()
+    for name, t in tables.items():
+        out = out.join(t.groupBy("call_id").agg(F.count("*").alias(name)), "call_id", "left")
+    return out.select("call_id", *[F.coalesce(n, F.lit(0)).alias(n) for n in tables])
+
+
 def compare_inventory(a: DataFrame, b: DataFrame) -> DataFrame:
     met = a.select("table_name", F.col("rows").alias("a")).join(b.select("table_name", F.col("rows").alias("b")), "table_name", "full")
     return met.filter(~F.col("a").eqNullSafe(F.col("b")))

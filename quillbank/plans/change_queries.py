@@ -113,6 +113,7 @@ register("ch05_ingest", "documents", lambda d: ch.ingest(_batch(d), _batch(d).fi
 register("pb01_publish_subset", "f_bank_links f_topics", lambda b, t: ch.publish_subset(b, t)[1].select("topic_id"), "SELECT topic_id FROM f_topics WHERE topic_id IN (SELECT topic_id FROM f_bank_links WHERE state = 'INCLUIDA')")
 _inv = lambda o, cu, p: ch.inventory({"orders": o, "customer": cu, "part": p})
 register("pb02_inventory", "orders customer part", _inv, "SELECT 'orders' AS table_name, count(*) AS rows, 6 AS columns FROM orders UNION ALL SELECT 'customer', count(*), 5 FROM customer UNION ALL SELECT 'part', count(*), 6 FROM part")
+register("pb02_call_totals", "f_calls f_parts f_topics f_refs f_bank_links", lambda c, p, t, r, b: ch.call_totals(c, {"parts": p, "topics": t, "refs": r, "links": b}), "SELECT call_id, (SELECT count(*) FROM f_parts x WHERE x.call_id = c.call_id) AS parts, (SELECT count(*) FROM f_topics x WHERE x.call_id = c.call_id) AS topics, (SELECT count(*) FROM f_refs x WHERE x.call_id = c.call_id) AS refs, (SELECT count(*) FROM f_bank_links x WHERE x.call_id = c.call_id) AS links FROM f_calls c")
 register("pb03_compare_inventory", "orders customer part", lambda o, cu, p: ch.compare_inventory(_inv(o, cu, p), _inv(o, cu.filter("c_custkey > 5"), p)), "SELECT 'customer' AS table_name, count(*) AS a, count(*) FILTER (WHERE c_custkey > 5) AS b FROM customer HAVING count(*) <> count(*) FILTER (WHERE c_custkey > 5)")
 register("pb04_content_fingerprint", "f_bank_links", ch.content_fingerprint, "SELECT count(*) AS links, count(DISTINCT item_id) AS items, count(DISTINCT topic_id) AS topics, CAST(sum(item_id % 1000) AS BIGINT) AS mark FROM f_bank_links WHERE state = 'INCLUIDA'")
 register("pb05_study_extract", "f_articles", lambda a: a.dropDuplicates(["norm_id", "source_id", "article_no"]).groupBy("norm_id").agg(F.array_join(F.transform(F.array_sort(F.collect_set("article_no")), lambda x: x.cast("string")), ",").alias("articles"), F.array_join(F.array_sort(F.collect_set("source_id")), ",").alias("sources")), "SELECT norm_id, array_to_string(list_sort(list(DISTINCT article_no)), ',') AS articles, array_to_string(list_sort(list(DISTINCT source_id)), ',') AS sources FROM f_articles GROUP BY norm_id")

@@ -44,9 +44,10 @@ register("dd08_reassign_links", "customer orders", lambda c, o: dd.reassign_link
 register("dd09_conflicting_duplicates", _T, lambda t: dd.conflicting_duplicates(t, dd.normalised_key(), F.col("answer_key")), f"SELECT min(item_id) AS first_id, count(*) AS n, count(DISTINCT answer_key) AS answers FROM f_text_items GROUP BY {_nkey} HAVING count(DISTINCT answer_key) > 1")
 _with_typo_d = lambda t: t.select("item_id", *_F).union(t.filter("item_id % 5 = 0").select(F.col("item_id") + 1000000, *_F[:4], F.concat("opt_d", F.when(F.col("item_id") % 2 == 0, " x").otherwise(" wholly different"))))
 register("dd10_near_duplicates_same_stem", _T, lambda t: dd.near_duplicates_same_block(_with_typo_d(t), ["stem"], _F[1:], 0.985), None)
-register("dd11_near_duplicates_ngram", _T, lambda t: dd.near_duplicates_ngram(_with_typo(t), ["opt_a"], tx.norm_ascii_alnum(F.col("stem")), 0.94), f"""WITH ti AS ({_typo}), r AS (SELECT min(item_id) AS item_id, opt_a, t FROM (SELECT item_id, opt_a, {_alnum('stem')} AS t FROM ti WHERE opt_a IS NOT NULL) WHERE t <> '' GROUP BY opt_a, t),
+_alike = f"""WITH ti AS ({_typo}), r AS (SELECT min(item_id) AS item_id, opt_a, t FROM (SELECT item_id, opt_a, {_alnum('stem')} AS t FROM ti WHERE opt_a IS NOT NULL) WHERE t <> '' GROUP BY opt_a, t),
  g AS (SELECT *, CASE WHEN length(t) + 2 <= 5 THEN [' ' || t || ' '] ELSE list_distinct(list_transform(range(1, length(t) - 1), lambda i: substr(' ' || t || ' ', i, 5))) END AS g FROM r)
- SELECT a.item_id AS id_a, b.item_id AS id_b, round(2.0 * len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g)), 6) AS similarity FROM g a JOIN g b ON a.opt_a = b.opt_a AND a.item_id < b.item_id AND least(length(a.t), length(b.t)) >= 0.72 * greatest(length(a.t), length(b.t)) WHERE round(2.0 * len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g)), 6) >= 0.94""")
+ SELECT a.item_id AS id_a, b.item_id AS id_b, round(2.0 * len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g)), 6) AS similarity FROM g a JOIN g b ON a.opt_a = b.opt_a AND a.item_id < b.item_id AND least(length(a.t), length(b.t)) >= 0.72 * greatest(length(a.t), length(b.t)) WHERE round(2.0 * len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g)), 6) >= 0.94"""
+register("dd11_near_duplicates_ngram", _T, lambda t: dd.near_duplicates_ngram(_with_typo(t), ["opt_a"], tx.norm_ascii_alnum(F.col("stem")), 0.94), _alike)
 _sentences = lambda d, key: d.select(key, F.posexplode(F.split("text", r"\. |\n")).alias("pos", "t"))
 register("dd12_originality_check", "benchmark documents", lambda b, d: dd.originality_check(_sentences(b, "item_id").select((F.col("item_id") * 1000 + F.col("pos")).alias("item_id"), "t"), _sentences(d, "doc_id").select(F.col("doc_id").alias("item_id"), "t"), [], 0.965, 0.85), None)
 register("dd13_anti_join_existing", _T, lambda t: dd.anti_join_existing(_with_typo(t).select("item_id", "stem"), t.filter("item_id % 2 = 0").select("stem"), tx.norm_ascii_alnum(F.col("stem"))).select("item_id"), f"WITH ti AS ({_typo}), k AS (SELECT item_id, {_alnum('stem')} AS k FROM ti) SELECT min(item_id) AS item_id FROM k WHERE k NOT IN (SELECT {_alnum('stem')} FROM f_text_items WHERE item_id % 2 = 0) GROUP BY k")
@@ -81,7 +82,11 @@ _wsql = lambda x: f"list_filter(string_split({_alnum(x)}, ' '), lambda y: y <> '
 register("dd20_phrase_evidence", "benchmark documents", lambda b, d: dd.phrase_evidence(b.select("item_id", _w(F.col("text")).alias("words")), d.select(F.col("doc_id").alias("text_id"), _w(F.col("text")).alias("words")), 9), f"""WITH b AS (SELECT DISTINCT item_id, array_to_string(w[i:i+8], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 7)) AS i FROM (SELECT item_id, {_wsql('text')} AS w FROM benchmark) WHERE len(w) >= 9)),
  d AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+8], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 7)) AS i FROM (SELECT doc_id, {_wsql('text')} AS w FROM documents) WHERE len(w) >= 9)),
  m AS (SELECT item_id, count(DISTINCT doc_id) AS n, min(doc_id) AS t FROM b JOIN d ON b.g = d.g GROUP BY item_id) SELECT x.item_id, CASE WHEN n IS NULL THEN 'NONE' WHEN n = 1 THEN 'UNIQUE' ELSE 'SEVERAL' END AS state, CASE WHEN n = 1 THEN t END AS text_id FROM benchmark x LEFT JOIN m ON m.item_id = x.item_id""")
-register("dd24_strict_quality_set", "f_text_items f_bank_links", lambda t, b: dd.strict_quality_set(t.filter("length(opt_d) = 0 or opt_d is null").select("item_id"), dd.internal_duplicates(t, dd.normalised_key()).select(F.col("item_id").alias("id_a"), F.col("first_id").alias("id_b")), b), f"""WITH ids AS (SELECT item_id, 'FLAG' AS r FROM f_text_items WHERE length(opt_d) = 0 OR opt_d IS NULL UNION ALL SELECT unnest([item_id, first_id]), 'DUPLICATE' FROM (SELECT item_id, min(item_id) OVER (PARTITION BY {_nkey}) AS first_id FROM f_text_items) WHERE item_id <> first_id)
+# a ninth of the stems point to something that isn't in the item
+_points = lambda t: t.select("item_id", F.concat(F.when(F.col("item_id") % 9 == 0, "Según el apartado anterior, ").otherwise(""), "stem").alias("stem"))
+_points_sql = "SELECT item_id, CASE WHEN item_id % 9 = 0 THEN 'Según el apartado anterior, ' ELSE '' END || stem AS stem FROM f_text_items"
+register("dd24_strict_quality_set", "f_text_items f_bank_links", lambda t, b: dd.strict_quality_set(_points(t).filter(F.size(tx.self_sufficiency_flags(F.col("stem"), F.col("stem"))) > 0).select("item_id"), dd.near_duplicates_ngram(_with_typo(t), ["opt_a"], tx.norm_ascii_alnum(F.col("stem")), 0.94), b), f"""WITH pairs AS ({_alike}), st AS ({_points_sql}),
+ ids AS (SELECT item_id, 'FLAG' AS r FROM st WHERE regexp_matches(stem, '{tx.INTERNAL}') AND NOT regexp_matches(stem, '{tx.ANY_NORM}') OR regexp_matches(stem, '{tx.POINTING}') OR regexp_matches(stem, '{tx.SUBSECTION}') AND NOT regexp_matches(stem, '{tx.ANY_ARTICLE}') UNION ALL SELECT unnest([id_a, id_b]), 'DUPLICATE' FROM pairs)
  SELECT item_id, string_agg(DISTINCT r, ',' ORDER BY r) AS reasons, (SELECT count(*) FROM f_bank_links b WHERE b.item_id = ids.item_id) AS links FROM ids GROUP BY item_id""")
 register("dd26_duplicate_usage", "customer orders", lambda c, o: dd.duplicate_usage(dd.components(_pairs(c)), _links(o)), f"{_keep_sql} SELECT component, CASE WHEN count(*) FILTER (WHERE used) >= 2 THEN 'SEVERAL' WHEN count(*) FILTER (WHERE used) = 1 THEN 'ONE' ELSE 'NONE' END AS usage FROM us GROUP BY component")
 register("tx29_central_key", _T, dd.central_key, None)
