@@ -371,7 +371,8 @@ def material_scope(topics: DataFrame, headings: DataFrame) -> DataFrame:
     """
     h = headings.withColumn("n", F.count("*").over(Window.partitionBy("norm_id", "words"))).filter((F.col("n") == 1) & (F.size(F.split(F.trim("words"), " ")) >= 2)).select("norm_id", "path", F.col("words").alias("hw"))
     w = F.split(F.trim("words"), " ")
-    twos = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i))))
+    # zipped, as a lambda would split the text again for each word
+    twos = F.array_distinct(F.zip_with(w, F.slice(w, F.lit(2), F.size(w)), lambda x, y: F.xxhash64(x, y)))
     held = topics.filter(F.size(w) >= 2).select("topic_id", "norm_id", F.explode(twos).alias("two"))
     first = F.split(F.trim("hw"), " ")
     met = held.join(h.withColumn("two", F.xxhash64(first[0], first[1])), ["norm_id", "two"]).select("topic_id", "norm_id", "path", "hw")
