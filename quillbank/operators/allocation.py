@@ -42,6 +42,14 @@ def percentile_profile(rows: DataFrame, by: str, value: str, least: int = 5) ->
     return rows.groupBy(by).agg(F.count("*").alias("n"), *p).filter(F.col("n") >= least)
 
 
+def percentile_anchors(rows: DataFrame, by: str, value: str, key: str, most: int = 3, least: int = 5) -> DataFrame:
+    """``by, anchor, key, value``: of each profiled group the first ``most`` rows at its median (MEDIAN) and from its 75th percentile up (HIGH), in the order of their keys."""
+    met = rows.select(by, key, value).join(percentile_profile(rows, by, value, least).select(by, "p50", "p75"), by)
+    kinds = F.array(F.when(F.col(value) == F.col("p50"), "MEDIAN"), F.when(F.col(value) >= F.col("p75"), "HIGH"))
+    each = met.select(by, key, value, F.explode(F.array_compact(kinds)).alias("anchor"))
+    return each.withColumn("r", F.row_number().over(Window.partitionBy(by, "anchor").orderBy(key, value))).filter(F.col("r") <= most).select(by, "anchor", key, value)
+
+
 def largest_remainder(weights: DataFrame, by: list[str], key: str, total: Column) -> DataFrame:
     """Whole quotas in proportion to ``weight`` that sum to the total; the largest remainders get one more, ties by key."""
     w = Window.partitionBy(*by)

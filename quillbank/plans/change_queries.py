@@ -61,6 +61,9 @@ _h = lambda x, s: f"md5(concat_ws('|', CAST({x} AS VARCHAR), '{s}'))"  # noqa: E
 register("wn04_stratified_sample", "f_text_items f_calls", lambda t, k: wn.stratified_sample(t.select("item_id", (c("item_id") % 5).alias("stratum")), "stratum", k.select(c("call_id").alias("stratum"), (3 + c("call_id")).alias("quota")), "s4").select("stratum", "item_id"), f"SELECT stratum, item_id FROM (SELECT item_id, item_id % 5 AS stratum, row_number() OVER (PARTITION BY item_id % 5 ORDER BY {_h('item_id', 's4')}, item_id) AS r FROM f_text_items) WHERE r <= 3 + stratum")
 register("wn05_random_sample", "f_text_items", lambda t: wn.random_sample(t.select("item_id"), 25, "s5"), f"SELECT item_id FROM f_text_items ORDER BY {_h('item_id', 's5')}, item_id LIMIT 25")
 register("wn06_percentile_profile", "f_items", lambda i: wn.percentile_profile(i, "norm_id", "score"), "SELECT norm_id, count(*) AS n, quantile_disc(score, 0.5) AS p50, quantile_disc(score, 0.75) AS p75, quantile_disc(score, 0.9) AS p90 FROM f_items GROUP BY norm_id HAVING count(*) >= 5")
+register("wn06_percentile_anchors", "f_items", lambda i: wn.percentile_anchors(i, "norm_id", "score", "item_id"), """WITH p AS (SELECT norm_id, quantile_disc(score, 0.5) AS p50, quantile_disc(score, 0.75) AS p75 FROM f_items GROUP BY norm_id HAVING count(*) >= 5),
+ a AS (SELECT i.norm_id, 'MEDIAN' AS anchor, item_id, score FROM f_items i JOIN p ON p.norm_id = i.norm_id WHERE score = p50 UNION ALL SELECT i.norm_id, 'HIGH', item_id, score FROM f_items i JOIN p ON p.norm_id = i.norm_id WHERE score >= p75)
+ SELECT norm_id, anchor, item_id, score FROM (SELECT *, row_number() OVER (PARTITION BY norm_id, anchor ORDER BY item_id, score) AS r FROM a) WHERE r <= 3""")
 _wt = lambda r: r.filter("norm_id is not null").groupBy("call_id", "norm_id").agg(F.count_distinct("article_asked", "topic_id").alias("weight"))
 LARGEST = "q0 AS (SELECT call_id, norm_id, weight, round(weight * 60 / sum(weight) OVER (PARTITION BY call_id), 9) AS exact FROM w), q1 AS (SELECT *, floor(exact) AS f FROM q0), q2 AS (SELECT *, 60 - sum(f) OVER (PARTITION BY call_id) AS rest, row_number() OVER (PARTITION BY call_id ORDER BY exact - f DESC, norm_id) AS r FROM q1), quota AS (SELECT call_id, norm_id, CAST(f + CASE WHEN r <= rest THEN 1 ELSE 0 END AS BIGINT) AS quota FROM q2)"
 _wsql = "w AS (SELECT call_id, norm_id, count(DISTINCT (article_asked, topic_id)) AS weight FROM f_refs WHERE norm_id IS NOT NULL GROUP BY call_id, norm_id)"
