@@ -55,6 +55,16 @@ VIEWS: dict[str, str] = {
     "f_text_items": """SELECT doc_id AS item_id, substr(text, 1, 120) AS stem, substr(text, 121, 40) AS opt_a, substr(text, 161, 40) AS opt_b,
         substr(text, 201, 40) AS opt_c, substr(text, 241) AS opt_d, substr('ABCD', CAST(1 + doc_id % 4 AS INT), 1) AS answer_key, source AS source_type, lang FROM documents""",
     "f_fragments": "SELECT conv_id AS doc, turn AS frag, CASE WHEN role = 'user' THEN turn END AS visible_number, role <> 'user' AS is_continuation, text FROM conversations",
+    # every third turn opens an item; what follows repeats, extends or contradicts it
+    "f_page_fragments": """SELECT conv_id AS doc, CAST(turn AS BIGINT) AS frag, CAST(floor(turn / 2) AS INT) AS page, CASE WHEN turn % 3 = 0 AND NOT (conv_id % 10 = 9 AND turn = 0) THEN CAST(1 + CAST(floor(turn / 3) AS INT) AS STRING) END AS number,
+        turn % 3 <> 0 AND (conv_id + turn) % 11 <> 0 OR conv_id % 10 = 9 AS continues,
+        CASE WHEN turn % 3 = 0 THEN substr(m, 1, 50 + conv_id % 30) WHEN (conv_id + turn) % 3 = 0 THEN substr(m, 5, 20) WHEN (conv_id + turn) % 3 = 1 THEN substr(m, 1, 100) ELSE text END AS stem,
+        CASE WHEN turn % 3 = 2 THEN substr(m, 10, 40) ELSE substr(m, 10, 15) END AS opt_a, CASE WHEN turn % 3 = 1 THEN substr(text, 20) ELSE substr(m, 30, 15) END AS opt_b,
+        CASE WHEN turn % 3 = 0 THEN '' ELSE substr(m, 50 + turn, 12) END AS opt_c, CASE WHEN turn % 2 = 0 THEN substr(m, 80, 9) END AS opt_d, CASE WHEN turn % 5 = 4 THEN concat(' Hoja  ', CAST(turn AS STRING)) END AS footer,
+        CASE WHEN (conv_id * 7 + turn) % 13 = 0 THEN 'E' WHEN (conv_id + turn) % 4 = 1 THEN substr('abcd', 1 + CAST(conv_id % 4 AS INT), 1) WHEN (conv_id + turn) % 9 = 4 THEN ' B ' END AS answer,
+        CASE WHEN (conv_id + turn) % 17 = 3 THEN 'VARIA' WHEN turn % 2 = 0 THEN 'juridica' END AS kind, CASE WHEN turn % 3 <> 1 THEN 'LEY' WHEN conv_id % 6 = 5 THEN 'DECRETO' END AS norm_type,
+        CASE WHEN turn % 3 = 2 THEN concat('Ley ', CAST(conv_id % 7 AS STRING)) END AS norm_name, CAST(turn - turn % 3 + CASE WHEN conv_id % 8 = 7 AND turn % 3 = 2 THEN 1 ELSE 0 END AS STRING) AS article, CAST(NULL AS STRING) AS topic
+        FROM (SELECT *, max(text) OVER (PARTITION BY conv_id) AS m FROM conversations) v""",
     "f_cost_log": "SELECT event_id, user_id AS session_id, ts, event_type AS operation, CAST(round(value, 2) AS DECIMAL(18,2)) AS cost FROM events",
     "f_answers": """SELECT item_id, answer_key AS stored, substr('ABCD?', CAST(1 + item_id % 5 AS INT), 1) AS p1, CASE WHEN item_id % 7 = 0 THEN 'N' ELSE 'S' END AS p1_about,
         CASE WHEN item_id % 3 = 0 THEN NULL ELSE substr('ABCD?', CAST(1 + item_id % 4 AS INT), 1) END AS p2,
