@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillbank.functions.session import use_checkpoints
 from quillbank.functions.textnorm import article_base, article_full, norm_identity, norm_identity_undated
 
 
@@ -159,21 +162,118 @@ def retirable_links(links: DataFrame, items: DataFrame, exclusions: DataFrame, l
     return met.select("link_id", "call_id", "item_id", reason.alias("reason")).filter("reason is not null")
 
 
+def article_forms(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with ``base`` and ``full``, the normal forms of an article column, made once for each distinct spelling."""
+    spelt = rows.select(F.col(column).alias("_spelt")).distinct().withColumn("base", article_base(F.col("_spelt"))).withColumn("full", article_full(F.col("_spelt")))
+    return rows.join(spelt, rows[column].eqNullSafe(spelt["_spelt"]), "left").drop("_spelt")
+
+
 def bank_plan(items: DataFrame, exclusions: DataFrame, refs: DataFrame, topics: DataFrame, rules: DataFrame, links: DataFrame, categories: DataFrame) -> DataFrame:
-    """What to do for the banks of all calls: ``call_id, item_id, action, topic_id, part_id, reason, link_type`` (add, reassign, retire, or blocked)."""
-    located = located_refs(refs, topics)
-    legal = match_items(items, exclusions, ref_index(located), links, rules).filter("outcome = 'NEW'").withColumn("link_type", F.lit("JURIDICA"))
-    other = match_categories(items, exclusions, categories, topics, links).filter("outcome = 'NEW'").withColumn("link_type", F.lit("NO_JURIDICA"))
-    new = resolve_part(legal.unionByName(other), rules, ["call_id", "item_id", "topic_id", "link_type"])
-    new = new.select("call_id", "item_id", F.when(F.col("part_id").isNotNull(), "ADD").otherwise("BLOCKED").alias("action"), "topic_id", "part_id", F.col("part_reason").alias("reason"), "link_type")
-    retire = retirable_links(links, items, exclusions, located)
-    moved = reassignable_links(links, items, located, topics, rules).join(retire.select("link_id"), "link_id", "left_anti")
-    none = lambda t: F.lit(None).cast(t)
-    kind = F.lit("JURIDICA").alias("link_type")
-    return (
-        new.unionByName(moved.select("call_id", "item_id", F.lit("REASSIGN").alias("action"), "topic_id", "part_id", none("string").alias("reason"), kind))
-        .unionByName(retire.select("call_id", "item_id", F.lit("RETIRE").alias("action"), none("bigint").alias("topic_id"), none("bigint").alias("part_id"), "reason", kind))
+    """What to do for the banks of all calls: ``call_id, item_id, action, topic_id, part_id, reason, link_type`` (add, reassign, retire, or blocked).
+
+    Items are judged and their articles normalised once, and located references once; both are narrow and kept in the
+    checkpoint folder for their readers; the parts of new and of reassigned links are resolved together.
+    """
+    use_checkpoints(items.sparkSession)
+    narrow = items.select("item_id", "kind", "norm_id", "norm_type_n", "norm_name_n", "article_n", "category", "theory_practice", "validity")
+    out = exclusions.filter("state in ('CUARENTENA', 'RETIRADA')").select("item_id").distinct().withColumn("excluded", F.lit(True))
+    missing = completeness_reason(F.col("norm_type_n"), F.col("norm_name_n"), F.col("norm_id"), F.col("article_n"))
+    reason = (
+        F.when(F.col("excluded"), "EXCLUDED").when(F.upper(F.trim("validity")).startswith("OBSOLETA"), "OBSOLETE").when(missing != "", F.concat(F.lit("INCOMPLETE:"), missing))
+        .when(F.col("base").isNull(), "ARTICLE")
     )
+    judged = article_forms(narrow, "article_n").join(out, "item_id", "left")
+    judged = judged.select("item_id", "kind", "norm_id", "base", "full", "category", F.upper("theory_practice").alias("theory_practice"), "excluded", reason.alias("reason")).checkpoint()
+    located = article_forms(refs.join(topics.select("topic_id", "part", "number", "title", "content_type"), "topic_id"), "article_asked").filter("norm_id is not null and base is not null")
+    located = located.select("ref_id", "call_id", "norm_id", "article_asked", "base", "full", "topic_id", "part", "number", "content_type").checkpoint()
+
+    have = links.select("call_id", "item_id").distinct()
+    practice = calls_with_practice(rules).withColumn("practice", F.lit(True))
+    legal = judged.filter("kind = 'JURIDICA' and reason is null").select("item_id", "norm_id", "base", "theory_practice").join(ref_index(located), ["norm_id", "base"])
+    legal = legal.join(practice, "call_id", "left").filter("theory_practice is null or theory_practice <> 'PRACTICA' or practice").join(have, ["call_id", "item_id"], "left_anti")
+    index = category_index(categories).filter("topic_id is not null").select("call_id", "category", "topic_id").join(topics.select("topic_id", "part", "content_type"), "topic_id")
+    other = judged.filter("kind = 'INFORMATICA' and excluded is null").select("item_id", "theory_practice", F.upper(F.trim("category")).alias("category")).join(index, "category").join(have, ["call_id", "item_id"], "left_anti")
+
+    old = links.filter("link_type = 'JURIDICA'").select("link_id", "call_id", "item_id", F.col("topic_id").alias("old_topic"), "state")
+    covered = located.select("call_id", "norm_id", "base").distinct().withColumn("covered", F.lit(True))
+    held = judged.filter("kind = 'JURIDICA'").select("item_id", "norm_id", "base", "reason")
+    gone = old.filter("state = 'INCLUIDA'").join(held, "item_id", "left").join(covered, ["call_id", "norm_id", "base"], "left")
+    gone = gone.withColumn("reason", F.coalesce("reason", F.when(F.col("covered").isNull(), "OUT_OF_SYLLABUS"))).filter("reason is not null").select("link_id", "call_id", "item_id", "reason").checkpoint()
+    retire = gone.select("call_id", "item_id", F.lit("RETIRE").alias("action"), F.lit(None).cast("bigint").alias("topic_id"), F.lit(None).cast("bigint").alias("part_id"), "reason", F.lit("JURIDICA").alias("link_type"))
+
+    # the topic that the references of a linked item agree on
+    linked = judged.select("item_id", "norm_id", "base", "full").join(old.select("item_id").distinct(), "item_id", "left_semi")
+    met = linked.join(located.select("call_id", "norm_id", "base", F.col("full").alias("ref_full"), "topic_id"), ["norm_id", "base"])
+    exact = F.when(F.col("ref_full") == F.col("full"), F.col("topic_id"))
+    met = met.groupBy("call_id", "item_id").agg(F.min("topic_id").alias("lo"), F.max("topic_id").alias("hi"), F.min(exact).alias("elo"), F.max(exact).alias("ehi"))
+    topic = F.when(F.col("lo") == F.col("hi"), F.col("lo")).when(F.col("elo") == F.col("ehi"), F.col("elo"))
+    moved = old.join(met.select("call_id", "item_id", topic.alias("topic_id")), ["call_id", "item_id"]).filter("old_topic <> topic_id").join(gone, "link_id", "left_anti")
+    moved = moved.select("call_id", "item_id", "topic_id").join(topics.select("topic_id", "part", "content_type"), "topic_id").join(judged.select("item_id", "theory_practice"), "item_id")
+
+    columns = ["call_id", "item_id", "topic_id", "part", "content_type", "theory_practice"]
+    kinds = ((legal, "ADD", "JURIDICA"), (other, "ADD", "NO_JURIDICA"), (moved, "REASSIGN", "JURIDICA"))
+    rows = reduce(DataFrame.unionByName, [x.select(*columns, F.lit(action).alias("action"), F.lit(kind).alias("link_type")) for x, action, kind in kinds])
+    parts = resolve_part(rows, rules, ["call_id", "item_id", "topic_id", "action", "link_type"]).filter("action = 'ADD' or part_reason is null")
+    made = parts.select("call_id", "item_id", F.when(F.col("part_reason").isNull(), F.col("action")).otherwise("BLOCKED").alias("action"), "topic_id", "part_id", F.col("part_reason").alias("reason"), "link_type")
+    return made.unionByName(retire)
+
+
+def bank_incidents(links: DataFrame, items: DataFrame, topics: DataFrame, rules: DataFrame) -> DataFrame:
+    """What is wrong with stored links: ``call_id, incident, n``.
+
+    ``PART`` (none), ``TOPIC`` (none), ``OTHER_CALL`` (the topic's), ``TYPE`` (of link and item), ``PRACTICE`` (not
+    admitted by the call) by links; ``REPEATED`` by items that a call has several times.
+    """
+    def counted(rows: DataFrame, *flags: Column) -> DataFrame:
+        return rows.select("call_id", F.explode(F.array_compact(F.array(*flags))).alias("incident")).groupBy("call_id", "incident").agg(F.count("*").alias("n"))
+
+    t = topics.select("topic_id", F.col("call_id").alias("topic_call"))
+    placed = links.select("call_id", "part_id", "topic_id").join(t, "topic_id", "left")
+    by_link = counted(placed, F.when(F.col("part_id").isNull(), "PART"), F.when(F.col("topic_id").isNull(), "TOPIC"), F.when(F.col("topic_call") != F.col("call_id"), "OTHER_CALL"))
+    practice = calls_with_practice(rules).withColumn("practice", F.lit(True))
+    met = links.select("call_id", "item_id", "link_type").join(items.select("item_id", "kind", "theory_practice"), "item_id").join(practice, "call_id", "left")
+    wrong_type = ((F.col("link_type") == "JURIDICA") & (F.col("kind") != "JURIDICA")) | ((F.col("link_type") == "NO_JURIDICA") & (F.col("kind") != "INFORMATICA"))
+    by_item = counted(met, F.when(wrong_type, "TYPE"), F.when((F.upper(F.trim("theory_practice")) == "PRACTICA") & F.col("practice").isNull(), "PRACTICE"))
+    twice = links.groupBy("call_id", "item_id").agg(F.count("*").alias("k")).filter("k > 1").groupBy("call_id").agg(F.count("*").alias("n"))
+    return by_link.unionByName(by_item).unionByName(twice.select("call_id", F.lit("REPEATED").alias("incident"), "n"))
+
+
+def plan_incidents(refs: DataFrame, topics: DataFrame, categories: DataFrame) -> DataFrame:
+    """What is wrong with a call's syllabus: ``call_id, incident, n`` (``REFERENCE``, ``REPEATED_REFERENCE``, ``CATEGORY``)."""
+    located = article_forms(refs.join(topics.select("topic_id", "part", "number", "title", "content_type"), "topic_id"), "article_asked")
+    kinds = ((invalid_refs(located), "REFERENCE"), (repeated_refs(located), "REPEATED_REFERENCE"), (category_index(categories).filter("reason is not null"), "CATEGORY"))
+    rows = reduce(DataFrame.unionAll, [x.select("call_id", F.lit(k).alias("incident")) for x, k in kinds])
+    return rows.groupBy("call_id", "incident").agg(F.count("*").alias("n"))
+
+
+def gate(calls: DataFrame, plan: DataFrame, incidents: DataFrame, together: bool = False) -> DataFrame:
+    """Review of every call: ``call_id, add, reassign, retire, blocked, incidents, vetoed``.
+
+    Any incident vetoes the changes of its call; ``together``: of all calls.
+    """
+    counted = incidents.groupBy("call_id").agg(F.sum("n").alias("incidents"))
+    n = [F.count_if(F.col("action") == a).alias(a.lower()) for a in ("ADD", "REASSIGN", "RETIRE", "BLOCKED")]
+    met = calls.select("call_id").distinct().join(plan.groupBy("call_id").agg(*n), "call_id", "left").join(counted, "call_id", "left").na.fill(0)
+    vetoed = F.col("incidents") > 0
+    # one row per call
+    return met.withColumn("vetoed", F.max(vetoed).over(Window.partitionBy()) if together else vetoed)
+
+
+def sync_banks(calls: DataFrame, items: DataFrame, exclusions: DataFrame, refs: DataFrame, topics: DataFrame, rules: DataFrame, links: DataFrame, categories: DataFrame, together: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Links of all calls after their plans, and the review (:func:`gate`, with ``rolled_back``), in two phases of one job.
+
+    First all calls are planned and reviewed: calls with incidents in their syllabus or their stored links keep their
+    links. Then plans of the other calls are applied and the result is audited: a call whose new links have incidents
+    keeps its old ones.
+    """
+    use_checkpoints(items.sparkSession)
+    plan = bank_plan(items, exclusions, refs, topics, rules, links, categories).checkpoint()
+    before = plan_incidents(refs, topics, categories).unionByName(bank_incidents(links, items, topics, rules))
+    review = gate(calls, plan, before, together).checkpoint()
+    new = apply_bank_plan(links, plan, review.filter("vetoed"))
+    after = bank_incidents(new, items, topics, rules).join(review.filter("not vetoed"), "call_id", "left_semi").select("call_id").distinct().withColumn("rolled_back", F.lit(True)).checkpoint()
+    kept = new.join(after, "call_id", "left_anti").unionByName(links.select(*new.columns).join(after, "call_id", "left_semi"))
+    return kept, review.join(after, "call_id", "left").na.fill(False, ["rolled_back"])
 
 
 def apply_bank_plan(links: DataFrame, plan: DataFrame, blocked: DataFrame | None = None) -> DataFrame:

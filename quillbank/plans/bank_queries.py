@@ -101,3 +101,32 @@ register("lk10_diff_bank", "f_items f_refs f_topics f_bank_links f_exclusions",
 register("lk11_expected_bank", "f_items f_refs f_topics", lk.expected_bank, f"WITH {LOCATED}, {EXPECTED} SELECT call_id, item_id, topic_id FROM ex")
 register("lk12_surplus_links", "f_items f_refs f_topics f_bank_links", lambda i, r, t, b: lk.surplus_links(lk.expected_bank(i, r.filter("ref_id % 7 <> 0"), t), b).select("link_id"), f"WITH {LOCATED.replace('t.topic_id = r.topic_id', 't.topic_id = r.topic_id AND r.ref_id % 7 <> 0')}, {EXPECTED} SELECT link_id FROM f_bank_links b WHERE link_type = 'JURIDICA' AND NOT EXISTS (SELECT 1 FROM ex WHERE ex.call_id = b.call_id AND ex.item_id = b.item_id)")
 register("lk13_repair_parts", "f_bank_links f_items f_topics f_part_rules", lambda b, i, t, p: lk.repair_parts(b, i, t, p), f"WITH rp0 AS (SELECT b.link_id, b.call_id, b.part_id AS old_part, t.part, t.content_type, i.theory_practice FROM f_bank_links b JOIN f_topics t ON t.topic_id = b.topic_id JOIN f_items i ON i.item_id = b.item_id), {_parts('rp', 'rp0')} SELECT link_id, old_part, new_part AS part_id, part_reason FROM rp WHERE new_part IS NULL OR old_part IS NULL OR new_part <> old_part")
+
+
+# --- the gate: two clean calls, one with a bad syllabus, two with bad links
+_gate_views = "f_calls f_gate_items f_exclusions f_gate_refs f_topics f_gate_rules f_gate_links f_category_topics"
+_GATE_PLAN = PLAN.replace("f_refs", "f_gate_refs").replace("f_bank_links", "f_gate_links").replace("f_part_rules", "f_gate_rules").replace("f_items", "f_gate_items")
+
+
+def _incidents(links: str) -> str:
+    return f"""SELECT call_id, 'PART' AS incident FROM {links} WHERE part_id IS NULL UNION ALL SELECT call_id, 'TOPIC' FROM {links} WHERE topic_id IS NULL
+ UNION ALL SELECT b.call_id, 'OTHER_CALL' FROM {links} b JOIN f_topics t ON t.topic_id = b.topic_id WHERE t.call_id <> b.call_id
+ UNION ALL SELECT b.call_id, 'TYPE' FROM {links} b JOIN f_gate_items i ON i.item_id = b.item_id WHERE b.link_type = 'JURIDICA' AND i.kind <> 'JURIDICA' OR b.link_type = 'NO_JURIDICA' AND i.kind <> 'INFORMATICA'
+ UNION ALL SELECT b.call_id, 'PRACTICE' FROM {links} b JOIN f_gate_items i ON i.item_id = b.item_id WHERE i.theory_practice = 'PRACTICA' AND b.call_id NOT IN (SELECT call_id FROM f_gate_rules WHERE theory_practice = 'PRACTICA')
+ UNION ALL SELECT call_id, 'REPEATED' FROM (SELECT call_id, item_id FROM {links} GROUP BY call_id, item_id HAVING count(*) > 1)"""
+
+
+_GATE = f"""{_GATE_PLAN},
+inc AS (SELECT call_id, 'REFERENCE' AS incident FROM l WHERE norm_id IS NULL OR base IS NULL
+ UNION ALL SELECT call_id, 'REPEATED_REFERENCE' FROM (SELECT call_id FROM l WHERE norm_id IS NOT NULL AND base IS NOT NULL AND fullref IS NOT NULL GROUP BY call_id, norm_id, fullref HAVING count(DISTINCT topic_id) > 1)
+ UNION ALL SELECT call_id, 'CATEGORY' FROM (SELECT call_id FROM f_category_topics GROUP BY call_id, upper(trim(category)) HAVING count(DISTINCT topic_id) > 1)
+ UNION ALL {_incidents('f_gate_links')}),
+rv AS (SELECT c.call_id, (SELECT count(*) FROM inc WHERE inc.call_id = c.call_id) AS incidents FROM f_calls c),
+q AS (SELECT * FROM pl WHERE call_id IN (SELECT call_id FROM rv WHERE incidents = 0)),
+nw_links AS (SELECT b.call_id, b.item_id, coalesce(z.part_id, b.part_id) AS part_id, b.link_type, b.state, coalesce(z.topic_id, b.topic_id) AS topic_id FROM f_gate_links b LEFT JOIN (SELECT * FROM q WHERE action IN ('REASSIGN', 'RETIRE')) z ON z.call_id = b.call_id AND z.item_id = b.item_id WHERE coalesce(z.action, '') <> 'RETIRE'
+ UNION ALL SELECT call_id, item_id, part_id, link_type, 'INCLUIDA', topic_id FROM q WHERE action = 'ADD'),
+back AS (SELECT DISTINCT call_id FROM ({_incidents('nw_links')}) WHERE call_id IN (SELECT call_id FROM rv WHERE incidents = 0))"""
+register("ch06_gate", _gate_views, lambda *v: lk.sync_banks(*v)[1], f"""{_GATE} SELECT rv.call_id, count(*) FILTER (WHERE action = 'ADD') AS "add", count(*) FILTER (WHERE action = 'REASSIGN') AS reassign, count(*) FILTER (WHERE action = 'RETIRE') AS retire, count(*) FILTER (WHERE action = 'BLOCKED') AS blocked,
+ incidents, incidents > 0 AS vetoed, rv.call_id IN (SELECT call_id FROM back) AS rolled_back FROM rv LEFT JOIN pl ON pl.call_id = rv.call_id GROUP BY rv.call_id, incidents""")
+register("ch06_incidents", _gate_views, lambda c, i, x, r, t, p, b, k: lk.plan_incidents(r, t, k).unionByName(lk.bank_incidents(b, i, t, p)), f"{_GATE} SELECT call_id, incident, count(*) AS n FROM inc GROUP BY call_id, incident")
+register("ch07_sync_banks", _gate_views, lambda *v: lk.sync_banks(*v)[0], f"{_GATE} SELECT * FROM nw_links WHERE call_id NOT IN (SELECT call_id FROM back) UNION ALL SELECT call_id, item_id, part_id, link_type, state, topic_id FROM f_gate_links WHERE call_id IN (SELECT call_id FROM back)")

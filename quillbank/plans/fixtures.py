@@ -48,6 +48,13 @@ VIEWS: dict[str, str] = {
         min(r.topic_id) + CASE WHEN i.item_id % 13 = 0 THEN 1 ELSE 0 END AS topic_id
         FROM f_items i JOIN f_refs r ON r.norm_id = i.norm_id AND r.article_asked = i.article_n
         WHERE i.item_id % 3 <> 1 AND i.kind = 'JURIDICA' GROUP BY i.item_id, r.call_id""",
+    # calls 0 and 3 are clean, 3 admits no practical questions; 1 has invalid references, 2 and 4 incidents among their links
+    "f_gate_items": "SELECT * FROM f_items WHERE item_id IN (SELECT item_id FROM f_items GROUP BY item_id HAVING count(*) = 1)",
+    "f_gate_refs": "SELECT * FROM f_refs WHERE call_id = 1 OR norm_id IS NOT NULL AND article_asked <> 'anexo'",
+    "f_gate_rules": "SELECT * FROM f_part_rules WHERE NOT (call_id = 3 AND coalesce(theory_practice, '') = 'PRACTICA')",
+    "f_gate_links": """SELECT b.link_id, b.call_id, b.item_id, b.part_id, b.link_type, b.state, b.topic_id FROM f_bank_links b JOIN f_gate_items i ON i.item_id = b.item_id
+        WHERE b.call_id IN (1, 2) OR b.part_id IS NOT NULL AND b.link_type = 'JURIDICA' AND NOT (b.call_id = 3 AND i.theory_practice = 'PRACTICA')
+        UNION ALL SELECT link_id + 5, call_id, item_id, part_id, link_type, state, topic_id FROM f_bank_links WHERE call_id = 4 AND part_id IS NOT NULL AND link_type = 'JURIDICA' AND item_id % 101 = 0""",
     "f_blueprint": """SELECT p.part_id, b.o AS block_order, b.block_type, CASE WHEN b.block_type = 'NORMA' THEN 1 + (p.part_id + b.o) % 10 END AS norm_id, b.amount
         FROM f_parts p CROSS JOIN (VALUES (1, 'NORMA', 8), (2, 'NORMA', 7), (3, 'LIBRE', 5)) AS b(o, block_type, amount) WHERE p.name <> 'TECNICA'""",
     "f_articles": """SELECT doc_id AS article_id, concat('DOC-', CAST(1 + doc_id % 10 AS STRING)) AS source_id, 1 + doc_id % 10 AS norm_id,
