@@ -72,6 +72,14 @@ VIEWS: dict[str, str] = {
         CASE WHEN (conv_id + turn) % 17 = 3 THEN 'VARIA' WHEN turn % 2 = 0 THEN 'juridica' END AS kind, CASE WHEN turn % 3 <> 1 THEN 'LEY' WHEN conv_id % 6 = 5 THEN 'DECRETO' END AS norm_type,
         CASE WHEN turn % 3 = 2 THEN concat('Ley ', CAST(conv_id % 7 AS STRING)) END AS norm_name, CAST(turn - turn % 3 + CASE WHEN conv_id % 8 = 7 AND turn % 3 = 2 THEN 1 ELSE 0 END AS STRING) AS article, CAST(NULL AS STRING) AS topic
         FROM (SELECT *, max(text) OVER (PARTITION BY conv_id) AS m FROM conversations) v""",
+    # files of items: 17 known imports (some failed, some without rows) and a batch that brings some again, moved, changed or new
+    "f_intake_log": """SELECT concat('i', CAST(k AS STRING)) AS import_id, concat('file-', CAST(k AS STRING)) AS file, concat('old-', CAST(k AS STRING)) AS file_hash, CASE WHEN k % 5 = 0 THEN 'ERROR' ELSE 'COMPLETED' END AS state,
+        CAST(0 AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS duplicates, CAST(NULL AS STRING) AS error, CASE WHEN k % 10 <> 0 THEN 'b0' END AS data, CAST(1 AS BIGINT) AS version FROM (SELECT DISTINCT doc_id % 17 AS k FROM documents) x""",
+    "f_intake_pool": "SELECT concat('i', CAST(doc_id % 17 AS STRING)) AS import_id, CASE WHEN doc_id % 4 = 3 THEN 'b-1' ELSE 'b0' END AS batch, concat('file-', CAST(doc_id % 17 AS STRING)) AS file, concat('old-', CAST(doc_id % 17 AS STRING)) AS file_hash, doc_id AS row_id, SHA256(text) AS content_key FROM documents WHERE doc_id % 3 = 0",
+    "f_intake_links": "SELECT row_id FROM f_intake_pool WHERE import_id IN ('i1', 'i7', 'i12') AND row_id % 2 = 0",
+    "f_intake_batch": """SELECT concat(CASE WHEN k % 7 = 6 THEN 'moved-' ELSE 'file-' END, CAST(k AS STRING)) AS file, concat(CASE WHEN k % 3 = 0 AND k < 17 THEN 'old-' ELSE 'new-' END, CAST(k AS STRING)) AS file_hash, doc_id + 1000000 AS row_id, SHA256(text) AS content_key
+        FROM (SELECT doc_id, text, doc_id % 23 AS k FROM documents) d WHERE k NOT IN (14, 15)""",
+    "f_intake_failed": "SELECT concat('file-', CAST(k AS STRING)) AS file, concat('bad-', CAST(k AS STRING)) AS file_hash, 'page 3 unreadable' AS error FROM (SELECT DISTINCT doc_id % 17 + 14 AS k FROM documents) x WHERE k IN (14, 15, 30)",
     "f_cost_log": "SELECT event_id, user_id AS session_id, ts, event_type AS operation, CAST(round(value, 2) AS DECIMAL(18,2)) AS cost FROM events",
     "f_answers": """SELECT item_id, answer_key AS stored, substr('ABCD?', CAST(1 + item_id % 5 AS INT), 1) AS p1, CASE WHEN item_id % 7 = 0 THEN 'N' ELSE 'S' END AS p1_about,
         CASE WHEN item_id % 3 = 0 THEN NULL ELSE substr('ABCD?', CAST(1 + item_id % 4 AS INT), 1) END AS p2,

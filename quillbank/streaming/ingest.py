@@ -1,31 +1,22 @@
-"""Streaming ingest: new files of a folder into the pool, once each."""
+"""Streaming intake: new files of a folder into the store, once each."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from quillbank.operators.changes import ingest
+from quillbank.sources.store import ItemStore
 
 
-def ingest_stream(spark: SparkSession, source: str, pool: str, log: str, checkpoint: str, schema: str) -> StreamingQuery:
-    """Run the pool's ingest over every new parquet file in ``source`` (columns ``row_id, file_hash, content_key, ...``).
+def ingest_stream(store: ItemStore, source: str, checkpoint: str, links: DataFrame, name: str = "stream") -> StreamingQuery:
+    """Take every new parquet file of ``source`` (the store's columns) into the store, each micro-batch as one version.
 
-    Each micro-batch appends its new rows to ``pool`` and its counts to ``log``. A file whose hash the log has is
-    skipped and rows that the pool has are duplicates, so a replayed batch, or the same file under another name, changes nothing.
+    A micro-batch is known by the stream's ``name`` and its number, so one that runs again after a failure is either
+    published already or writes the same folders again. Under another name or checkpoint files with known content
+    are left alone.
     """
-
-    def run(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        have = session.read.schema(schema).parquet(pool)
-        done = session.read.schema("file_hash string, inserted long, duplicates long, state string").parquet(log)
-        new, counts = ingest(batch, have, done)
-        counts = counts.select("file_hash", F.col("inserted").cast("long").alias("inserted"), F.col("duplicates").cast("long").alias("duplicates"), "state").cache()
-        counts.count()  # before the pool grows
-        new.select(*have.columns).write.mode("append").parquet(pool)
-        counts.write.mode("append").parquet(log)
-        counts.unpersist()
-
-    rows = spark.readStream.schema(schema).parquet(source)
+    spark = store.spark
+    no_failures = spark.createDataFrame([], "file string, file_hash string, error string")
+    rows = spark.readStream.schema(store.columns).parquet(source)
+    run = lambda batch, number: store.commit(f"{name}-{number}", batch, no_failures, links) and None
     return rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
