@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Patterns ignore case and see words as Unicode does: accented capitals fold, and ``\\b``, ``\\w``, ``\\s``, ``\\d`` mean all scripts.
+FLAGS = "(?iuU)"
 ACCENTED = "áàäâãåéèëêíìïîóòöôõúùüûñçÁÀÄÂÃÅÉÈËÊÍÌÏÎÓÒÖÔÕÚÙÜÛÑÇ"
 PLAIN = "aaaaaaeeeeiiiiooooouuuuncAAAAAAEEEEIIIIOOOOOUUUUNC"
 #: White space that regular expressions of both dialects agree on.
@@ -98,16 +100,16 @@ def article_unambiguous(x: Column) -> Column:
     """Explicit or leading article with its section and letter; null for several or ordinal ones."""
     token = r"[0-9]+(?: *\. *[0-9]+)*(?: +(?:bis|ter|quater|quinquies))?(?:\.[A-Za-z](?![A-Za-z]))?"
     t = collapsed(F.coalesce(x, F.lit("")))
-    explicit = rf"(?i)^.*?\b(?:art[ií]culo|art\.) *({token})(.*)$"
-    leading = rf"(?i)^({token})(?= *(?:$|[),;(]|de\b|del\b|apartado\b|t[ií]tulo\b|cap[ií]tulo\b|libro\b|parte\b))(.*)$"
+    explicit = rf"(?iuU)^.*?\b(?:art[ií]culo|art\.) *({token})(.*)$"
+    leading = rf"(?iuU)^({token})(?= *(?:$|[),;(]|de\b|del\b|apartado\b|t[ií]tulo\b|cap[ií]tulo\b|libro\b|parte\b))(.*)$"
     which = F.when(t.rlike(explicit), F.struct(F.regexp_extract(t, explicit, 1).alias("a"), F.regexp_extract(t, explicit, 2).alias("rest"))).when(
         t.rlike(leading), F.struct(F.regexp_extract(t, leading, 1).alias("a"), F.regexp_extract(t, leading, 2).alias("rest"))
     )
     number, rest = F.lower(F.regexp_replace(which["a"], r" *\. *", ".")), which["rest"]
-    section, letter = F.regexp_extract(rest, r"(?i)\bapartado +([0-9]+(?:\.[0-9]+)*)\b", 1), F.regexp_extract(rest, r"(?i)\bletra +([A-Za-z])\b", 1)
+    section, letter = F.regexp_extract(rest, r"(?iuU)\bapartado +([0-9]+(?:\.[0-9]+)*)\b", 1), F.regexp_extract(rest, r"(?iuU)\bletra +([A-Za-z])\b", 1)
     whole = F.when((section != "") & ~F.split(number, " ")[0].contains("."), F.concat(number, F.lit("."), section)).otherwise(number)
     whole = F.when((letter != "") & ~whole.rlike(r"\.[a-z]$"), F.concat(whole, F.lit("."), F.lower(letter))).otherwise(whole)
-    several = t.rlike(r"(?i)^ *[0-9]+(?:\.\w+)* +y +[0-9]+") | rest.rlike(r"^\) *[0-9]+ *\.?[ºª]")
+    several = t.rlike(r"(?iuU)^ *[0-9]+(?:\.\w+)* +y +[0-9]+") | rest.rlike(r"^\) *[0-9]+ *\.?[ºª]")
     return F.when(which.isNotNull() & ~several, whole)
 
 
@@ -115,7 +117,7 @@ def article_precise(x: Column) -> Column:
     """Article at the start, or after an article marker; never the number of the law. Null if there is none."""
     ref = r"([0-9]+(?:\.[0-9]+)*(?: *(?:bis|ter|quater|quinquies))?(?:\.[A-Za-z])?)"
     t = collapsed(F.coalesce(x, F.lit("")))
-    first, marked = F.regexp_extract(t, f"(?i)^{ref}", 1), F.regexp_extract(t, rf"(?i)(?:art[ií]culo|art\.) *{ref}", 1)
+    first, marked = F.regexp_extract(t, f"(?iu)^{ref}", 1), F.regexp_extract(t, rf"(?iu)(?:art[ií]culo|art\.) *{ref}", 1)
     return F.coalesce(F.nullif(first, F.lit("")), F.nullif(marked, F.lit("")))
 
 
@@ -224,24 +226,31 @@ def cited_norms(x: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(cited, one)))
 
 
-#: Words that mark a bracket as the origin of an item, as an instruction, or as part of the text.
-ORIGIN = r"(?i)((19|20)[0-9]{2}|\bOPE\b|oficial|\bcuerpo\b|auxiliar|administrativ|estabilizaci|turno|promoci|\b[ABC][12]\b|t[eé]cnico|subalterno|ayuntamiento|diputaci|libre|examen|convocatoria|oposici|bolsa)"
-INSTRUCTION = r"(?i)^ *(señal|indi|marqu|elij|escoj|seleccion|respuesta|opción|afirmaci)"
-NO_ORIGIN = r'(?i)^ *(ley\b|real decreto|decreto|art\.|artículo|en adelante|considere|nota)|[:;"=]'
+#: Words that mark a bracket as the origin of an item, as an instruction, or as part of the text, and its meta data.
+ORIGIN = (
+    r"(?iuU)(\b(19|20)\d{2}\b|\bOPE\b|\boficial\b|\bcuerpo\b|\bAGE\b|\bGVA\b|auxiliar|\baux\b|administrativ|adtivo|advo|estabilizaci|turno|promoci|\bTAG\b"
+    r"|\b[ABC][12]\b|t[eé]cnico|subalterno|gesti[oó]n\b|\bgen(eralitat)?\b|ayuntamiento|diputaci|\bconsell\b|\bOEP\b|\bGACE\b|orientador|libre|covid|examen|convocatoria|oposici|bolsa|admón|admon)"
+)
+INSTRUCTION = r"(?iuU)^\s*(señal|indi|marqu|elij|escoj|seleccion|respuesta|opción|afirmaci)"
+NO_ORIGIN = (
+    r"(?iuU)^\s*(ley\b|lo\b|l\.o\.|rd\b|real decreto|decreto|art[íi]?c?u?l?o?\.?\s*\d|art\.|artículo|en adelante|considere|se asume|se entiende|nota|o\s|y\s|y,|disposiciones|consell\s*$)"
+    r'|[:;"=]|^[A-Z]\d+-[A-Z]\d+$'
+)
+META = r"(?iuU)^\s*dificultad\b"
 
 
 def strip_trailing_origin(x: Column) -> Column:
-    """Drop a final bracket that names the item's origin; final punctuation stays."""
-    tail = r" *\(([^()]{2,160})\) *([:.?]?) *$"
+    """Drop a final bracket that names the item's origin or its difficulty; final punctuation stays."""
+    tail = r"(?U)\s*\(([^()]{2,160})\)\s*([:.?]?)\s*$"
     inner, mark = F.regexp_extract(x, tail, 1), F.regexp_extract(x, tail, 2)
     base = F.rtrim(F.regexp_replace(x, tail, ""))
-    origin = (inner != "") & inner.rlike(ORIGIN) & ~inner.rlike(INSTRUCTION) & ~inner.rlike(NO_ORIGIN)
+    origin = (inner != "") & (inner.rlike(META) | (inner.rlike(ORIGIN) & ~inner.rlike(INSTRUCTION) & ~inner.rlike(NO_ORIGIN)))
     return F.when(origin, F.when(F.endswith(base, mark), base).otherwise(F.concat(base, mark))).otherwise(x)
 
 
 def strip_origin_anywhere(x: Column) -> Column:
     words = r"ayuntamiento|diputaci[oó]n|mancomunidad|bolsa +(?:de|para)|convocatoria|oposiciones?|examen(?: +tipo)?|proceso +selectivo|prueba +selectiva"
-    cut = F.regexp_replace(x, rf"(?i) *[(\[][^()\[\]]*(?:{words})[^()\[\]]*[)\]]", "")
+    cut = F.regexp_replace(x, rf"(?iu) *[(\[][^()\[\]]*(?:{words})[^()\[\]]*[)\]]", "")
     return F.btrim(F.regexp_replace(cut, f"{BLANK}{{2,}}", " "), F.lit(" ;,.-"))
 
 
@@ -266,7 +275,7 @@ WHOLE_STEMS = (
 def rephrase_stem(x: Column) -> Column:
     """Rewrite a whole stem that is known, else replace the first phrase rule that applies, once; other text stays."""
     t = F.trim(x)
-    phrases = reduce(lambda acc, r: F.when(t.rlike(f"(?i){r[0]}"), F.regexp_replace(t, rf"(?is)^(.*?){r[0]}(.*)$", f"$1{r[1]}$2")).otherwise(acc), reversed(PHRASES), x)
+    phrases = reduce(lambda acc, r: F.when(t.rlike(f"{FLAGS}{r[0]}"), F.regexp_replace(t, rf"(?isuU)^(.*?){r[0]}(.*)$", f"$1{r[1]}$2")).otherwise(acc), reversed(PHRASES), x)
     return reduce(lambda acc, r: F.when(t.rlike(f"(?iu){r[0]}"), F.regexp_replace(t, f"(?iu){r[0]}", r[1])).otherwise(acc), reversed(WHOLE_STEMS), phrases)
 
 
@@ -289,12 +298,22 @@ def classify_theory_practice(stem: Column, whole: Column) -> Column:
     return F.when(practical, "PRACTICA").otherwise("TEORICA")
 
 
+#: How norms are written, in the order in which they are looked for, and what their kind begins with.
+NORM_PATTERNS = (
+    r"\bLey\s+Orgánica\s+\d+/\d{4}", r"\bLey\s+\d+/\d{4}", r"\bReal\s+Decreto(?:-ley|\s+Legislativo)?\s+\d+/\d{4}", r"\bDecreto(?:-ley|\s+Legislativo)?\s+\d+/\d{4}", r"\bConstitución\s+Española\b",
+)
+NORM_STARTS = (("ley orgánica", "LEY_ORGANICA"), ("ley ", "LEY"), ("real decreto", "REAL_DECRETO"), ("decreto", "DECRETO"))
+
+
 def detect_norm_article(x: Column) -> Column:
-    """Struct ``(state, norm, article)``: legal if the text names a norm and an article, else pending."""
-    norm = r"(?i)\b(Ley Orgánica +[0-9]+/[0-9]{4}|Ley +[0-9]+/[0-9]{4}|Real Decreto(?: Legislativo)? +[0-9]+/[0-9]{4}|Decreto +[0-9]+/[0-9]{4}|Constitución Española)"
-    article = r"(?i)\bart(?:[ií]culo|\.) *([0-9]+(?:\.[0-9]+)*)"
-    n, a = F.nullif(F.regexp_extract(x, norm, 1), F.lit("")), F.nullif(F.regexp_extract(x, article, 1), F.lit(""))
-    return F.struct(F.when(n.isNotNull() & a.isNotNull(), "JURIDICA").otherwise("PENDIENTE").alias("state"), n.alias("norm"), a.alias("article"))
+    """Struct ``(state, kind, norm, article)``: legal if the text names a norm and an article, else pending.
+
+    The norm is the first text of the first pattern that occurs anywhere, so a law later in the text goes before a decree.
+    """
+    norm = F.coalesce(*[F.nullif(collapsed(F.regexp_extract(x, f"{FLAGS}{p}", 0)), F.lit("")) for p in NORM_PATTERNS])
+    article = F.nullif(F.regexp_extract(x, rf"{FLAGS}\bart(?:í|i)culo(?:s)?\s+(\d+(?:\.\d+)*)", 1), F.lit(""))
+    kind = F.when(norm.isNotNull(), F.coalesce(*[F.when(F.startswith(F.lower(norm), F.lit(start)), F.lit(k)) for start, k in NORM_STARTS], F.lit("CONSTITUCION")))
+    return F.struct(F.when(norm.isNotNull() & article.isNotNull(), "JURIDICA").otherwise("PENDIENTE").alias("state"), kind.alias("kind"), norm.alias("norm"), article.alias("article"))
 
 
 #: What a norm's name starts with, in order, and its kind.
@@ -329,8 +348,8 @@ def source_family(x: Column) -> Column:
 
 
 #: Absolute words and "all of them" options.
-ABSOLUTE = r"(?i)\b(siempre|nunca|en ningún caso|en todo caso|exclusivamente|únicamente|solo|cualquier|todos? los|sólo|jamás|sin excepción|con independencia)\b"
-ALL_OF_THEM = r"(?i)todas (las )?(anteriores|opciones|respuestas)? ?(son )?correctas|todas las anteriores"
+ABSOLUTE = r"(?iuU)\b(siempre|nunca|en ningún caso|en todo caso|exclusivamente|únicamente|solo|cualquier|todos? los|sólo|jamás|sin excepción|con independencia)\b"
+ALL_OF_THEM = r"(?iu)todas (las )?(anteriores|opciones|respuestas)? ?(son )?correctas|todas las anteriores"
 
 
 def long_words(x: Column) -> Column:
@@ -358,13 +377,13 @@ def clue_score(stem: Column, options: list[Column], key: Column) -> Column:
     return F.when(at > 0, F.least(F.lit(100), length + loud + every + echo + short))
 
 
-def difficulty_level(score: Column, generated: Column, newest: Column) -> Column:
-    """Levels 1-4 from the clue score: generated items start one higher, those of the newest generator from 20 points."""
+def difficulty_level(score: Column, generated: Column, newest: Column, kind: Column) -> Column:
+    """Levels 1-4 from the clue score: generated items start one higher, those of the newest generator from 20 points; none for items that aren't legal."""
     low, mid = score < 20, score < 40
     old = F.when(low, 2).when(mid, 3).otherwise(4)
     new = F.when(low, 1).when(mid, 3).otherwise(4)
     human = F.when(low, 1).when(mid, 2).otherwise(3)
-    return F.when(score.isNull(), None).when(newest, new).when(generated, old).otherwise(human)
+    return F.when(score.isNull() | kind.isNull() | (kind != "JURIDICA"), None).when(newest, new).when(generated, old).otherwise(human)
 
 
 def option_defects(stem: Column, options: list[Column], key: Column) -> Column:
@@ -382,17 +401,33 @@ def option_defects(stem: Column, options: list[Column], key: Column) -> Column:
     return F.filter(F.array(*flags), lambda f: f.isNotNull())
 
 
-#: References inside a text, words that point elsewhere, and names of norms.
-INTERNAL = r"(?i)\b(artículo|articulo|art\.|apartados?|párrafos?|letras?|incisos?|disposición|anexo)"
-POINTING = r"(?i)\b(apartados?|párrafos?|artículos?|letras?|incisos?|preceptos?) anterior(es)?\b|\b(citad[oa]s?|mencionad[oa]s?|referid[oa]s?) (apartados?|párrafos?|artículos?|letras?|preceptos?)\b"
-SUBSECTION = r"(?i)\bapartado [0-9]+"
-ANY_ARTICLE = r"(?i)\b(artículo|articulo|art\.) *[0-9]+"
-ANY_NORM = r"(?i)\b(constitución|estatuto|ley|decreto|orden|reglamento|directiva|tratado|resolución)\b"
-
-
-def self_sufficiency_flags(stem: Column, whole: Column) -> Column:
-    """What keeps an item from being understood by itself."""
-    flags = [F.when(stem.rlike(INTERNAL) & ~stem.rlike(ANY_NORM), "norm_not_named"), F.when(whole.rlike(POINTING), "points_elsewhere"), F.when(stem.rlike(SUBSECTION) & ~stem.rlike(ANY_ARTICLE), "section_without_article")]
+#: References inside a text, words that point elsewhere, sections, articles, names and numbers of norms, and names of norms without a number.
+INTERNAL = r"(?iuU)\b(?:art[ií]culo|art\.|apartado|apartados|p[aá]rrafo|p[aá]rrafos|letra|letras|inciso|incisos|disposici[oó]n|anexo)\b"
+POINTING = (
+    r"(?iuU)\b(?:apartado|apartados|p[aá]rrafo|p[aá]rrafos|art[ií]culo|art[ií]culos|letra|letras|inciso|incisos|precepto|preceptos)\s+anterior(?:es)?\b"
+    r"|\b(?:citado|citada|citados|citadas|mencionado|mencionada|mencionados|mencionadas|referido|referida|referidos|referidas)\s+(?:apartado|apartados|p[aá]rrafo|p[aá]rrafos|art[ií]culo|art[ií]culos|letra|letras|precepto|preceptos)\b"
+)
+SUBSECTION = r"(?iuU)\b(?:apartado\s+\d+[\w.ºª-]*|letras?\s+[a-z](?:\s*(?:,|y|o)\s*[a-z])+\s+del\s+apartado\s+\d+)\b"
+ANY_ARTICLE = r"(?iuU)\b(?:art[ií]culo|art\.)\s*\d+"
+ANY_NORM = r"(?iuU)\b(?:constituci[oó]n|estatuto|ley(?:\s+org[aá]nica)?|decreto(?:-ley)?|real\s+decreto|orden|reglamento|directiva|tratado|resoluci[oó]n)\b"
+NORM_NUMBER = r"\b[0-9]{1,4}[ \t\n\x0b\f\r]*/[ \t\n\x0b\f\r]*[0-9]{2,4}\b"
+UNNUMBERED = ("constitucion", "estatuto", "tratado", "reglamento", "directiva")
+
+
+def norm_is_named(stem: Column, names: Column) -> Column:
+    """Whether a stem names its norm: by one of the numbers in the norm's ``names``, else by a word that they hold, else by any word for a norm."""
+    compact = lambda x: F.lower(F.regexp_replace(x, f"{BLANK}+", ""))
+    numbers = F.transform(F.regexp_extract_all(F.coalesce(names, F.lit("")), F.lit(NORM_NUMBER), F.lit(0)), compact)
+    held, said = norm_ascii_alnum(names), norm_ascii_alnum(stem)
+    words = F.filter(F.array(*map(F.lit, UNNUMBERED)), lambda w: held.contains(w))
+    whole = compact(stem)
+    return F.when(F.size(numbers) > 0, F.exists(numbers, lambda n: whole.contains(n))).when(F.size(words) > 0, F.exists(words, lambda w: said.contains(w))).otherwise(stem.rlike(ANY_NORM))
+
+
+def self_sufficiency_flags(stem: Column, whole: Column, names: Column | None = None) -> Column:
+    """What keeps an item from being understood by itself: ``names`` are those of its norm, if known."""
+    named = stem.rlike(ANY_NORM) if names is None else norm_is_named(stem, names)
+    flags = [F.when(stem.rlike(INTERNAL) & ~named, "norm_not_named"), F.when(whole.rlike(POINTING), "points_elsewhere"), F.when(stem.rlike(SUBSECTION) & ~stem.rlike(ANY_ARTICLE), "section_without_article")]
     return F.filter(F.array(*flags), lambda f: f.isNotNull())
 
 
@@ -436,24 +471,44 @@ def option_shuffle(row: Column, options: list[Column], key: Column, seed: str) -
     """Struct ``(options, key)`` in an order drawn from ``md5(id, letter, seed)``; unchanged if an option refers to others."""
     letters = "ABCD"
     drawn = F.array_sort(F.array(*[F.struct(F.md5(F.concat_ws("|", row.cast("string"), F.lit(c), F.lit(seed))).alias("d"), F.lit(c).alias("c"), o.alias("o")) for c, o in zip(letters, options, strict=True)]))
-    depends = F.array_join(F.array(*[F.coalesce(o, F.lit("")) for o in options]), " ").rlike(r"(?i)anteriores|\b[abcd]\) y [abcd]\)")
+    depends = F.array_join(F.array(*[F.coalesce(o, F.lit("")) for o in options]), " ").rlike(r"(?iuU)anteriores|\b[abcd]\) y [abcd]\)")
     place = F.array_position(F.transform(drawn, lambda s: s["c"]), key).cast("int")
     new = F.element_at(F.array(*map(F.lit, letters)), F.greatest(place, F.lit(1)))
     return F.when(depends, F.struct(F.array(*options).alias("options"), key.alias("key"))).otherwise(F.struct(F.transform(drawn, lambda s: s["o"]).alias("options"), new.alias("key")))
 
 
+#: How an explanation gives its answer; each pattern has the letter as its group.
+ANSWER_PATTERNS = (
+    r"(?iuU)(?:\bRespuesta\s+correcta|\bRespuesta)\s*[:.-]?\s*(?:es\s+)?(?:la\s+)?([ABCD])(?=\s*[).,:;]|\s|$)",
+    r"(?iuU)\bLa\s+respuesta\s+correcta\s+es\s+(?:la\s+)?([ABCD])(?=\s*[).,:;]|\s|$)",
+    r"(?iuU)\bOpci[oó]n\s+([ABCD])\s*\(?\s*Correcta\s*\)?\s*[:.-]?",
+    r"(?iuU)\bLa\s+([ABCD])\s+es\s+la\s+correcta\b",
+    r"(?imuU)^\s*La\s+([ABCD])[.)]?\s*$",
+)
+
+
 def explicit_answer(x: Column) -> Column:
-    """The only answer letter that an explanation gives; ``?`` if it gives several, null if none."""
-    found = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(x, F.lit("")), F.lit(r"(?i)\b(?:respuesta|opción|solución)(?: correcta)?:? *([ABCD])\b"), F.lit(1)), F.upper)))
+    """The only answer letter that an explanation gives in any of the known ways; ``?`` if it gives several, null if none."""
+    t = F.coalesce(x, F.lit(""))
+    found = F.array_distinct(F.transform(F.concat(*[F.regexp_extract_all(t, F.lit(p), F.lit(1)) for p in ANSWER_PATTERNS]), F.upper))
     return F.when(F.size(found) > 1, "?").when(F.size(found) == 1, found[0])
 
 
+#: An article with its norm close behind, a mention of an article, and several numbers in one reference.
+ARTICLE_OF_NORM = (
+    r"(?iuU)\bart(?:[íi]culo|s?\.)\s*(\d+(?:\.\d+)*(?:\.[a-z])?)(?:\s*(?:,|y)\s*\d+(?:\.\d+)*)?[^\n.;:]{0,70}?(?:de\s+la\s+|del\s+|de\s+)?"
+    r"(Ley\s+Org[aá]nica\s+\d+/\d{4}|Ley\s+\d+/\d{4}|Real\s+Decreto(?:\s+Legislativo|-ley)?\s+\d+/\d{4}|Decreto(?:\s+Legislativo|-ley)?\s+\d+/\d{4})"
+)
+ARTICLE_MENTION = r"(?iuU)\bart(?:[íi]culos?|s?\.)\s*\d+"
+SEVERAL_NUMBERS = r"(?iuU)(?:,|\by\b)\s*\d+"
+
+
 def unambiguous_reference(x: Column) -> Column:
-    """``article|norm`` if the text mentions exactly one article and exactly one article with its norm."""
+    """``article|norm`` if the text mentions exactly one article, exactly one with its norm, and no further number in between."""
     t = F.coalesce(x, F.lit(""))
-    pair = r"(?i)art[ií]culo ([0-9]+(?:\.[0-9]+)*) de la (Ley [0-9]+/[0-9]{4})"
-    mentions, pairs = F.regexp_extract_all(t, F.lit(r"(?i)art[ií]culos? +[0-9]+"), F.lit(0)), F.regexp_extract_all(t, F.lit(pair), F.lit(0))
-    return F.when((F.size(mentions) == 1) & (F.size(pairs) == 1), F.concat_ws("|", F.regexp_extract(t, pair, 1), F.regexp_extract(t, pair, 2)))
+    mentions, pairs = (F.regexp_extract_all(t, F.lit(p), F.lit(0)) for p in (ARTICLE_MENTION, ARTICLE_OF_NORM))
+    one = (F.size(mentions) == 1) & (F.size(pairs) == 1) & ~F.coalesce(F.get(pairs, F.lit(0)).rlike(SEVERAL_NUMBERS), F.lit(False))
+    return F.when(one, F.concat_ws("|", F.regexp_extract(t, ARTICLE_OF_NORM, 1), collapsed(F.regexp_extract(t, ARTICLE_OF_NORM, 2))))
 
 
 def citation_verified(quote: Column, text: Column, least: int = 25, piece: int = 12) -> Column:
@@ -492,7 +547,7 @@ def ordinal_article_key(x: Column) -> Column:
     return F.when(F.size(numbers) > 0, F.concat(numbers, F.array(rank.cast("long")))).otherwise(F.array(F.lit(10**9).cast("long")))
 
 
-GAZETTE_LINE = r"(?i)^(CVE:.*|.*https://dogv.*|N[uú]m\. *[0-9].*|[0-9]+ */ *[0-9]+|Anexo +[IVXLCDM]+|Convocatoria +[0-9]+/[0-9]+)$"
+GAZETTE_LINE = r"(?iu)^(CVE:.*|.*https://dogv.*|N[uú]m\. *[0-9].*|[0-9]+ */ *[0-9]+|Anexo +[IVXLCDM]+|Convocatoria +[0-9]+/[0-9]+)$"
 
 
 def strip_gazette_lines(x: Column) -> Column:
@@ -532,7 +587,7 @@ def question_polarity(stem: Column) -> Column:
 
 def make_norm_explicit(stem: Column, norm: Column) -> Column:
     """Add the norm's name after the first article cited, or in front; null if the result still isn't self-sufficient."""
-    cited = r"(?is)^(.*?(?:artículo|articulo|art\.) *[0-9]+(?:\.[0-9]+)*)(.*)$"
+    cited = r"(?isuU)^(.*?(?:artículo|articulo|art\.) *[0-9]+(?:\.[0-9]+)*)(.*)$"
     named = F.when(stem.rlike(cited), F.concat(F.regexp_extract(stem, cited, 1), F.lit(" de la "), norm, F.regexp_extract(stem, cited, 2))).otherwise(F.concat(F.lit("Según la "), norm, F.lit(", "), stem))
     named = F.when(stem.rlike(ANY_NORM), stem).otherwise(named)
     return F.when(F.size(self_sufficiency_flags(named, named)) == 0, named)

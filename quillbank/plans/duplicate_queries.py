@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quillbank.functions import textnorm as tx
 from quillbank.operators import duplicates as dd
 from quillbank.plans.fixtures import tables, with_views
-from quillbank.plans.text_queries import _nsl, _ua
+from quillbank.plans.text_queries import _nsl, _ua, flags_sql
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -91,7 +91,7 @@ register("dd20_phrase_evidence", "benchmark documents", lambda b, d: dd.phrase_e
 _points = lambda t: t.select("item_id", F.concat(F.when(F.col("item_id") % 9 == 0, "Según el apartado anterior, ").otherwise(""), "stem").alias("stem"))
 _points_sql = "SELECT item_id, CASE WHEN item_id % 9 = 0 THEN 'Según el apartado anterior, ' ELSE '' END || stem AS stem FROM f_text_items"
 register("dd24_strict_quality_set", "f_text_items f_bank_links", lambda t, b: dd.strict_quality_set(_points(t).filter(F.size(tx.self_sufficiency_flags(F.col("stem"), F.col("stem"))) > 0).select("item_id"), dd.near_duplicates_ngram(_with_typo(t), ["opt_a"], tx.norm_ascii_alnum(F.col("stem")), 0.94), b), f"""WITH pairs AS ({_alike}), st AS ({_points_sql}),
- ids AS (SELECT item_id, 'FLAG' AS r FROM st WHERE regexp_matches(stem, '{tx.INTERNAL}') AND NOT regexp_matches(stem, '{tx.ANY_NORM}') OR regexp_matches(stem, '{tx.POINTING}') OR regexp_matches(stem, '{tx.SUBSECTION}') AND NOT regexp_matches(stem, '{tx.ANY_ARTICLE}') UNION ALL SELECT unnest([id_a, id_b]), 'DUPLICATE' FROM pairs)
+ ids AS (SELECT item_id, 'FLAG' AS r FROM st WHERE {flags_sql('stem')} <> '' UNION ALL SELECT unnest([id_a, id_b]), 'DUPLICATE' FROM pairs)
  SELECT item_id, string_agg(DISTINCT r, ',' ORDER BY r) AS reasons, (SELECT count(*) FROM f_bank_links b WHERE b.item_id = ids.item_id) AS links FROM ids GROUP BY item_id""")
 register("dd26_duplicate_usage", "customer orders", lambda c, o: dd.duplicate_usage(dd.components(_pairs(c)), _links(o)), f"{_keep_sql} SELECT component, CASE WHEN count(*) FILTER (WHERE used) >= 2 THEN 'SEVERAL' WHEN count(*) FILTER (WHERE used) = 1 THEN 'ONE' ELSE 'NONE' END AS usage FROM us GROUP BY component")
 register("tx29_central_key", _T, dd.central_key, None)

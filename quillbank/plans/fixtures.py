@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 RAW = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+#: Stems and explanations with what the text rules look for; ``#`` is a number that differs by row.
+STEMS = (
+    "Según la LEY ORGÁNICA #/2012, ARTÍCULO #.1, ¿qué?", "El Decreto #/2001 y la Ley #/2015 (artículos 5 y 6)", "¿Qué plazo hay? (TAG GVA #)", "¿Qué plazo hay (Dificultad alta)?", "Indique el plazo (o el que lo sustituya, 2019).",
+    "Explicación. La C es la correcta", "SOLUCIÓN: OPCIÓN B (CORRECTA). Respuesta: la b.", "Respuesta correcta: A. Pero la respuesta correcta es la D, según otros", "Véase el art. #.2.b del Real Decreto Legislativo 5/2015",
+    "Artículos 5 y 6 de la Ley #/2010: artículo 5, y 6 de la Ley 1/2000", "Según el PÁRRAFO ANTERIOR y las letras a y b del apartado 3", "Los citados artículos del Estatuto, disposición #", "EL ARTÍCULO # DE LA CONSTITUCIÓN ESPAÑOLA", "Artículo #, 7 de la Ley  39/2015",
+)
+
 #: In order: a view may use raw tables and views before it.
 VIEWS: dict[str, str] = {
     "f_calls": "SELECT CAST(r_regionkey AS BIGINT) AS call_id, r_name AS code, r_regionkey <> 4 AS active FROM region",
@@ -80,6 +87,7 @@ VIEWS: dict[str, str] = {
     "f_intake_batch": """SELECT concat(CASE WHEN k % 7 = 6 THEN 'moved-' ELSE 'file-' END, CAST(k AS STRING)) AS file, concat(CASE WHEN k % 3 = 0 AND k < 17 THEN 'old-' ELSE 'new-' END, CAST(k AS STRING)) AS file_hash, doc_id + 1000000 AS row_id, SHA256(text) AS content_key
         FROM (SELECT doc_id, text, doc_id % 23 AS k FROM documents) d WHERE k NOT IN (14, 15)""",
     "f_intake_failed": "SELECT concat('file-', CAST(k AS STRING)) AS file, concat('bad-', CAST(k AS STRING)) AS file_hash, 'page 3 unreadable' AS error FROM (SELECT DISTINCT doc_id % 17 + 14 AS k FROM documents) x WHERE k IN (14, 15, 30)",
+    "f_stems": f"""SELECT l_orderkey * 10 + l_linenumber AS item_id, l_partkey % {len(STEMS)} AS kind, l_suppkey AS number, CASE l_partkey % {len(STEMS)} {" ".join(f"WHEN {k} THEN replace('{x}', '#', CAST(l_suppkey AS STRING))" for k, x in enumerate(STEMS))} END AS stem FROM lineitem""",
     "f_cost_log": "SELECT event_id, user_id AS session_id, ts, event_type AS operation, CAST(round(value, 2) AS DECIMAL(18,2)) AS cost FROM events",
     "f_answers": """SELECT item_id, answer_key AS stored, substr('ABCD?', CAST(1 + item_id % 5 AS INT), 1) AS p1, CASE WHEN item_id % 7 = 0 THEN 'N' ELSE 'S' END AS p1_about,
         CASE WHEN item_id % 3 = 0 THEN NULL ELSE substr('ABCD?', CAST(1 + item_id % 4 AS INT), 1) END AS p2,

@@ -39,6 +39,16 @@ def _art(x: str) -> str:
     return f"regexp_replace(trim(lower({_ua(f'coalesce({x}, {chr(39) * 2})')})), '^(articulo|art)\\.?{_B}*', '')"
 
 
+_W = "[^\\pL\\pN_]"
+
+
+def _re2(pattern: str) -> str:
+    """A shared pattern in the oracle's dialect, for tests: it folds case itself, but knows word borders of ASCII only."""
+    p = pattern.replace("(?iuU)", "(?i)").replace("(?iu)", "(?i)").replace("'", "''")
+    p = re.sub(r"\\b(?=$|[|)])", lambda _: f"(?:$|{_W})", p)
+    return p.replace("\\b", f"(?:^|{_W})")
+
+
 class _Columns:
     """Columns by name, made when a query is built: columns need a session, importing this module doesn't."""
 
@@ -107,16 +117,17 @@ _rule("tx16_cited_norms", *C, lambda c: F.array_join(tx.cited_norms(c.stem), ","
     lambda c: CAST(CAST(trim(string_split(c, '/')[1]) AS INT) AS VARCHAR) || '/' || CASE WHEN length(trim(string_split(c, '/')[2])) = 2 THEN CASE WHEN CAST(trim(string_split(c, '/')[2]) AS INT) > 30 THEN '19' ELSE '20' END ELSE '' END || trim(string_split(c, '/')[2])))), ',')""")
 _tail = " *\\(([^()]{2,160})\\) *([:.?]?) *$"
 _inner, _mark, _bare = f"regexp_extract(stem, '{_tail}', 1)", f"regexp_extract(stem, '{_tail}', 2)", f"rtrim(regexp_replace(stem, '{_tail}', ''))"
-_rule("tx17_strip_trailing_origin", *C, lambda c: tx.strip_trailing_origin(c.stem), f"CASE WHEN {_inner} <> '' AND regexp_matches({_inner}, '{tx.ORIGIN}') AND NOT regexp_matches({_inner}, '{tx.INSTRUCTION}') AND NOT regexp_matches({_inner}, '{tx.NO_ORIGIN}') THEN {_bare} || CASE WHEN ends_with({_bare}, {_mark}) THEN '' ELSE {_mark} END ELSE stem END")
+_rule("tx17_strip_trailing_origin", *C, lambda c: tx.strip_trailing_origin(c.stem), f"CASE WHEN {_inner} <> '' AND (regexp_matches({_inner}, '(?i)^\\s*dificultad(?:$|{_W})') OR regexp_matches({_inner}, '{_re2(tx.ORIGIN)}') AND NOT regexp_matches({_inner}, '{_re2(tx.INSTRUCTION)}') AND NOT regexp_matches({_inner}, '{_re2(tx.NO_ORIGIN)}')) THEN {_bare} || CASE WHEN ends_with({_bare}, {_mark}) THEN '' ELSE {_mark} END ELSE stem END")
 _words = "ayuntamiento|diputaci[oó]n|mancomunidad|bolsa +(?:de|para)|convocatoria|oposiciones?|examen(?: +tipo)?|proceso +selectivo|prueba +selectiva"
 _rule("tx18_strip_origin_anywhere", *C, lambda c: tx.strip_origin_anywhere(c.stem), f"trim(regexp_replace(regexp_replace(stem, '(?i) *[(\\[][^()\\[\\]]*(?:{_words})[^()\\[\\]]*[)\\]]', '', 'g'), '{_B}{{2,}}', ' ', 'g'), ' ;,.-')")
 _rule("tx19_rephrase_stem", *C, lambda c: tx.rephrase_stem(c.stem), "CASE " + " ".join(f"WHEN regexp_matches(trim(stem), '(?i){p}') THEN regexp_replace(trim(stem), '(?i){p}', '{re.sub(chr(92) + chr(36), chr(92) * 2, r)}')" for p, r in tx.WHOLE_STEMS) + " " + " ".join(f"WHEN regexp_matches(trim(stem), '(?i){p}') THEN regexp_replace(trim(stem), '(?is)^(.*?){p}(.*)$', '\\1{r}\\2')" for p, r in tx.PHRASES) + " ELSE stem END")
 _rule("tx20_dehyphenate", *C, lambda c: tx.dehyphenate(c.stem), _col(f"regexp_replace(replace(stem, chr(173), ''), '-[ \\t]*\\n{_B}*([0-9A-Za-záéíóúüñÁÉÍÓÚÜÑ])', '\\1', 'g')"))
 _s = _nsl(_ua("stem"))
 _rule("tx21_classify_theory_practice", *C, lambda c: tx.classify_theory_practice(c.stem, c.stem), f"CASE WHEN regexp_matches({_s}, '{tx.SUBJECT}') OR regexp_matches({_s}, '{tx.CASE}') OR regexp_matches({_s}, '{tx.HYPOTHESIS}') OR (regexp_matches({_s}, '{tx.DETAIL}') AND regexp_matches({_s}, '{tx.ACTION}')) THEN 'PRACTICA' ELSE 'TEORICA' END")
-_n22 = r"nullif(regexp_extract(stem, '(?i)\b(Ley Orgánica +[0-9]+/[0-9]{4}|Ley +[0-9]+/[0-9]{4}|Real Decreto(?: Legislativo)? +[0-9]+/[0-9]{4}|Decreto +[0-9]+/[0-9]{4}|Constitución Española)', 1), '')"
-_a22 = r"nullif(regexp_extract(stem, '(?i)\bart(?:[ií]culo|\.) *([0-9]+(?:\.[0-9]+)*)', 1), '')"
-_rule("tx22_detect_norm_article", *C, lambda c: F.concat_ws("|", tx.detect_norm_article(c.stem)["state"], F.coalesce(tx.detect_norm_article(c.stem)["norm"], F.lit("-")), F.coalesce(tx.detect_norm_article(c.stem)["article"], F.lit("-"))), f"CASE WHEN {_n22} IS NOT NULL AND {_a22} IS NOT NULL THEN 'JURIDICA' ELSE 'PENDIENTE' END || '|' || coalesce({_n22}, '-') || '|' || coalesce({_a22}, '-')")
+_n22 = "coalesce(" + ", ".join(f"nullif({_col(f"regexp_extract(stem, '{_re2(f'(?iuU)({p[2:]})')}', 1)")}, '')" for p in tx.NORM_PATTERNS) + ")"
+_a22 = "nullif(regexp_extract(stem, '(?i)(?:^|[^\\pL\\pN_])art[íi]culos?\\s+([0-9]+(?:\\.[0-9]+)*)', 1), '')"
+_found = lambda stem: F.concat_ws("|", *[F.coalesce(tx.detect_norm_article(stem)[k], F.lit("-")) for k in ("state", "norm", "article")])
+_rule("tx22_detect_norm_article", *C, lambda c: _found(c.stem), f"CASE WHEN {_n22} IS NOT NULL AND {_a22} IS NOT NULL THEN 'JURIDICA' ELSE 'PENDIENTE' END || '|' || coalesce({_n22}, '-') || '|' || coalesce({_a22}, '-')")
 
 
 def _prefix_sql(kinds: tuple) -> str:
@@ -137,8 +148,8 @@ _lw = lambda x: f"list_distinct(regexp_extract_all(lower(coalesce({x}, '')), '{_
 _ITEM = """WITH o AS (SELECT item_id, stem, answer_key, source_type, [coalesce(opt_a, ''), coalesce(opt_b, ''), coalesce(opt_c, ''), coalesce(opt_d, '')] AS o, list_position(['A', 'B', 'C', 'D'], answer_key) AS k FROM f_text_items),
 e AS (SELECT *, list_transform(o, lambda x: length(x)) AS n, list_transform(o, lambda x: len(list_intersect(LW_STEM, LW_X))) AS e FROM o)""".replace("LW_STEM", _lw("stem")).replace("LW_X", _lw("x"))
 _score = f"""least(100, CASE WHEN n[k] = list_sort(n, 'DESC')[1] AND list_sort(n, 'DESC')[1] > list_sort(n, 'DESC')[2] THEN CASE WHEN n[k] >= 1.3 * list_sort(n, 'DESC')[2] THEN 35 ELSE 25 END ELSE 0 END
- + CASE WHEN regexp_matches(o[k], '{tx.ABSOLUTE}') THEN 0 ELSE least(30, 12 * len(list_filter(o, lambda x: regexp_matches(x, '{tx.ABSOLUTE}')))) END
- + CASE WHEN regexp_matches(o[k], '{tx.ALL_OF_THEM}') THEN 15 ELSE 0 END
+ + CASE WHEN regexp_matches(o[k], '{_re2(tx.ABSOLUTE)}') THEN 0 ELSE least(30, 12 * len(list_filter(o, lambda x: regexp_matches(x, '{_re2(tx.ABSOLUTE)}')))) END
+ + CASE WHEN regexp_matches(o[k], '{_re2(tx.ALL_OF_THEM)}') THEN 15 ELSE 0 END
  + CASE WHEN e[k] > 0 AND e[k] = list_max(e) AND len(list_filter(e, lambda x: x = e[k])) = 1 THEN 15 ELSE 0 END + CASE WHEN length(coalesce(stem, '')) < 90 THEN 10 ELSE 0 END)"""
 # the texts are invented, so some options get an absolute word
 _LOUD = "concat(coalesce(opt_b, ''), CASE item_id % 6 WHEN 0 THEN ' siempre' WHEN 1 THEN ' con independencia' WHEN 2 THEN ' todo los' ELSE '' END)"
@@ -146,13 +157,21 @@ _LOUD_ITEM = _ITEM.replace("coalesce(opt_b, '')", _LOUD)
 _clues = lambda: tx.clue_score(F.col("stem"), [F.expr(_LOUD) if k == 1 else o for k, o in enumerate(_Columns().options)], F.col("answer_key"))
 QUERIES["tx26_clue_score"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", _clues().alias("v"))
 ORACLE_SQL["tx26_clue_score"] = with_views(f"{_LOUD_ITEM} SELECT item_id, {_score} AS v FROM e")
-QUERIES["tx27_difficulty_level"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", tx.difficulty_level(_clues(), F.col("source_type") == "src1", F.col("source_type") == "src2").alias("v"))
-ORACLE_SQL["tx27_difficulty_level"] = with_views(f"{_LOUD_ITEM} SELECT item_id, CASE WHEN source_type = 'src2' THEN CASE WHEN s < 20 THEN 1 WHEN s < 40 THEN 3 ELSE 4 END WHEN source_type = 'src1' THEN CASE WHEN s < 20 THEN 2 WHEN s < 40 THEN 3 ELSE 4 END ELSE CASE WHEN s < 20 THEN 1 WHEN s < 40 THEN 2 ELSE 3 END END AS v FROM (SELECT *, {_score} AS s FROM e)")
+QUERIES["tx27_difficulty_level"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", tx.difficulty_level(_clues(), F.col("source_type") == "src1", F.col("source_type") == "src2", F.when(F.col("item_id") % 5 > 0, "JURIDICA").otherwise("INFORMATICA")).alias("v"))
+ORACLE_SQL["tx27_difficulty_level"] = with_views(f"{_LOUD_ITEM} SELECT item_id, CASE WHEN item_id % 5 = 0 THEN NULL WHEN source_type = 'src2' THEN CASE WHEN s < 20 THEN 1 WHEN s < 40 THEN 3 ELSE 4 END WHEN source_type = 'src1' THEN CASE WHEN s < 20 THEN 2 WHEN s < 40 THEN 3 ELSE 4 END ELSE CASE WHEN s < 20 THEN 1 WHEN s < 40 THEN 2 ELSE 3 END END AS v FROM (SELECT *, {_score} AS s FROM e)")
 QUERIES["tx28_option_defects"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", F.array_join(tx.option_defects(F.col("stem"), _Columns().options, F.col("answer_key")), ",").alias("v"))
 ORACLE_SQL["tx28_option_defects"] = with_views(f"""{_ITEM} SELECT item_id, concat_ws(',', CASE WHEN list_max(n) > 170 THEN 'too_long' END, CASE WHEN list_min(n) < 0.55 * list_max(n) THEN 'uneven' END,
- CASE WHEN regexp_matches(array_to_string(o, ' '), '{tx.ALL_OF_THEM}') THEN 'all_or_none' END, CASE WHEN e[k] >= list_max([x for x, i in e if i <> k]) + 2 THEN 'echo' END,
+ CASE WHEN regexp_matches(array_to_string(o, ' '), '{_re2(tx.ALL_OF_THEM)}') THEN 'all_or_none' END, CASE WHEN e[k] >= list_max([x for x, i in e if i <> k]) + 2 THEN 'echo' END,
  CASE WHEN regexp_matches(stem, '\\b(INCORRECTA|FALSA|NO es correcta|EXCEPTO)\\b') THEN 'negative' END) AS v FROM e""")
-_rule("tx30_self_sufficiency_flags", *C, lambda c: F.array_join(tx.self_sufficiency_flags(c.stem, c.stem), ","), f"concat_ws(',', CASE WHEN regexp_matches(stem, '{tx.INTERNAL}') AND NOT regexp_matches(stem, '{tx.ANY_NORM}') THEN 'norm_not_named' END, CASE WHEN regexp_matches(stem, '{tx.POINTING}') THEN 'points_elsewhere' END, CASE WHEN regexp_matches(stem, '{tx.SUBSECTION}') AND NOT regexp_matches(stem, '{tx.ANY_ARTICLE}') THEN 'section_without_article' END)")
+_internal30 = _re2(tx.INTERNAL).replace("art\\.|", "") + f"|(?:^|{_W})art\\.[\\pL\\pN_]"
+_section30 = f"(?i)(?:^|{_W})(?:apartado\\s+\\d|letras?\\s+[a-z](?:\\s*(?:,|y|o)\\s*[a-z])+\\s+del\\s+apartado\\s+\\d)"
+
+
+def flags_sql(stem: str) -> str:
+    return f"concat_ws(',', CASE WHEN regexp_matches({stem}, '{_internal30}') AND NOT regexp_matches({stem}, '{_re2(tx.ANY_NORM)}') THEN 'norm_not_named' END, CASE WHEN regexp_matches({stem}, '{_re2(tx.POINTING)}') THEN 'points_elsewhere' END, CASE WHEN regexp_matches({stem}, '{_section30}') AND NOT regexp_matches({stem}, '{_re2(tx.ANY_ARTICLE)}') THEN 'section_without_article' END)"
+
+
+_rule("tx30_self_sufficiency_flags", *C, lambda c: F.array_join(tx.self_sufficiency_flags(c.stem, c.stem), ","), flags_sql("stem"))
 _body = "CASE item_id % 4 WHEN 0 THEN concat('Artículo ', CAST(item_id % 90 AS STRING), '.') WHEN 1 THEN stem WHEN 2 THEN name ELSE '' END"
 _ntb = _nsl(_ua(_body))
 _pl = f"rtrim(regexp_replace({_ntb}, '[ .:;-]+$', ''))"
@@ -166,10 +185,11 @@ QUERIES["tx34_option_shuffle"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_
 ORACLE_SQL["tx34_option_shuffle"] = with_views("""WITH d AS (SELECT item_id, answer_key, c, o, row_number() OVER (PARTITION BY item_id ORDER BY md5(concat_ws('|', CAST(item_id AS VARCHAR), c, 's1'))) AS r
  FROM (SELECT item_id, answer_key, unnest(['A', 'B', 'C', 'D']) AS c, unnest([opt_a, opt_b, opt_c, opt_d]) AS o FROM f_text_items))
 SELECT item_id, string_agg(coalesce(o, '-'), '|' ORDER BY r) AS opts, max(CASE WHEN c = answer_key THEN substr('ABCD', CAST(r AS INT), 1) END) AS new_key FROM d GROUP BY item_id""")
-_f35 = r"list_sort(list_distinct(list_transform(regexp_extract_all(stem, '(?i)\b(?:respuesta|opción|solución)(?: correcta)?:? *([ABCD])\b', 1), lambda x: upper(x))))"
+_p35 = [re.sub(r"\(\?=(.*)\)$", r"(?:\1)", p).replace("(?iuU)", "(?i)").replace("(?imuU)", "(?im)") for p in tx.ANSWER_PATTERNS]
+_f35 = "list_distinct(list_transform(list_concat(" + ", ".join(f"regexp_extract_all(stem, '{p}', 1)" for p in _p35) + "), lambda x: upper(x)))"
 _rule("tx35_explicit_answer", *C, lambda c: tx.explicit_answer(c.stem), f"CASE WHEN len({_f35}) > 1 THEN '?' WHEN len({_f35}) = 1 THEN {_f35}[1] END")
-_p36 = r"(?i)art[ií]culo ([0-9]+(?:\.[0-9]+)*) de la (Ley [0-9]+/[0-9]{4})"
-_rule("tx36_unambiguous_reference", *C, lambda c: tx.unambiguous_reference(c.stem), f"CASE WHEN len(regexp_extract_all(stem, '(?i)art[ií]culos? +[0-9]+', 0)) = 1 AND len(regexp_extract_all(stem, '{_p36}', 0)) = 1 THEN regexp_extract(stem, '{_p36}', 1) || '|' || regexp_extract(stem, '{_p36}', 2) END")
+_p36, _m36, _s36 = (p.replace("(?iuU)", "(?i)") for p in (tx.ARTICLE_OF_NORM, tx.ARTICLE_MENTION, tx.SEVERAL_NUMBERS))
+_rule("tx36_unambiguous_reference", *C, lambda c: tx.unambiguous_reference(c.stem), f"CASE WHEN len(regexp_extract_all(stem, '{_m36}', 0)) = 1 AND len(regexp_extract_all(stem, '{_p36}', 0)) = 1 AND NOT regexp_matches(regexp_extract(stem, '{_p36}', 0), '{_s36}') THEN regexp_extract(stem, '{_p36}', 1) || '|' || {_col(f"regexp_extract(stem, '{_p36}', 2)")} END")
 _quote = "CASE WHEN doc_id % 3 = 0 THEN substr(text, 10, 40) WHEN doc_id % 3 = 1 THEN concat(substr(text, 5, 30), '...', substr(text, 60, 30)) ELSE concat('z', substr(text, 20, 40)) END"
 _ct = _cite("text")
 _pieces = f"list_filter(list_transform(string_split({_quote}, '...'), lambda p: {_cite('p')}), lambda p: length(p) >= 12)"
@@ -182,7 +202,7 @@ _w39 = f"list_filter(list_transform({_lw(_ua('substr(text, 400, 60)'))}, lambda
 _rule("tx39_relevant_excerpt", *D, lambda c: tx.relevant_excerpt(c.text, F.substring("text", 400, 60), 200), f"CASE WHEN length(text) <= 200 THEN text ELSE substr(text, CAST(greatest(0, coalesce(list_min({_w39}), 1) - 1 - 50) AS INT) + 1, 200) END")
 _rk = "CASE " + " ".join(f"WHEN contains(lower({_ua('article')}), '{w}') THEN {k}" for k, w in enumerate(tx.SUFFIXES, 1)) + " ELSE 0 END"
 _rule("tx40_ordinal_article_key", *C, lambda c: F.array_join(tx.ordinal_article_key(c.article), "."), f"CASE WHEN article IS NULL OR NOT regexp_matches(article, '[0-9]') THEN '1000000000' ELSE array_to_string(list_append(list_transform(regexp_extract_all(article, '[0-9]+', 0), lambda n: CAST(n AS BIGINT)), {_rk}), '.') END")
-_ls = f"list_filter(list_transform(string_split(text, chr(10)), lambda l: {_col('l')}), lambda l: l <> '' AND NOT regexp_matches(l, '{tx.GAZETTE_LINE}'))"
+_ls = f"list_filter(list_transform(string_split(text, chr(10)), lambda l: {_col('l')}), lambda l: l <> '' AND NOT regexp_matches(l, '{_re2(tx.GAZETTE_LINE)}'))"
 _rule("tx41_strip_gazette_lines", *D, lambda c: tx.strip_gazette_lines(c.text), _col(f"array_to_string({_ls}, ' ')"))
 _numbers = list(tx.number_words().items())
 _pick = f"element_at(array({', '.join(repr(w) for w, _ in _numbers[::7])}), CAST(1 + item_id % {len(_numbers[::7])} AS INT))"
@@ -192,3 +212,21 @@ _rule("tx43_unit_value", *C, lambda c: tx.unit_value(F.expr(_unit)), "CASE item_
 _rule("tx44_question_polarity", *C, lambda c: tx.question_polarity(c.stem), f"CASE WHEN regexp_matches({_s}, '\\bincorrect[ao]\\b|\\bno se corresponde\\b|\\bno es una?\\b|\\bno es verdader[ao]\\b|\\bexcepto\\b|\\bmenos\\b') THEN 'FALSE' ELSE 'TRUE' END")
 _rule("tx45_make_norm_explicit", *C, lambda c: tx.make_norm_explicit(c.stem, F.lit("Ley 39/2015")), None)
 _rule("tx46_norm_type_strict", *C, lambda c: tx.kind_by_prefix(c.name, tx.STRICT_KINDS), _prefix_sql(tx.STRICT_KINDS))
+
+
+# --- the same rules on stems whose results are written down, one for each kind of stem (``#``: the row's number; ``=``: the stem)
+_RESULTS = {
+    "tx17_origins": (lambda c: tx.strip_trailing_origin(c.stem), ["=", "=", "¿Qué plazo hay?", "¿Qué plazo hay?", "=", "=", "=", "=", "=", "=", "=", "=", "=", "="]),
+    "tx22_norms": (lambda c: F.concat_ws("|", *[F.coalesce(tx.detect_norm_article(c.stem)[k], F.lit("-")) for k in ("state", "kind", "norm", "article")]), [
+        "JURIDICA|LEY_ORGANICA|LEY ORGÁNICA #/2012|#.1", "JURIDICA|LEY|Ley #/2015|5", "PENDIENTE|-|-|-", "PENDIENTE|-|-|-", "PENDIENTE|-|-|-", "PENDIENTE|-|-|-", "PENDIENTE|-|-|-", "PENDIENTE|-|-|-", "PENDIENTE|REAL_DECRETO|Real Decreto Legislativo 5/2015|-",
+        "JURIDICA|LEY|Ley #/2010|5", "PENDIENTE|-|-|-", "PENDIENTE|-|-|-", "JURIDICA|CONSTITUCION|CONSTITUCIÓN ESPAÑOLA|#", "JURIDICA|LEY|Ley 39/2015|#",
+    ]),
+    "tx30_flags": (lambda c: F.array_join(tx.self_sufficiency_flags(c.stem, c.stem), ","), ["", "", "", "", "", "", "", "", "", "", "norm_not_named,points_elsewhere,section_without_article", "points_elsewhere", "", ""]),
+    # the norm of these items is the Ley 39/2015, so others don't name it
+    "tx30_flags_by_norm": (lambda c: F.array_join(tx.self_sufficiency_flags(c.stem, c.stem, F.lit("Ley 39 / 2015")), ","), ["norm_not_named", "", "", "", "", "", "", "", "", "norm_not_named", "norm_not_named,points_elsewhere,section_without_article", "norm_not_named,points_elsewhere", "norm_not_named", ""]),
+    "tx35_answers": (lambda c: tx.explicit_answer(c.stem), [None, None, None, None, None, "C", "B", "?", None, None, None, None, None, None]),
+    "tx36_references": (lambda c: tx.unambiguous_reference(c.stem), [None] * 8 + ["#.2.b|Real Decreto Legislativo 5/2015"] + [None] * 5),
+}
+for _name, (_value, _want) in _RESULTS.items():
+    _cases = " ".join(f"WHEN {k} THEN {'NULL' if w is None else 'stem' if w == '=' else f"replace('{w}', '#', CAST(number AS VARCHAR))"}" for k, w in enumerate(_want))
+    _rule(_name, "f_stems", "item_id", _value, f"CASE kind {_cases} END")

@@ -80,10 +80,17 @@ def test_citations_are_composed(spark):
     assert value(spark, tx.norm_citation, "Ａrt. ５ ﬁn") == "art 5 fin"
 
 
-def test_absolute_words():
-    import re
+def test_absolute_words(spark):
+    texts = {"Sólo él": True, "con independencia de": True, "todo los": True, "NUNCA": True, "SÓLO ÉL": True, "ÚNICAMENTE": True, "EN NINGÚN CASO": True, "jamás.": True, "the les": False, "insólito": False, "solapa": False}
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r["t"]: r["v"] for r in rows.select("t", F.col("t").rlike(tx.ABSOLUTE).alias("v")).collect()} == texts
 
-    assert all(re.search(tx.ABSOLUTE, x) for x in ("Sólo él", "con independencia de", "todo los", "NUNCA")) and not re.search(tx.ABSOLUTE, "the les")
+
+def test_accented_capitals(spark):
+    rows = spark.createDataFrame([("ARTÍCULO 18 de la LEY ORGÁNICA 2/2012",), ("Real Decreto-ley 5/2010, DECRETO LEGISLATIVO 1/2010, artículos 7",), ("artículo 3 de la Constitución española y Ley 1/2000",)], "t string")
+    found = tx.detect_norm_article(F.col("t"))
+    got = [tuple(r) for r in rows.select(found["state"], found["kind"], found["norm"], found["article"], tx.article_precise(F.col("t")), tx.article_unambiguous(F.col("t"))).collect()]
+    assert got == [("JURIDICA", "LEY_ORGANICA", "LEY ORGÁNICA 2/2012", "18", "18", "18"), ("JURIDICA", "REAL_DECRETO", "Real Decreto-ley 5/2010", "7", None, None), ("JURIDICA", "LEY", "Ley 1/2000", "3", "3", "3")]
 
 
 def test_candidate_articles(spark):
