@@ -335,7 +335,7 @@ def test_privacy_by_brute_force(spark):
         t = [rng.choice(words[: 6 + k % 30]) for _ in range(rng.randrange(1, 40))] + (rare + [rng.choice(mails)] if k % 9 == 0 else [rng.choice(mails)] if k % 5 == 0 else rare if k % 7 == 0 else [])
         rng.shuffle(t)
         texts.append("".join(w + rng.choice([" ", " ", " ", "\n"]) for w in t))
-    texts += [f"{words[k]} tellhim {mails[0]} {words[k + 1]}" for k in range(7)] + [f"{words[k]} {mails[k][0]}9@firm.example.org tellfirm" for k in range(5)] + ["tellhim alone"] + [f"twice {words[k]} 10.0.{k}.1" for k in range(2)]
+    texts += [f"{words[k]} tellhim him@only.example.com {words[k + 1]}" for k in range(7)] + [f"{words[k % 9]} filler" for k in range(200)] + [f"{words[k]} {mails[k][0]}9@firm.example.org tellfirm" for k in range(5)] + ["tellhim alone"] + [f"twice {words[k]} 10.0.{k}.1" for k in range(2)]
     texts += [f"{words[0]} {mails[0]} " * 3, None, "", texts[0], texts[0], texts[0], f"{'w' * 198} {mails[1]}", f"abc{mails[2]}def"]
     word = re.compile(r"[^\W\d_]{3,}")
     bases = [privacy.entities(t or "") for t in texts]
