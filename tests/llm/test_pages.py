@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 from oracle import SF, connect, same
@@ -140,7 +142,7 @@ def test_style_tree_removes_what_repeats(spark, monkeypatch):
     assert {r["page_id"]: r["text"] for r in pages.extract_articles(df, broadcast_rows=-1).collect()} == want
     assert pages.extract_articles(spark.createDataFrame([], "page_id long, url string, html string")).isEmpty()
     # without the tree the repeated words stay
-    monkeypatch.setattr(pages, "style_tree", lambda *_: spark.createDataFrame([], "host string, path long, pages long, importance double"))
+    monkeypatch.setattr(pages, "style_tree", lambda *_: spark.createDataFrame([], "host string, path long, pages long, shift double, importance double"))
     assert extracted(spark, rows)[3].startswith("same words on all pages")
 
 
@@ -150,6 +152,80 @@ def test_style_tree_works_inside_articles(spark):
     assert got == {k: f"Head {k}\n\ntext {k} that only this page has\n\n{('more ' * (k + 1)).strip()}" for k in range(9)}
 
 
+def test_the_tree_decides_about_headers_of_articles(spark):
+    """A header within an article stays where its text differs and goes where it repeats; those of pages go."""
+    page = "<body><header><div>Site of many</div><div>{1}</div></header><article><header><h1>{0}</h1></header><p>text {1} that only this page has</p><p>{2}</p></article></body>"
+    rows = [(k, "http://a.b/", page.format(f"Head {k}", f"no {k}", "more " * (k + 1))) for k in range(9)] + [(20 + k, "http://c.d/", page.format("Always this", f"no {k}", "more " * (k + 1))) for k in range(9)]
+    body = lambda k: f"text no {k} that only this page has\n\n{('more ' * (k + 1)).strip()}"
+    assert extracted(spark, rows) == {k: f"Head {k}\n\n{body(k)}" for k in range(9)} | {20 + k: body(k) for k in range(9)}
+    # with too few pages to tell the mark-up decides
+    assert extracted(spark, rows[9:11]) == {20 + k: f"Always this\n\n{body(k)}" for k in range(2)}
+
+
+def test_the_tree_sees_menus_without_any_list(spark, monkeypatch):
+    """On the given pages: with no words and elements against content and no articles, the tree alone removes what they would."""
+    df = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    texts = lambda: {r["page_id"]: r["text"].split("\n\n") for r in pages.extract_articles(df).collect()}
+    full = texts()
+    for name in ("CHROME", "NOISE", "MAIN"):
+        monkeypatch.setattr(pages, name, frozenset())
+    on = texts()
+    monkeypatch.setattr(pages, "style_tree", lambda *_: spark.createDataFrame([], "host string, path long, pages long, shift double, importance double"))
+    off = texts()
+    assert all(set(full[k]) <= set(on[k]) for k in full)
+    same = lambda got: sum(got[k] == full[k] for k in full) / len(full)
+    assert same(off) == 0 and same(on) > 0.6 and sum(on[k] != off[k] for k in full) > 0.6 * len(full)
+
+
+def test_extraction_by_brute_force(spark):
+    """Whole extraction of well-formed pages by a plain DOM: entropies node by node, marks, articles."""
+    import math
+    import xml.etree.ElementTree as ET
+    from collections import Counter
+
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefg", k=4))
+    inner = lambda n: "".join(f"<p>{word()} {word()}</p>" for _ in range(n))
+    htmls = []
+    for k in range(24):
+        parts = [f"<nav><ul><li>{word()}</li><li>{word()}</li></ul></nav>", f"<div class='x'>{rng.choice(['same words', 'other words'])}</div>", f"<div class='ad'>{word()}</div>"]
+        parts += [f"<article><header><h1>{word() if k % 2 else 'one head'}</h1></header><section>{inner(rng.randrange(1, 5))}</section><aside>{word()}</aside><div class='by'>by us</div></article>", f"<div class='y'>{inner(rng.randrange(1, 4))}</div>", f"<footer>{word()}</footer>"]
+        htmls.append(f"<body>{''.join(parts)}</body>")
+    chrome, noise, hosts = {"nav", "aside", "footer", "header"}, {"ad"}, [k % 2 for k in range(24)]
+
+    def walk(e, path=(), main=False, gone=False):
+        """(path, own and inner texts, child names, shift, main) of every element but paragraphs, which belong to theirs."""
+        name = e.tag + (f".{e.get('class')}" if e.get("class") else "")
+        path, inside = (*path, name), main or e.tag == "article"
+        bad = (e.tag in chrome and not (e.tag == "header" and main)) or e.get("class") in noise
+        shift = -0.8 if bad else 0.0 if e.tag == "header" else 0.1 if inside else 0.0
+        own = [t for t in [e.text or "", *[c.text for c in e if c.tag == "p"]] if t.strip()]
+        below = [x for c in e if c.tag != "p" for x in walk(c, path, inside, gone or bad)]
+        return [(path, own, [c.tag + (f".{c.get('class')}" if c.get("class") else "") for c in e], shift, inside, gone or bad), *below]
+
+    doms = [walk(ET.fromstring(h)) for h in htmls]
+    share = lambda xs: -sum(n / len(xs) * math.log(n / len(xs), max(2, len(xs))) for n in Counter(xs).values())
+    want = {}
+    for k, dom in enumerate(doms):
+        mine = [d for d, h in zip(doms, hosts, strict=True) if h == hosts[k]]
+        low = set()
+        for path, own, _, shift, _, _ in dom:
+            held = [[x for x in d if x[0][: len(path)] == path] for d in mine]
+            contents = [tuple(t for x in h for t in x[1]) for h in held]
+            branches = [sum(bool([t for x in h if x[0][: len(path) + 1] == c for t in x[1]]) for c in {x[0][: len(path) + 1] for x in h if len(x[0]) > len(path)}) for h in held]
+            shown = [c for c, h, b in zip(contents, held, branches, strict=True) if c and (h[0][1] or b > 1 or shift == -0.8)]
+            names = [tuple(h[0][2]) for c, h, b in zip(contents, held, branches, strict=True) if c and (h[0][1] or b > 1 or shift == -0.8)]
+            if len(shown) >= 3 and (share(shown) + share(names)) / 2 + shift < 0.45 <= 0.5 + shift:
+                low.add(path)
+        left = [(own, main) for path, own, _, _, main, gone in dom if not gone and not any(path[: len(p)] == p for p in low)]
+        size = lambda rows: sum(len(t) for own, _ in rows for t in own)
+        if 2 * size([x for x in left if x[1]]) >= size(left):
+            left = [x for x in left if x[1]]
+        want[k] = "\n\n".join(t for own, _ in left for t in own)
+    assert extracted(spark, [(k, f"http://h{hosts[k]}.b/{k}", h) for k, h in enumerate(htmls)]) == want
+    assert len({bool("words" in t) for t in want.values()}) == 1 and any("one head" not in t for t in want.values())
+
+
 def test_pages_that_repeat_keep_their_text(spark):
     page = "<body><div>menu</div><article><p>one text on many urls</p></article></body>"
     assert set(extracted(spark, [(k, f"http://a.b/{k}", page) for k in range(6)] + [(0, "http://a.b/0", page)]).values()) == {"one text on many urls"}
