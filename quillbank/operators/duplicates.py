@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillbank.functions.bits import places_in
 from quillbank.functions.textnorm import norm_ascii_alnum, norm_spaces_lower
 from quillbank.operators.components import connected_components
 
@@ -227,7 +228,10 @@ def near_duplicates_ngram(items: DataFrame, block: list[str], text: Column, leas
     pairs are candidates only if they share one, and a big block isn't compared pair by pair. Equal texts are one class.
     """
     rows = items.dropna(subset=block).select("item_id", *block, text.alias("t")).filter("t <> ''").groupBy(*block, "t").agg(F.min("item_id").alias("item_id"))
-    rows = rows.withColumn("g", char_grams(F.col("t"))).withColumn("n", F.size("g"))
+    # a text that stands alone in its block has no partner
+    rows = rows.join(rows.groupBy(*block).agg(F.count("*").alias("_k")).filter("_k > 1").drop("_k"), block, "left_semi")
+    # hashes meet; the similarity is of the grams themselves
+    rows = rows.withColumn("g", F.array_distinct(F.transform(char_grams(F.col("t")), lambda x: F.xxhash64(x)))).withColumn("n", F.size("g"))
     grams = rows.select("item_id", *block, "n", F.explode("g").alias("gram"))
     rare = grams.groupBy(*block, "gram").agg(F.count("*").alias("df"))
     # Dice >= s means an overlap of at least s/(2-s) of either set, so all but that many rarest grams may be skipped
@@ -239,8 +243,9 @@ def near_duplicates_ngram(items: DataFrame, block: list[str], text: Column, leas
     for c in block:
         on = on & (F.col(f"a.{c}") == F.col(f"b.{c}"))
     pairs = a.join(b, on).select(F.col("a.item_id").alias("id_a"), F.col("b.item_id").alias("id_b")).distinct()
-    full = rows.select("item_id", "g", F.length("t").alias("len"))
-    met = pairs.join(full.select(F.col("item_id").alias("id_a"), F.col("g").alias("ga"), F.col("len").alias("la")), "id_a").join(full.select(F.col("item_id").alias("id_b"), F.col("g").alias("gb"), F.col("len").alias("lb")), "id_b")
+    full = rows.select("item_id", "t", F.length("t").alias("len"))
+    met = pairs.join(full.select(F.col("item_id").alias("id_a"), F.col("t").alias("ta"), F.col("len").alias("la")), "id_a").join(full.select(F.col("item_id").alias("id_b"), F.col("t").alias("tb"), F.col("len").alias("lb")), "id_b")
+    met = met.withColumn("ga", char_grams(F.col("ta"))).withColumn("gb", char_grams(F.col("tb")))
     dice = 2.0 * F.size(F.array_intersect("ga", "gb")) / (F.size("ga") + F.size("gb"))
     return met.filter(F.least("la", "lb") >= length_ratio * F.greatest("la", "lb")).select("id_a", "id_b", F.round(dice, 6).alias("similarity")).filter(F.col("similarity") >= least)
 
@@ -337,10 +342,13 @@ def phrase_evidence(items: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """
 
     def phrases(df: DataFrame, key: str) -> DataFrame:
-        grams = F.transform(F.sequence(F.lit(1), F.size("words") - size + 1), lambda i: F.xxhash64(F.array_join(F.slice("words", i, size), " ")))
         return df.filter(F.size("words") >= size).select(key, F.explode(F.array_distinct(grams)).alias("h")).distinct()
 
-    met = phrases(items, "item_id").join(phrases(texts, "text_id"), "h").groupBy("item_id").agg(F.count_distinct("text_id").alias("n"), F.min("text_id").alias("text_id"))
+    grams = F.transform(F.sequence(F.lit(1), F.size("words") - size + 1), lambda i: F.xxhash64(F.array_join(F.slice("words", i, size), " ")))
+    asked = phrases(items, "item_id")
+    passing = places_in(asked.select("h").distinct(), "h")
+    held = texts.filter(F.size("words") >= size).select("text_id", grams.alias("g")).withColumn("at", passing(F.col("g"))).select("text_id", F.explode(F.transform("at", lambda i: F.get(F.col("g"), i))).alias("h")).distinct()
+    met = asked.join(held, "h").groupBy("item_id").agg(F.count_distinct("text_id").alias("n"), F.min("text_id").alias("text_id"))
     out = items.select("item_id").join(met, "item_id", "left")
     state = F.when(F.col("n").isNull(), "NONE").when(F.col("n") == 1, "UNIQUE").otherwise("SEVERAL")
     return out.select("item_id", state.alias("state"), F.when(F.col("n") == 1, F.col("text_id")).alias("text_id"))

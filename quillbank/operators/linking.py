@@ -20,13 +20,19 @@ def completeness_reason(kind: Column, name: Column, norm_id: Column, article: Co
     return F.concat_ws(",", F.when(blank(kind), "norm_type"), F.when(blank(name), "norm_name"), F.when(norm_id.isNull(), "norm_id"), F.when(blank(article), "article"))
 
 
+def article_forms(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with ``base`` and ``full``, the normal forms of an article column, made once for each distinct spelling."""
+    spelt = rows.select(F.col(column).alias("_spelt")).distinct().withColumn("base", article_base(F.col("_spelt"))).withColumn("full", article_full(F.col("_spelt")))
+    return rows.join(spelt, rows[column].eqNullSafe(spelt["_spelt"]), "left").drop("_spelt")
+
+
 def eligible_items(items: DataFrame, exclusions: DataFrame) -> DataFrame:
-    """Legal items with the reason why they can't enter a bank (null: they can, if the call admits their kind of question)."""
-    out = items.filter("kind = 'JURIDICA'").join(exclusions.filter("state in ('CUARENTENA', 'RETIRADA')").select("item_id").distinct().withColumn("excluded", F.lit(True)), "item_id", "left")
+    """Legal items, with both forms of their article, and the reason why they can't enter a bank (null: they can, if the call admits their kind of question)."""
+    out = article_forms(items.filter("kind = 'JURIDICA'"), "article_n").join(exclusions.filter("state in ('CUARENTENA', 'RETIRADA')").select("item_id").distinct().withColumn("excluded", F.lit(True)), "item_id", "left")
     missing = completeness_reason(F.col("norm_type_n"), F.col("norm_name_n"), F.col("norm_id"), F.col("article_n"))
     reason = (
         F.when(F.col("excluded"), "EXCLUDED").when(F.upper(F.trim("validity")).startswith("OBSOLETA"), "OBSOLETE").when(missing != "", F.concat(F.lit("INCOMPLETE:"), missing))
-        .when(article_base(F.col("article_n")).isNull(), "ARTICLE")
+        .when(F.col("base").isNull(), "ARTICLE")
     )
     return out.withColumn("reason", reason).drop("excluded")
 
@@ -39,7 +45,7 @@ def calls_with_practice(rules: DataFrame) -> DataFrame:
 def located_refs(refs: DataFrame, topics: DataFrame) -> DataFrame:
     """References with their topic's attributes and both normal forms of the article."""
     t = topics.select("topic_id", "part", "number", "title", "content_type")
-    return refs.join(t, "topic_id").withColumn("base", article_base(F.col("article_asked"))).withColumn("full", article_full(F.col("article_asked")))
+    return article_forms(refs.join(t, "topic_id"), "article_asked")
 
 
 def ref_index(located: DataFrame, mode: str = "first") -> DataFrame:
@@ -76,7 +82,7 @@ def match_items(items: DataFrame, exclusions: DataFrame, index: DataFrame, links
 
     Items are joined with the index by norm and article; the index is broadcast only if adaptive execution finds it small.
     """
-    base = eligible_items(items, exclusions).filter("reason is null").withColumn("base", article_base(F.col("article_n")))
+    base = eligible_items(items, exclusions).filter("reason is null")
     met = base.join(index, ["norm_id", "base"])
     have = links.select("call_id", "item_id").distinct().withColumn("known", F.lit(True))
     practice = calls_with_practice(rules).withColumn("practice", F.lit(True))
@@ -101,7 +107,7 @@ def match_categories(items: DataFrame, exclusions: DataFrame, categories: DataFr
 
 def unmatched_items(items: DataFrame, exclusions: DataFrame, index: DataFrame) -> DataFrame:
     """Legal items that enter no bank: ``item_id, outcome``, INCOMPLETE (fields missing) or OUTSIDE of every syllabus."""
-    base = eligible_items(items, exclusions).filter("reason is null or reason like 'INCOMPLETE%'").select("item_id", "reason", "norm_id", article_base(F.col("article_n")).alias("base"))
+    base = eligible_items(items, exclusions).filter("reason is null or reason like 'INCOMPLETE%'").select("item_id", "reason", "norm_id", "base")
     left = base.join(index.select("norm_id", "base").distinct().withColumn("covered", F.lit(True)), ["norm_id", "base"], "left")
     return left.filter("reason is not null or covered is null").select("item_id", F.when(F.col("reason").isNotNull(), "INCOMPLETE").otherwise("OUTSIDE").alias("outcome"))
 
@@ -115,7 +121,7 @@ def blocked_calls(refs: DataFrame, topics: DataFrame, categories: DataFrame) ->
 
 def resolve_topic(items: DataFrame, located: DataFrame) -> DataFrame:
     """Topic of an item in each call without picking among several: the only candidate, else the only exact reference, else ambiguous."""
-    i = items.filter("norm_id is not null").select("item_id", "norm_id", article_base(F.col("article_n")).alias("base"), article_full(F.col("article_n")).alias("item_full")).filter("base is not null")
+    i = article_forms(items.filter("norm_id is not null").select("item_id", "norm_id", "article_n"), "article_n").select("item_id", "norm_id", "base", F.col("full").alias("item_full")).filter("base is not null")
     exact = F.when(F.col("full") == F.col("item_full"), F.col("topic_id"))
     by = i.join(located.select("call_id", "norm_id", "base", "full", "topic_id"), ["norm_id", "base"]).groupBy("call_id", "item_id").agg(
         F.min("topic_id").alias("lo"), F.max("topic_id").alias("hi"), F.min(exact).alias("elo"), F.max(exact).alias("ehi")
@@ -155,19 +161,13 @@ def reassignable_links(links: DataFrame, items: DataFrame, located: DataFrame, t
 
 def retirable_links(links: DataFrame, items: DataFrame, exclusions: DataFrame, located: DataFrame) -> DataFrame:
     """Included legal links whose item is no longer eligible or whose reference left the syllabus; the first reason counts."""
-    e = eligible_items(items, exclusions).select("item_id", "reason", "norm_id", article_base(F.col("article_n")).alias("base"))
+    e = eligible_items(items, exclusions).select("item_id", "reason", "norm_id", "base")
     known = located.filter("norm_id is not null and base is not null").select("call_id", "norm_id", "base").distinct().withColumn("covered", F.lit(True))
     met = links.filter("link_type = 'JURIDICA' and state = 'INCLUIDA'").select("link_id", "call_id", "item_id").join(e, "item_id", "left").join(known, ["call_id", "norm_id", "base"], "left")
     reason = F.coalesce("reason", F.when(F.col("covered").isNull(), "OUT_OF_SYLLABUS"))
     return met.select("link_id", "call_id", "item_id", reason.alias("reason")).filter("reason is not null")
 
 
-def article_forms(rows: DataFrame, column: str) -> DataFrame:
-    """``rows`` with ``base`` and ``full``, the normal forms of an article column, made once for each distinct spelling."""
-    spelt = rows.select(F.col(column).alias("_spelt")).distinct().withColumn("base", article_base(F.col("_spelt"))).withColumn("full", article_full(F.col("_spelt")))
-    return rows.join(spelt, rows[column].eqNullSafe(spelt["_spelt"]), "left").drop("_spelt")
-
-
 def bank_plan(items: DataFrame, exclusions: DataFrame, refs: DataFrame, topics: DataFrame, rules: DataFrame, links: DataFrame, categories: DataFrame) -> DataFrame:
     """What to do for the banks of all calls: ``call_id, item_id, action, topic_id, part_id, reason, link_type`` (add, reassign, retire, or blocked).
 
@@ -184,7 +184,7 @@ def bank_plan(items: DataFrame, exclusions: DataFrame, refs: DataFrame, topics:
     )
     judged = article_forms(narrow, "article_n").join(out, "item_id", "left")
     judged = judged.select("item_id", "kind", "norm_id", "base", "full", "category", F.upper("theory_practice").alias("theory_practice"), "excluded", reason.alias("reason")).checkpoint()
-    located = article_forms(refs.join(topics.select("topic_id", "part", "number", "title", "content_type"), "topic_id"), "article_asked").filter("norm_id is not null and base is not null")
+    located = located_refs(refs, topics).filter("norm_id is not null and base is not null")
     located = located.select("ref_id", "call_id", "norm_id", "article_asked", "base", "full", "topic_id", "part", "number", "content_type").checkpoint()
 
     have = links.select("call_id", "item_id").distinct()
@@ -240,7 +240,7 @@ def bank_incidents(links: DataFrame, items: DataFrame, topics: DataFrame, rules:
 
 def plan_incidents(refs: DataFrame, topics: DataFrame, categories: DataFrame) -> DataFrame:
     """What is wrong with a call's syllabus: ``call_id, incident, n`` (``REFERENCE``, ``REPEATED_REFERENCE``, ``CATEGORY``)."""
-    located = article_forms(refs.join(topics.select("topic_id", "part", "number", "title", "content_type"), "topic_id"), "article_asked")
+    located = located_refs(refs, topics)
     kinds = ((invalid_refs(located), "REFERENCE"), (repeated_refs(located), "REPEATED_REFERENCE"), (category_index(categories).filter("reason is not null"), "CATEGORY"))
     rows = reduce(DataFrame.unionAll, [x.select("call_id", F.lit(k).alias("incident")) for x, k in kinds])
     return rows.groupBy("call_id", "incident").agg(F.count("*").alias("n"))
