@@ -12,7 +12,8 @@ from quillbank.operators.verdicts import first_per_group, hash_order
 def examples_with_fallback(rows: DataFrame, groups: DataFrame, n: int) -> DataFrame:
     """Up to ``n`` rows per group: its own first, then others, by id. Only ``n`` rows of the pool are needed for the rest, so no group meets the whole pool."""
     own = first_per_group(rows, ["category"], [F.col("item_id")], n).drop("rank")
-    pool = first_per_group(own.withColumn("_all", F.lit(1)), ["_all"], [F.col("item_id")], 2 * n).select(F.col("category").alias("from_category"), "item_id")
+    # the first 2n of all: tasks keep 2n rows each, and no more meet
+    pool = own.orderBy("item_id", "category").limit(2 * n).select(F.col("category").alias("from_category"), "item_id")
     mine = groups.join(own, "category").select("category", F.lit(0).alias("tier"), "item_id")
     other = groups.crossJoin(F.broadcast(pool)).filter("category <> from_category").select("category", F.lit(1).alias("tier"), "item_id")  # 2n rows, whatever the pool's size
     return first_per_group(mine.union(other), ["category"], [F.col("tier"), F.col("item_id")], n).select("category", "tier", "item_id", "rank")
@@ -29,7 +30,7 @@ def evenly_spaced(rows: DataFrame, by: str, order: str, k: int) -> DataFrame:
 def stratified_sample(rows: DataFrame, stratum: str, quotas: DataFrame, seed: str) -> DataFrame:
     """The first ``quota`` rows of each stratum in hash order."""
     r = rows.withColumn("rank", F.row_number().over(Window.partitionBy(stratum).orderBy(hash_order(F.col("item_id"), seed=seed), "item_id")))
-    return r.join(F.broadcast(quotas), stratum).filter("rank <= quota")
+    return r.join(quotas, stratum).filter("rank <= quota")
 
 
 def random_sample(rows: DataFrame, n: int, seed: str) -> DataFrame:
@@ -102,7 +103,7 @@ def protected_withdrawal(easy: DataFrame, scopes: DataFrame, needs: DataFrame, m
         held = scopes.join(out.select("item_id", F.lit(1).alias("gone")), "item_id", "left").groupBy("scope").agg(F.count("*").alias("n"), F.count("gone").alias("lost"))
         short = held.join(needs, "scope").select("scope", F.least(F.col("lost"), F.col("need") * multiplier - (F.col("n") - F.col("lost"))).alias("deficit")).filter("deficit > 0")
         rank = F.row_number().over(Window.partitionBy("scope").orderBy("score", "item_id"))
-        back = scopes.join(out, "item_id").join(F.broadcast(short), "scope").withColumn("r", rank).filter("r <= deficit").select("item_id").distinct().checkpoint()
+        back = scopes.join(out, "item_id").join(short, "scope").withColumn("r", rank).filter("r <= deficit").select("item_id").distinct().checkpoint()
         if back.isEmpty():
             return out
         out = out.join(back, "item_id", "left_anti").checkpoint()
