@@ -98,7 +98,8 @@ def article_full(x: Column) -> Column:
 
 def article_unambiguous(x: Column) -> Column:
     """Explicit or leading article with its section and letter; null for several or ordinal ones."""
-    token = r"[0-9]+(?: *\. *[0-9]+)*(?: +(?:bis|ter|quater|quinquies))?(?:\.[A-Za-z](?![A-Za-z]))?"
+    suffix = f"(?: +(?:{'|'.join(SUFFIXES)}))"
+    token = rf"[0-9]+(?:(?:\.[0-9]+)+)?{suffix}?(?:\.[A-Za-z])?|[0-9]+{suffix}(?:(?:\.[0-9]+)+)?(?:\.[A-Za-z])?"
     t = collapsed(F.coalesce(x, F.lit("")))
     explicit = rf"(?iuU)^.*?\b(?:art[ií]culo|art\.) *({token})(.*)$"
     leading = rf"(?iuU)^({token})(?= *(?:$|[),;(]|de\b|del\b|apartado\b|t[ií]tulo\b|cap[ií]tulo\b|libro\b|parte\b))(.*)$"
@@ -201,22 +202,32 @@ def formal_rule(kind: Column, name: Column) -> Column:
     return F.when(F.size(numbers) == 1, F.concat(canon, F.lit(" "), number))
 
 
+#: Kinds of norms in the order in which they are looked for.
+CITED_KINDS = (
+    (r"real decreto legislativo", "real decreto legislativo"), (r"real decreto[ -]+ley", "real decreto-ley"), (r"decreto legislativo", "decreto legislativo"), (r"decreto[ -]+ley", "decreto-ley"),
+    (r"ley organica", "ley organica"), (r"real decreto", "real decreto"), (r"ley", "ley"), (r"decreto", "decreto"), (r"orden", "orden"),
+)
+
+
 def citation_parts(x: Column) -> Column:
-    """Struct ``(kind, number, year, date, scope)`` of a citation; null if it has no kind, number and year."""
+    """Struct ``(kind, number, year, date, scope)`` of a citation; null if it has no kind, number and year.
+
+    Kinds are tried in their order, each anywhere in the text: a law that is cited goes before a decree cited earlier.
+    """
     t = norm_spaces_lower(unaccented(x))
-    pattern = r"\b(ley organica|real decreto legislativo|real decreto[- ]ley|real decreto|decreto legislativo|decreto[- ]ley|decreto|ley|orden|resolucion) ([0-9]+) *[/_-] *([0-9]{4})\b"
-    kind, number, year = (F.regexp_extract(t, pattern, k) for k in (1, 2, 3))
+    found = F.coalesce(*[F.when(t.rlike(p), F.struct(F.lit(kind).alias("kind"), F.regexp_extract(t, p, 1).alias("number"), F.regexp_extract(t, p, 2).alias("year"))) for k, kind in CITED_KINDS for p in (rf"\b{k} ([0-9]+) *[/_-] *([0-9]{{4}})\b",)])
+    kind, number, year = found["kind"], found["number"], found["year"]
     date = rf"\bde ([0-9]{{1,2}}) de {MONTH}(?: de ([0-9]{{4}}))?\b"
     day, month, dated = (F.regexp_extract(t, date, k) for k in (1, 2, 3))
     at = F.array_position(F.array(*map(F.lit, MONTHS)), F.when(month == "setiembre", "septiembre").otherwise(month))
     iso = F.when(day != "", F.concat_ws("-", F.when(dated != "", dated).otherwise(year), F.lpad(at.cast("string"), 2, "0"), F.lpad(day, 2, "0"))).otherwise("")
     scope = F.when(t.rlike("comuni(tat|dad) valenciana|generalitat valenciana|consell"), "valenciana").otherwise("")
-    return F.when(kind != "", F.struct(F.translate(kind, "-", " ").alias("kind"), number.alias("number"), year.alias("year"), iso.alias("date"), scope.alias("scope")))
+    return F.when(kind.isNotNull(), F.struct(kind.alias("kind"), number.alias("number"), year.alias("year"), iso.alias("date"), scope.alias("scope")))
 
 
 def cited_norms(x: Column) -> Column:
     """Sorted ``number/year`` of all norms cited; two-digit years over 30 are of the last century."""
-    cited = F.regexp_extract_all(F.coalesce(x, F.lit("")), F.lit(r"\b([0-9]{1,4}) */ *([0-9]{4}|[0-9]{2})\b"), F.lit(0))
+    cited = F.regexp_extract_all(F.coalesce(x, F.lit("")), F.lit(r"(?U)\b([0-9]{1,4})\s*/\s*([0-9]{2,4})\b"), F.lit(0))
 
     def one(c: Column) -> Column:
         number, year = F.trim(F.split(c, "/")[0]), F.trim(F.split(c, "/")[1])
@@ -249,8 +260,8 @@ def strip_trailing_origin(x: Column) -> Column:
 
 
 def strip_origin_anywhere(x: Column) -> Column:
-    words = r"ayuntamiento|diputaci[oó]n|mancomunidad|bolsa +(?:de|para)|convocatoria|oposiciones?|examen(?: +tipo)?|proceso +selectivo|prueba +selectiva"
-    cut = F.regexp_replace(x, rf"(?iu) *[(\[][^()\[\]]*(?:{words})[^()\[\]]*[)\]]", "")
+    words = r"ayuntamiento|diputaci[oó]n|mancomunidad|bolsa\s+(?:de|para)|convocatoria|oposiciones?|examen(?:\s+tipo)?|proceso\s+selectivo|prueba\s+selectiva"
+    cut = F.regexp_replace(x, rf"(?iuU)\s*[(\[][^()\[\]]*(?:{words})[^()\[\]]*[)\]]", "")
     return F.btrim(F.regexp_replace(cut, f"{BLANK}{{2,}}", " "), F.lit(" ;,.-"))
 
 
@@ -386,17 +397,31 @@ def difficulty_level(score: Column, generated: Column, newest: Column, kind: Col
     return F.when(score.isNull() | kind.isNull() | (kind != "JURIDICA"), None).when(newest, new).when(generated, old).otherwise(human)
 
 
-def option_defects(stem: Column, options: list[Column], key: Column) -> Column:
-    """Names of an item's defects, in order."""
+#: What a stem must hold to name a norm without a number, by what the norm's name holds.
+NAMED_BY = (("constituci", "constituci"), ("estatut", "estatut"), ("tratado de funcionamiento", r"tratado de funcionamiento|TFUE"), ("tratado de la uni", r"tratado de la uni[oó]n|TUE\b"))
+
+
+def names_norm(stem: Column, name: Column) -> Column:
+    """Whether a stem names a norm by its number and year, or by its own word; true for norms that have neither."""
+    low, number = F.lower(F.coalesce(name, F.lit(""))), F.regexp_extract(F.coalesce(name, F.lit("")), r"\b[0-9]{1,4}/[0-9]{4}\b", 0)
+    by_word = reduce(lambda acc, r: F.when(low.contains(r[0]), stem.rlike(f"{FLAGS}{r[1]}")).otherwise(acc), reversed(NAMED_BY), F.lit(True))
+    return F.when(number != "", stem.contains(number)).otherwise(by_word)
+
+
+def option_defects(stem: Column, options: list[Column], key: Column, norm: Column | None = None, form: Column | None = None) -> Column:
+    """Names of an item's defects, in order. ``norm``: the name of the norm that the stem should say; ``form``: the item's format."""
     opts = F.array(*[F.coalesce(o, F.lit("")) for o in options])
     sizes = F.transform(opts, F.length)
     words = long_words(stem)
     echoes = F.transform(opts, lambda o: F.size(F.array_intersect(words, long_words(o))))
     at = F.greatest(F.lit(1), F.array_position(F.array(*[F.lit(c) for c in "ABCD"]), key).cast("int"))
     others = F.array_max(F.transform(F.filter(F.arrays_zip(echoes.alias("e"), F.sequence(F.lit(1), F.lit(4)).alias("k")), lambda z: z["k"] != at), lambda z: z["e"]))
+    none = F.lit(None).cast("string")
     flags = [
-        F.when(F.array_max(sizes) > 170, "too_long"), F.when(F.array_min(sizes) < 0.55 * F.array_max(sizes), "uneven"), F.when(F.array_join(opts, " ").rlike(ALL_OF_THEM), "all_or_none"),
-        F.when(F.element_at(echoes, at) >= others + 2, "echo"), F.when(stem.rlike(r"\b(INCORRECTA|FALSA|NO es correcta|EXCEPTO)\b"), "negative"),
+        F.when(clue_score(stem, options, key) >= 20, "clues"), F.when(F.array_max(sizes) > 170, "too_long"), F.when(F.array_min(sizes) < 0.55 * F.array_max(sizes), "uneven"), F.when(F.array_join(opts, " ").rlike(ALL_OF_THEM), "all_or_none"),
+        F.when(F.element_at(echoes, at) >= others + 2, "echo"), none if norm is None else F.when(~names_norm(stem, norm), "norm_not_explicit"),
+        none if form is None else F.when((form == "combinada") & ~(stem.rlike(r"\bI\b") & stem.rlike(r"\bII\b") & stem.rlike(r"\bIII\b")), "statements_missing"),
+        F.when(stem.rlike(r"\b(INCORRECTA|FALSA|NO es correcta|EXCEPTO)\b"), "negative"),
     ]
     return F.filter(F.array(*flags), lambda f: f.isNotNull())
 
@@ -456,15 +481,17 @@ def repealed(heading: Column, text: Column) -> Column:
     """The heading or the start of the text says that the article is repealed."""
 
     def says(x: Column) -> Column:
-        t = F.regexp_replace(norm_spaces_lower(unaccented(x)), r"^articulo ([0-9]+(\.[0-9]+)*( [a-z]+)?|unico) *[.:-]* *", "")
+        t = F.regexp_replace(norm_spaces_lower(unaccented(x)), r"^articulo ([0-9]+(\.[0-9]+)*( \w+)?|unico) *[.:-]* *", "")
         return F.regexp_replace(t, r"^[\[() .:-]+", "").rlike(r"^derogad[oa]s?\b")
 
     return says(heading) | says(F.substring(text, 1, 300))
 
 
 def repealed_norm(text: Column) -> Column:
-    head = F.substring_index(F.substring(norm_spaces_lower(unaccented(text)), 1, 5000), "publicado en:", 1)
-    return head.rlike(r"\bdisposicion derogada\b|^derogad[oa]")
+    """The head of a norm's page, up to where it says how it was published (else 5,000 characters), says that it is repealed."""
+    t = norm_spaces_lower(unaccented(text))
+    head = F.when(t.contains("publicado en:"), F.substring_index(t, "publicado en:", 1)).otherwise(F.substring(t, 1, 5000))
+    return head.rlike(r"\bdisposicion derogada\b")
 
 
 def option_shuffle(row: Column, options: list[Column], key: Column, seed: str) -> Column:

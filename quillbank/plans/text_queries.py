@@ -113,7 +113,7 @@ _k = f"regexp_replace(trim(upper({_ua(_kind)})), '[ -]+', '_', 'g')"
 _nums = "regexp_extract_all(name, '([0-9]+) */ *([0-9]{4})', 0)"
 _rule("tx14_norm_rule_lookup", *C, lambda c: tx.formal_rule(F.expr(_kind), c.name), f"CASE WHEN len({_nums}) = 1 THEN (CASE {_k} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in tx.FORMAL_KINDS.items()) + f" END) || ' ' || regexp_replace(replace({_nums}[1], ' ', ''), '^0+([0-9])', '\\1') END")
 _rule("tx15_citation_parts", *C, lambda c: F.to_json(tx.citation_parts(c.name)), None)
-_rule("tx16_cited_norms", *C, lambda c: F.array_join(tx.cited_norms(c.stem), ","), r"""array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(stem, '\b([0-9]{1,4}) */ *([0-9]{4}|[0-9]{2})\b', 0),
+_rule("tx16_cited_norms", *C, lambda c: F.array_join(tx.cited_norms(c.stem), ","), r"""array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(stem, '\b([0-9]{1,4})\s*/\s*([0-9]{2,4})\b', 0),
     lambda c: CAST(CAST(trim(string_split(c, '/')[1]) AS INT) AS VARCHAR) || '/' || CASE WHEN length(trim(string_split(c, '/')[2])) = 2 THEN CASE WHEN CAST(trim(string_split(c, '/')[2]) AS INT) > 30 THEN '19' ELSE '20' END ELSE '' END || trim(string_split(c, '/')[2])))), ',')""")
 _tail = " *\\(([^()]{2,160})\\) *([:.?]?) *$"
 _inner, _mark, _bare = f"regexp_extract(stem, '{_tail}', 1)", f"regexp_extract(stem, '{_tail}', 2)", f"rtrim(regexp_replace(stem, '{_tail}', ''))"
@@ -160,9 +160,17 @@ ORACLE_SQL["tx26_clue_score"] = with_views(f"{_LOUD_ITEM} SELECT item_id, {_scor
 QUERIES["tx27_difficulty_level"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", tx.difficulty_level(_clues(), F.col("source_type") == "src1", F.col("source_type") == "src2", F.when(F.col("item_id") % 5 > 0, "JURIDICA").otherwise("INFORMATICA")).alias("v"))
 ORACLE_SQL["tx27_difficulty_level"] = with_views(f"{_LOUD_ITEM} SELECT item_id, CASE WHEN item_id % 5 = 0 THEN NULL WHEN source_type = 'src2' THEN CASE WHEN s < 20 THEN 1 WHEN s < 40 THEN 3 ELSE 4 END WHEN source_type = 'src1' THEN CASE WHEN s < 20 THEN 2 WHEN s < 40 THEN 3 ELSE 4 END ELSE CASE WHEN s < 20 THEN 1 WHEN s < 40 THEN 2 ELSE 3 END END AS v FROM (SELECT *, {_score} AS s FROM e)")
 QUERIES["tx28_option_defects"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", F.array_join(tx.option_defects(F.col("stem"), _Columns().options, F.col("answer_key")), ",").alias("v"))
-ORACLE_SQL["tx28_option_defects"] = with_views(f"""{_ITEM} SELECT item_id, concat_ws(',', CASE WHEN list_max(n) > 170 THEN 'too_long' END, CASE WHEN list_min(n) < 0.55 * list_max(n) THEN 'uneven' END,
- CASE WHEN regexp_matches(array_to_string(o, ' '), '{_re2(tx.ALL_OF_THEM)}') THEN 'all_or_none' END, CASE WHEN e[k] >= list_max([x for x, i in e if i <> k]) + 2 THEN 'echo' END,
+_defects = f"""CASE WHEN {_score} >= 20 THEN 'clues' END, CASE WHEN list_max(n) > 170 THEN 'too_long' END, CASE WHEN list_min(n) < 0.55 * list_max(n) THEN 'uneven' END,
+ CASE WHEN regexp_matches(array_to_string(o, ' '), '{_re2(tx.ALL_OF_THEM)}') THEN 'all_or_none' END, CASE WHEN e[k] >= list_max([x for x, i in e if i <> k]) + 2 THEN 'echo' END"""
+ORACLE_SQL["tx28_option_defects"] = with_views(f"""{_ITEM} SELECT item_id, concat_ws(',', {_defects},
  CASE WHEN regexp_matches(stem, '\\b(INCORRECTA|FALSA|NO es correcta|EXCEPTO)\\b') THEN 'negative' END) AS v FROM e""")
+# stems that say a norm or count statements, for items of four norms, half of them in the format with statements
+_SAYS = "concat(stem, CASE item_id % 3 WHEN 0 THEN ' según la Ley 39/2015 y el TUE' WHEN 1 THEN ' de la CONSTITUCIÓN: I, II y III' ELSE ' EXCEPTO esto' END)"
+_NORM = "CASE item_id % 4 WHEN 0 THEN 'Ley 39/2015, de 1 de octubre' WHEN 1 THEN 'Constitución Española' WHEN 2 THEN 'Tratado de la Unión Europea' ELSE 'Otra' END"
+QUERIES["tx28_defects_of_format"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", F.array_join(tx.option_defects(F.expr(_SAYS), _Columns().options, F.col("answer_key"), F.expr(_NORM), F.expr("CASE WHEN item_id % 2 = 0 THEN 'combinada' ELSE 'directa' END")), ",").alias("v"))
+ORACLE_SQL["tx28_defects_of_format"] = with_views(f"""{_ITEM.replace("SELECT item_id, stem, answer_key", f"SELECT item_id, {_SAYS} AS stem, answer_key")} SELECT item_id, concat_ws(',', {_defects},
+ CASE WHEN (item_id % 4 = 1 AND item_id % 3 <> 1) OR (item_id % 4 IN (0, 2) AND item_id % 3 <> 0) THEN 'norm_not_explicit' END,
+ CASE WHEN item_id % 2 = 0 AND item_id % 3 <> 1 THEN 'statements_missing' END, CASE WHEN item_id % 3 = 2 THEN 'negative' END) AS v FROM e""")
 _internal30 = _re2(tx.INTERNAL).replace("art\\.|", "") + f"|(?:^|{_W})art\\.[\\pL\\pN_]"
 _section30 = f"(?i)(?:^|{_W})(?:apartado\\s+\\d|letras?\\s+[a-z](?:\\s*(?:,|y|o)\\s*[a-z])+\\s+del\\s+apartado\\s+\\d)"
 
@@ -178,8 +186,8 @@ _pl = f"rtrim(regexp_replace({_ntb}, '[ .:;-]+$', ''))"
 _rule("tx31_text_sufficient", *C, lambda c: tx.text_sufficient(F.expr(_body), c.name), f"{_ntb} <> '' AND NOT ({_pl} = regexp_replace({_nsl(_ua('name'))}, '[ .:;-]+$', '') AND length({_col(_body)}) < 80) AND NOT regexp_matches({_pl}, '^(articulo|art\\.?) [0-9]+(\\.[0-9]+)*( *(bis|ter|quater|quinquies))?(\\.[a-z])? *\\.?$')")
 _low = f"(' ' || lower({_col('text')}) || ' ')"
 _rule("tx32_source_usable", *D, lambda c: tx.source_usable(c.text, F.col("doc_id") % 3 == 0), f"length({_col('text')}) >= CASE WHEN doc_id % 3 = 0 THEN 250 ELSE 100 END AND ({' OR '.join(f'contains({_low}, {chr(39)}{w}{chr(39)})' for w in tx.NORMATIVE)} OR length({_col('text')}) >= 500)")
-_rule("tx33_repealed_article", *C, lambda c: tx.repealed(c.name, c.stem), " OR ".join(f"regexp_matches(regexp_replace(regexp_replace({_nsl(_ua(x))}, '^articulo ([0-9]+(\\.[0-9]+)*( [a-z]+)?|unico) *[.:-]* *', ''), '^[\\[() .:-]+', ''), '^derogad[oa]s?\\b')" for x in ("name", "substr(stem, 1, 300)")))
-_rule("tx33_repealed_norm", *C, lambda c: tx.repealed_norm(c.stem), f"regexp_matches(string_split(substr({_s}, 1, 5000), 'publicado en:')[1], '\\bdisposicion derogada\\b|^derogad[oa]')")
+_rule("tx33_repealed_article", *C, lambda c: tx.repealed(c.name, c.stem), " OR ".join(f"regexp_matches(regexp_replace(regexp_replace({_nsl(_ua(x))}, '^articulo ([0-9]+(\\.[0-9]+)*( \\w+)?|unico) *[.:-]* *', ''), '^[\\[() .:-]+', ''), '^derogad[oa]s?\\b')" for x in ("name", "substr(stem, 1, 300)")))
+_rule("tx33_repealed_norm", *C, lambda c: tx.repealed_norm(c.stem), f"regexp_matches(CASE WHEN contains({_s}, 'publicado en:') THEN string_split({_s}, 'publicado en:')[1] ELSE substr({_s}, 1, 5000) END, '\\bdisposicion derogada\\b')")
 _sh = lambda: tx.option_shuffle(F.col("item_id"), _Columns().options, F.col("answer_key"), "s1")
 QUERIES["tx34_option_shuffle"] = lambda spark, sf_dir: tables(spark, sf_dir, "f_text_items")[0].select("item_id", F.array_join(_sh()["options"], "|", "-").alias("opts"), _sh()["key"].alias("new_key"))
 ORACLE_SQL["tx34_option_shuffle"] = with_views("""WITH d AS (SELECT item_id, answer_key, c, o, row_number() OVER (PARTITION BY item_id ORDER BY md5(concat_ws('|', CAST(item_id AS VARCHAR), c, 's1'))) AS r
@@ -221,6 +229,9 @@ _RESULTS = {
         "JURIDICA|LEY_ORGANICA|LEY ORGÁNICA #/2012|#.1", "JURIDICA|LEY|Ley #/2015|5", "PENDIENTE|-|-|-", "PENDIENTE|-|-|-", "PENDIENTE|-|-|-", "PENDIENTE|-|-|-", "PENDIENTE|-|-|-", "PENDIENTE|-|-|-", "PENDIENTE|REAL_DECRETO|Real Decreto Legislativo 5/2015|-",
         "JURIDICA|LEY|Ley #/2010|5", "PENDIENTE|-|-|-", "PENDIENTE|-|-|-", "JURIDICA|CONSTITUCION|CONSTITUCIÓN ESPAÑOLA|#", "JURIDICA|LEY|Ley 39/2015|#",
     ]),
+    "tx15_citations": (lambda c: F.when(tx.citation_parts(c.stem).isNotNull(), F.concat_ws("|", *[tx.citation_parts(c.stem)[k] for k in ("kind", "number", "year", "date", "scope")])), [
+        "ley organica|#|2012||", "ley|#|2015||", None, None, None, None, None, None, "real decreto legislativo|5|2015||", "ley|#|2010||", None, None, None, "ley|39|2015||",
+    ]),
     "tx30_flags": (lambda c: F.array_join(tx.self_sufficiency_flags(c.stem, c.stem), ","), ["", "", "", "", "", "", "", "", "", "", "norm_not_named,points_elsewhere,section_without_article", "points_elsewhere", "", ""]),
     # the norm of these items is the Ley 39/2015, so others don't name it
     "tx30_flags_by_norm": (lambda c: F.array_join(tx.self_sufficiency_flags(c.stem, c.stem, F.lit("Ley 39 / 2015")), ","), ["norm_not_named", "", "", "", "", "", "", "", "", "norm_not_named", "norm_not_named,points_elsewhere,section_without_article", "norm_not_named,points_elsewhere", "norm_not_named", ""]),
