@@ -31,11 +31,14 @@ register("dd04_stem_duplicates", _T, lambda t: t.groupBy(F.trim("stem").alias("s
 _five = " UNION ALL ".join(f"SELECT min(item_id) AS item_id, '{f}' AS field, concat_ws(chr(1), {', '.join(_nsl(g) for g in _F if g != f)}) AS k, {_nsl(f)} AS v FROM ti GROUP BY k, v" for f in _F)
 _typo = "SELECT item_id, stem, opt_a, opt_b, opt_c, opt_d FROM f_text_items UNION ALL SELECT item_id + 1000000, concat(stem, CASE WHEN item_id % 2 = 0 THEN ' x' ELSE ' wholly different' END), opt_a, opt_b, opt_c, opt_d FROM f_text_items WHERE item_id % 5 = 0"
 _with_typo = lambda t: t.select("item_id", *_F).union(t.filter("item_id % 5 = 0").select(F.col("item_id") + 1000000, F.concat("stem", F.when(F.col("item_id") % 2 == 0, " x").otherwise(" wholly different")), *_F[1:]))
-# the oracle counts edits in bytes, so both sides see ASCII only
-_plain = lambda t: t.select("item_id", *[F.regexp_replace(f, r"[^\x00-\x7F]", "?").alias(f) for f in _F])
-_plain_sql = f"ti AS (SELECT item_id, {', '.join(f"regexp_replace({f}, '[^\\x00-\\x7F]', '?', 'g') AS {f}" for f in _F)} FROM ({_typo}))"
-register("dd05_near_duplicates_4of5", _T, lambda t: dd.near_duplicates_one_field(_plain(_with_typo(t))), f"""WITH {_plain_sql}, r AS MATERIALIZED ({_five}), p AS (SELECT a.item_id AS id_a, b.item_id AS id_b, a.field, a.v AS x, b.v AS y FROM r a JOIN r b ON a.field = b.field AND md5(a.k) = md5(b.k) AND a.item_id < b.item_id AND abs(length(a.v) - length(b.v)) <= 5)
- SELECT id_a, id_b, field, distance FROM (SELECT *, levenshtein(x, y) AS distance FROM p) WHERE distance BETWEEN 1 AND 5""")
+# the oracle counts edits in bytes, so it gives each letter beyond ASCII that the texts have a byte of its own; texts within five edits share one of six pieces
+_LETTERS = "ßäçèéêíñóöü"
+_bytes = lambda x: f"translate({x}, '{_LETTERS}', {' || '.join(f'chr({k})' for k in (1, 2, 3, 4, 5, 6, 14, 15, 16, 17, 18))})"
+_piece = lambda k: f"contains(y, substr(x, {k} * (length(x) // 6) + 1, length(x) // 6))"
+register("dd05_near_duplicates_4of5", _T, lambda t: dd.near_duplicates_one_field(_with_typo(t)), f"""WITH ti AS ({_typo}), r AS MATERIALIZED ({_five}), q AS MATERIALIZED (SELECT item_id, field, md5(k) AS k, {_bytes('v')} AS v FROM r),
+ p AS (SELECT a.item_id AS id_a, b.item_id AS id_b, a.field, a.v AS x, b.v AS y FROM q a JOIN q b ON a.field = b.field AND a.k = b.k AND a.item_id < b.item_id AND abs(length(a.v) - length(b.v)) <= 5),
+ s AS MATERIALIZED (SELECT * FROM p WHERE length(x) < 60 OR {' OR '.join(map(_piece, range(6)))})
+ SELECT id_a, id_b, field, distance FROM (SELECT *, levenshtein(x, y) AS distance FROM s) WHERE distance BETWEEN 1 AND 5""")
 _pairs = lambda c: c.select(F.col("c_custkey").alias("id_a"), F.expr("c_custkey - c_custkey % 7").alias("id_b")).union(c.filter("c_custkey % 49 = 0").selectExpr("c_custkey", "c_custkey - 7 * (c_custkey div 7 % 3)"))
 _pairs_sql = "p AS (SELECT c_custkey AS a, c_custkey - c_custkey % 7 AS b FROM customer UNION ALL SELECT c_custkey, c_custkey - 7 * (c_custkey // 7 % 3) FROM customer WHERE c_custkey % 49 = 0), u AS (SELECT a, b FROM p WHERE a <> b UNION SELECT b, a FROM p WHERE a <> b)"
 _comp_sql = f"WITH RECURSIVE {_pairs_sql}, w(node, reach) AS (SELECT a, a FROM u UNION SELECT w.node, u.b FROM w JOIN u ON u.a = w.reach)"
