@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillbank.functions.textnorm import collapsed, norm_ascii_alnum
+from quillbank.functions.textnorm import collapsed, unaccented
 
 ITEM = re.compile(r"(?:^|\n)\s*(\d{1,3})[.)\-]\s+")
 OPTION = re.compile(r"(?:^|\s)([ABCDabcd])\)\s+")
@@ -215,15 +215,23 @@ def split_topics(lines: DataFrame) -> DataFrame:
     return by.withColumn("r", F.row_number().over(Window.partitionBy("doc", "part", "number").orderBy("topic"))).filter("r = 1").select("doc", "part", "number", "text")
 
 
-def unique_titles(topics: DataFrame, most: int = 5) -> DataFrame:
-    """First sentence of each topic; where titles of a part are equal, one sentence more, up to ``most``: ``topic_id, title``."""
-    s = F.filter(F.split("text", r"\. "), lambda x: F.trim(x) != "")
-    out = topics.select("topic_id", "part", s.alias("s"), F.lit(1).alias("depth"))
-    title = F.array_join(F.slice("s", F.lit(1), F.col("depth")), ". ")
-    for _ in range(most - 1):
-        again = F.count("*").over(Window.partitionBy("part", norm_ascii_alnum(title))) > 1
-        out = out.withColumn("depth", F.when(again & (F.col("depth") < F.size("s")), F.col("depth") + 1).otherwise(F.col("depth")))
-    return out.select("topic_id", F.rtrim(title).alias("title"))
+def unique_titles(topics: DataFrame) -> DataFrame:
+    """``topic_id, title``: the fewest first sentences of each topic that no other topic of its part begins with; all of them if there are none.
+
+    Each prefix of sentences has a rolling hash (without accents, in lower case), and a topic's title ends at its first
+    prefix that is counted once. So one count over the sentences of all topics replaces lengthening titles round by
+    round, and equal topics are counted before they are shuffled.
+    """
+    strip = lambda x: F.btrim(x, F.lit(" ."))
+    parts = F.filter(F.transform(F.split(collapsed(F.col("text")), r"\.\s+"), strip), lambda x: x != "")
+    rows = topics.select("topic_id", "part", parts.alias("s"))
+    step = lambda done, x: F.concat(done, F.array(F.xxhash64(F.element_at(done, -1), F.lower(unaccented(x)))))
+    prefixes = rows.select("topic_id", "part", F.posexplode(F.aggregate("s", F.array(F.lit(0).cast("long")), step)).alias("depth", "h")).filter("depth > 0")
+    once = prefixes.groupBy("part", "h").agg(F.count_distinct("topic_id").alias("n"), F.min(F.struct("topic_id", "depth")).alias("one")).filter("n = 1")
+    first = once.groupBy(F.col("one.topic_id").alias("topic_id")).agg(F.min("one.depth").alias("depth"))
+    met = rows.join(first, "topic_id", "left")
+    title = F.array_join(F.slice("s", F.lit(1), F.coalesce("depth", F.size("s"))), ". ")
+    return met.select("topic_id", F.rtrim(title, F.lit(".")).alias("title"))
 
 
 def longest_block(blocks: DataFrame, least: int = 20) -> DataFrame:

@@ -56,6 +56,11 @@ register("tg17_phrase_windows", "benchmark", lambda b: b.select("item_id", F.exp
 _syll = lambda d: d.select(c("doc_id").alias("doc"), F.posexplode(F.concat(F.array(F.lit("preface")), F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: F.when(k == 0, "PART GENERAL").when(k == 5, "PART ESPECIAL").otherwise(F.concat(F.when(k % 2 == 1, F.concat(((c("doc_id") + k) % 3 + 1).cast("string"), F.lit(". "))).otherwise(""), F.substring("text", k * 10 + 1, F.lit(9))))))).alias("pos", "line"))
 register("tg18_split_topics", "documents", lambda d: tg.split_topics(_syll(d).withColumn("line", F.regexp_replace("line", "\n", " "))), """WITH l AS (SELECT doc_id, text, unnest(range(0, 10)) AS k FROM documents), s AS (SELECT doc_id, k, CASE WHEN k < 5 THEN 'GENERAL' ELSE 'ESPECIAL' END AS part, CASE WHEN k % 2 = 1 AND k <> 5 THEN (doc_id + k) % 3 + 1 END AS num, replace(substr(text, k * 10 + 1, 9), chr(10), ' ') AS t FROM l WHERE k NOT IN (0, 5)),
  g AS (SELECT *, sum(CASE WHEN num IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS topic FROM s), b AS (SELECT doc_id, part, topic, max(num) AS number, string_agg(t, ' ' ORDER BY k) AS text FROM g WHERE topic > 0 GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, part, number ORDER BY topic) AS n FROM b) SELECT doc_id AS doc, part, CAST(number AS INT) AS number, text FROM r WHERE n = 1""")
-register("tg19_unique_titles", "documents", lambda d: tg.unique_titles(d.select(c("doc_id").alias("topic_id"), "lang", F.regexp_replace("text", "\n", " ").alias("text")).withColumnRenamed("lang", "part")), None)
+_t19 = "list_filter(list_transform(string_split_regex(trim(regexp_replace(text, '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')), '\\.\\s+'), lambda x: trim(x, ' .')), lambda x: x <> '')"
+_n19 = f"lower({_ua("array_to_string(s[1:d], '. ')")})"
+register("tg19_unique_titles", "documents", lambda d: tg.unique_titles(d.select(c("doc_id").alias("topic_id"), c("lang").alias("part"), "text")), f"""WITH b AS (SELECT doc_id, lang, {_t19} AS s FROM documents),
+ p AS (SELECT doc_id, lang, d, {_n19} AS v FROM (SELECT *, unnest(range(1, len(s) + 1)) AS d FROM b)), n AS (SELECT lang, v FROM p GROUP BY lang, v HAVING count(DISTINCT doc_id) = 1),
+ f AS (SELECT doc_id, min(d) AS depth FROM p JOIN n ON n.lang = p.lang AND n.v = p.v GROUP BY doc_id)
+ SELECT b.doc_id AS topic_id, rtrim(array_to_string(s[1:coalesce(depth, len(s))], '. '), '.') AS title FROM b LEFT JOIN f ON f.doc_id = b.doc_id""")
 register("tg20_longest_block", "f_articles", lambda a: tg.longest_block(a.select(c("norm_id").alias("doc"), c("article_no").alias("number"), c("article_id").alias("pos"), "text")).select("doc", "number", F.length("text").alias("chars")), "SELECT norm_id AS doc, article_no AS number, CAST(max(length(text)) AS INT) AS chars FROM f_articles GROUP BY norm_id, article_no HAVING max(length(text)) >= 20")
 register("tg21_split_exam_blocks", "documents", lambda d: tg.split_items(d.select("doc_id", _exam().alias("text")), "doc_id", "text").filter("reason is null").groupBy("number").agg(F.count("*").alias("n")), "SELECT 1 AS number, count(*) FILTER (WHERE doc_id % 4 <> 0 AND trim(replace(substr(text, 1, 40), chr(10), ' ')) <> '' AND trim(replace(substr(text, 41, 9), chr(10), ' ')) <> '' AND trim(replace(substr(text, 51, 9), chr(10), ' ')) <> '' AND trim(replace(substr(text, 61), chr(10), ' ')) <> '') AS n FROM documents UNION ALL SELECT 2, count(*) FROM documents")

@@ -58,3 +58,29 @@ def test_merge_review(spark):
     got = {r["component"]: tuple(r)[1:] for r in papers.merge_review(groups, links, topics, spark.createDataFrame([(41,)], "item_id long")).collect()}
     assert got == {1: (11, 10, "OK", 0, 0), 2: (20, 21, "LINKS", 1, 0), 3: (30, 31, "TOPICS", 1, 1), 4: (40, 41, "SIMULATION", 1, 0), 5: (None, None, "NOT_A_PAIR", 0, 0), 6: (60, 61, "OK", 1, 0)}
     assert papers.merge_review(groups.filter("false"), links, topics, links.select(F.col("item_id"))).count() == 0
+
+
+def test_titles_like_lengthening_them_round_by_round(spark):
+    import random
+    from collections import defaultdict
+
+    from quillbank.operators import extract
+
+    rng = random.Random(5)
+    sentences = ["La ley", "El acto", "—", "Los plazos.", "Fin", "el ACTO", "..", "Título"]
+    topics = [(k, f"p{k % 3}", ". ".join(rng.choices(sentences, k=rng.randrange(0, 7))) + rng.choice(["", ".", " ..."])) for k in range(120)] + [(200, "p0", None), (201, "p9", "Solo. Dos")]
+    bare = lambda x: x.lower().translate(str.maketrans("áéíóú", "aeiou"))
+    parts = {k: [x.strip(" .") for x in re.split(r"\.\s+", " ".join((t or "").split())) if x.strip(" .")] for k, _, t in topics}
+    of, depth = {k: p for k, p, _ in topics}, dict.fromkeys(parts, 1)
+    while True:
+        title = {k: ". ".join(s[: depth[k]]).rstrip(".") for k, s in parts.items()}
+        same = defaultdict(list)
+        for k, t in title.items():
+            same[of[k], bare(t)].append(k)
+        longer = [k for g in same.values() if len(g) > 1 for k in g if depth[k] < len(parts[k])]
+        if not longer:
+            break
+        for k in longer:
+            depth[k] += 1
+    got = {r["topic_id"]: r["title"] for r in extract.unique_titles(spark.createDataFrame(topics, "topic_id long, part string, text string").repartition(4)).collect()}
+    assert {k: v or "" for k, v in got.items()} == title
