@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillbank.functions.textnorm import collapsed, strip_gazette_lines
-from quillbank.operators.extract import clean_boilerplate
+from quillbank.operators.extract import clean_boilerplate, missing_numbers
 
 #: Header lines of gazettes, lines that are headers only beside one, and a header that stands within a line.
 _T = r"(?:ES|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[LC]\s?[0-9]+[A-Z]?/[0-9]+|Diario Oficial de la Unión Europea)"
@@ -89,3 +89,22 @@ def merge_review(groups: DataFrame, links: DataFrame, link_topics: DataFrame, si
     out = out.select("component", "keep_id", "item_id", state.alias("state"), F.coalesce("equal_links", zero).alias("equal_links"), F.coalesce("moved_links", zero).alias("moved_links"))
     none = F.lit(None).cast("long")
     return out.unionByName(g.filter("n <> 2").select("component", none.alias("keep_id"), none.alias("item_id"), F.lit("NOT_A_PAIR").alias("state"), zero.cast("long").alias("equal_links"), zero.cast("long").alias("moved_links")))
+
+
+def split_numbered_items(texts: DataFrame, doc: str, text: str) -> DataFrame:
+    """``doc, number, stem, opt_a, opt_b, opt_c, opt_d, reason`` of items that a number opens at the start of a line, before ``¿`` or a capital.
+
+    A body ends at the next number. It is the stem and what follows ``a)``, ``b)``, ``c)`` and ``d)`` in this order, all of
+    them with content, else its ``reason`` is ``OPTIONS``. Numbers between a document's least and largest that open no item
+    are rows with the reason ``MISSING``.
+    """
+    opens = r"^[ \t]*([0-9]{1,4})\s*(?=¿|[A-ZÁÉÍÓÚÜÑ])"
+    body = r"(?isuU)\A(.*?)\ba\)\s*(.*?)\bb\)\s*(.*?)\bc\)\s*(.*?)\bd\)\s*(.*)\z"
+    names = ("stem", "opt_a", "opt_b", "opt_c", "opt_d")
+    inner = lambda p: F.btrim(F.regexp_replace(p, rf"\A{opens[1:]}", ""), F.lit(" \n\t\r\x0b\f"))
+    held = F.transform(F.split(text, rf"(?m)(?={opens})"), lambda p: F.struct(F.regexp_extract(p, rf"\A{opens[1:]}", 1).try_cast("int").alias("number"), F.array(*[collapsed(F.regexp_extract(inner(p), body, k)) for k in range(1, 6)]).alias("parts")))
+    items = texts.select(F.col(doc).alias("doc"), F.explode(held).alias("i")).filter("i.number is not null")
+    whole = F.forall("i.parts", lambda x: x != "")
+    items = items.select("doc", "i.number", *[F.when(whole, F.get("i.parts", F.lit(k))).alias(n) for k, n in enumerate(names)], F.when(~whole, "OPTIONS").alias("reason"))
+    gaps = missing_numbers(items, "doc", "number").select("doc", "number", *[F.lit(None).cast("string").alias(n) for n in names], F.lit("MISSING").alias("reason"))
+    return items.unionByName(gaps)

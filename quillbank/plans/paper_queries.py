@@ -38,6 +38,24 @@ ORACLE_SQL["tg08_clean_gazette"] = f"""WITH {_LINES}
 SELECT doc_id AS doc, array_to_string(list_transform(l, lambda x, i: CASE WHEN i % 5 = 2 THEN '32/239' || chr(10) ELSE '' END || CASE WHEN i % 4 = 0 AND trim(substr(x, 11)) <> '' THEN rtrim(substr(x, 1, 10), ' ') || ' ' || ltrim(substr(x, 11), ' ') ELSE x END), chr(10)) AS kept FROM ln"""
 
 
+def tg01_numbered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line is an item; every sixth lacks an option, every seventh skips a number, every other has its number on a line of its own."""
+    (docs,) = tables(spark, sf_dir, "documents")
+
+    def line(x, i):
+        number = (i + F.floor(i / 7)).cast("string")
+        return F.concat(number, F.when(i % 2 == 1, "\n").otherwise(""), F.lit("¿"), x, F.lit("?\na) uno B)  dos\n"), F.when(i % 6 == 0, "").otherwise("c) tres "), F.lit("D)\ncuatro\n"))
+
+    return pp.split_numbered_items(_of_lines(docs, line), "doc_id", "text")
+
+
+QUERIES["tg01_numbered_items"] = tg01_numbered_items
+ORACLE_SQL["tg01_numbered_items"] = f"""WITH {_LINES}, r AS (SELECT doc_id, unnest(l) AS x, unnest(range(1, len(l) + 1)) AS i FROM ln),
+t AS (SELECT doc_id AS doc, CAST(i + i // 7 AS INT) AS number, i % 6 <> 0 AS ok, trim(regexp_replace('¿' || x || '?', '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')) AS stem, i FROM r)
+SELECT doc, number, CASE WHEN ok THEN stem END AS stem, CASE WHEN ok THEN 'uno' END AS opt_a, CASE WHEN ok THEN 'dos' END AS opt_b, CASE WHEN ok THEN 'tres' END AS opt_c, CASE WHEN ok THEN 'cuatro' END AS opt_d, CASE WHEN NOT ok THEN 'OPTIONS' END AS reason FROM t
+UNION ALL SELECT doc, number - 1, NULL, NULL, NULL, NULL, NULL, 'MISSING' FROM t WHERE i % 7 = 0"""
+
+
 def tg21_exam_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fifth block lacks an option, every third has a tail."""
     (docs,) = tables(spark, sf_dir, "documents")

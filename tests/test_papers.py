@@ -84,3 +84,37 @@ def test_titles_like_lengthening_them_round_by_round(spark):
             depth[k] += 1
     got = {r["topic_id"]: r["title"] for r in extract.unique_titles(spark.createDataFrame(topics, "topic_id long, part string, text string").repartition(4)).collect()}
     assert {k: v or "" for k, v in got.items()} == title
+
+
+def test_numbered_items_like_the_plain_rule(spark):
+    import random
+
+    rng = random.Random(9)
+    texts = []
+    for k in range(150):
+        out, number = [], rng.randrange(1, 4)
+        for _ in range(rng.randrange(0, 5)):
+            number += rng.choice([1, 1, 1, 2])
+            marks = [rng.choice([m, m.upper()]) for m in ("a)", "b)", "c)", "d)")]
+            if rng.random() < 0.3:
+                marks[rng.randrange(4)] = rng.choice(["", "e)", "ba)"])
+            words = ["¿Qué", "Uno", "dos\n3 tres", "", "1. no", "7Siete" if rng.random() < 0.1 else "más"]
+            out.append(f"{rng.choice(['', ' ', chr(10)])}{number}{rng.choice(['', ' ', chr(10), '. '])}{rng.choice(['¿Qué', 'El', 'Ámbito', 'no'])} {' '.join(f'{m} {rng.choice(words)}' for m in marks)}")
+        texts.append((k, "\n".join(out)))
+
+    def plain(text: str) -> list[tuple]:
+        found = list(re.finditer(r"(?m)^\s*(\d{1,4})\s*(?=(?:¿|[A-ZÁÉÍÓÚÜÑ]))", text))
+        rows = []
+        for m, end in zip(found, [*(x.start() for x in found[1:]), len(text)], strict=False):
+            b = re.match(r"(?is)^(.*?)\ba\)\s*(.*?)\bb\)\s*(.*?)\bc\)\s*(.*?)\bd\)\s*(.*)$", text[m.end() : end].strip())
+            parts = [" ".join(b[k].split()) for k in range(1, 6)] if b else []
+            rows.append((int(m[1]), *(parts if parts and all(parts) else [None] * 5), None if parts and all(parts) else "OPTIONS"))
+        seen = {r[0] for r in rows}
+        return rows + [(n, *[None] * 5, "MISSING") for n in range(min(seen, default=0), max(seen, default=0)) if n not in seen]
+
+    got: dict = {k: [] for k, _ in texts}
+    for r in papers.split_numbered_items(spark.createDataFrame([*texts, (900, None)], "id long, t string").repartition(4), "id", "t").collect():
+        got[r["doc"]].append(tuple(r)[1:])
+    want = {k: plain(t) for k, t in texts}
+    assert {k: sorted(v, key=str) for k, v in got.items()} == {k: sorted(v, key=str) for k, v in want.items()}
+    assert {r[-1] for v in want.values() for r in v} == {None, "OPTIONS", "MISSING"}
