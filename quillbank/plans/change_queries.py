@@ -73,7 +73,6 @@ register("wn09_round_robin_groups", "f_text_items", lambda t: wn.round_robin_gro
 _load = lambda t, b: t.join(b.groupBy("topic_id").agg(F.count("*").alias("n")), "topic_id", "left").select("topic_id", F.coalesce("n", F.lit(0)).alias("load"))
 register("wn10_deficit_fill", "f_topics f_bank_links f_refs", lambda t, b, r: wn.deficit_fill(_load(t, b), r.select("ref_id", "topic_id"), 50, "s10"), f"WITH ld AS (SELECT t.topic_id, count(b.topic_id) AS load FROM f_topics t LEFT JOIN f_bank_links b ON b.topic_id = t.topic_id GROUP BY t.topic_id), cd AS (SELECT topic_id, ref_id, row_number() OVER (PARTITION BY topic_id ORDER BY {_h('ref_id', 's10')}, ref_id) AS rank FROM f_refs) SELECT cd.topic_id, ref_id, load + rank - 1 AS level FROM cd JOIN ld ON ld.topic_id = cd.topic_id WHERE rank <= 50 ORDER BY level, {_h('cd.topic_id', 's10')}, cd.topic_id LIMIT 50")
 register("wn12_norm_quota_sequence", "f_refs", lambda r: wn.norm_quota_sequence(r, 60, "s12"), f"WITH {_wsql}, {LARGEST}, k AS (SELECT call_id, norm_id, ref_id, row_number() OVER (PARTITION BY call_id, norm_id ORDER BY {_h('ref_id', 's12')}, ref_id) AS rank FROM f_refs WHERE norm_id IS NOT NULL) SELECT k.call_id, k.norm_id, ref_id, quota FROM k JOIN quota q ON q.call_id = k.call_id AND q.norm_id = k.norm_id WHERE rank <= quota")
-register("wn13_protected_withdrawal", "f_items f_bank_links", lambda i, b: wn.protected_withdrawal(i.groupBy("item_id").agg(F.min("score").alias("score")).filter("score >= 20"), b.select(c("call_id").alias("scope"), "item_id").distinct(), b.groupBy(c("call_id").alias("scope")).agg(F.floor(F.count("*") / 16).alias("need")), 8), None)
 register("wn13_withdrawal_one_scope", "f_items f_bank_links", lambda i, b: wn.protected_withdrawal(i.groupBy("item_id").agg(F.min("score").alias("score")).filter("score >= 20"), b.filter("call_id = 1").select(c("call_id").alias("scope"), "item_id").distinct(), b.filter("call_id = 1").groupBy(c("call_id").alias("scope")).agg(F.floor(F.count("*") / 16).alias("need")), 8), "WITH e AS (SELECT item_id, min(score) AS score FROM f_items GROUP BY item_id HAVING min(score) >= 20), s AS (SELECT DISTINCT item_id FROM f_bank_links WHERE call_id = 1), z AS (SELECT (SELECT floor(count(*) / 16) FROM f_bank_links WHERE call_id = 1) * 8 - (SELECT count(*) FROM s WHERE item_id NOT IN (SELECT item_id FROM e)) AS d), r AS (SELECT e.item_id, row_number() OVER (ORDER BY score, e.item_id) AS r FROM e JOIN s ON s.item_id = e.item_id) SELECT item_id, score FROM e WHERE item_id NOT IN (SELECT item_id FROM r, z WHERE r <= d)")
 _files = lambda e: e.select(F.concat(c("event_type"), F.lit("-"), c("user_id").cast("string"), F.lit(".csv")).alias("name"), "ts", "event_id")
 register("wn14_retention", "events", lambda e: wn.retention(_files(e), 5, "2020-01-01").select("event_id", "family", "rank"), "SELECT event_id, family, CAST(rank AS INT) AS rank FROM (SELECT event_id, ts, regexp_replace(event_type || '-' || CAST(user_id AS VARCHAR) || '.csv', '[0-9]+', '#', 'g') AS family, row_number() OVER (PARTITION BY regexp_replace(event_type || '-' || CAST(user_id AS VARCHAR) || '.csv', '[0-9]+', '#', 'g') ORDER BY ts DESC, event_type || '-' || CAST(user_id AS VARCHAR) || '.csv') AS rank FROM events) WHERE rank > 5 OR ts < TIMESTAMP '2020-01-01'")
