@@ -6,8 +6,10 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillbank.functions.textnorm import collapsed, unaccented
 
@@ -158,18 +160,29 @@ def resolve_scope(index: DataFrame, scopes: DataFrame) -> DataFrame:
 
 
 def pack_chunks(rows: DataFrame, most_rows: int, most_chars: int) -> DataFrame:
-    """Greedy packing of a key's ordered rows: ``key, row_id, chunk``; a chunk closes at ``most_rows`` rows or before it passes ``most_chars``."""
-    by = rows.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("row_id", F.col("chars").cast("long").alias("chars")))).alias("r"))
-    zero = F.expr("cast(struct(array() as out, 0 as chunk, 0 as n, 0 as c) as struct<out:array<struct<row_id:bigint,chunk:int>>,chunk:int,n:int,c:bigint>)")
-
-    def step(acc: Column, x: Column) -> Column:
-        full = (acc["n"] > 0) & ((acc["n"] >= most_rows) | (acc["c"] + x["chars"] > most_chars))
-        chunk = acc["chunk"] + F.when(full, 1).otherwise(0)
-        return F.struct(
-            F.concat(acc["out"], F.array(F.struct(x["row_id"].cast("long").alias("row_id"), chunk.alias("chunk")))).alias("out"), chunk.alias("chunk"), F.when(full, 1).otherwise(acc["n"] + 1).alias("n"), F.when(full, x["chars"]).otherwise(acc["c"] + x["chars"]).alias("c")
-        )
-
-    return by.select("key", F.inline(F.aggregate("r", zero, step)["out"]))
+    """Greedy packing of a key's ordered rows: ``key, row_id, chunk``; a chunk closes at ``most_rows`` rows or before it passes ``most_chars``.
+
+    Rows are sorted by key and id and stream through a fold that holds one chunk's counts.
+    """
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, chunk, n, c = object(), 0, 0, 0
+        for batch in batches:
+            chunks = []
+            for k, x in zip(batch.column("key").to_pylist(), batch.column("chars").to_pylist(), strict=True):
+                if k != key:
+                    key, chunk, n, c = k, 0, 0, 0
+                both = None if c is None or x is None else c + x
+                if n > 0 and (n >= most_rows or (both is not None and both > most_chars)):
+                    chunk, n, c = chunk + 1, 1, x
+                else:
+                    n, c = n + 1, both
+                chunks.append(chunk)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("row_id"), pa.array(chunks, pa.int32())], ["key", "row_id", "chunk"])
+
+    slim = rows.select("key", F.col("row_id").cast("long").alias("row_id"), F.col("chars").cast("long").alias("chars"))
+    schema = T.StructType([slim.schema["key"], T.StructField("row_id", T.LongType()), T.StructField("chunk", T.IntegerType())])
+    return slim.repartition("key").sortWithinPartitions("key", "row_id", "chars").mapInArrow(fold, schema)
 
 
 def split_oversized(texts: DataFrame, doc: str, text: str, most: int) -> DataFrame:

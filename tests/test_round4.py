@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import functions as F
+from quillbank.operators import audits as au
 from quillbank.operators import duplicates as dd
+from quillbank.operators import extract as ex
 
 
 def test_ranks_in_small_blocks_are_whole(spark):
@@ -20,3 +22,43 @@ def test_ranks_in_small_blocks_are_whole(spark):
         want = sorted((-len(set(t) & set(u)), a) for a, n, u in articles if n == norm and set(t) & set(u))[:3]
         assert sorted((-r.s, r.article_id) for r in rows if r.item_id == item)[:3] == want
     assert len(rows) > 3 * len({i for i, n, _ in items if n < 2})
+
+
+def test_textuality_meets_in_tasks(spark):
+    """Keys of all lengths as by hand; items and texts of an article are never joined."""
+    texts = ["", "a", "Uno  dos TRES", "x" * 20 + " final " + "y" * 20, "el plazo de diez días hábiles cuenta", None]
+    keys = ["", "a", "u", "uno dos", "tres cuatro", "xx final yy", "x" * 21, "plazo de  DIEZ días hábiles", None, "zzz"]
+    items = [(k, 1 + k % 3, 1, *[key] * 4, "ABCDX"[k % 5]) for k, key in enumerate(keys * 6)]
+    articles = [(n, 1, t) for n in (1, 2) for t in texts[3 * n - 3 : 3 * n]]
+    low = lambda x: " ".join((x or "").lower().split())
+    want = {}
+    for _, n, _, key, *_ in items:
+        mine = [low(t) for m, _, t in articles if m == n]
+        state = "NO_TEXT" if not mine else "LITERAL" if any(low(key) in t for t in mine) else "NOT_LITERAL"
+        want[state] = want.get(state, 0) + 1
+    got = au.textuality(spark.createDataFrame(items, "item_id long, norm_id long, article_no int, opt_a string, opt_b string, opt_c string, opt_d string, answer_key string"), spark.createDataFrame(articles, "norm_id long, article_no int, text string"))
+    assert {r.state: r.n for r in got.collect()} == want
+    assert "contains" not in got._jdf.queryExecution().toString().lower()
+
+
+def test_chunks_stream(spark):
+    """A key's rows aren't collected to one array."""
+    rows = spark.range(20000).select(F.lit("k").alias("key"), F.col("id").alias("row_id"), (F.col("id") * 7 % 11).alias("chars"))
+    out = ex.pack_chunks(rows, 3, 12)
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+    chunk = n = c = 0
+    for r in sorted(out.collect(), key=lambda r: r.row_id):
+        x = r.row_id * 7 % 11
+        chunk, n, c = (chunk + 1, 1, x) if n and (n >= 3 or c + x > 12) else (chunk, n + 1, c + x)
+        assert r.chunk == chunk
+
+
+def test_matching_blocks_of_long_texts(monkeypatch):
+    """Lists of runs and halving give difflib's sums."""
+    rng = np.random.default_rng(5)
+    for size in (0, 6, 1 << 21):
+        monkeypatch.setattr(dd, "_LISTED", size)
+        for _ in range(60):
+            a, b = ("".join(rng.choice(list("abc "), int(rng.integers(0, 80)))) for _ in range(2))
+            b = a[:30] + b[:9] + a[33:] if rng.random() < 0.5 else b
+            assert dd._in_blocks(*dd._codes(list(a), list(b))) == dd._small(a, b)
