@@ -62,3 +62,21 @@ def test_matching_blocks_of_long_texts(monkeypatch):
             a, b = ("".join(rng.choice(list("abc "), int(rng.integers(0, 80)))) for _ in range(2))
             b = a[:30] + b[:9] + a[33:] if rng.random() < 0.5 else b
             assert dd._in_blocks(*dd._codes(list(a), list(b))) == dd._small(a, b)
+
+
+def test_near_copies_match_quickly():
+    """The longest blocks by pieces, and rejection by grams, agree with difflib; hashes of windows tell long texts apart."""
+    rng = np.random.default_rng(7)
+    a = "".join(rng.choice(list("abcdefgh "), 1500))
+    for edits in (1, 5, 20, 80):
+        b = a
+        for k in rng.integers(0, 1400, edits):
+            b = b[:k] + "xy"[: k % 3] + b[k + 1 :]
+        for x, y in ((a, b), (b, a), (a[:300] * 4, b)):
+            m = dd._small(x, y)
+            assert dd.matched(x, y) == m
+            assert dd.may_match(x, y, 0.94) or 2 * m < 0.94 * (len(x) + len(y))
+    x, y = (rng.integers(0, 9, 3000) for _ in range(2))
+    y[1000:1060] = x[500:560]
+    assert dd._common(x, y)[0] >= 60
+    assert not dd.may_match(a, "".join(sorted(a)), 0.94)
