@@ -63,4 +63,4 @@ register("tg19_unique_titles", "documents", lambda d: tg.unique_titles(d.select(
  f AS (SELECT doc_id, min(d) AS depth FROM p JOIN n ON n.lang = p.lang AND n.v = p.v GROUP BY doc_id)
  SELECT b.doc_id AS topic_id, rtrim(array_to_string(s[1:coalesce(depth, len(s))], '. '), '.') AS title FROM b LEFT JOIN f ON f.doc_id = b.doc_id""")
 register("tg20_longest_block", "f_articles", lambda a: tg.longest_block(a.select(c("norm_id").alias("doc"), c("article_no").alias("number"), c("article_id").alias("pos"), "text")).select("doc", "number", F.length("text").alias("chars")), "SELECT norm_id AS doc, article_no AS number, CAST(max(length(text)) AS INT) AS chars FROM f_articles GROUP BY norm_id, article_no HAVING max(length(text)) >= 20")
-register("tg21_split_exam_blocks", "documents", lambda d: tg.split_items(d.select("doc_id", _exam().alias("text")), "doc_id", "text").filter("reason is null").groupBy("number").agg(F.count("*").alias("n")), "SELECT 1 AS number, count(*) FILTER (WHERE doc_id % 4 <> 0 AND trim(replace(substr(text, 1, 40), chr(10), ' ')) <> '' AND trim(replace(substr(text, 41, 9), chr(10), ' ')) <> '' AND trim(replace(substr(text, 51, 9), chr(10), ' ')) <> '' AND trim(replace(substr(text, 61), chr(10), ' ')) <> '') AS n FROM documents UNION ALL SELECT 2, count(*) FROM documents")
+register("tg21_split_exam_blocks", "documents", lambda d: tg.split_items(d.withColumn("text", F.coalesce("text", F.lit(""))).select("doc_id", _exam().alias("text")), "doc_id", "text").filter("reason is null").groupBy("number").agg(F.count("*").alias("n")), "SELECT 1 AS number, count(*) FILTER (WHERE doc_id % 4 <> 0 AND trim(replace(substr(text, 1, 40), chr(10), ' ')) <> '' AND trim(replace(substr(text, 41, 9), chr(10), ' ')) <> '' AND trim(replace(substr(text, 51, 9), chr(10), ' ')) <> '' AND trim(replace(substr(text, 61), chr(10), ' ')) <> '') AS n FROM documents UNION ALL SELECT 2, count(*) FROM documents")

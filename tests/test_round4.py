@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 from quillbank.operators import audits as au
 from quillbank.operators import duplicates as dd
 from quillbank.operators import extract as ex
+from quillbank.plans.catalogue import ORACLE_SQL, QUERIES
+
+from tests.oracle import same
 
 
 def test_ranks_in_small_blocks_are_whole(spark):
@@ -80,3 +84,13 @@ def test_near_copies_match_quickly():
     y[1000:1060] = x[500:560]
     assert dd._common(x, y)[0] >= 60
     assert not dd.may_match(a, "".join(sorted(a)), 0.94)
+
+
+def test_exam_blocks_of_null_texts(spark, tmp_path):
+    """A document without a text has its second block still."""
+    rows = [(k, None if k == 3 else f"{'stem ' * 8}{'first xyz'} {'secondxyz'} the rest {k}") for k in range(1, 6)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    name = "tg21_split_exam_blocks"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    same(spark, con, QUERIES[name], ORACLE_SQL[name], str(tmp_path))
