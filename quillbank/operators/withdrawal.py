@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,22 +71,27 @@ def ordered_withdrawal(easy: DataFrame, scopes: DataFrame, needs: DataFrame, mul
     some = ranked.select("item_id").distinct()
     members = held.filter("score is not null").join(some, "item_id", "left_semi").join(bound.select("scope", "place", "short", "least"), "scope").select("scope", "place", "short", "score", "item_id")
 
-    def give_back(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [r for f in frames for r in f.itertuples(index=False)]
-        inside, of, short, place = defaultdict(list), defaultdict(list), {}, {}
-        for r in rows:
-            inside[r.scope].append((r.score, r.item_id))
-            of[r.item_id].append(r.scope)
-            short[r.scope], place[r.scope] = r.short, (r.place["part"], r.place["block"], r.place["norm"])
-        kept: dict[int, str] = {}
-        back = defaultdict(int)
-        for scope in sorted(inside, key=place.get):
-            open_ = [i for _, i in sorted(inside[scope]) if i not in kept]
-            for i in open_[: max(0, short[scope] - back[scope])]:
-                kept[i] = scope
-                for other in of[i]:
-                    back[other] += 1
-        yield pd.DataFrame({"item_id": list(kept), "kept_by": list(kept.values())}, columns=["item_id", "kept_by"]).astype({"item_id": "int64", "kept_by": "object"})
-
-    kept = members.coalesce(1).mapInPandas(give_back, "item_id long, kept_by string")
+    def give_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, runs, n = [], [], 0
+        for b in batches:
+            scope = b.column("scope")
+            for at in [0, *(np.flatnonzero(pc.not_equal(scope[1:], scope[:-1])) + 1)] if len(scope) else []:
+                name = scope[int(at)].as_py()
+                if not runs or runs[-1][0] != name:
+                    runs.append((name, b.column("short")[int(at)].as_py(), n + int(at)))
+            items.append(np.asarray(b.column("item_id")))
+            n += len(scope)
+        ids, of = np.unique(np.concatenate([*items, np.zeros(0, np.int64)]), return_inverse=True)
+        del items
+        kept = np.zeros(len(ids), bool)
+        for (name, short, lo), hi in zip(runs, [*(r[2] for r in runs[1:]), n], strict=True):
+            inside = of[lo:hi]
+            back = kept[inside]
+            took = inside[~back][: max(0, short - int(back.sum()))]
+            kept[took] = True
+            yield pa.RecordBatch.from_arrays([pa.array(ids[took]), pa.repeat(pa.scalar(name, pa.string()), len(took))], ["item_id", "kept_by"])
+
+    # the sequential step holds a number or two of each row, which come sorted
+    one = members.repartition(1).sortWithinPartitions("place", "scope", "score", "item_id").select("scope", F.col("short").cast("long").alias("short"), F.col("item_id").cast("long").alias("item_id"))
+    kept = one.mapInArrow(give_back, "item_id long, kept_by string")
     return easy.join(kept, "item_id", "left").select("item_id", "score", "kept_by")

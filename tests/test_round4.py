@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillbank.operators import audits as au
 from quillbank.operators import duplicates as dd
 from quillbank.operators import extract as ex
+from quillbank.operators import withdrawal as wd
 from quillbank.plans.catalogue import ORACLE_SQL, QUERIES
 
 from tests.oracle import same
@@ -94,3 +95,20 @@ def test_exam_blocks_of_null_texts(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     same(spark, con, QUERIES[name], ORACLE_SQL[name], str(tmp_path))
+
+
+def test_withdrawal_step_holds_numbers_only(spark):
+    """The sequential step gets sorted rows without places; a scope sees what earlier ones gave back."""
+    easy = spark.createDataFrame([(k, k % 5) for k in range(12)], "item_id long, score long")
+    scopes = spark.createDataFrame([(s, k) for s, m in (("b", 1), ("a", 2), ("c", 3)) for k in range(12) if k % m == 0], "scope string, item_id long")
+    needs = spark.createDataFrame([("b", (1, 0, 0), 2), ("a", (2, 0, 0), 2), ("c", (3, 0, 0), 1)], "scope string, place struct<part:long,block:long,norm:long>, need long")
+    out = wd.ordered_withdrawal(easy, scopes, needs, 2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "MapInPandas" not in plan
+    kept: dict[int, str] = {}
+    for s, m, need in (("b", 1, 2), ("a", 2, 2), ("c", 3, 1)):
+        inside = sorted((k % 5, k) for k in range(12) if k % m == 0)
+        short = 2 * need - sum(k in kept for _, k in inside)
+        for _, k in [x for x in inside if x[1] not in kept][: max(0, short)]:
+            kept[k] = s
+    assert {r.item_id: r.kept_by for r in out.collect() if r.kept_by} == kept
