@@ -6,6 +6,8 @@ import difflib
 import random
 
 from quillbank.operators import duplicates as dd
+from quillbank.operators import linking as lk
+from quillbank.plans.fixtures import tables
 
 
 def _ratio(a: str, b: str) -> float:
@@ -61,3 +63,12 @@ def test_common_subsequences_of_many():
             for j in range(len(b)):
                 row[j + 1] = max(row[j + 1], row[j])
         assert row[-1] == dd.common_subsequence(a, b)
+
+
+def test_plans_make_their_rows_once(spark):
+    """Parts are resolved for the attributes of topics and items, so the rows of a plan aren't matched a second time for theirs."""
+    frames = tables(spark, "/root/testdata/sf0.001", "f_items", "f_exclusions", "f_refs", "f_topics", "f_part_rules", "f_bank_links", "f_category_topics")
+    plan = lk.bank_plan(*frames)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LeftAnti") == 3
+    assert plan.filter("action = 'ADD'").count() > 0
