@@ -25,7 +25,10 @@ def _plain(x: Column) -> Column:
 
 def unit(text: Column) -> Column:
     """``kind, value`` of the unit that a text begins with, else null: ``CAPÍTULO II. De …`` is (capitulo, 2)."""
-    t = collapsed(text)
+    return _unit(collapsed(text))
+
+
+def _unit(t: Column) -> Column:
     kind, value = F.regexp_extract(t, _UNIT, 1), F.regexp_extract(t, _UNIT, 2)
     numbers = F.create_map(*[F.lit(x) for k, o in enumerate(ORDINALS, 1) for x in (o, str(k))])
     plain = F.translate(_plain(value), "ºª.", "")
@@ -35,7 +38,11 @@ def unit(text: Column) -> Column:
 
 def article(text: Column) -> Column:
     """The article that an index line names, else null."""
-    found = F.regexp_extract(collapsed(text), _ARTICLE, 1)
+    return _article(collapsed(text))
+
+
+def _article(t: Column) -> Column:
+    found = F.regexp_extract(t, _ARTICLE, 1)
     return F.when(found != "", F.btrim(_plain(found), F.lit(" .ºª")))
 
 
@@ -72,7 +79,8 @@ def parse_index(lines: DataFrame) -> DataFrame:
     numbers and suffix, whatever the order of the lines. A unit line opens a unit within the open ones of outer kinds and closes the rest; lines of over 300 characters
     open none. ``path`` maps the kinds of the units around an article to their values.
     """
-    rows = lines.select("norm_id", "pos", F.when(F.length(collapsed(F.col("line"))) <= 300, unit(F.col("line"))).alias("u"), article(F.col("line")).alias("article"))
+    rows = lines.select("norm_id", "pos", collapsed(F.col("line")).alias("t"))
+    rows = rows.select("norm_id", "pos", F.when(F.length("t") <= 300, _unit(F.col("t"))).alias("u"), _article(F.col("t")).alias("article"))
     w = Window.partitionBy("norm_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     for k, kind in enumerate(UNITS):
         # open if no outer unit was opened since
@@ -91,24 +99,27 @@ def resolve_scopes(index: DataFrame, scopes: DataFrame) -> DataFrame:
     ones. Else units count: articles whose path holds all of them (``EMPTY`` if there is none). Else the whole norm.
     Excluded articles are taken off. Null scopes are whole norms.
 
-    Named articles meet the index by (norm, article). Units meet it by (norm, innermost unit), so a scope reads the
-    articles of its smallest unit only; the outer units are compared afterwards.
+    A named article and the innermost unit of a path are places of a norm (kind, value). Scopes meet the index once, by norm and place, so a
+    scope reads the articles of its smallest unit only; outer units are compared as they meet. A scope's text is read once, however many norms ask it.
     """
-    asked = scopes.select("scope_id", "norm_id", *[v.alias(k) for k, v in scope_parts(F.coalesce("scope", F.lit(""))).items()])
-    named = asked.filter(F.size("listed") > 0).select("scope_id", "norm_id", "excluded", F.posexplode("listed").alias("nth", "article"))
-    named = named.join(index.select("norm_id", "article", F.lit(True).alias("known")), ["norm_id", "article"], "left")
-    named = named.withColumn("broken", F.max(F.col("known").isNull()).over(Window.partitionBy("scope_id")))
-    left_out = F.array_contains("excluded", F.col("article"))
-    named = named.filter(F.when(F.col("broken"), F.col("known").isNull()).otherwise(~left_out))
-    out = named.select("scope_id", (F.col("nth") + 1).alias("nth"), "article", F.when(F.col("broken"), "MISSING").alias("error"))
-
-    inner = lambda path: F.coalesce(F.get(F.filter(F.array(*[F.when(F.map_contains_key(path, k), F.struct(F.lit(k).alias("kind"), path[k].alias("value"))) for k in reversed(UNITS)]), lambda u: u.isNotNull()), F.lit(0)), F.struct(F.lit("").alias("kind"), F.lit("").alias("value")))
-    wide = asked.filter(F.size("listed") == 0).select("scope_id", "norm_id", "excluded", F.col("path").alias("want"), inner(F.col("path")).alias("at"))
-    every = F.concat(F.array(F.struct(F.lit("").alias("key"), F.lit("").alias("value"))), F.map_entries("path"))
-    places = index.select("norm_id", "article", "key", "pos", "path", F.explode(F.transform(every, lambda e: F.struct(e["key"].alias("kind"), e["value"].alias("value")))).alias("at"))
+    text = F.coalesce("scope", F.lit(""))
+    place = lambda kind, value: F.struct(kind.alias("kind"), value.alias("value"))
+    inner = lambda path: F.coalesce(*[F.when(F.map_contains_key(path, k), place(F.lit(k), path[k])) for k in reversed(UNITS)], place(F.lit(""), F.lit("")))
+    # parsed from the result of the grouping: a filter on parts of its key would be moved before it, to every scope
+    spelt = scopes.groupBy(text.alias("_text")).agg(F.max(text).alias("_spelt"))
+    spelt = spelt.select("_text", *[v.alias(k) for k, v in scope_parts(F.col("_spelt")).items()])
+    at = F.when(F.size("listed") > 0, F.transform("listed", lambda a: place(F.lit("articulo"), a))).otherwise(F.array(inner(F.col("path"))))
+    spelt = spelt.select("_text", (F.size("listed") > 0).alias("named"), "excluded", F.col("path").alias("want"), at.alias("places"))
+    asked = scopes.select("scope_id", "norm_id", text.alias("_text")).join(spelt, "_text").select("scope_id", "norm_id", "named", "excluded", "want", F.posexplode("places").alias("k", "at"))
+
+    every = F.concat(F.array(place(F.lit(""), F.lit("")), place(F.lit("articulo"), F.col("article"))), F.transform(F.map_entries("path"), lambda e: place(e["key"], e["value"])))
+    places = index.select(F.col("norm_id").alias("_norm"), "article", "key", "pos", "path", F.explode(every).alias("_at"))
     holds = F.forall(F.map_entries("want"), lambda e: F.coalesce(F.try_element_at(F.col("path"), e["key"]) == e["value"], F.lit(False)))
-    hit = wide.join(places, ["norm_id", "at"]).filter(holds & ~left_out).select("scope_id", "article", "key", "pos")
-    nth = F.row_number().over(Window.partitionBy("scope_id").orderBy("key", "pos"))
-    out = out.unionByName(hit.select("scope_id", nth.alias("nth"), "article", F.lit(None).cast("string").alias("error")))
-    none = wide.filter(F.size("want") > 0).join(hit.select("scope_id").distinct(), "scope_id", "left_anti")
-    return out.unionByName(none.select("scope_id", F.lit(1).alias("nth"), F.lit(None).cast("string").alias("article"), F.lit("EMPTY").alias("error")))
+    met = (F.col("norm_id") == F.col("_norm")) & (F.col("at") == F.col("_at")) & (F.col("named") | (holds & ~F.array_contains("excluded", F.col("article"))))
+    found, name = F.col("article").isNotNull(), F.coalesce("article", "at.value")
+    rows = asked.join(places, met, "left").select("scope_id", "named", "k", found.alias("found"), F.when(F.col("named"), name).otherwise(F.col("article")).alias("article"), "key", "pos", F.array_contains("excluded", name).alias("left_out"), (F.size("want") > 0).alias("asks"))
+    of = Window.partitionBy("scope_id")
+    rows = rows.withColumn("broken", F.max(F.col("named") & ~F.col("found")).over(of)).withColumn("nth", F.row_number().over(of.orderBy("key", "pos")))
+    kept = F.when(F.col("broken"), ~F.col("found")).when(F.col("named"), ~F.col("left_out")).otherwise(F.col("found") | F.col("asks"))
+    error = F.when(F.col("broken"), "MISSING").when(~F.col("found"), "EMPTY")
+    return rows.filter(kept).select("scope_id", F.when(F.col("named"), F.col("k") + 1).otherwise(F.col("nth")).alias("nth"), "article", error.alias("error"))
