@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quillbank.functions import textnorm as tx
 from quillbank.operators import scopes
 
 
@@ -18,3 +19,18 @@ def test_scopes_meet_the_index_once(spark):
     assert _plan(out).count("Range (") == 1
     got = sorted(tuple(r) for r in out.select("scope_id", "nth", F.coalesce("article", F.lit("")), F.coalesce("error", F.lit(""))).collect())
     assert got == [(1, 1, "1", ""), (2, 2, "9", "MISSING"), (3, 1, "", "EMPTY"), (4, 1, "1", ""), (4, 2, "2", ""), (4, 3, "3", "")]
+
+
+def test_rules_of_texts_are_evaluated_once(spark):
+    texts = ["Según la LEY ORGÁNICA 3/2012, ARTÍCULO 3.1", "el Decreto 7/2001 y la Ley 7/2015 (artículos 5 y 6)", "CONSTITUCIÓN  ESPAÑOLA", "Ley 1 / 2020", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "x string")
+    out = rows.select(tx.detect_norm_article(F.col("x")).alias("v"))
+    assert _plan(out).count("regexp_extract") <= 6
+    assert [tuple(r.v) for r in out.collect()] == [
+        ("JURIDICA", "LEY_ORGANICA", "LEY ORGÁNICA 3/2012", "3.1"), ("JURIDICA", "LEY", "Ley 7/2015", "5"), ("PENDIENTE", "CONSTITUCION", "CONSTITUCIÓN ESPAÑOLA", None), *[("PENDIENTE", None, None, None)] * 3,
+    ]
+    out = rows.select(tx.make_norm_explicit(F.col("x"), F.lit("Ley 39/2015")).alias("v"))
+    assert _plan(out).count("(?:citado|") == 1
+    out = rows.select(tx.citation_parts(F.col("x")).alias("v"))
+    assert _plan(out).count("regexp_replace(lower") + _plan(out).count("real decreto legislativo ([0-9]+)") <= 4
+    assert [r.v and tuple(r.v) for r in out.collect()][:4] == [("ley organica", "3", "2012", "", ""), ("ley", "7", "2015", "", ""), None, ("ley", "1", "2020", "", "")]
