@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillbank.functions.session import use_checkpoints
+
 #: Least score and multiple of the first rule, least level and multiple of the second, and sources that it spares.
 SCORE, TIMES_BY_SCORE, LEVEL, TIMES_BY_LEVEL = 20, 8, 2, 3
 OFFICIAL = ("apoyo", "AYTO-examen", "modelo")
@@ -64,12 +66,16 @@ def ordered_withdrawal(easy: DataFrame, scopes: DataFrame, needs: DataFrame, mul
     counts = held.groupBy("scope").agg(F.count("*").alias("n"), F.count("score").alias("n_easy"))
     bound = needs.select("scope", "place", (F.col("need") * multiplier).alias("least")).join(counts, "scope")
     bound = bound.select("scope", "place", (F.col("least") - F.col("n") + F.col("n_easy")).alias("short"), "least").filter("short > 0")
+    # scopes and their counts are made once, and once more for the easy items of the scopes that run short
+    use_checkpoints(easy.sparkSession)
+    bound = bound.checkpoint()
     most = bound.agg(F.max("least")).first()[0] or 0
+    held = held.filter("score is not null").join(bound, "scope").checkpoint()
     rank = F.row_number().over(Window.partitionBy("scope").orderBy("score", "item_id"))
     # the constant limit prunes within tasks, before rows are shuffled by scope
-    ranked = held.filter("score is not null").withColumn("r", rank).filter(F.col("r") <= F.lit(int(most))).join(bound.select("scope", "place", "least", "short"), "scope").filter("r <= least")
+    ranked = held.withColumn("r", rank).filter(F.col("r") <= F.lit(int(most))).filter("r <= least")
     some = ranked.select("item_id").distinct()
-    members = held.filter("score is not null").join(some, "item_id", "left_semi").join(bound.select("scope", "place", "short", "least"), "scope").select("scope", "place", "short", "score", "item_id")
+    members = held.join(some, "item_id", "left_semi").select("scope", "place", "short", "score", "item_id")
 
     def give_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, runs, n = [], [], 0
