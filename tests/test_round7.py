@@ -7,6 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from quillbank.operators import duplicates as dd
+from quillbank.operators import linking
 
 
 def _made(rng: random.Random, words: list[str]) -> str:
@@ -70,3 +71,26 @@ def test_near_duplicates_normalise_each_text_once(spark):
     plan = dd.near_duplicates_ngram(frame, ["b"], F.regexp_replace(F.lower("x"), " +", " "))._jdf.queryExecution().optimizedPlan().toString()
     # no line holds it in a lambda of each gram
     assert all(line.count("regexp_replace") <= 1 for line in plan.splitlines()) and "lambdafunction" not in plan
+
+
+def test_topics_are_resolved_by_as_many_tasks_as_items_need(spark, monkeypatch):
+    monkeypatch.setattr(linking, "_ITEMS", 50, raising=False)
+    # every tenth item stands twice, with another article
+    items = spark.range(1000).selectExpr("id AS item_id", "id % 7 AS norm_id", "CAST(id % 5 + 1 AS STRING) AS article_n")
+    items = items.union(items.filter("item_id % 10 = 0").selectExpr("item_id", "norm_id", "CAST(item_id % 5 + 2 AS STRING)"))
+    refs = spark.range(7 * 6 * 3).selectExpr("id AS ref_id", "id % 3 AS call_id", "id % 3 * 100 + id % 4 AS topic_id", "id % 7 AS norm_id", "CAST(id % 6 + 1 AS STRING) || IF(id % 4 = 1, '.1', '') AS article_asked")
+    topics = spark.range(400).selectExpr("id AS topic_id", "'P' AS part", "id AS number", "'t' AS title", "'J' AS content_type")
+    out = linking.resolve_topic(items, linking.located_refs(refs, topics))
+    got = {(r.call_id, r.item_id): (r.topic_id, r.reason) for r in out.collect()}
+    asked = [tuple(r) for r in items.collect()]
+    there = [tuple(r) for r in refs.select("call_id", "topic_id", "norm_id", "article_asked").collect()]
+    every: dict = {}
+    for i, n, x in asked:
+        for c, t, m, y in there:
+            if n == m and x == y.split(".")[0]:
+                every.setdefault((c, i), []).append((t, x == y))
+    one = lambda s: next(iter(s)) if len(s) == 1 else None
+    topic = {k: one({t for t, _ in v}) or one({t for t, e in v if e}) for k, v in every.items()}
+    assert got == {k: (t, None if t else "AMBIGUOUS") for k, t in topic.items()} and None in topic.values()
+    tasks = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 16 and max(r["count"] for r in tasks) < 300
