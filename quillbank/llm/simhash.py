@@ -198,9 +198,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def _named(reps: DataFrame, linked: DataFrame, point: str) -> DataFrame:
-    """``reps`` with ``component``, the least of the ``least`` ids in each component of its points."""
+    """``reps`` with ``at``, the name of the component of its point, and ``component``, the least of the ``least`` ids in it."""
     met = reps.join(linked, reps[point] == linked["rep"], "left").select(*reps.columns, F.coalesce("component", point).alias("at"))
-    return met.drop("least").join(met.groupBy("at").agg(F.min("least").alias("component")), "at").drop("at")
+    return met.drop("least").join(met.groupBy("at").agg(F.min("least").alias("component")), "at")
 
 
 def _band_keys(hashes: np.ndarray) -> np.ndarray:
@@ -241,7 +241,17 @@ def _similar_sets(similarity: float):
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Class every row by Jaccard similarity of its word shingles: ``id, component`` (the smallest id reachable).
+    """Class every row by Jaccard similarity of its word shingles: ``id, component`` (the smallest id reachable), see :func:`similar_rows`."""
+    return similar_rows(docs, doc_id, text, shingle=shingle, similarity=similarity).select("id", "component")
+
+
+def text_id(text: str = "text") -> Column:
+    """Hash of a text, that of the empty one for null: with the id, the name of a row among rows that repeat ids or have none."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def similar_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Class every row by Jaccard similarity of its word shingles: ``id, tid`` (:func:`text_id`), ``at`` (the class) and ``component`` (the smallest id in it).
 
     A Jaccard similarity of 0.8 moves 15 % of the bits of a SimHash, which no covering of one 64-bit fingerprint can
     span. So documents meet at ``BANDS`` bands of ``ROWS`` minima of the hashed shingle set: whatever the kind of edit,
@@ -251,16 +261,16 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     Equal shingle sets are one point. The sets are made again for points that meet, so the texts are read twice, and
     compared as in :func:`_components`: most copies just with the smallest of their group, others in blocks.
 
-    Null or empty text: linked with its like. A null id stays alone (null component) unless its text is another's. Rows
-    that repeat an id are judged by their own texts.
+    Null or empty text: linked with its like. A null id links like any other; its component is the class's, null if the
+    class has no id. Rows that repeat an id are judged by their own texts.
     """
     use_checkpoints(docs.sparkSession)
 
-    def read(meet: bool):
+    def read(meet: bool, kept: list[str]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                ids, sizes, sums, lists = b.column(0), [], [], []
-                for t in b.column(1):
+                sizes, sums, lists = [], [], []
+                for t in b.column("text"):
                     every = np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingles((t.as_py() or b"").lower().split(), shingle)]))
                     sizes.append(len(every))
                     sums.append(np.frombuffer(xxhash.xxh3_128_digest(every.tobytes()), np.int64))
@@ -268,29 +278,33 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                 s = np.array(sums, np.int64).reshape(-1, 2).T.copy()
                 offsets = pa.array(np.cumsum([0, *map(len, lists)]), pa.int32())
                 values = pa.array(np.concatenate([np.zeros(0, np.int64), *lists]))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(s[0]), pa.array(s[1]), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, values)], names=["id", "s0", "s1", "n", last])
+                yield pa.RecordBatch.from_arrays([*map(b.column, kept), pa.array(s[0]), pa.array(s[1]), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, values)], names=[*kept, "s0", "s1", "n", last])
 
         last = "keys" if meet else "shingles"
-        return run, f"id long, s0 long, s1 long, n long, {last} array<long>"
+        return run, f"{''.join(f'{c} long, ' for c in kept)}s0 long, s1 long, n long, {last} array<long>"
 
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), text_id(text).alias("tid"), F.col(text).cast("binary").alias("text"))
     sig = ["s0", "s1"]
-    fps = texts.mapInArrow(*read(True)).checkpoint()
+    # a row without an id goes by its text
+    row = F.coalesce("id", "tid").alias("row")
+    fps = texts.mapInArrow(*read(True, ["id", "tid"])).checkpoint()
     # an equal set has equal keys; points are named by the first half of their digest
-    reps = fps.groupBy(*sig).agg(F.min("id").alias("least")).checkpoint()
-    one = reps.filter("least is not null").select(F.col("least").alias("id"), *sig)
-    at = fps.join(one, ["id", *sig]).select(F.col("s0").alias("rep"), "id", "n", F.explode("keys").alias("key")).distinct()
+    reps = fps.groupBy(*sig).agg(F.min("id").alias("least"), F.coalesce(F.min("id"), F.min("tid")).alias("row")).checkpoint()
+    one = reps.select("row", *sig)
+    reps = reps.drop("row")
+    at = fps.withColumn("row", row).join(one, ["row", *sig]).select(F.col("s0").alias("rep"), "row", "n", F.explode("keys").alias("key")).distinct()
     # a point that meets no other has no set to make
-    need = at.join(at.groupBy("key").count().filter("count > 1").select("key"), "key").select(F.col("id").alias("of")).distinct()
-    sets = texts.join(need, texts["id"] == need["of"], "left_semi").mapInArrow(*read(False)).join(one, ["id", *sig]).dropDuplicates(["id", *sig])
+    need = at.join(at.groupBy("key").count().filter("count > 1").select("key"), "key").select(F.col("row").alias("of")).distinct()
+    keyed = texts.select(row, "text")
+    sets = keyed.join(need, keyed["row"] == need["of"], "left_semi").mapInArrow(*read(False, ["row"])).join(one, ["row", *sig]).dropDuplicates(["row", *sig])
     sets = sets.select(F.col("s0").alias("rep"), F.col("shingles").alias("p")).checkpoint()
 
     def alike(a: Column, b: Column) -> Column:
         both = F.size(F.array_intersect(a, b))
         return both >= F.lit(similarity) * (F.size(a) + F.size(b) - both)
 
-    linked = _components(at.drop("id"), sets, alike, _similar_sets(similarity), LOAD)
-    return fps.select("id", *sig).join(_named(reps, linked, "s0"), sig).select("id", "component")
+    linked = _components(at.drop("row"), sets, alike, _similar_sets(similarity), LOAD)
+    return fps.select("id", "tid", *sig).join(_named(reps, linked, "s0"), sig).select("id", "tid", "at", "component")
 
 
 def hex_fingerprint(fp: Column) -> Column:
