@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import difflib
 import math
 import random
+import time
 
 from quillbank.operators import duplicates as dd
 
@@ -43,3 +45,48 @@ def test_idf_rank_is_brute_force_and_shuffles_no_pairs(spark, monkeypatch):
     assert sorted((r["item_id"], r["rank"], r["article_id"], r["score"]) for r in got) == sorted((i, r, a, s) for i, a, r, s in want)
     # 140,000 pairs of an item and an article of its norm, nearly all of which have a word in common
     assert n < 60_000
+
+
+def _edited(rng: random.Random, t: str, n: int) -> str:
+    for _ in range(n):
+        i = rng.randrange(len(t) + 1)
+        t = t[:i] + rng.choice(["x", " other", t[:4]]) + t[i + rng.randrange(3) :]
+    return t
+
+
+def test_same_ids_in_several_blocks_are_rows_of_their_own(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("aeinst", k=rng.randrange(2, 8)))
+    rows = []
+    for k in range(24):
+        t = " ".join(word() for _ in range(rng.randrange(3, 20)))
+        rows += [(k, f"s{k % 7}", "one", t), (k + 1, f"s{k % 7}", "one", _edited(rng, t, 1)), (k, "again", "one", f"{t} {t}"), (k + 1, "again", "one", _edited(rng, f"{t} {t}", 1))]
+    rows += rows[:5] + [(None, "s1", "one", "x"), (3, None, "one", "x"), (500, "s1", "", ""), (501, "s1", "", "y")]
+    got = dd.near_duplicates_same_block(spark.createDataFrame(rows, "item_id long, stem string, a string, b string").repartition(3), ["stem"], ["a", "b"], 0.97)
+    least: dict[tuple, int] = {}
+    for i, *r in rows:
+        if i is not None and None not in r:
+            least[tuple(r)] = min(i, least.get(tuple(r), i))
+    want = []
+    for x, i in least.items():
+        for y, j in least.items():
+            if x[0] == y[0] and i < j:
+                r = sum(difflib.SequenceMatcher(None, p, q, False).ratio() if p or q else 1.0 for p, q in zip(x[1:], y[1:], strict=True)) / 2
+                want += [(i, j, round(r, 6))] if round(r, 6) >= 0.97 else []
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want) and len(want) > 20
+
+
+def test_unlike_texts_are_left_early_and_alike_ones_matched_exactly():
+    rng = random.Random(9)
+    for _ in range(400):
+        a = "".join(rng.choices(rng.choice(["ab", "abc ", "aeinst "]), k=rng.choice([0, 2, 40, 200])))
+        b = _edited(rng, a, rng.choice([0, 1, 4, 20]))
+        n = sum(m.size for m in difflib.SequenceMatcher(None, a, b, False).get_matching_blocks())
+        assert dd.matched(a, b) == dd.matched(a, b, n) == n and dd.matched(a, b, n + 1) < n + 1
+        r = 2 * n / (len(a) + len(b)) if a or b else 1.0
+        assert dd.ratio_or_less(a, b, 0.9) == r if r >= 0.9 else dd.ratio_or_less(a, b, 0.9) < 0.9
+    words = [f"{x}{y}" for x in ("an", "er", "in", "th") for y in ("al", "e", "ing", "s")]
+    a, b = (" ".join(rng.choices(words, k=6000)) for _ in range(2))
+    start = time.process_time()
+    assert dd.matched(a, b, 0.94 * len(a)) < 0.94 * len(a)
+    assert time.process_time() - start < 1
