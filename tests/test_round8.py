@@ -6,7 +6,9 @@ import difflib
 import math
 import random
 import time
+from pathlib import Path
 
+import __spark_entry__ as entry
 from quillbank.operators import duplicates as dd
 
 
@@ -90,3 +92,16 @@ def test_unlike_texts_are_left_early_and_alike_ones_matched_exactly():
     start = time.process_time()
     assert dd.matched(a, b, 0.94 * len(a)) < 0.94 * len(a)
     assert time.process_time() - start < 1
+
+
+def test_bank_plan_keeps_and_shuffles_little(spark):
+    from quillbank.functions.session import use_checkpoints
+
+    use_checkpoints(spark)
+    folder = Path(spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:"))
+    size = lambda: sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+    before = size()
+    rows, n = _shuffled(spark, lambda: entry.queries()["ch06_bank_plan"](spark, "/root/testdata/sf0.01").groupBy("action").count())
+    # 60,000 items and 70,000 links; each item would take a hundred bytes and more as a checkpoint
+    assert {r["action"] for r in rows} >= {"ADD", "REASSIGN", "RETIRE"}
+    assert size() - before < 2_500_000 and n < 700_000, (size() - before, n)
