@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillbank.functions.session import use_checkpoints
+from quillbank.functions.session import kept as kept_rows
 
 #: Least score and multiple of the first rule, least level and multiple of the second, and sources that it spares.
 SCORE, TIMES_BY_SCORE, LEVEL, TIMES_BY_LEVEL = 20, 8, 2, 3
@@ -50,6 +50,43 @@ def protected_scopes(parts: DataFrame, blueprint: DataFrame, links: DataFrame, i
     return scopes, needs.unionByName(named.join(parts.select("part_id"), "part_id", "left_semi").select(of_norm.alias("scope"), place(F.col("block")).alias("place"), F.col("need").cast("long").alias("need")))
 
 
+#: Fixed value: items that the sequential step may see; needs beyond it are walked scope by scope.
+_ROWS = 1 << 20
+
+
+def _given_back(held: DataFrame, bound: DataFrame) -> DataFrame:
+    """``item_id, kept_by`` of :func:`ordered_withdrawal`, one scope after the other, each by many tasks.
+
+    ``held``: place, scope, score, item_id of the easy items of short scopes; ``bound``: place, scope, short. The items lie
+    sorted in parts; counts of those that aren't given back yet, by part, tell which parts a scope gives back whole, and
+    which one up to some row.
+    """
+    spark = held.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held.count() // _ROWS))
+    ranked = held.repartitionByRange(parts, "place", "scope", "score", "item_id").select("scope", "score", F.col("item_id").cast("long").alias("item_id"), F.spark_partition_id().alias("part"))
+    ranked = kept_rows(ranked)
+    done = None
+    for scope, short in [(r["scope"], r["short"]) for r in bound.select("scope", "place", "short").sort("place", "scope").collect()]:
+        free = ranked.filter(F.col("scope") == scope).select("score", "item_id", "part")
+        if done is not None:
+            short -= free.join(done, "item_id", "left_semi").count()
+            free = free.join(done, "item_id", "left_anti")
+        if short <= 0:
+            continue
+        whole, last = -1, None
+        for part, n in sorted(map(tuple, free.groupBy("part").count().collect())):
+            if n > short:
+                last = part
+                break
+            whole, short = part, short - n
+        took = free.filter(F.col("part") <= whole).select("item_id")
+        if last is not None and short > 0:
+            took = took.unionByName(free.filter(F.col("part") == last).sort("score", "item_id").limit(short).select("item_id"))
+        took = kept_rows(took.withColumn("kept_by", F.lit(scope)))
+        done = took if done is None else done.unionByName(took)
+    return done if done is not None else spark.createDataFrame([], "item_id long, kept_by string")
+
+
 def ordered_withdrawal(easy: DataFrame, scopes: DataFrame, needs: DataFrame, multiplier: int) -> DataFrame:
     """``item_id, score, kept_by``: easy items, and the scope that gave each back (null: withdrawn).
 
@@ -60,17 +97,19 @@ def ordered_withdrawal(easy: DataFrame, scopes: DataFrame, needs: DataFrame, mul
 
     Only the first ``multiplier * need`` easy items of a scope can be given back by it: what others give back in it
     lowers its deficit by as much. So tasks rank and count the scopes, and what the one sequential step sees is bounded
-    by the needs of the scopes, which are part of the model, whatever the number of items.
+    by the needs of the scopes, whatever the number of items. Where the needs are large, scopes are walked one by one,
+    each by many tasks (:func:`_given_back`).
     """
     held = scopes.distinct().join(easy.select("item_id", "score"), "item_id", "left")
     counts = held.groupBy("scope").agg(F.count("*").alias("n"), F.count("score").alias("n_easy"))
     bound = needs.select("scope", "place", (F.col("need") * multiplier).alias("least")).join(counts, "scope")
     bound = bound.select("scope", "place", (F.col("least") - F.col("n") + F.col("n_easy")).alias("short"), "least").filter("short > 0")
     # scopes and their counts are made once, and once more for the easy items of the scopes that run short
-    use_checkpoints(easy.sparkSession)
-    bound = bound.checkpoint()
-    most = bound.agg(F.max("least")).first()[0] or 0
-    held = held.filter("score is not null").join(bound, "scope").checkpoint()
+    bound = kept_rows(bound)
+    most, every = (x or 0 for x in bound.agg(F.max("least"), F.sum("least")).first())
+    held = kept_rows(held.filter("score is not null").join(bound, "scope"))
+    if every > _ROWS:
+        return easy.join(_given_back(held, bound), "item_id", "left").select("item_id", "score", "kept_by")
     rank = F.row_number().over(Window.partitionBy("scope").orderBy("score", "item_id"))
     # the constant limit prunes within tasks, before rows are shuffled by scope
     ranked = held.withColumn("r", rank).filter(F.col("r") <= F.lit(int(most))).filter("r <= least")

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import __spark_entry__ as entry
 from quillbank.operators import duplicates as dd
+from quillbank.operators import withdrawal as wd
 
 
 def _shuffled(spark, job) -> tuple[list, int]:
@@ -105,3 +106,26 @@ def test_bank_plan_keeps_and_shuffles_little(spark):
     # 60,000 items and 70,000 links; each item would take a hundred bytes and more as a checkpoint
     assert {r["action"] for r in rows} >= {"ADD", "REASSIGN", "RETIRE"}
     assert size() - before < 2_500_000 and n < 700_000, (size() - before, n)
+
+
+def test_withdrawal_of_large_needs_goes_scope_by_scope(spark, monkeypatch):
+    rng = random.Random(4)
+    easy = [(i, rng.randrange(4)) for i in range(900)]
+    scopes = [(f"s{k}", i) for k in range(7) for i in rng.sample(range(1000), 60 * (k + 1))]
+    needs = [(f"s{k}", ((k * 3) % 7, 0, 0), 10 + 25 * ((k * 5) % 7)) for k in range(7)]
+    schemas = "item_id long, score long", "scope string, item_id long", "scope string, place struct<part: long, block: long, norm: long>, need long"
+    frames = [spark.createDataFrame(x, s).repartition(3) for x, s in zip((easy, scopes, needs), schemas, strict=True)]
+    score, kept = dict(easy), {}
+    for name, _, need in sorted(needs, key=lambda x: x[1]):
+        inside = [i for s, i in scopes if s == name]
+        out = sorted((score[i], i) for i in inside if i in score)
+        short = 2 * need - len(inside) + len(out) - sum(i in kept for _, i in out)
+        kept.update({i: name for _, i in [x for x in out if x[1] not in kept][: max(0, short)]})
+    want = sorted((i, s, kept.get(i)) for i, s in easy)
+    walked = []
+    given_back = wd._given_back
+    monkeypatch.setattr(wd, "_given_back", lambda *x: walked.append(1) or given_back(*x))
+    for most in (1 << 20, 50):
+        monkeypatch.setattr(wd, "_ROWS", most)
+        assert sorted((r["item_id"], r["score"], r["kept_by"]) for r in wd.ordered_withdrawal(*frames, 2).collect()) == want
+    assert walked == [1] and 50 < len(kept) < 900 and len(set(kept.values())) > 4
