@@ -129,3 +129,24 @@ def test_withdrawal_of_large_needs_goes_scope_by_scope(spark, monkeypatch):
         monkeypatch.setattr(wd, "_ROWS", most)
         assert sorted((r["item_id"], r["score"], r["kept_by"]) for r in wd.ordered_withdrawal(*frames, 2).collect()) == want
     assert walked == [1] and 50 < len(kept) < 900 and len(set(kept.values())) > 4
+
+
+def test_short_texts_meet_by_bags_and_are_all_pairs():
+    rng = random.Random(6)
+    words = ["".join(rng.choices("aeinorst", k=rng.randrange(2, 7))) for _ in range(300)]
+    held = [" ".join(rng.choices(words, k=rng.randrange(1, 15))) for _ in range(80)] + ["x" * 700, "aa", "é" * 40]
+    others = [_edited(rng, t, rng.randrange(1, 6)) or "x" for t in held] + [" ".join(rng.choices(words, k=rng.randrange(1, 15))) for _ in range(60)]
+    ratio = lambda a, b: 2 * sum(m.size for m in difflib.SequenceMatcher(None, a, b, False).get_matching_blocks()) / (len(a) + len(b))
+    index = dd._Held(list(range(len(held))), held, 0.85)
+    grams = dd._Held.candidates
+    got = {(others[u], v): s for u, v, s in index.matches(others, True) if s >= 0.85}
+    want = {(t, v): s for t in set(others) for v, h in enumerate(held) if (s := ratio(h, t)) >= 0.85}
+    assert got == want and len(want) > 30
+    # places of grams are listed for long texts only
+    asked = []
+    dd._Held.candidates = lambda self, texts, size: asked.extend(texts) or grams(self, texts, size)
+    try:
+        assert len(list(index.matches(others, True))) >= len(got)
+    finally:
+        dd._Held.candidates = grams
+    assert asked and min(map(len, asked)) > 600
