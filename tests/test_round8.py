@@ -150,3 +150,15 @@ def test_short_texts_meet_by_bags_and_are_all_pairs():
     finally:
         dd._Held.candidates = grams
     assert asked and min(map(len, asked)) > 600
+
+
+def test_words_of_a_reference_are_coded_once():
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(150)]
+    ref = " ".join(rng.choices(words, k=3000))
+    texts = [ref, "", "none of them", *(_edited(rng, ref[: rng.randrange(50, 4000)], 5) for _ in range(10)), *(" ".join(rng.choices(words, k=rng.randrange(1, 300))) for _ in range(10))]
+    coded: dict = {}
+    for t in texts:
+        assert dd._word_ratio(t, ref, coded) == difflib.SequenceMatcher(None, t.split(), ref.split(), False).ratio()
+    assert dd._word_ratio("", " ") == 1.0 and dd._word_ratio("", "") == 1.0 and dd._word_ratio("a", "") == 0.0
+    assert list(coded) == [ref]
